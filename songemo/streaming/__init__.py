@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The system this engine reproduces has no stream, queue or incremental
+source; its interactive view recomputes on demand.  Every operator here is
+a batch DataFrame job, so none is wrapped as a streaming query.
+"""
