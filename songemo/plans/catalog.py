@@ -15,7 +15,11 @@ from pyspark.sql import functions as F
 from ..config import TAG_ORDER
 from ..functions.intent import reply_intent, rule_intent
 from ..functions.tags import finite, tags
-from ..operators import analyst, semantic
+from ..config import FRAME_MEASURES, MODEL_FEATURES, RICH_FEATURES
+from ..functions.keys import add_key_columns
+from ..functions.scalars import nan_to_null, tempo_bucket, to_numeric_or_null
+from ..operators import analyst, audio, features, joins, labels, quality, semantic, similarity, views
+from ..sources import files
 from ..sources import bindings as B
 from .report import finalize
 
@@ -126,17 +130,306 @@ def q_analyst_batch(spark, d):
     return analyst.answer_batch(B.questions(spark, d), B.predictions(spark, d), k=BATCH_K)
 
 
-def queries() -> dict[str, QueryFn]:
-    return dict(REGISTRY)
+# ---------------------------------------------------------------- features
+BANDS_LINEITEM = ["l_quantity", "l_discount", "l_tax"]
+
+
+def song_features_of(spark, d, rich=True):
+    return features.song_features(B.frames(spark, d), rich=rich, measures=B.FRAME_BINDING, bands=BANDS_LINEITEM)
+
+
+def enriched_of(spark, d):
+    return joins.enrich(song_features_of(spark, d), B.audio_features(spark, d))
+
+
+@query("scan_frames_count")
+def q_scan_frames_count(spark, d):
+    """Frames and songs in the frame table."""
+    f = B.frames(spark, d)
+    return f.agg(F.count(F.lit(1)).alias("n_frames"), F.count_distinct("song_id").alias("n_songs"))
+
+
+@query("song_features_rich")
+def q_song_features_rich(spark, d):
+    """A1 + A2 + P1 + C1: one feature row per song, rich layout."""
+    return song_features_of(spark, d, rich=True)
+
+
+@query("song_features_minimal")
+def q_song_features_minimal(spark, d):
+    """A1 + P1 + C1: minimal layout with a NULL tempo placeholder."""
+    return song_features_of(spark, d, rich=False)
+
+
+@query("band_variance")
+def q_band_variance(spark, d):
+    """A2 + P7: variance across the 26 per-band means of each song."""
+    return features.band_variance_from_arrays(B.band_frames(spark, d))
+
+
+# ------------------------------------------------------------------- joins
+@query("enrich_left_join")
+def q_enrich_left_join(spark, d):
+    """J1 + P4 + X9 + X2 + M6: every feature song with tempo, genre and parsed key."""
+    return enriched_of(spark, d)
+
+
+@query("modeling_dataset")
+def q_modeling_dataset(spark, d):
+    """Features inner-joined with labels."""
+    lab = labels.drop_missing_targets(B.order_labels(spark, d).select(
+        "song_id", nan_to_null(F.col("arousal")).alias("arousal"), nan_to_null(F.col("valence")).alias("valence")))
+    return joins.modeling_dataset(song_features_of(spark, d), lab)
+
+
+@query("map_metadata_join")
+def q_map_metadata_join(spark, d):
+    """J3 + G1 + X7: predictions with song metadata and tempo bucket."""
+    return views.map_table(B.predictions(spark, d), enriched_of(spark, d))
+
+
+@query("parse_key")
+def q_parse_key(spark, d):
+    """X1 + X2: parsed key columns."""
+    return add_key_columns(B.audio_features(spark, d).select("song_id", "key"), "key")
+
+
+@query("tempo_bucket")
+def q_tempo_bucket(spark, d):
+    """Tempo bucket labels."""
+    a = B.audio_features(spark, d)
+    return a.select("song_id", "tempo_bpm", tempo_bucket(F.col("tempo_bpm")).alias("tempo_bucket"))
+
+
+@query("numeric_coerce")
+def q_numeric_coerce(spark, d):
+    """Annotation text to numbers, bad text to NULL."""
+    r = B.annotation_rows(spark, d)
+    return r.select("file_name", "line_no", "song_id", to_numeric_or_null(F.col("arousal")).alias("arousal"),
+                    to_numeric_or_null(F.col("valence")).alias("valence"))
+
+
+# ------------------------------------------------------------------ labels
+@query("labels_clean")
+def q_labels_clean(spark, d):
+    """P10: labels with both targets present (NaN is missing)."""
+    lab = B.order_labels(spark, d)
+    return labels.drop_missing_targets(lab.select(
+        "song_id", nan_to_null(F.col("arousal")).alias("arousal"), nan_to_null(F.col("valence")).alias("valence")))
+
+
+@query("labels_keep_first")
+def q_labels_keep_first(spark, d):
+    """W1 + X3 + X4: first complete annotation per song by (file, line)."""
+    return labels.static_labels(B.annotation_rows(spark, d))
+
+
+@query("labels_union_all")
+def q_labels_union_all(spark, d):
+    """Annotation files concatenated (UNION ALL), numbers parsed."""
+    rows = B.annotation_rows(spark, d)
+    kinds = ["click", "error", "purchase", "signup", "view"]
+    parts = [labels.coerce_labels(rows.filter(F.col("file_name") == k), keep=("file_name", "line_no"))
+             for k in kinds]
+    return labels.union_all(parts)
+
+
+@query("ids_intersect")
+def q_ids_intersect(spark, d):
+    """Songs present in both dynamic matrices."""
+    a = B.dynamic_arousal_rows(spark, d).select("song_id")
+    v = B.dynamic_valence_rows(spark, d).select("song_id")
+    return a.intersect(v)
+
+
+@query("dynamic_rows_layout")
+def q_dynamic_rows_layout(spark, d):
+    """A4 + J4: songs-as-rows matrices -> row means, inner by id."""
+    return labels.dynamic_rows(B.dynamic_arousal_rows(spark, d), B.dynamic_valence_rows(spark, d))
+
+
+@query("dynamic_cols_layout")
+def q_dynamic_cols_layout(spark, d):
+    """A3 + J5: songs-as-columns matrices (long form) -> column means, by song name."""
+    long = B.dynamic_long(spark, d)
+    v = B.table(spark, d, "lineitem").select(F.col("l_linenumber").cast("bigint").alias("t"),
+                                             F.col("l_orderkey").cast("string").alias("song_id"),
+                                             (F.col("l_tax") * 100).alias("value"))
+    return labels.dynamic_columns(long, v)
+
+
+# ----------------------------------------------------------------- quality
+@query("duplicate_keys")
+def q_duplicate_keys(spark, d):
+    """Rows beyond the first per key, for two tables."""
+    a = quality.duplicate_count(B.annotation_rows(spark, d)).select(F.lit("annotations").alias("table"), "*")
+    f = quality.duplicate_count(B.frames(spark, d)).select(F.lit("frames").alias("table"), "*")
+    return a.unionByName(f)
+
+
+@query("null_profile")
+def q_null_profile(spark, d):
+    """NULL counts and percentages of the enriched feature table."""
+    return quality.null_counts(enriched_of(spark, d), list(MODEL_FEATURES))
+
+
+@query("coverage_stats")
+def q_coverage_stats(spark, d):
+    """Tempo / key coverage and out-of-range tempo."""
+    return quality.coverage(enriched_of(spark, d))
+
+
+@query("validate_features")
+def q_validate_features(spark, d):
+    """V1: song_features report."""
+    return quality.validate_song_features(spark, enriched_of(spark, d))
+
 
+@query("validate_labels")
+def q_validate_labels(spark, d):
+    """V2: deam_labels report."""
+    return quality.validate_labels(spark, labels.static_labels(B.annotation_rows(spark, d)))
 
-__all__ = ["queries", "REGISTRY", "TAG_ORDER", "FLAGSHIP_QUESTION"]
+
+@query("validate_predictions")
+def q_validate_predictions(spark, d):
+    """V4: predictions report, row count checked against song_features."""
+    return quality.validate_predictions(spark, B.predictions(spark, d), enriched_of(spark, d))
+
+
+@query("validation_summary")
+def q_validation_summary(spark, d):
+    """V5: pass / fail per table and overall."""
+    rep = (quality.validate_song_features(spark, enriched_of(spark, d))
+           .unionByName(quality.validate_labels(spark, labels.static_labels(B.annotation_rows(spark, d))))
+           .unionByName(quality.validate_predictions(spark, B.predictions(spark, d), enriched_of(spark, d))))
+    return quality.summary(rep)
+
+
+# ------------------------------------------------------------------- views
+AROUSAL_RANGE = (3.0, 7.0)
+VALENCE_RANGE = (2.0, 8.0)
+
+
+@query("map_range_filter")
+def q_map_range_filter(spark, d):
+    """Points inside both slider ranges (inclusive)."""
+    f = views.range_filter(B.predictions(spark, d), AROUSAL_RANGE, VALENCE_RANGE)
+    return f.select("song_id", "predicted_arousal", "predicted_valence")
+
+
+@query("map_extent")
+def q_map_extent(spark, d):
+    """Slider bounds, step, padding and midpoints."""
+    return views.extent(B.predictions(spark, d))
+
+
+@query("map_counts")
+def q_map_counts(spark, d):
+    """A14: 'Showing N of M songs'."""
+    return views.count_in_view(B.predictions(spark, d), AROUSAL_RANGE, VALENCE_RANGE)
+
+
+@query("color_groups")
+def q_color_groups(spark, d):
+    """A15 + W4: legend groups by tempo bucket, sorted by name."""
+    return views.color_groups(views.map_table(B.predictions(spark, d), enriched_of(spark, d)), "tempo_bucket")
+
+
+@query("quadrants")
+def q_quadrants(spark, d):
+    """X15 + D1: quadrant of every drawable point."""
+    p = B.predictions(spark, d)
+    return views.map_points(p, None).select("song_id", "quadrant")
+
+
+@query("map_points")
+def q_map_points(spark, d):
+    """Filtered points coloured by key note, with quadrants of the filtered extent."""
+    t = views.map_table(B.predictions(spark, d), enriched_of(spark, d))
+    return views.map_points(t, "key_note", AROUSAL_RANGE, VALENCE_RANGE)
+
+
+@query("song_table_view")
+def q_song_table_view(spark, d):
+    """G3 + P2 + X8: table of songs in view."""
+    t = views.map_table(B.predictions(spark, d), enriched_of(spark, d))
+    return views.song_table(t, AROUSAL_RANGE, VALENCE_RANGE)
+
+
+# ------------------------------------------------------------------- audio
+@query("chroma_sum")
+def q_chroma_sum(spark, d):
+    """Chroma summed over time per (song, method)."""
+    s = audio.chroma_sums(B.chroma_frames(spark, d))
+    return s.select("song_id", "method", *[F.col("chroma")[i].alias(f"c{i}") for i in range(12)],
+                    "n_frames", "usable")
+
+
+@query("chroma_fallback")
+def q_chroma_fallback(spark, d):
+    """M1: first usable chroma method per song."""
+    return audio.first_usable_chroma(audio.chroma_sums(B.chroma_frames(spark, d))).select("song_id", "method")
+
+
+@query("key_estimation")
+def q_key_estimation(spark, d):
+    """M3 + J6 + X11: key from the first usable chroma."""
+    return audio.song_keys(B.chroma_frames(spark, d))
+
+
+@query("middle_segment")
+def q_middle_segment(spark, d):
+    """M2: middle half of songs of at least 10 s (1 frame per second here)."""
+    f = B.chroma_frames(spark, d).select("song_id", "frame_idx", "method")
+    return audio.middle_segment(f, frame_rate_hz=1.0, min_seconds=10.0)
+
+
+@query("tempo_from_onsets")
+def q_tempo_from_onsets(spark, d):
+    """M4: tempo from the median inter-onset gap."""
+    return audio.tempo_from_onsets(B.onsets(spark, d))
+
+
+CLIP_SECONDS = 3 * 24 * 3600.0
+
+
+@query("clip_first_seconds")
+def q_clip_first_seconds(spark, d):
+    """M5: onsets within the first clip window of each song (3 days here)."""
+    c = audio.clip_first_seconds(B.onsets(spark, d), CLIP_SECONDS)
+    return c.groupBy("song_id").agg(F.count(F.lit(1)).alias("n_in_clip"))
+
+
+@query("latest_run")
+def q_latest_run(spark, d):
+    """Latest run folder (YYYYMMDD_HHMMSS) per owner."""
+    return files.latest_runs(B.runs(spark, d), group_col="owner")
+
+
+# -------------------------------------------------------------- similarity
+SEEDS = ["1", "2", "3"]
+
+
+@query("similar_songs")
+def q_similar_songs(spark, d):
+    """10 nearest songs of each seed in (arousal, valence)."""
+    return similarity.similar_songs(B.predictions(spark, d), SEEDS, k=10)
+
+
+@query("song_profile")
+def q_song_profile(spark, d):
+    """D3: scores, tags and quadrant of chosen songs."""
+    return similarity.song_profile(B.predictions(spark, d), ["1", "2", "3", "4", "5", "101", "103"])
+
+
+def queries() -> dict[str, QueryFn]:
+    return dict(REGISTRY)
 
 
 def flagship(spark: SparkSession, d: str) -> DataFrame:
-    """Top songs for the flagship question with their scores and tags."""
+    """Top songs for the flagship question, with their emotional profile."""
     pred = B.predictions(spark, d)
     top = analyst.answer(pred, FLAGSHIP_QUESTION, k=20)
-    prof = pred.select("song_id", "predicted_arousal", "predicted_valence",
-                       tags(F.col("predicted_arousal"), F.col("predicted_valence")).alias("tags"))
-    return finalize(top.join(prof, "song_id", "left").orderBy("rank"))
+    prof = similarity.song_profile(pred, top)  # top has <= k rows
+    return finalize(top.join(F.broadcast(prof), "song_id", "left").orderBy("rank"))
