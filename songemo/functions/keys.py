@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import MAJOR_PROFILE, MINOR_PROFILE, NORM_EPS, PITCH_NAMES, UNKNOWN_LABEL
@@ -33,7 +33,7 @@ def parse_key(key: Column) -> Column:
     s = _strip(key)
     parts = F.split(s, r"\s+", 2)
     root = F.element_at(parts, 1)
-    rest = F.coalesce(F.element_at(parts, 2), F.lit(""))
+    rest = F.coalesce(F.try_element_at(parts, F.lit(2)), F.lit(""))
     mode = F.when(F.lower(rest).contains("minor"), F.lit("minor")).otherwise(F.lit("major"))
     sig = (
         F.when(root.endswith("#"), F.lit("sharp"))
@@ -124,8 +124,71 @@ def rotate(v: Column, shift: int) -> Column:
 
 def key_scores(chroma: Column) -> Column:
     """ARRAY<DOUBLE> of 24 template scores of the cleaned, unit chroma."""
-    c = unit_vector(clean_vector(chroma))
-    return F.array(*[dot(c, F.array(*[F.lit(x) for x in prof])) for _, prof in key_templates()])
+    return scores_of_unit(unit_vector(clean_vector(chroma)))
+
+
+def scores_of_unit(unit: Column) -> Column:
+    """24 template scores of an already cleaned, unit-length chroma column.
+
+    Pass a column reference (not an expression) so the unit vector is
+    computed once per row, not once per template.
+    """
+    return F.array(*[dot(unit, F.array(*[F.lit(x) for x in prof])) for _, prof in key_templates()])
+
+
+def usable_chroma(chroma: Column) -> Column:
+    """12 bins with at least one positive value after cleaning."""
+    return (chroma.isNotNull() & (F.size(chroma) == 12)
+            & F.exists(clean_vector(chroma), lambda x: x > 0))
+
+
+def key_from_scores(scores: Column, usable: Column, score_digits: int = 9) -> Column:
+    """Name of the best template (first on ties after rounding), else 'unknown'."""
+    names = F.array(*[F.lit(n) for n, _ in key_templates()])
+    r = F.transform(scores, lambda s: F.round(s, score_digits))
+    best = F.array_position(r, F.array_max(r)).cast("int")
+    return F.when(usable, F.element_at(names, best)).otherwise(F.lit("unknown"))
+
+
+def _num(x: float) -> str:
+    return repr(float(x)) + "D"
+
+
+def with_key_estimate(df: DataFrame, chroma_col: str = "chroma", score_digits: int = 9) -> DataFrame:
+    """Add key, score (best) and margin (lead over the runner-up).
+
+    Plain arithmetic on 12 bin columns in staged projections (clean -> unit
+    -> 24 scores), so whole-stage codegen compiles it; the expressions are
+    generated as SQL text, a few calls instead of one per operator.
+    """
+    c = f"`{chroma_col}`"
+    keep = [f"`{col}`" for col in df.columns]
+    clean = [f"CASE WHEN try_element_at({c}, {i + 1}) IS NULL OR isnan(try_element_at({c}, {i + 1})) "
+             f"OR abs(try_element_at({c}, {i + 1})) = double('inf') THEN 0D "
+             f"ELSE CAST(try_element_at({c}, {i + 1}) AS DOUBLE) END AS _x{i}" for i in range(12)]
+    s1 = df.selectExpr(*keep, *clean)
+    norm = "sqrt(" + " + ".join(f"_x{i} * _x{i}" for i in range(12)) + ")"
+    xs = ", ".join(f"_x{i}" for i in range(12))
+    s2 = s1.selectExpr(*keep, *[f"_x{i}" for i in range(12)],
+                       f"CASE WHEN {norm} < {_num(NORM_EPS)} THEN greatest({xs}) + {_num(NORM_EPS)} "
+                       f"ELSE {norm} END AS _d",
+                       f"({c} IS NOT NULL AND size({c}) = 12 AND greatest({xs}) > 0) AS _usable")
+    s3 = s2.selectExpr(*keep, "_usable", *[f"_x{i} / _d AS _u{i}" for i in range(12)])
+    scores = []
+    for j, (_, prof) in enumerate(key_templates()):
+        scores.append(" + ".join(f"_u{i} * {_num(prof[i])}" for i in range(12)) + f" AS _k{j}")
+    s4 = s3.selectExpr(*keep, "_usable", *scores)
+    ks = ", ".join(f"_k{j}" for j in range(24))
+    rounded = ", ".join(f"round(_k{j}, {score_digits})" for j in range(24))
+    names = ", ".join(f"'{n}'" for n, _ in key_templates())
+    s5 = s4.selectExpr(*keep, "_usable", f"array({rounded}) AS _r", f"array_sort(array({ks})) AS _sorted")
+    return s5.selectExpr(
+        *keep,
+        f"CASE WHEN _usable THEN element_at(array({names}), CAST(array_position(_r, array_max(_r)) AS INT)) "
+        f"ELSE 'unknown' END AS key",
+        "CASE WHEN _usable THEN element_at(_sorted, 24) END AS score",
+        "CASE WHEN _usable THEN element_at(_sorted, 24) - element_at(_sorted, 23) END AS margin",
+    )
 
 
 def estimate_key(chroma: Column, score_digits: int = 9) -> Column:

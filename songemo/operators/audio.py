@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import CHROMA_METHODS, DEFAULT
-from ..functions.keys import estimate_key, key_score_and_margin
+from ..functions.keys import with_key_estimate
 from .ordered import lag, position
 
 
@@ -48,13 +48,7 @@ def first_usable_chroma(sums: DataFrame, methods: tuple[str, ...] = CHROMA_METHO
 def song_keys(frames: DataFrame, songs: DataFrame | None = None) -> DataFrame:
     """(song_id, method, key, score, margin); songs without usable chroma get 'unknown'."""
     chosen = first_usable_chroma(chroma_sums(frames))
-    sm = key_score_and_margin(F.col("chroma"))
-    out = chosen.select("song_id", "method", estimate_key(F.col("chroma")).alias("key"),
-                        sm.getField("score").alias("score"), sm.getField("margin").alias("margin"))
-    out = out.withColumns({
-        "score": F.when(F.col("key") == "unknown", F.lit(None).cast("double")).otherwise(F.col("score")),
-        "margin": F.when(F.col("key") == "unknown", F.lit(None).cast("double")).otherwise(F.col("margin")),
-    })
+    out = with_key_estimate(chosen).select("song_id", "method", "key", "score", "margin")
     if songs is not None:
         out = songs.select(F.col("song_id").cast("string")).distinct().join(out, "song_id", "left").withColumn(
             "key", F.coalesce(F.col("key"), F.lit("unknown")))

@@ -86,7 +86,7 @@ def song_features(frames: DataFrame, rich: bool = True, measures: dict[str, str]
 def band_variance_from_arrays(frames: DataFrame, bands_col: str = "bands", n_bands: int = BAND_MAX_INDEX + 1,
                               id_col: str = "song_id") -> DataFrame:
     """(song_id, auditory_band_variance, n_bands) when bands are stored as an array column."""
-    aggs = [F.avg(nan_to_null(F.element_at(bands_col, i + 1))).alias(f"_b{i}") for i in range(n_bands)]
+    aggs = [F.avg(nan_to_null(F.try_element_at(F.col(bands_col), F.lit(i + 1)))).alias(f"_b{i}") for i in range(n_bands)]
     g = frames.groupBy(F.col(id_col).alias("song_id")).agg(*aggs)
     arr = F.array(*[F.col(f"_b{i}") for i in range(n_bands)])
     return g.select("song_id", sample_variance(arr).alias("auditory_band_variance"),
