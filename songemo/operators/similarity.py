@@ -13,6 +13,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.scalars import nan_to_null
 from ..functions.tags import finite, tags
 from .views import A, V, extent, quadrant
 
@@ -54,5 +55,5 @@ def song_profile(predictions: DataFrame, song_ids: list[str] | DataFrame) -> Dat
         sel = predictions.filter(F.col("song_id").isin(*song_ids))
     a, v = F.col(A), F.col(V)
     q = F.when(finite(a) & finite(v), quadrant(v, a, mids.getField("valence_mid"), mids.getField("arousal_mid")))
-    return sel.select("song_id", a.alias("arousal"), v.alias("valence"), tags(a, v).alias("tags"),
-                      q.alias("quadrant"))
+    return sel.select("song_id", nan_to_null(a).alias("arousal"), nan_to_null(v).alias("valence"),
+                      tags(a, v).alias("tags"), q.alias("quadrant"))

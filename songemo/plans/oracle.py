@@ -139,5 +139,423 @@ SELECT qi.question_id, CAST(r.rank AS BIGINT) AS rank, r.song_id, CAST(r.match_c
 FROM qi LEFT JOIN (SELECT * FROM r WHERE rank <= 5) r ON qi.question_id = r.question_id"""
 
 
+# ---------------------------------------------------------------- features
+# two-pass sample variance of non-NULL band means (mean first, then squared
+# deviations), the way pandas computes it
+FEAT_RICH = """feat0 AS (
+  SELECT CAST(l_orderkey AS VARCHAR) AS song_id, avg(l_quantity) AS b0, avg(l_extendedprice) AS energy,
+         avg(l_discount) AS b1, avg(l_tax) AS b2
+  FROM lineitem GROUP BY l_orderkey),
+feat AS (
+  SELECT song_id, b0 AS spectral_centroid, energy, b1 AS mfcc_coef1,
+         ((b0 - (b0 + b1 + b2) / 3) * (b0 - (b0 + b1 + b2) / 3) + (b1 - (b0 + b1 + b2) / 3) * (b1 - (b0 + b1 + b2) / 3)
+          + (b2 - (b0 + b1 + b2) / 3) * (b2 - (b0 + b1 + b2) / 3)) / 2 AS auditory_band_variance,
+         NULL::DOUBLE AS spectral_rolloff50, b2 AS zcr, NULL::DOUBLE AS spectral_flux,
+         NULL::DOUBLE AS spectral_variance, NULL::DOUBLE AS spectral_entropy, NULL::DOUBLE AS spectral_harmonicity
+  FROM feat0)"""
+
+_PITCH = ["C", "C#", "D", "D#", "E", "F", "F#", "G", "G#", "A", "A#", "B"]
+_KEYS = [f"{p} {m}" for p in _PITCH for m in ("major", "minor")] + ["unknown", "", "Bb minor", "H major"]
+KEY_LIST = "[" + ", ".join(f"'{k}'" for k in _KEYS) + "]"
+
+AUDIO = f"""audio AS (
+  SELECT CAST(p_partkey AS VARCHAR) AS song_id,
+         CASE WHEN p_partkey % 11 = 0 THEN NULL ELSE CAST(p_size * 5 AS DOUBLE) END AS tempo_bpm,
+         {KEY_LIST}[p_partkey % 28 + 1] AS key
+  FROM part)"""
+
+
+def _parse_key_cols(key: str) -> str:
+    s = f"regexp_replace(regexp_replace({key}, '^\\s+', ''), '\\s+$', '')"
+    root = f"regexp_extract({s}, '^(\\S+)', 1)"
+    rest = f"regexp_extract({s}, '^\\S+\\s+(.*)$', 1)"
+    unknown = f"({key} IS NULL OR {s} = '' OR lower({s}) = 'unknown')"
+    head = f"(CASE WHEN {root} LIKE '%#' OR {root} LIKE '%b' THEN left({root}, length({root}) - 1) ELSE {root} END)"
+    note = f"upper(regexp_replace(regexp_replace({head}, '^\\s+', ''), '\\s+$', ''))"
+    mode = f"(CASE WHEN {unknown} THEN 'major' WHEN contains(lower({rest}), 'minor') THEN 'minor' ELSE 'major' END)"
+    return f"""CASE WHEN {unknown} THEN 'Unknown' WHEN {note} IN ('A','B','C','D','E','F','G') THEN {note}
+              ELSE 'Unknown' END AS key_note,
+       {mode} AS key_mode,
+       CASE WHEN {unknown} THEN 'natural' WHEN {root} LIKE '%#' THEN 'sharp' WHEN {root} LIKE '%b' THEN 'flat'
+            ELSE 'natural' END AS key_signature,
+       {mode} = 'major' AS is_major"""
+
+
+TEMPO_BUCKET = """CASE WHEN tempo_bpm IS NULL OR isnan(tempo_bpm) THEN 'Unknown'
+     WHEN tempo_bpm < 80 THEN 'Slow  (<80 BPM)' WHEN tempo_bpm < 120 THEN 'Mid   (80–120 BPM)'
+     WHEN tempo_bpm < 160 THEN 'Fast  (120–160 BPM)' ELSE 'Very Fast  (160+ BPM)' END"""
+
+ENRICHED = FEAT_RICH + ",\n" + AUDIO + f""",
+enriched AS (
+  SELECT f.*, a.tempo_bpm, 'unknown' AS genre, coalesce(a.key, 'unknown') AS key,
+         {_parse_key_cols("coalesce(a.key, 'unknown')")}
+  FROM feat f LEFT JOIN audio a ON f.song_id = a.song_id)"""
+
+RICH_COLS = ("spectral_centroid, energy, mfcc_coef1, auditory_band_variance, spectral_rolloff50, zcr, "
+             "spectral_flux, spectral_variance, spectral_entropy, spectral_harmonicity")
+
+
+def _r(cols: str, prefix: str = "") -> str:
+    return ", ".join(f"round({prefix}{c.strip()}, 9) AS {c.strip()}" for c in cols.split(","))
+
+
+LABELS_CLEAN = PRED + """,
+labels AS (
+  SELECT song_id, CASE WHEN isnan(predicted_arousal) THEN NULL ELSE predicted_arousal END AS arousal,
+         CASE WHEN isnan(predicted_valence) THEN NULL ELSE predicted_valence END AS valence
+  FROM predictions),
+labels_ok AS (SELECT * FROM labels WHERE arousal IS NOT NULL AND valence IS NOT NULL)"""
+
+SQL["scan_frames_count"] = """SELECT count(*) AS n_frames, count(DISTINCT CAST(l_orderkey AS VARCHAR)) AS n_songs
+FROM lineitem"""
+
+SQL["song_features_rich"] = f"""WITH {FEAT_RICH}
+SELECT song_id, {_r(RICH_COLS)} FROM feat"""
+
+SQL["song_features_minimal"] = f"""WITH {FEAT_RICH}
+SELECT song_id, NULL::DOUBLE AS tempo, {_r("spectral_centroid, energy, mfcc_coef1, auditory_band_variance")}
+FROM feat"""
+
+_BANDS = ", ".join(f"avg(CAST(embedding[{i}] AS DOUBLE))" for i in range(1, 27))
+SQL["band_variance"] = f"""SELECT CAST(label AS VARCHAR) AS song_id,
+       round(list_aggregate([{_BANDS}], 'var_samp'), 9) AS auditory_band_variance,
+       CAST(len(list_filter([{_BANDS}], lambda x: x IS NOT NULL)) AS BIGINT) AS n_bands
+FROM embeddings GROUP BY label"""
+
+# ------------------------------------------------------------------- joins
+SQL["enrich_left_join"] = f"""WITH {ENRICHED}
+SELECT song_id, {_r(RICH_COLS)}, round(tempo_bpm, 9) AS tempo_bpm, genre, key, key_note, key_mode,
+       key_signature, is_major
+FROM enriched"""
+
+SQL["modeling_dataset"] = f"""WITH {FEAT_RICH}, {LABELS_CLEAN}
+SELECT f.song_id, {_r(RICH_COLS, "f.")}, round(l.arousal, 9) AS arousal, round(l.valence, 9) AS valence
+FROM feat f JOIN labels_ok l ON f.song_id = l.song_id"""
+
+MAP_TABLE = PRED + ",\n" + ENRICHED + f""",
+map_t AS (
+  SELECT p.*, e.key, e.tempo_bpm, e.genre, e.key_note, e.key_mode, e.key_signature, e.is_major,
+         {TEMPO_BUCKET.replace("tempo_bpm", "e.tempo_bpm")} AS tempo_bucket
+  FROM predictions p LEFT JOIN enriched e ON p.song_id = e.song_id)"""
+
+SQL["map_metadata_join"] = f"""WITH {MAP_TABLE}
+SELECT song_id, round(predicted_arousal, 9) AS predicted_arousal, round(predicted_valence, 9) AS predicted_valence,
+       key, round(tempo_bpm, 9) AS tempo_bpm, genre, key_note, key_mode, key_signature, is_major, tempo_bucket
+FROM map_t"""
+
+SQL["parse_key"] = f"""WITH {AUDIO}
+SELECT song_id, key, {_parse_key_cols("key")} FROM audio"""
+
+SQL["tempo_bucket"] = f"""WITH {AUDIO}
+SELECT song_id, round(tempo_bpm, 9) AS tempo_bpm, {TEMPO_BUCKET} AS tempo_bucket FROM audio"""
+
+ANNOT = """annot AS (
+  SELECT event_type AS file_name, event_id AS line_no, CAST(user_id AS VARCHAR) AS song_id,
+         CASE WHEN event_id % 13 = 0 THEN NULL ELSE value END AS arousal,
+         CAST(event_id % 9 + 1 AS DOUBLE) AS valence
+  FROM events)"""
+
+SQL["numeric_coerce"] = f"""WITH {ANNOT}
+SELECT file_name, line_no, song_id, round(arousal, 9) AS arousal, round(valence, 9) AS valence FROM annot"""
+
+# ------------------------------------------------------------------ labels
+SQL["labels_clean"] = f"""WITH {LABELS_CLEAN}
+SELECT song_id, round(arousal, 9) AS arousal, round(valence, 9) AS valence FROM labels_ok"""
+
+SQL["labels_keep_first"] = f"""WITH {ANNOT},
+ok AS (SELECT *, row_number() OVER (PARTITION BY song_id ORDER BY file_name, line_no) AS rn
+       FROM annot WHERE arousal IS NOT NULL AND valence IS NOT NULL AND song_id IS NOT NULL)
+SELECT song_id, round(arousal, 9) AS arousal, round(valence, 9) AS valence FROM ok WHERE rn = 1"""
+
+SQL["labels_union_all"] = f"""WITH {ANNOT}
+SELECT file_name, line_no, song_id, round(arousal, 9) AS arousal, round(valence, 9) AS valence
+FROM annot WHERE file_name IN ('click', 'error', 'purchase', 'signup', 'view')"""
+
+SQL["ids_intersect"] = """SELECT CAST(l_orderkey AS VARCHAR) AS song_id FROM lineitem
+INTERSECT SELECT CAST(o_orderkey AS VARCHAR) FROM orders"""
+
+SQL["dynamic_rows_layout"] = """WITH a AS (
+  SELECT CAST(l_orderkey AS VARCHAR) AS song_id,
+         (avg(l_quantity) + avg(l_extendedprice) + avg(l_discount) + avg(l_tax)) / 4 AS arousal
+  FROM lineitem GROUP BY l_orderkey),
+v AS (SELECT CAST(o_orderkey AS VARCHAR) AS song_id,
+             (o_totalprice / 10000.0 + CAST(o_custkey % 9 + 1 AS DOUBLE)) / 2 AS valence FROM orders)
+SELECT a.song_id, round(arousal, 9) AS arousal, round(valence, 9) AS valence
+FROM a JOIN v ON a.song_id = v.song_id WHERE arousal IS NOT NULL AND valence IS NOT NULL"""
+
+SQL["dynamic_cols_layout"] = """WITH a AS (
+  SELECT CAST(l_orderkey AS VARCHAR) AS song_id,
+         avg(CASE WHEN l_linenumber = 7 THEN NULL ELSE l_quantity END) AS arousal,
+         avg(l_tax * 100) AS valence
+  FROM lineitem GROUP BY l_orderkey)
+SELECT song_id, round(arousal, 9) AS arousal, round(valence, 9) AS valence
+FROM a WHERE arousal IS NOT NULL AND valence IS NOT NULL"""
+
+# ----------------------------------------------------------------- quality
+SQL["duplicate_keys"] = """SELECT 'annotations' AS "table", CAST(coalesce(sum(c - 1), 0) AS BIGINT) AS duplicate_rows
+FROM (SELECT user_id, count(*) AS c FROM events GROUP BY user_id)
+UNION ALL
+SELECT 'frames', CAST(coalesce(sum(c - 1), 0) AS BIGINT) FROM (SELECT l_orderkey, count(*) AS c FROM lineitem GROUP BY 1)"""
+
+_MODEL = ["spectral_centroid", "energy", "mfcc_coef1", "auditory_band_variance", "spectral_rolloff50", "zcr",
+          "spectral_flux", "spectral_variance", "spectral_entropy", "spectral_harmonicity", "tempo_bpm"]
+SQL["null_profile"] = f"""WITH {ENRICHED},
+n AS (SELECT count(*) AS total, {", ".join(f"count(*) FILTER (WHERE {c} IS NULL OR isnan({c})) AS m_{c}" for c in _MODEL)}
+      FROM enriched),
+u AS ({" UNION ALL ".join(f"SELECT '{c}' AS \"column\", m_{c} AS n_null, total FROM n" for c in _MODEL)})
+SELECT "column", CAST(n_null AS BIGINT) AS n_null, round(round(n_null * 100.0 / total, 1), 9) AS pct_null
+FROM u WHERE n_null > 0"""
+
+COVERAGE = """cov AS (
+  SELECT count(*) AS n_rows,
+         count(*) FILTER (WHERE tempo_bpm IS NOT NULL AND NOT isnan(tempo_bpm)) AS n_tempo,
+         count(*) FILTER (WHERE tempo_bpm IS NOT NULL AND NOT isnan(tempo_bpm)
+                          AND (tempo_bpm < 20 OR tempo_bpm > 300)) AS n_tempo_out_of_range,
+         count(*) FILTER (WHERE key IS NOT NULL AND trim(key) <> '' AND lower(key) <> 'unknown') AS n_key_known
+  FROM enriched)"""
+
+SQL["coverage_stats"] = f"""WITH {ENRICHED}, {COVERAGE}
+SELECT CAST(n_rows AS BIGINT) AS n_rows, CAST(n_tempo AS BIGINT) AS n_tempo,
+       round(CASE WHEN n_rows > 0 THEN n_tempo * 100.0 / n_rows ELSE 0.0 END, 9) AS tempo_pct,
+       CAST(n_tempo_out_of_range AS BIGINT) AS n_tempo_out_of_range, CAST(n_key_known AS BIGINT) AS n_key_known,
+       round(CASE WHEN n_rows > 0 THEN n_key_known * 100.0 / n_rows ELSE 0.0 END, 9) AS key_pct
+FROM cov"""
+
+
+def _report_row(table: str, check: str, level: str, value: str, message: str) -> str:
+    return (f"SELECT '{table}' AS \"table\", '{check}' AS \"check\", {level} AS level, "
+            f"round(CAST({value} AS DOUBLE), 9) AS value, {message} AS message FROM st")
+
+
+def _pct1(x: str) -> str:
+    return f"format('{{:,.1f}}', CASE WHEN n > 0 THEN {x} * 100.0 / n ELSE 0.0 END)"
+
+
+def _basic(table: str, key: str) -> list[str]:
+    return [
+        _report_row(table, "row_count", "CASE WHEN n = 0 THEN 'error' ELSE 'info' END", "n",
+                    "CASE WHEN n = 0 THEN 'Table is empty' ELSE 'Row count: ' || n END"),
+        _report_row(table, "duplicate_keys", "CASE WHEN dup > 0 THEN 'error' ELSE 'ok' END", "dup",
+                    f"'Duplicate {key}: ' || dup || ' rows'"),
+    ]
+
+
+_FEATS10 = _MODEL[:10]
+_VF_ROWS = _basic("song_features", "song_id") + [
+    _report_row("song_features", f"nan:{c}", f"CASE WHEN m_{c} > 0 THEN 'info' ELSE 'ok' END", f"m_{c}",
+                f"'{c}: ' || m_{c} || ' NaN (' || {_pct1(f'm_{c}')} || '%)'") for c in _FEATS10
+] + [
+    _report_row("song_features", "tempo_coverage", "'info'", "CASE WHEN n > 0 THEN tv * 100.0 / n ELSE 0.0 END",
+                f"'tempo_bpm: ' || tv || ' non-NaN (' || {_pct1('tv')} || '%)'"),
+    _report_row("song_features", "tempo_out_of_range", "CASE WHEN tout > 0 THEN 'info' ELSE 'ok' END", "tout",
+                "'tempo_bpm: ' || tout || ' values outside 20.0-300.0 BPM'"),
+    _report_row("song_features", "key_coverage", "'info'", "CASE WHEN n > 0 THEN kk * 100.0 / n ELSE 0.0 END",
+                f"'key: ' || kk || ' non-unknown (' || {_pct1('kk')} || '%)'"),
+    _report_row("song_features", "audio_coverage",
+                "CASE WHEN n > 0 AND (tv * 100.0 / n < 90 OR kk * 100.0 / n < 90) THEN 'error' ELSE 'ok' END",
+                "least(CASE WHEN n > 0 THEN tv * 100.0 / n ELSE 0.0 END, CASE WHEN n > 0 THEN kk * 100.0 / n ELSE 0.0 END)",
+                "'Audio-derived data missing or failed: tempo_bpm and/or key coverage below the minimum'"),
+]
+VF_STATS = f"""st AS (
+  SELECT count(*) AS n, count(*) - count(DISTINCT song_id) - CASE WHEN count(*) > count(song_id) THEN 1 ELSE 0 END
+           + CASE WHEN count(*) > count(song_id) THEN count(*) - count(song_id) - 1 + 1 ELSE 0 END AS dup0,
+         {", ".join(f"count(*) FILTER (WHERE {c} IS NULL OR isnan({c})) AS m_{c}" for c in _FEATS10)},
+         count(*) FILTER (WHERE tempo_bpm IS NOT NULL AND NOT isnan(tempo_bpm)) AS tv,
+         count(*) FILTER (WHERE tempo_bpm IS NOT NULL AND NOT isnan(tempo_bpm)
+                          AND (tempo_bpm < 20 OR tempo_bpm > 300)) AS tout,
+         count(*) FILTER (WHERE key IS NOT NULL AND trim(key) <> '' AND lower(key) <> 'unknown') AS kk,
+         (SELECT coalesce(sum(c - 1), 0) FROM (SELECT count(*) AS c FROM enriched GROUP BY song_id)) AS dup
+  FROM enriched)"""
+VALIDATE_FEATURES = f"""WITH {ENRICHED}, {VF_STATS}
+{" UNION ALL ".join(_VF_ROWS)}"""
+SQL["validate_features"] = VALIDATE_FEATURES
+
+KEEP_FIRST = ANNOT + """,
+ok AS (SELECT *, row_number() OVER (PARTITION BY song_id ORDER BY file_name, line_no) AS rn
+       FROM annot WHERE arousal IS NOT NULL AND valence IS NOT NULL AND song_id IS NOT NULL),
+deam AS (SELECT song_id, arousal, valence FROM ok WHERE rn = 1)"""
+VL_STATS = """st AS (SELECT count(*) AS n,
+  (SELECT coalesce(sum(c - 1), 0) FROM (SELECT count(*) AS c FROM deam GROUP BY song_id)) AS dup FROM deam)"""
+SQL["validate_labels"] = f"""WITH {KEEP_FIRST}, {VL_STATS}
+{" UNION ALL ".join(_basic("deam_labels", "song_id"))}"""
+
+_VP = ["predicted_arousal", "predicted_valence"]
+VP_STATS = f"""st AS (SELECT count(*) AS n,
+  (SELECT coalesce(sum(c - 1), 0) FROM (SELECT count(*) AS c FROM predictions GROUP BY song_id)) AS dup,
+  {", ".join(f"count(*) FILTER (WHERE {c} IS NULL OR isnan({c})) AS m_{c}" for c in _VP)},
+  (SELECT count(*) FROM enriched) AS expected FROM predictions)"""
+_VP_ROWS = _basic("emotion_predictions", "song_id") + [
+    _report_row("emotion_predictions", f"nan:{c}", f"CASE WHEN m_{c} > 0 THEN 'error' ELSE 'ok' END", f"m_{c}",
+                f"'Column ''{c}'' has ' || m_{c} || ' NaN values'") for c in _VP
+] + [
+    _report_row("emotion_predictions", "row_count_match", "CASE WHEN expected <> n THEN 'error' ELSE 'ok' END",
+                "n - expected", "'Row count ' || n || ' vs expected ' || expected"),
+]
+SQL["validate_predictions"] = f"""WITH {PRED}, {ENRICHED}, {VP_STATS}
+{" UNION ALL ".join(_VP_ROWS)}"""
+
+SQL["validation_summary"] = f"""WITH {PRED}, {ENRICHED}, {KEEP_FIRST},
+f AS (WITH {VF_STATS} {" UNION ALL ".join(_VF_ROWS)}),
+l AS (WITH {VL_STATS} {" UNION ALL ".join(_basic("deam_labels", "song_id"))}),
+p AS (WITH {VP_STATS} {" UNION ALL ".join(_VP_ROWS)}),
+rep AS (SELECT * FROM f UNION ALL SELECT * FROM l UNION ALL SELECT * FROM p)
+SELECT "table", bool_and(level <> 'error') AS passed FROM rep GROUP BY "table"
+UNION ALL SELECT 'overall', coalesce(bool_and(level <> 'error'), false) FROM rep"""
+
+# ------------------------------------------------------------------- views
+FINITE = "coalesce(isfinite(predicted_arousal), false) AND coalesce(isfinite(predicted_valence), false)"
+IN_RANGE = ("predicted_arousal BETWEEN 3.0 AND 7.0 AND predicted_valence BETWEEN 2.0 AND 8.0 "
+            "AND NOT isnan(predicted_arousal) AND NOT isnan(predicted_valence)")
+
+SQL["map_range_filter"] = f"""WITH {PRED}
+SELECT song_id, round(predicted_arousal, 9) AS predicted_arousal, round(predicted_valence, 9) AS predicted_valence
+FROM predictions WHERE {IN_RANGE}"""
+
+SQL["map_extent"] = f"""WITH {PRED},
+g AS (SELECT min(CASE WHEN isnan(predicted_arousal) THEN NULL ELSE predicted_arousal END) AS amin,
+             max(CASE WHEN isnan(predicted_arousal) THEN NULL ELSE predicted_arousal END) AS amax,
+             min(CASE WHEN isnan(predicted_valence) THEN NULL ELSE predicted_valence END) AS vmin,
+             max(CASE WHEN isnan(predicted_valence) THEN NULL ELSE predicted_valence END) AS vmax
+      FROM predictions)
+SELECT round(amin, 9) AS arousal_min, round(amax, 9) AS arousal_max, round(vmin, 9) AS valence_min,
+       round(vmax, 9) AS valence_max,
+       round(round_even((amax - amin) / 100, 3), 9) AS arousal_step, round(round_even((vmax - vmin) / 100, 3), 9) AS valence_step,
+       round(CASE WHEN (amax - amin) * 0.05 = 0 THEN 0.3 ELSE (amax - amin) * 0.05 END, 9) AS arousal_pad,
+       round(CASE WHEN (vmax - vmin) * 0.05 = 0 THEN 0.3 ELSE (vmax - vmin) * 0.05 END, 9) AS valence_pad,
+       round((amin + amax) / 2, 9) AS arousal_mid, round((vmin + vmax) / 2, 9) AS valence_mid
+FROM g"""
+
+SQL["map_counts"] = f"""WITH {PRED},
+g AS (SELECT count(*) FILTER (WHERE {IN_RANGE}) AS n_shown, count(*) AS n_total FROM predictions)
+SELECT CAST(n_shown AS BIGINT) AS n_shown, CAST(n_total AS BIGINT) AS n_total,
+       'Showing ' || format('{{:,}}', n_shown) || ' of ' || format('{{:,}}', n_total) || ' songs' AS text FROM g"""
+
+SQL["color_groups"] = f"""WITH {MAP_TABLE}
+SELECT coalesce(tempo_bucket, 'Unknown') AS color_group, count(*) AS n_songs FROM map_t GROUP BY 1"""
+
+
+def _quad(src: str, where: str) -> str:
+    return f"""pts AS (SELECT * FROM {src} WHERE {where}),
+mids AS (SELECT (min(predicted_arousal) + max(predicted_arousal)) / 2 AS am,
+                (min(predicted_valence) + max(predicted_valence)) / 2 AS vm FROM pts),
+q AS (SELECT pts.*, CASE WHEN predicted_arousal >= am AND predicted_valence < vm THEN 'Tense / Angry'
+                         WHEN predicted_arousal >= am AND predicted_valence >= vm THEN 'Happy / Euphoric'
+                         WHEN predicted_arousal < am AND predicted_valence < vm THEN 'Sad / Somber'
+                         ELSE 'Calm / Peaceful' END AS quadrant FROM pts, mids)"""
+
+
+SQL["quadrants"] = f"""WITH {PRED}, {_quad("predictions", FINITE)}
+SELECT song_id, quadrant FROM q"""
+
+SQL["map_points"] = f"""WITH {MAP_TABLE}, {_quad("map_t", IN_RANGE)}
+SELECT song_id, round(predicted_valence, 9) AS valence, round(predicted_arousal, 9) AS arousal,
+       coalesce(key_note, 'Unknown') AS color_group, quadrant FROM q"""
+
+SQL["song_table_view"] = f"""WITH {MAP_TABLE}
+SELECT song_id, round(round_even(predicted_arousal, 3), 9) AS predicted_arousal,
+       round(round_even(predicted_valence, 3), 9) AS predicted_valence,
+       key, key_note, key_mode, key_signature, is_major, round(tempo_bpm, 9) AS tempo_bpm, genre, tempo_bucket
+FROM map_t WHERE {IN_RANGE}"""
+
+# ------------------------------------------------------------------- audio
+_NEG = "(label % 3 = 0 AND vec_id % 3 = 0)"
+_CH = ", ".join(f"CASE WHEN {_NEG} THEN -abs(CAST(embedding[{i + 1}] AS DOUBLE)) "
+                f"ELSE abs(CAST(embedding[{i + 1}] AS DOUBLE)) END AS x{i}" for i in range(12))
+CHROMA = f"""cf AS (SELECT CAST(label AS VARCHAR) AS song_id, ['stft', 'cqt', 'cens'][vec_id % 3 + 1] AS method,
+                  vec_id AS frame_idx, {_CH} FROM embeddings),
+sums AS (SELECT song_id, method, {", ".join(f"sum(x{i}) AS s{i}" for i in range(12))}, count(*) AS n_frames
+         FROM cf GROUP BY song_id, method),
+sums_u AS (SELECT *, greatest({", ".join(f"s{i}" for i in range(12))}) > 0 AS usable,
+                  list_position(['stft', 'cqt', 'cens'], method) AS mrank FROM sums),
+chosen AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY song_id ORDER BY mrank) AS rn
+                          FROM sums_u WHERE usable) WHERE rn = 1)"""
+
+SQL["chroma_sum"] = f"""WITH {CHROMA}
+SELECT song_id, method, {", ".join(f"round(s{i}, 9) AS c{i}" for i in range(12))},
+       CAST(n_frames AS BIGINT) AS n_frames, usable FROM sums_u"""
+
+SQL["chroma_fallback"] = f"""WITH {CHROMA}
+SELECT song_id, method FROM chosen"""
+
+
+def _templates():
+    import math
+    maj = [6.35, 2.23, 3.48, 2.33, 4.38, 4.09, 2.52, 5.19, 2.39, 3.66, 2.29, 2.88]
+    mnr = [6.33, 2.68, 3.52, 5.38, 2.60, 3.53, 2.54, 4.75, 3.98, 2.69, 3.34, 3.17]
+    def unit(v):
+        n = math.sqrt(sum(x * x for x in v))
+        return [x / (n + 1e-12) for x in v]
+    maj, mnr = unit(maj), unit(mnr)
+    out = []
+    for sh in range(12):
+        out.append((f"{_PITCH[sh]} major", [maj[(i - sh) % 12] for i in range(12)]))
+        out.append((f"{_PITCH[sh]} minor", [mnr[(i - sh) % 12] for i in range(12)]))
+    return out
+
+
+_T = _templates()
+_SC = ", ".join("(" + " + ".join(f"u{i} * {p[i]!r}" for i in range(12)) + ")" for _, p in _T)
+_NAMES = "[" + ", ".join(f"'{n}'" for n, _ in _T) + "]"
+SQL["key_estimation"] = f"""WITH {CHROMA},
+nrm AS (SELECT *, sqrt({" + ".join(f"s{i} * s{i}" for i in range(12))}) AS nr FROM chosen),
+dn AS (SELECT *, CASE WHEN nr < 1e-12 THEN greatest({", ".join(f"s{i}" for i in range(12))}) + 1e-12 ELSE nr END AS d
+       FROM nrm),
+un AS (SELECT song_id, method, {", ".join(f"s{i} / d AS u{i}" for i in range(12))} FROM dn),
+sc AS (SELECT song_id, method, [{_SC}] AS k FROM un),
+rk AS (SELECT song_id, method, k, list_transform(k, lambda x: round(x, 9)) AS kr, list_reverse_sort(k) AS ks FROM sc)
+SELECT song_id, method, {_NAMES}[list_position(kr, list_max(kr))] AS key,
+       round(ks[1], 9) AS score, round(ks[1] - ks[2], 9) AS margin FROM rk"""
+
+SQL["middle_segment"] = """WITH f AS (
+  SELECT CAST(label AS VARCHAR) AS song_id, vec_id AS frame_idx, ['stft', 'cqt', 'cens'][vec_id % 3 + 1] AS method,
+         row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1 AS pos,
+         count(*) OVER (PARTITION BY label) AS n
+  FROM embeddings)
+SELECT song_id, frame_idx, method FROM f WHERE n < 10 OR (pos >= n // 4 AND pos < (3 * n) // 4)"""
+
+SQL["tempo_from_onsets"] = """WITH g AS (
+  SELECT CAST(user_id AS VARCHAR) AS song_id,
+         (epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY user_id ORDER BY ts, event_id)) / 1e6 AS gap
+  FROM events),
+m AS (SELECT song_id, count(*) AS n_onsets, median(gap) AS med FROM g GROUP BY song_id)
+SELECT song_id, CAST(n_onsets AS BIGINT) AS n_onsets, round(med, 9) AS median_gap_s,
+       round(CASE WHEN med IS NULL OR med = 0 THEN NULL ELSE 60.0 / med END, 9) AS tempo_bpm FROM m"""
+
+SQL["clip_first_seconds"] = """WITH f AS (SELECT user_id, min(ts) AS t0 FROM events GROUP BY user_id)
+SELECT CAST(e.user_id AS VARCHAR) AS song_id, count(*) AS n_in_clip
+FROM events e JOIN f ON e.user_id = f.user_id
+WHERE e.ts < f.t0 + INTERVAL 259200 SECOND GROUP BY e.user_id"""
+
+SQL["latest_run"] = """SELECT CAST(user_id AS VARCHAR) AS owner,
+       coalesce(max(CASE WHEN event_type <> 'error' THEN strftime(ts, '%Y%m%d_%H%M%S') END), '') AS latest_run
+FROM events GROUP BY user_id"""
+
+# -------------------------------------------------------------- similarity
+SQL["similar_songs"] = f"""WITH {PRED},
+ok AS (SELECT * FROM predictions WHERE {FINITE}),
+seeds AS (SELECT song_id AS seed_id, predicted_arousal AS a0, predicted_valence AS v0 FROM ok
+          WHERE song_id IN ('1', '2', '3')),
+d AS (SELECT seed_id, ok.song_id, (predicted_arousal - a0) ^ 2 + (predicted_valence - v0) ^ 2 AS distance
+      FROM seeds JOIN ok ON ok.song_id <> seeds.seed_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY seed_id ORDER BY distance, song_id) AS rank FROM d)
+SELECT seed_id, CAST(rank AS BIGINT) AS rank, song_id, round(distance, 9) AS distance FROM r WHERE rank <= 10"""
+
+SQL["song_profile"] = f"""WITH {PRED_TAGGED},
+mids AS (SELECT (min(CASE WHEN isnan(predicted_arousal) THEN NULL ELSE predicted_arousal END)
+                 + max(CASE WHEN isnan(predicted_arousal) THEN NULL ELSE predicted_arousal END)) / 2 AS am,
+                (min(CASE WHEN isnan(predicted_valence) THEN NULL ELSE predicted_valence END)
+                 + max(CASE WHEN isnan(predicted_valence) THEN NULL ELSE predicted_valence END)) / 2 AS vm
+         FROM predictions)
+SELECT song_id, round(CASE WHEN isnan(predicted_arousal) THEN NULL ELSE predicted_arousal END, 9) AS arousal,
+       round(CASE WHEN isnan(predicted_valence) THEN NULL ELSE predicted_valence END, 9) AS valence,
+       array_to_string(tl, '|') AS tags,
+       CASE WHEN NOT ({FINITE}) THEN NULL
+            WHEN predicted_arousal >= am AND predicted_valence < vm THEN 'Tense / Angry'
+            WHEN predicted_arousal >= am AND predicted_valence >= vm THEN 'Happy / Euphoric'
+            WHEN predicted_arousal < am AND predicted_valence < vm THEN 'Sad / Somber'
+            ELSE 'Calm / Peaceful' END AS quadrant
+FROM pt, mids WHERE song_id IN ('1', '2', '3', '4', '5', '101', '103')"""
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(SQL)

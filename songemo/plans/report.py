@@ -12,6 +12,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 DIGITS = 9
+_EXACT = float(2 ** 52)  # beyond this every double is an integer
+
+
+def round_binary(c, digits: int = DIGITS):
+    """Round half away from zero on the binary value (x * 10^d, round, / 10^d).
+
+    Spark's ``round`` rounds the shortest decimal text of the double instead,
+    which differs on values that sit exactly on a tie in decimal but not in
+    binary; this form gives the same double as C's round() based engines.
+    """
+    m = float(10 ** digits)
+    y = c.cast("double") * F.lit(m)
+    r = F.when(F.abs(y) < F.lit(_EXACT), F.signum(y) * F.floor(F.abs(y) + F.lit(0.5)).cast("double")).otherwise(y)
+    return F.when(F.isnan(y), y).otherwise(r / F.lit(m))
 
 
 def finalize(df: DataFrame, digits: int = DIGITS) -> DataFrame:
@@ -19,7 +33,7 @@ def finalize(df: DataFrame, digits: int = DIGITS) -> DataFrame:
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            c = F.round(c.cast("double"), digits)
+            c = round_binary(c, digits)
         elif isinstance(f.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
             c = c.cast("bigint")
         elif isinstance(f.dataType, T.ArrayType):
