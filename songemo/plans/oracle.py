@@ -557,5 +557,49 @@ SELECT song_id, round(CASE WHEN isnan(predicted_arousal) THEN NULL ELSE predicte
 FROM pt, mids WHERE song_id IN ('1', '2', '3', '4', '5', '101', '103')"""
 
 
+# ------------------------------------------------------------ replies
+REPLIES = """replies AS (
+  SELECT conv_id * 1000 + turn AS question_id,
+         ['["Calm Focus"]', '"Positive, Dramatic"', '["Happy", "Negative"]', '["Happy"]', '[]'][turn % 5 + 1] AS tg,
+         'Reply for conversation ' || CAST(conv_id AS VARCHAR) AS ex, (conv_id + turn) % 6 AS shape
+  FROM conversations WHERE role = 'user'),
+replies2 AS (
+  SELECT question_id,
+         CASE shape WHEN 0 THEN '```json' || chr(10) || '{"tags": ' || tg || ', "explanation": "' || ex || '"}' || chr(10) || '```'
+                    WHEN 1 THEN '{"tags": ' || tg || ', "explanation": "' || ex || '"}'
+                    WHEN 2 THEN '{"tags": ' || tg || ', "explanation": ""}'
+                    WHEN 3 THEN '{"tags": ["Loud"], "explanation": "  none  "}'
+                    WHEN 4 THEN 'I think ' || tg
+                    ELSE '[' || tg || ']' END AS content
+  FROM replies)"""
+
+_VALID = "('High Energy', 'Low Energy', 'Positive', 'Negative', 'Calm Focus', 'Dramatic', 'Neutral')"
+SQL["reply_validation"] = f"""WITH {QUESTIONS}, {REPLIES},
+j AS (SELECT q.question_id, q.text,
+             CASE WHEN starts_with(trim(r.content), '```')
+                  THEN regexp_replace(regexp_replace(trim(r.content), '^```\\w*\\n?', ''), '\\n?```\\s*$', '')
+                  ELSE trim(r.content) END AS body
+      FROM questions q JOIN replies2 r ON q.question_id = r.question_id),
+k0 AS (SELECT *, coalesce(json_valid(body), false) AS ok_json FROM j),
+k1 AS (SELECT *, CASE WHEN ok_json THEN body ELSE '0' END AS safe FROM k0),
+k2 AS (SELECT *, ok_json AND json_type(safe) = 'OBJECT' AS is_obj FROM k1),
+k AS (SELECT question_id, text, is_obj, CASE WHEN is_obj THEN body ELSE '{{}}' END AS body FROM k2),
+t AS (SELECT *,
+        CASE WHEN NOT is_obj THEN NULL
+             WHEN json_type(body, '$.tags') = 'ARRAY' THEN CAST(json_extract_string(body, '$.tags[*]') AS VARCHAR[])
+             WHEN json_extract(body, '$.tags') IS NULL OR json_type(body, '$.tags') = 'NULL' THEN []::VARCHAR[]
+             ELSE list_transform(string_split(json_extract_string(body, '$.tags'), ','), lambda x: trim(x)) END
+          AS raw_tags FROM k),
+v AS (SELECT *, list_filter(raw_tags, lambda x: x IN {_VALID}) AS kept FROM t)
+SELECT question_id,
+       CASE WHEN is_obj THEN array_to_string(CASE WHEN len(kept) > 0 THEN kept ELSE ['Neutral'] END, '|')
+            ELSE array_to_string({RULE_TAGS}, '|') END AS tags,
+       CASE WHEN is_obj THEN trim(CASE WHEN coalesce(json_extract_string(body, '$.explanation'), '') = ''
+                                       THEN 'Songs matching your request.'
+                                       ELSE json_extract_string(body, '$.explanation') END)
+            ELSE {RULE_EXPL} END AS explanation
+FROM v"""
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(SQL)
