@@ -19,7 +19,9 @@ from ..config import FRAME_MEASURES, MODEL_FEATURES, RICH_FEATURES
 from ..functions.keys import add_key_columns
 from ..functions.scalars import nan_to_null, tempo_bucket, to_numeric_or_null
 from ..operators import analyst, audio, features, joins, labels, quality, semantic, similarity, views
+from ..modeling import impute, linear, metrics, split, train
 from ..sources import files
+from .report import round_binary
 from ..sources import bindings as B
 from .report import finalize
 
@@ -423,6 +425,129 @@ def q_song_profile(spark, d):
     return similarity.song_profile(B.predictions(spark, d), ["1", "2", "3", "4", "5", "101", "103"])
 
 
+# ---------------------------------------------------------------- modelling
+def modeling_of(spark, d):
+    """song_features (enriched) inner-joined with the order labels."""
+    lab = labels.drop_missing_targets(B.order_labels(spark, d).select(
+        "song_id", nan_to_null(F.col("arousal")).alias("arousal"), nan_to_null(F.col("valence")).alias("valence")))
+    return joins.modeling_dataset(enriched_of(spark, d), lab)
+
+
+@query("train_test_split")
+def q_train_test_split(spark, d):
+    """L2 + L3: hash holdout flag and CV fold of every song."""
+    p = B.predictions(spark, d).select("song_id")
+    return split.with_split(p)
+
+
+@query("kfold_sizes")
+def q_kfold_sizes(spark, d):
+    """L3: training rows per fold."""
+    p = split.with_split(B.predictions(spark, d).select("song_id"))
+    return p.filter(~F.col("is_test")).groupBy("fold").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+STD_FEATURES = ["spectral_centroid", "energy", "mfcc_coef1", "zcr", "auditory_band_variance", "tempo_bpm",
+                "spectral_flux"]
+
+
+@query("standardize")
+def q_standardize(spark, d):
+    """L4: mean and population std of features on the training split (zero / no std -> 1)."""
+    m = split.with_split(modeling_of(spark, d)).filter(~F.col("is_test"))
+    return linear.standardize_stats(m, STD_FEATURES)
+
+
+@query("median_impute")
+def q_median_impute(spark, d):
+    """A5 + X10: exact medians of every model feature over all rows (no value -> 0.0)."""
+    meds = impute.column_medians(modeling_of(spark, d), list(MODEL_FEATURES))
+    return spark.createDataFrame([(k, float(v)) for k, v in meds.items()], "feature string, median double")
+
+
+@query("regression_metrics")
+def q_regression_metrics(spark, d):
+    """Rmse, r2, Pearson r of a fixed linear score of lineitem (6 decimals)."""
+    r = B.regression_rows(spark, d).withColumn(
+        "yhat", metrics.linear_score(B.REGRESSION_COEFS, B.REGRESSION_INTERCEPT))
+    m = metrics.regression_metrics(r, "y", "yhat")
+    return m.select("n", *[round_binary(F.col(c), 6).alias(c) for c in ("rmse", "r2", "pearson_r")])
+
+
+@query("linear_score")
+def q_linear_score(spark, d):
+    """A linear model applied as a column expression."""
+    r = B.regression_rows(spark, d)
+    return r.select("l_orderkey", "l_linenumber", "y",
+                    metrics.linear_score(B.REGRESSION_COEFS, B.REGRESSION_INTERCEPT).alias("score"))
+
+
+@query("ridge_fit")
+def q_ridge_fit(spark, d):
+    """L5 + L9: ridge, random search with exact 5-fold CV from one moments pass."""
+    prep = train.prepare(modeling_of(spark, d))
+    res = train.train_linear_models(prep, kinds=("ridge",), tune=True, n_iter=train.N_ITER_FULL)
+    return train.metrics_frame(spark, res)
+
+
+@query("elasticnet_fit")
+def q_elasticnet_fit(spark, d):
+    """L6 + L9: elastic net, random search with exact 5-fold CV from one moments pass."""
+    prep = train.prepare(modeling_of(spark, d))
+    res = train.train_linear_models(prep, kinds=("elasticnet",), tune=True, n_iter=train.N_ITER_FULL)
+    return train.metrics_frame(spark, res)
+
+
+@query("cv_scores")
+def q_cv_scores(spark, d):
+    """Per-fold RMSE of every sampled setting, and its mean over folds."""
+    prep = train.prepare(modeling_of(spark, d))
+    res = train.train_linear_models(prep, tune=True, n_iter=train.N_ITER_FAST)
+    cv = train.cv_frame(spark, res)
+    return cv.groupBy("model", "target", "setting", "params").agg(
+        F.avg("rmse").alias("cv_rmse_mean"), F.count(F.lit(1)).alias("n_folds"))
+
+
+@query("rf_fit")
+def q_rf_fit(spark, d):
+    """Random forest per target, holdout metrics."""
+    prep = train.prepare(modeling_of(spark, d))
+    return train.metrics_frame(spark, train.train_tree_models(prep, kinds=("random_forest",)))
+
+
+@query("gbt_fit")
+def q_gbt_fit(spark, d):
+    """Gradient-boosted trees per target, holdout metrics."""
+    prep = train.prepare(modeling_of(spark, d))
+    return train.metrics_frame(spark, train.train_tree_models(prep, kinds=("boosted_trees",)))
+
+
+@query("model_comparison")
+def q_model_comparison(spark, d):
+    """L11 + L14: all four model kinds, both targets (fast search for the linear models)."""
+    res, _, _ = train.train_all(modeling_of(spark, d), fast=True, tune_trees=False)
+    return train.metrics_frame(spark, res)
+
+
+@query("ml_predict")
+def q_ml_predict(spark, d):
+    """Boosted-tree predictions for every song, features imputed with training medians."""
+    prep = train.prepare(modeling_of(spark, d))
+    res = train.train_tree_models(prep, kinds=("boosted_trees",))
+    return train.predict(enriched_of(spark, d), res.models, prep.medians)
+
+
+@query("kmeans")
+def q_kmeans(spark, d):
+    """Four emotion clusters of the (valence, arousal) points."""
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.feature import VectorAssembler
+    p = views.map_points(B.predictions(spark, d), None).select("song_id", "valence", "arousal", "quadrant")
+    v = VectorAssembler(inputCols=["valence", "arousal"], outputCol="features").transform(p)
+    model = KMeans(k=4, seed=42, featuresCol="features", predictionCol="cluster").fit(v)
+    return model.transform(v).select("song_id", "quadrant", "cluster")
+
+
 def queries() -> dict[str, QueryFn]:
     return dict(REGISTRY)
 

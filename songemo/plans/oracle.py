@@ -601,5 +601,43 @@ SELECT question_id,
 FROM v"""
 
 
+# ---------------------------------------------------------------- modelling
+SPLIT = """('0x' || substr(md5(song_id), 1, 8))::BIGINT % 5 = 0 AS is_test,
+       CAST(('0x' || substr(md5(song_id), 9, 8))::BIGINT % 5 AS BIGINT) AS fold"""
+
+SQL["train_test_split"] = f"""WITH {PRED}
+SELECT song_id, {SPLIT} FROM predictions"""
+
+SQL["kfold_sizes"] = f"""WITH {PRED}, s AS (SELECT song_id, {SPLIT} FROM predictions)
+SELECT fold, count(*) AS n_rows FROM s WHERE NOT is_test GROUP BY fold"""
+
+MODELING = ENRICHED + ",\n" + LABELS_CLEAN + """,
+modeling AS (SELECT e.*, l.arousal, l.valence FROM enriched e JOIN labels_ok l ON e.song_id = l.song_id)"""
+
+_STD = ["spectral_centroid", "energy", "mfcc_coef1", "zcr", "auditory_band_variance", "tempo_bpm", "spectral_flux"]
+SQL["standardize"] = f"""WITH {MODELING},
+tr AS (SELECT * FROM modeling WHERE NOT (('0x' || substr(md5(song_id), 1, 8))::BIGINT % 5 = 0))
+{" UNION ALL ".join(f"SELECT '{c}' AS feature, round(avg({c}), 9) AS mean, round(CASE WHEN stddev_pop({c}) > 0 THEN stddev_pop({c}) ELSE 1.0 END, 9) AS std FROM tr" for c in _STD)}"""
+
+SQL["median_impute"] = f"""WITH {MODELING}
+{" UNION ALL ".join(f"SELECT '{c}' AS feature, round(coalesce(median(CASE WHEN isnan({c}) THEN NULL ELSE {c} END), 0.0), 9) AS median FROM modeling" for c in _MODEL)}"""
+
+REG = """reg AS (SELECT l_orderkey, l_linenumber, l_extendedprice AS y,
+                     1200.0::DOUBLE + l_quantity * 950.0::DOUBLE + l_discount * (-2000.0)::DOUBLE
+                     + l_tax * 1500.0::DOUBLE AS yhat FROM lineitem)"""
+
+SQL["linear_score"] = f"""WITH {REG}
+SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, round(y, 9) AS y, round(yhat, 9) AS score FROM reg"""
+
+SQL["regression_metrics"] = f"""WITH {REG},
+m AS (SELECT count(*) AS n, sum((y - yhat) * (y - yhat)) AS sse, sum(y) AS sy, sum(y * y) AS syy,
+             sum(yhat) AS sp, sum(yhat * yhat) AS spp, sum(y * yhat) AS syp FROM reg)
+SELECT n, round(sqrt(sse / n), 6) AS rmse,
+       round(CASE WHEN syy - sy * sy / n > 0 THEN 1 - sse / (syy - sy * sy / n)
+                  WHEN sse = 0 THEN 1.0 ELSE 0.0 END, 6) AS r2,
+       round((syp - sy * sp / n) / (sqrt(syy - sy * sy / n) * sqrt(spp - sp * sp / n)), 6) AS pearson_r
+FROM m"""
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(SQL)

@@ -173,3 +173,19 @@ def test_scalars(spark):
     assert [r.n for r in got] == [4.5, None, None, None, 10.0]
     assert [r.b for r in got] == ["Slow  (<80 BPM)", "Mid   (80–120 BPM)", "Unknown", "Fast  (120–160 BPM)", "Unknown"]
     assert [r.s for r in got] == ["x.y", "song 1", ".hidden", "7", "y"]
+
+
+def test_exact_median_bracketing(spark):
+    """The bracket search gives numpy's median, also when forced through several rounds."""
+    import numpy as np
+    from songemo.modeling.impute import column_medians, exact_median
+    rng = np.random.default_rng(7)
+    a = rng.normal(size=5001)
+    b = np.round(rng.exponential(size=5001), 2)  # many ties
+    rows = [(float(x), float(y) if i % 7 else None) for i, (x, y) in enumerate(zip(a, b))]
+    df = spark.createDataFrame(rows, "a double, b double")
+    want_b = float(np.median([r[1] for r in rows if r[1] is not None]))
+    assert exact_median(df, "a", max_local=100) == pytest.approx(float(np.median(a)), abs=0)
+    assert exact_median(df, "b", max_local=50) == pytest.approx(want_b, abs=0)
+    meds = column_medians(df, ["a", "b", "missing"], max_local=64)
+    assert meds["a"] == float(np.median(a)) and meds["b"] == want_b and meds["missing"] == 0.0
