@@ -34,13 +34,25 @@ def intent_of(question: str) -> Column:
     return rule_intent(F.lit(question))
 
 
+def resolve_intent(spark, question: str) -> tuple[list[str], str]:
+    """Evaluate the rule intent of one literal question (a one-row job)."""
+    it = spark.range(1).select(intent_of(question).alias("i")).first()["i"]
+    return list(it["tags"]), it["explanation"]
+
+
 def answer(predictions: DataFrame, question: str, k: int = 20, id_col: str = "song_id",
            arousal: str = AROUSAL, valence: str = VALENCE, t: Thresholds = Thresholds()) -> DataFrame:
-    """(rank, song_id, match_count, explanation) for one question."""
-    intent = intent_of(question)
-    counts = match_counts(predictions, intent.getField("tags"), id_col, arousal, valence, t)
-    return top_k(counts, k).select("rank", "song_id", "match_count",
-                                   intent.getField("explanation").alias("explanation"))
+    """(rank, song_id, match_count, explanation) for one question.
+
+    The requested tags are resolved first, so the per-row match count is a
+    sum of plain tag predicates that whole-stage codegen compiles.
+    """
+    requested, explanation = resolve_intent(predictions.sparkSession, question)
+    preds = tag_predicates(F.col(arousal), F.col(valence), t)
+    n = sum((F.when(preds[tag], 1).otherwise(0) for tag in requested if tag in preds), F.lit(0))
+    counts = (predictions.select(F.col(id_col).alias("song_id"), n.alias("_n")).filter(F.col("_n") > 0)
+              .groupBy("song_id").agg(F.sum("_n").cast("bigint").alias("match_count")))
+    return top_k(counts, k).select("rank", "song_id", "match_count", F.lit(explanation).alias("explanation"))
 
 
 def question_intents(questions: DataFrame, replies: DataFrame | None = None,

@@ -69,6 +69,15 @@ def match_counts(df: DataFrame, requested: Column, id_col: str = "song_id", arou
             .groupBy("song_id").agg(F.sum("_n").cast("bigint").alias("match_count")))
 
 
+def match_counts_for(df: DataFrame, requested: list[str], id_col: str = "song_id", arousal: str = AROUSAL,
+                     valence: str = VALENCE, t: Thresholds = Thresholds()) -> DataFrame:
+    """``match_counts`` for a tag list known when the plan is built (codegen'd sum of predicates)."""
+    preds = tag_predicates(F.col(arousal), F.col(valence), t)
+    n = sum((F.when(preds[tag], 1).otherwise(0) for tag in requested if tag in preds), F.lit(0))
+    return (df.select(F.col(id_col).alias("song_id"), n.alias("_n")).filter(F.col("_n") > 0)
+            .groupBy("song_id").agg(F.sum("_n").cast("bigint").alias("match_count")))
+
+
 def union_ids(df: DataFrame, requested: list[str], id_col: str = "song_id", arousal: str = AROUSAL,
               valence: str = VALENCE, t: Thresholds = Thresholds()) -> DataFrame:
     """Distinct ids matching any requested tag, written as a UNION DISTINCT."""

@@ -110,8 +110,8 @@ def q_reply_validation(spark, d):
 @query("analyst_match_count")
 def q_analyst_match_count(spark, d):
     """Per-song match count for 'energetic and positive'."""
-    intent = analyst.intent_of("Which songs are energetic and positive?")
-    return semantic.match_counts(B.predictions(spark, d), intent.getField("tags"))
+    requested, _ = analyst.resolve_intent(spark, "Which songs are energetic and positive?")
+    return semantic.match_counts_for(B.predictions(spark, d), requested)
 
 
 @query("analyst_topk")
