@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..config import CHROMA_METHODS, DEFAULT
 from ..functions.keys import with_key_estimate
 from .ordered import lag, position
+from .quantiles import grouped_median
 
 
 def chroma_sums(frames: DataFrame, id_col: str = "song_id", method_col: str = "method",
@@ -80,11 +81,12 @@ def tempo_from_onsets(onsets: DataFrame, id_col: str = "song_id", ts_col: str =
     """(song_id, n_onsets, median_gap_s, tempo_bpm): 60 / median inter-onset gap.
 
     Fewer than two onsets, or a zero median gap, give NULL tempo.  The
-    median is Spark's exact percentile aggregate (partial, map-side).
+    median is exact and bounded per task also for a hot song (``quantiles``).
     """
     pairs = lag(onsets, id_col, [ts_col, tie_break], [ts_col])
     gap = (F.unix_micros(F.col(ts_col)) - F.unix_micros(F.col(f"prev_{ts_col}"))) / F.lit(1e6)
-    g = pairs.groupBy(id_col).agg(F.count(F.lit(1)).alias("n_onsets"),
-                                  F.median(gap).alias("median_gap_s"))
+    counts = pairs.groupBy(id_col).agg(F.count(F.lit(1)).alias("n_onsets"))
+    med = grouped_median(pairs, id_col, gap).withColumnRenamed("median", "median_gap_s")
+    g = counts.join(med, id_col, "left")
     return g.select(F.col(id_col).alias("song_id"), "n_onsets", "median_gap_s",
                     F.try_divide(F.lit(60.0), F.col("median_gap_s")).alias("tempo_bpm"))

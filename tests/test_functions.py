@@ -189,3 +189,24 @@ def test_exact_median_bracketing(spark):
     assert exact_median(df, "b", max_local=50) == pytest.approx(want_b, abs=0)
     meds = column_medians(df, ["a", "b", "missing"], max_local=64)
     assert meds["a"] == float(np.median(a)) and meds["b"] == want_b and meds["missing"] == 0.0
+
+
+def test_grouped_median_hot_groups(spark):
+    """Hot groups go through the bracket rounds and still give numpy's exact medians."""
+    import numpy as np
+    from pyspark.sql import functions as F
+    from songemo.operators.quantiles import grouped_median
+    rng = np.random.default_rng(3)
+    rows = []
+    for g, n in (("hot", 4000), ("warm", 301), ("cold", 5), ("ties", 2000)):
+        vals = rng.normal(size=n) if g != "ties" else np.round(rng.exponential(size=n), 1)
+        rows += [(g, float(v)) for v in vals]
+    rows += [("hot", None), ("nan", float("nan"))]
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = {r.g: r.median for r in grouped_median(df, "g", F.col("v"), max_local=100).collect()}
+    want = {}
+    for g in ("hot", "warm", "cold", "ties"):
+        want[g] = float(np.median([v for gg, v in rows if gg == g and v is not None]))
+    assert set(got) == set(want)
+    for g in want:
+        assert got[g] == pytest.approx(want[g], abs=1e-12), g
