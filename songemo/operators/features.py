@@ -74,7 +74,8 @@ def song_features(frames: DataFrame, rich: bool = True, measures: dict[str, str]
     aggs += [F.avg(nan_to_null(_q(b))).alias(f"_band{i}") for i, b in enumerate(bands)]
     if not aggs:
         aggs = [F.count(F.lit(1)).alias("_n")]
-    g = frames.groupBy(F.col(id_col).cast("string").alias("song_id")).agg(*aggs)
+    # group on the key as stored (a numeric id hashes cheaper); cast after aggregating
+    g = frames.groupBy(F.col(id_col).alias("_sid")).agg(*aggs).withColumn("song_id", F.col("_sid").cast("string"))
     bv = sample_variance(F.array(*[F.col(f"_band{i}") for i in range(len(bands))])) if bands else _null_d()
     cols = {f: (F.col(f) if f in present else _null_d()) for f in FRAME_MEASURES}
     cols["auditory_band_variance"] = bv

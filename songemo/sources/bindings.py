@@ -71,9 +71,9 @@ BAND_BINDING: tuple[str, ...] = ("l_quantity", "l_extendedprice", "l_discount",
 
 
 def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """frames(song_id, frame_idx, measures...) from lineitem (song = order)."""
+    """frames(song_id, frame_idx, measures...) from lineitem (song = order; id kept numeric)."""
     li = table(spark, sf_dir, "lineitem")
-    return li.select(_sid("l_orderkey").alias("song_id"),
+    return li.select(F.col("l_orderkey").alias("song_id"),
                      F.col("l_linenumber").cast("bigint").alias("frame_idx"),
                      *[F.col(c) for c in BAND_BINDING])
 
