@@ -73,33 +73,52 @@ class PipelinePaths:
         return os.path.join(self.out_dir, name)
 
 
-def _fingerprint(paths: list[str | None]) -> str:
+def _fs(spark: SparkSession, path: str):
+    """Hadoop FileSystem and Path for ``path`` (local, HDFS, object stores alike)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return bool(fs.exists(p))
+
+
+def _fingerprint(spark: SparkSession, paths: list[str | None]) -> str:
+    """Hash of (path, size, modification time) of every file under the inputs (metadata only)."""
     h = hashlib.sha256()
-    for p in paths:
-        if not p:
+    for path in paths:
+        if not path or not _exists(spark, path):
             continue
-        for root, _, files in sorted(os.walk(p)) if os.path.isdir(p) else [("", [], [p])]:
-            for f in sorted(files):
-                fp = os.path.join(root, f) if root else f
-                try:
-                    st = os.stat(fp)
-                    h.update(f"{fp}|{st.st_size}|{int(st.st_mtime)}".encode())
-                except OSError:
-                    pass
+        fs, p = _fs(spark, path)
+        it = fs.listFiles(p, True)
+        entries = []
+        while it.hasNext():
+            st = it.next()
+            entries.append(f"{st.getPath().toString()}|{st.getLen()}|{st.getModificationTime()}")
+        for e in sorted(entries):
+            h.update(e.encode())
     return h.hexdigest()
 
 
-def _done(path: str, fp: str) -> bool:
-    marker = os.path.join(path, "_fingerprint")
-    if not os.path.exists(os.path.join(path, "_SUCCESS")) or not os.path.exists(marker):
+def _done(spark: SparkSession, path: str, fp: str) -> bool:
+    if not _exists(spark, path.rstrip("/") + "/_SUCCESS") or not _exists(spark, path.rstrip("/") + "/_fingerprint"):
         return False
-    with open(marker) as f:
-        return f.read().strip() == fp
+    fs, p = _fs(spark, path.rstrip("/") + "/_fingerprint")
+    stream = fs.open(p)
+    try:
+        got = bytes(stream.readAllBytes()).decode().strip()
+    finally:
+        stream.close()
+    return got == fp
 
 
-def _mark(path: str, fp: str) -> None:
-    with open(os.path.join(path, "_fingerprint"), "w") as f:
-        f.write(fp)
+def _mark(spark: SparkSession, path: str, fp: str) -> None:
+    fs, p = _fs(spark, path.rstrip("/") + "/_fingerprint")
+    out = fs.create(p, True)
+    out.write(bytearray(fp.encode()))
+    out.close()
 
 
 def run_all(spark: SparkSession, paths: PipelinePaths, force: bool = False, fast: bool = True,
@@ -117,20 +136,20 @@ def run_all(spark: SparkSession, paths: PipelinePaths, force: bool = False, fast
                                                 "emotion_predictions"))
     report = None
     try:
-        fp = _fingerprint([paths.frames_dir, paths.chroma_path, paths.onsets_path])
-        if not force and _done(sf, fp):
+        fp = _fingerprint(spark, [paths.frames_dir, paths.chroma_path, paths.onsets_path])
+        if not force and _done(spark, sf, fp):
             steps.append(("enrich", "skipped", "reused song_features"))
         else:
             writers.write_table(run_enrich(spark, paths.frames_dir, paths.chroma_path, paths.onsets_path), sf)
-            _mark(sf, fp)
+            _mark(spark, sf, fp)
             steps.append(("enrich", "ok", sf))
-        fp2 = _fingerprint([paths.annotations_dir, sf])
-        if not force and _done(md, fp2):
+        fp2 = _fingerprint(spark, [paths.annotations_dir, sf])
+        if not force and _done(spark, md, fp2):
             steps.append(("labels_and_join", "skipped", "reused modeling_dataset"))
         else:
             writers.write_table(run_labels(spark, paths.annotations_dir), lb)
             writers.write_table(joins.modeling_dataset(spark.read.parquet(sf), spark.read.parquet(lb)), md)
-            _mark(md, fp2)
+            _mark(spark, md, fp2)
             steps.append(("labels_and_join", "ok", md))
         res, prep, rid = T.train_all(spark.read.parquet(md), fast=fast, tune=tune, include_boosted=include_boosted,
                                      run_id=run_id, models_dir=paths.table("models"))
@@ -145,14 +164,14 @@ def run_all(spark: SparkSession, paths: PipelinePaths, force: bool = False, fast
     finally:
         rep = None
         try:
-            if os.path.exists(os.path.join(sf, "_SUCCESS")):
+            if _exists(spark, os.path.join(sf, "_SUCCESS")):
                 s = spark.read.parquet(sf)
                 rep = quality.validate_song_features(spark, s)
-                if os.path.exists(os.path.join(lb, "_SUCCESS")):
+                if _exists(spark, os.path.join(lb, "_SUCCESS")):
                     rep = rep.unionByName(quality.validate_labels(spark, spark.read.parquet(lb)))
-                if os.path.exists(os.path.join(md, "_SUCCESS")):
+                if _exists(spark, os.path.join(md, "_SUCCESS")):
                     rep = rep.unionByName(quality.validate_modeling_dataset(spark, spark.read.parquet(md)))
-                if os.path.exists(os.path.join(pr, "_SUCCESS")):
+                if _exists(spark, os.path.join(pr, "_SUCCESS")):
                     rep = rep.unionByName(quality.validate_predictions(spark, spark.read.parquet(pr), s))
                 writers.write_table(rep, paths.table("validation"))
                 report = spark.read.parquet(paths.table("validation"))
