@@ -126,6 +126,13 @@ def q_analyst_union(spark, d):
     return semantic.union_ids(B.predictions(spark, d), ["High Energy", "Positive"])
 
 
+@query("analyst_batch_replies")
+def q_analyst_batch_replies(spark, d):
+    """N2 + X13: top 5 songs per question, intents from validated model replies."""
+    return analyst.answer_batch(B.questions(spark, d), B.predictions(spark, d), k=BATCH_K,
+                                replies=B.replies(spark, d))
+
+
 @query("analyst_batch")
 def q_analyst_batch(spark, d):
     """Top 5 songs for every question of the question table."""

@@ -574,8 +574,7 @@ replies2 AS (
   FROM replies)"""
 
 _VALID = "('High Energy', 'Low Energy', 'Positive', 'Negative', 'Calm Focus', 'Dramatic', 'Neutral')"
-SQL["reply_validation"] = f"""WITH {QUESTIONS}, {REPLIES},
-j AS (SELECT q.question_id, q.text,
+REPLY_CTES = f"""j AS (SELECT q.question_id, q.text,
              CASE WHEN starts_with(trim(r.content), '```')
                   THEN regexp_replace(regexp_replace(trim(r.content), '^```\\w*\\n?', ''), '\\n?```\\s*$', '')
                   ELSE trim(r.content) END AS body
@@ -590,15 +589,28 @@ t AS (SELECT *,
              WHEN json_extract(body, '$.tags') IS NULL OR json_type(body, '$.tags') = 'NULL' THEN []::VARCHAR[]
              ELSE list_transform(string_split(json_extract_string(body, '$.tags'), ','), lambda x: trim(x)) END
           AS raw_tags FROM k),
-v AS (SELECT *, list_filter(raw_tags, lambda x: x IN {_VALID}) AS kept FROM t)
-SELECT question_id,
-       CASE WHEN is_obj THEN array_to_string(CASE WHEN len(kept) > 0 THEN kept ELSE ['Neutral'] END, '|')
-            ELSE array_to_string({RULE_TAGS}, '|') END AS tags,
+v AS (SELECT *, list_filter(raw_tags, lambda x: x IN {_VALID}) AS kept FROM t),
+rv AS (SELECT question_id,
+       CASE WHEN is_obj THEN (CASE WHEN len(kept) > 0 THEN kept ELSE ['Neutral'] END) ELSE {RULE_TAGS} END AS req,
        CASE WHEN is_obj THEN trim(CASE WHEN coalesce(json_extract_string(body, '$.explanation'), '') = ''
                                        THEN 'Songs matching your request.'
                                        ELSE json_extract_string(body, '$.explanation') END)
             ELSE {RULE_EXPL} END AS explanation
-FROM v"""
+FROM v)"""
+
+SQL["reply_validation"] = f"""WITH {QUESTIONS}, {REPLIES}, {REPLY_CTES}
+SELECT question_id, array_to_string(req, '|') AS tags, explanation FROM rv"""
+
+SQL["analyst_batch_replies"] = f"""WITH {PRED_TAGGED}, {QUESTIONS}, {REPLIES}, {REPLY_CTES},
+s AS (SELECT rv.question_id, pt.song_id,
+             sum(len(list_filter(rv.req, lambda x: list_contains(pt.tl, x)))) AS match_count
+      FROM rv, pt GROUP BY rv.question_id, pt.song_id
+      HAVING sum(len(list_filter(rv.req, lambda x: list_contains(pt.tl, x)))) > 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY match_count DESC, song_id) AS rank FROM s)
+SELECT rv.question_id, CAST(r.rank AS BIGINT) AS rank, r.song_id, CAST(r.match_count AS BIGINT) AS match_count,
+       rv.explanation,
+       CASE WHEN r.song_id IS NULL THEN '(No songs matched the requested tags.)' END AS message
+FROM rv LEFT JOIN (SELECT * FROM r WHERE rank <= 5) r ON rv.question_id = r.question_id"""
 
 
 # ---------------------------------------------------------------- modelling
