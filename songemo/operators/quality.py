@@ -175,7 +175,7 @@ def validate_song_features(spark, df: DataFrame, limits: QualityLimits = Quality
 
 
 def validate_labels(spark, df: DataFrame) -> DataFrame:
-    return validate(spark, "deam_labels", df, ["song_id", "arousal", "valence"], numeric=["arousal", "valence"])
+    return validate(spark, "song_labels", df, ["song_id", "arousal", "valence"], numeric=["arousal", "valence"])
 
 
 def validate_modeling_dataset(spark, df: DataFrame) -> DataFrame:

@@ -296,7 +296,7 @@ def q_validate_features(spark, d):
 
 @query("validate_labels")
 def q_validate_labels(spark, d):
-    """V2: deam_labels report."""
+    """V2: song_labels report."""
     return quality.validate_labels(spark, labels.static_labels(B.annotation_rows(spark, d)))
 
 

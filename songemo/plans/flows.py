@@ -132,7 +132,7 @@ def run_all(spark: SparkSession, paths: PipelinePaths, force: bool = False, fast
     run_id = datetime.now(timezone.utc).strftime("%Y%m%d_%H%M%S")
     steps: list[tuple[str, str, str]] = []
     error = None
-    sf, lb, md, pr = (paths.table(n) for n in ("song_features", "deam_labels", "modeling_dataset",
+    sf, lb, md, pr = (paths.table(n) for n in ("song_features", "song_labels", "modeling_dataset",
                                                 "emotion_predictions"))
     report = None
     try:

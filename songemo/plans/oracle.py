@@ -373,11 +373,11 @@ SQL["validate_features"] = VALIDATE_FEATURES
 KEEP_FIRST = ANNOT + """,
 ok AS (SELECT *, row_number() OVER (PARTITION BY song_id ORDER BY file_name, line_no) AS rn
        FROM annot WHERE arousal IS NOT NULL AND valence IS NOT NULL AND song_id IS NOT NULL),
-deam AS (SELECT song_id, arousal, valence FROM ok WHERE rn = 1)"""
+firsts AS (SELECT song_id, arousal, valence FROM ok WHERE rn = 1)"""
 VL_STATS = """st AS (SELECT count(*) AS n,
-  (SELECT coalesce(sum(c - 1), 0) FROM (SELECT count(*) AS c FROM deam GROUP BY song_id)) AS dup FROM deam)"""
+  (SELECT coalesce(sum(c - 1), 0) FROM (SELECT count(*) AS c FROM firsts GROUP BY song_id)) AS dup FROM firsts)"""
 SQL["validate_labels"] = f"""WITH {KEEP_FIRST}, {VL_STATS}
-{" UNION ALL ".join(_basic("deam_labels", "song_id"))}"""
+{" UNION ALL ".join(_basic("song_labels", "song_id"))}"""
 
 _VP = ["predicted_arousal", "predicted_valence"]
 VP_STATS = f"""st AS (SELECT count(*) AS n,
@@ -396,7 +396,7 @@ SQL["validate_predictions"] = f"""WITH {PRED}, {ENRICHED}, {VP_STATS}
 
 SQL["validation_summary"] = f"""WITH {PRED}, {ENRICHED}, {KEEP_FIRST},
 f AS (WITH {VF_STATS} {" UNION ALL ".join(_VF_ROWS)}),
-l AS (WITH {VL_STATS} {" UNION ALL ".join(_basic("deam_labels", "song_id"))}),
+l AS (WITH {VL_STATS} {" UNION ALL ".join(_basic("song_labels", "song_id"))}),
 p AS (WITH {VP_STATS} {" UNION ALL ".join(_VP_ROWS)}),
 rep AS (SELECT * FROM f UNION ALL SELECT * FROM l UNION ALL SELECT * FROM p)
 SELECT "table", bool_and(level <> 'error') AS passed FROM rep GROUP BY "table"

@@ -50,7 +50,7 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """deam_labels(song_id, arousal, valence) as numbers, from the same orders rule.
+    """song_labels(song_id, arousal, valence) as numbers, from the same orders rule.
 
     NaN stays NaN here; label loading normalises it (see labels_clean).
     """
