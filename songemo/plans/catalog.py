@@ -23,6 +23,7 @@ from ..modeling import impute, linear, metrics, split, train
 from ..sources import files
 from .report import round_binary
 from ..sources import bindings as B
+from ..session import apply_defaults
 from .report import finalize
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +33,7 @@ REGISTRY: dict[str, QueryFn] = {}
 def query(name: str):
     def deco(fn: QueryFn) -> QueryFn:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            apply_defaults(spark)  # UTC clock for timestamp casts, AQE on
             return finalize(fn(spark, sf_dir))
         run.__name__ = fn.__name__
         run.__doc__ = fn.__doc__
