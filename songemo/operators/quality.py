@@ -61,12 +61,6 @@ def coverage(df: DataFrame, tempo: str = "tempo_bpm", key: str = "key",
 
 
 # ------------------------------------------------------------ report rows
-def _row(table: str, check: str, level: Column | str, value: Column, message: Column) -> Column:
-    lv = F.lit(level) if isinstance(level, str) else level
-    return F.struct(F.lit(table).alias("table"), F.lit(check).alias("check"), lv.alias("level"),
-                    value.cast("double").alias("value"), message.alias("message"))
-
-
 def _schema_rows(spark, table: str, df: DataFrame, required: list[str], numeric: list[str]) -> DataFrame:
     """Rows for missing / unexpected columns and non-numeric declared types (schema only)."""
     rows = []
@@ -83,6 +77,19 @@ def _schema_rows(spark, table: str, df: DataFrame, required: list[str], numeric:
     return spark.createDataFrame(rows, REPORT_SCHEMA)
 
 
+def _q(c: str) -> str:
+    return "`" + c.replace("`", "``") + "`"
+
+
+def _lit(x: str) -> str:
+    return "'" + x.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _row_sql(table: str, check: str, level: str, value: str, message: str) -> str:
+    return (f"named_struct('table', {_lit(table)}, 'check', {_lit(check)}, 'level', {level}, "
+            f"'value', CAST({value} AS DOUBLE), 'message', {message})")
+
+
 def validate(spark, table: str, df: DataFrame, required: list[str], key: str = "song_id",
              numeric: list[str] | None = None, nan_info: list[str] | None = None,
              nan_error: list[str] | None = None, coverage_check: bool = False,
@@ -93,78 +100,71 @@ def validate(spark, table: str, df: DataFrame, required: list[str], key: str = "
     NULLs in ``nan_error`` columns, coverage below the limits, row count
     different from ``expected_rows``.  info: unexpected columns, row count,
     NULL counts of ``nan_info`` columns, coverage figures, out-of-range tempo.
+    All measures come from one grouped pass (the grouping gives the duplicate
+    count; sums of the per-key counts give the rest).
     """
     numeric = numeric or []
     nan_info = [c for c in (nan_info or []) if c in df.columns]
     nan_error = [c for c in (nan_error or []) if c in df.columns]
 
-    def missing(c: str) -> Column:
-        x = F.col(f"`{c}`")
+    def missing(c: str) -> str:
         if isinstance(df.schema[c].dataType, (T.FloatType, T.DoubleType)):
-            return x.isNull() | F.isnan(x)
-        return x.isNull()
+            return f"({_q(c)} IS NULL OR isnan({_q(c)}))"
+        return f"({_q(c)} IS NULL)"
 
-    aggs = [F.count(F.lit(1)).alias("n")]
-    aggs += [F.count_if(missing(c)).alias(f"_i{i}") for i, c in enumerate(nan_info)]
-    aggs += [F.count_if(missing(c)).alias(f"_e{i}") for i, c in enumerate(nan_error)]
+    aggs = ["count(1) AS n"]
+    aggs += [f"count_if({missing(c)}) AS _i{i}" for i, c in enumerate(nan_info)]
+    aggs += [f"count_if({missing(c)}) AS _e{i}" for i, c in enumerate(nan_error)]
     has_cov = coverage_check and "tempo_bpm" in df.columns and "key" in df.columns
     if has_cov:
-        t = F.col("tempo_bpm")
-        valid = t.isNotNull() & ~F.isnan(t)
-        aggs += [F.count_if(valid).alias("_tv"),
-                 F.count_if(valid & ((t < limits.tempo_min) | (t > limits.tempo_max))).alias("_to"),
-                 F.count_if(_key_known(F.col("key"))).alias("_kk")]
+        valid = "(tempo_bpm IS NOT NULL AND NOT isnan(tempo_bpm))"
+        aggs += [f"count_if({valid}) AS _tv",
+                 f"count_if({valid} AND (tempo_bpm < {limits.tempo_min}D OR tempo_bpm > {limits.tempo_max}D)) AS _to",
+                 "count_if(key IS NOT NULL AND trim(key) <> '' AND lower(key) <> 'unknown') AS _kk"]
+    names = [a.rsplit(" AS ", 1)[1] for a in aggs]
     if key in df.columns:
-        # one grouped pass gives the duplicates and, summed, every other count
-        per_key = df.groupBy(F.col(f"`{key}`").alias("_k")).agg(*aggs)
-        stats = per_key.agg(
-            F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("n"),
-            F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("bigint").alias("duplicate_rows"),
-            *[F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) for c in per_key.columns if c.startswith("_")
-              and c != "_k"])
+        per_key = df.groupBy(F.col(_q(key)).alias("_k")).agg(*[F.expr(a) for a in aggs])
+        stats = per_key.selectExpr(
+            "CAST(coalesce(sum(n), 0) AS BIGINT) AS n",
+            "CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS duplicate_rows",
+            *[f"CAST(coalesce(sum({c}), 0) AS BIGINT) AS {c}" for c in names if c != "n"])
     else:
-        stats = df.agg(*aggs).withColumn("duplicate_rows", F.lit(0).cast("bigint"))
+        stats = df.agg(*[F.expr(a) for a in aggs]).withColumn("duplicate_rows", F.lit(0).cast("bigint"))
     if expected_rows is not None:
         # scalar subquery: the other table's row count, no join
         stats = stats.withColumn("_exp", expected_rows.select(F.count(F.lit(1))).scalar())
 
-    n = F.col("n")
+    pct1 = lambda x: f"format_number(CASE WHEN n > 0 THEN {x} * 100.0D / n ELSE 0.0D END, 1)"
     rows = [
-        _row(table, "row_count", F.when(n == 0, "error").otherwise("info"), n,
-             F.when(n == 0, F.lit("Table is empty")).otherwise(F.concat(F.lit("Row count: "), n.cast("string")))),
-        _row(table, "duplicate_keys", F.when(F.col("duplicate_rows") > 0, "error").otherwise("ok"),
-             F.col("duplicate_rows"),
-             F.concat(F.lit(f"Duplicate {key}: "), F.col("duplicate_rows").cast("string"), F.lit(" rows"))),
+        _row_sql(table, "row_count", "CASE WHEN n = 0 THEN 'error' ELSE 'info' END", "n",
+                 "CASE WHEN n = 0 THEN 'Table is empty' ELSE concat('Row count: ', CAST(n AS STRING)) END"),
+        _row_sql(table, "duplicate_keys", "CASE WHEN duplicate_rows > 0 THEN 'error' ELSE 'ok' END",
+                 "duplicate_rows", f"concat({_lit('Duplicate ' + key + ': ')}, CAST(duplicate_rows AS STRING), ' rows')"),
     ]
-    pct1 = lambda c: F.format_number(F.when(n > 0, c * 100.0 / n).otherwise(0.0), 1)
     for i, c in enumerate(nan_info):
-        m = F.col(f"_i{i}")
-        rows.append(_row(table, f"nan:{c}", F.when(m > 0, "info").otherwise("ok"), m,
-                         F.concat(F.lit(f"{c}: "), m.cast("string"), F.lit(" NaN ("), pct1(m), F.lit("%)"))))
+        rows.append(_row_sql(table, f"nan:{c}", f"CASE WHEN _i{i} > 0 THEN 'info' ELSE 'ok' END", f"_i{i}",
+                             f"concat({_lit(c + ': ')}, CAST(_i{i} AS STRING), ' NaN (', {pct1(f'_i{i}')}, '%)')"))
     for i, c in enumerate(nan_error):
-        m = F.col(f"_e{i}")
-        rows.append(_row(table, f"nan:{c}", F.when(m > 0, "error").otherwise("ok"), m,
-                         F.concat(F.lit(f"Column '{c}' has "), m.cast("string"), F.lit(" NaN values"))))
+        rows.append(_row_sql(table, f"nan:{c}", f"CASE WHEN _e{i} > 0 THEN 'error' ELSE 'ok' END", f"_e{i}",
+                             f"concat({_lit(f'Column {chr(39)}{c}{chr(39)} has ')}, CAST(_e{i} AS STRING), ' NaN values')"))
     if has_cov:
-        tv, to, kk = F.col("_tv"), F.col("_to"), F.col("_kk")
-        tp = F.when(n > 0, tv * 100.0 / n).otherwise(0.0)
-        kp = F.when(n > 0, kk * 100.0 / n).otherwise(0.0)
-        rows.append(_row(table, "tempo_coverage", "info", tp,
-                         F.concat(F.lit("tempo_bpm: "), tv.cast("string"), F.lit(" non-NaN ("), pct1(tv), F.lit("%)"))))
-        rows.append(_row(table, "tempo_out_of_range", F.when(to > 0, "info").otherwise("ok"), to,
-                         F.concat(F.lit("tempo_bpm: "), to.cast("string"),
-                                  F.lit(f" values outside {limits.tempo_min}-{limits.tempo_max} BPM"))))
-        rows.append(_row(table, "key_coverage", "info", kp,
-                         F.concat(F.lit("key: "), kk.cast("string"), F.lit(" non-unknown ("), pct1(kk), F.lit("%)"))))
-        low = (n > 0) & ((tp < limits.min_tempo_coverage_pct) | (kp < limits.min_key_coverage_pct))
-        rows.append(_row(table, "audio_coverage", F.when(low, "error").otherwise("ok"),
-                         F.least(tp, kp), F.lit("Audio-derived data missing or failed: tempo_bpm and/or key coverage "
-                                                "below the minimum")))
+        tp = "(CASE WHEN n > 0 THEN _tv * 100.0D / n ELSE 0.0D END)"
+        kp = "(CASE WHEN n > 0 THEN _kk * 100.0D / n ELSE 0.0D END)"
+        rows.append(_row_sql(table, "tempo_coverage", "'info'", tp,
+                             f"concat('tempo_bpm: ', CAST(_tv AS STRING), ' non-NaN (', {pct1('_tv')}, '%)')"))
+        rows.append(_row_sql(table, "tempo_out_of_range", "CASE WHEN _to > 0 THEN 'info' ELSE 'ok' END", "_to",
+                             f"concat('tempo_bpm: ', CAST(_to AS STRING), "
+                             f"{_lit(f' values outside {limits.tempo_min}-{limits.tempo_max} BPM')})"))
+        rows.append(_row_sql(table, "key_coverage", "'info'", kp,
+                             f"concat('key: ', CAST(_kk AS STRING), ' non-unknown (', {pct1('_kk')}, '%)')"))
+        low = (f"n > 0 AND ({tp} < {limits.min_tempo_coverage_pct}D OR {kp} < {limits.min_key_coverage_pct}D)")
+        rows.append(_row_sql(table, "audio_coverage", f"CASE WHEN {low} THEN 'error' ELSE 'ok' END",
+                             f"least({tp}, {kp})",
+                             "'Audio-derived data missing or failed: tempo_bpm and/or key coverage below the minimum'"))
     if expected_rows is not None:
-        e = F.col("_exp")
-        rows.append(_row(table, "row_count_match", F.when(e != n, "error").otherwise("ok"), n - e,
-                         F.concat(F.lit("Row count "), n.cast("string"), F.lit(" vs expected "), e.cast("string"))))
-    data_rows = stats.select(F.inline(F.array(*rows)))
+        rows.append(_row_sql(table, "row_count_match", "CASE WHEN _exp <> n THEN 'error' ELSE 'ok' END", "n - _exp",
+                             "concat('Row count ', CAST(n AS STRING), ' vs expected ', CAST(_exp AS STRING))"))
+    data_rows = stats.selectExpr(f"inline(array({', '.join(rows)}))")
     return _schema_rows(spark, table, df, required, numeric).unionByName(data_rows)
 
 

@@ -28,15 +28,26 @@ def round_binary(c, digits: int = DIGITS):
     return F.when(F.isnan(y), y).otherwise(r / F.lit(m))
 
 
+def round_binary_sql(expr: str, digits: int = DIGITS) -> str:
+    """SQL text of ``round_binary`` (one parse instead of a dozen Column calls)."""
+    m = f"{float(10 ** digits)!r}D"
+    y = f"(CAST({expr} AS DOUBLE) * {m})"
+    return (f"CASE WHEN isnan({y}) THEN {y} ELSE (CASE WHEN abs({y}) < {_EXACT!r}D "
+            f"THEN signum({y}) * CAST(floor(abs({y}) + 0.5D) AS DOUBLE) ELSE {y} END) / {m} END")
+
+
 def finalize(df: DataFrame, digits: int = DIGITS) -> DataFrame:
-    cols = []
+    """Doubles rounded (binary, 9 dp), small integers as BIGINT, arrays joined by '|'."""
+    exprs = []
     for f in df.schema.fields:
-        c = F.col(f"`{f.name}`")
+        q = "`" + f.name.replace("`", "``") + "`"
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            c = round_binary(c, digits)
+            e = round_binary_sql(q, digits)
         elif isinstance(f.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
-            c = c.cast("bigint")
+            e = f"CAST({q} AS BIGINT)"
         elif isinstance(f.dataType, T.ArrayType):
-            c = F.array_join(c.cast("array<string>"), "|")
-        cols.append(c.alias(f.name))
-    return df.select(*cols)
+            e = f"array_join(CAST({q} AS ARRAY<STRING>), '|')"
+        else:
+            e = q
+        exprs.append(f"{e} AS {q}")
+    return df.selectExpr(*exprs)
