@@ -52,6 +52,21 @@ def sample_variance(values: Column) -> Column:
     return F.when(n >= 2, ss / (n - F.lit(1))).otherwise(_null_d())
 
 
+def sample_variance_sql(cols: list[str]) -> str:
+    """Two-pass var (ddof 1) across columns of one row, skipping NULLs, as plain SQL.
+
+    Same additions in the same order as ``sample_variance`` (a NULL adds 0.0,
+    which changes nothing), but compiled by whole-stage codegen instead of
+    interpreted array lambdas.
+    """
+    n = " + ".join(f"CASE WHEN {c} IS NULL THEN 0 ELSE 1 END" for c in cols)
+    total = "0.0D" + "".join(f" + coalesce({c}, 0.0D)" for c in cols)
+    mean = f"(({total}) / CAST(({n}) AS DOUBLE))"
+    ss = "0.0D" + "".join(f" + CASE WHEN {c} IS NULL THEN 0.0D ELSE ({c} - {mean}) * ({c} - {mean}) END"
+                         for c in cols)
+    return f"CASE WHEN ({n}) >= 2 THEN ({ss}) / CAST(({n}) - 1 AS DOUBLE) END"
+
+
 def _q(name: str) -> Column:
     return F.col(f"`{name}`")
 
@@ -76,7 +91,7 @@ def song_features(frames: DataFrame, rich: bool = True, measures: dict[str, str]
         aggs = [F.count(F.lit(1)).alias("_n")]
     # group on the key as stored (a numeric id hashes cheaper); cast after aggregating
     g = frames.groupBy(F.col(id_col).alias("_sid")).agg(*aggs).withColumn("song_id", F.col("_sid").cast("string"))
-    bv = sample_variance(F.array(*[F.col(f"_band{i}") for i in range(len(bands))])) if bands else _null_d()
+    bv = F.expr(sample_variance_sql([f"_band{i}" for i in range(len(bands))])) if bands else _null_d()
     cols = {f: (F.col(f) if f in present else _null_d()) for f in FRAME_MEASURES}
     cols["auditory_band_variance"] = bv
     cols["tempo"] = _null_d()
@@ -89,6 +104,6 @@ def band_variance_from_arrays(frames: DataFrame, bands_col: str = "bands", n_ban
     """(song_id, auditory_band_variance, n_bands) when bands are stored as an array column."""
     aggs = [F.avg(nan_to_null(F.try_element_at(F.col(bands_col), F.lit(i + 1)))).alias(f"_b{i}") for i in range(n_bands)]
     g = frames.groupBy(F.col(id_col).alias("song_id")).agg(*aggs)
-    arr = F.array(*[F.col(f"_b{i}") for i in range(n_bands)])
-    return g.select("song_id", sample_variance(arr).alias("auditory_band_variance"),
-                    F.size(F.filter(arr, lambda x: x.isNotNull())).alias("n_bands"))
+    cols = [f"_b{i}" for i in range(n_bands)]
+    return g.selectExpr("song_id", f"{sample_variance_sql(cols)} AS auditory_band_variance",
+                        " + ".join(f"CASE WHEN {c} IS NULL THEN 0 ELSE 1 END" for c in cols) + " AS n_bands")
