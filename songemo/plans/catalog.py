@@ -565,5 +565,5 @@ def flagship(spark: SparkSession, d: str) -> DataFrame:
     """Top songs for the flagship question, with their emotional profile."""
     pred = B.predictions(spark, d)
     top = analyst.answer(pred, FLAGSHIP_QUESTION, k=20)
-    prof = similarity.song_profile(pred, top)  # top has <= k rows
-    return finalize(top.join(F.broadcast(prof), "song_id", "left").orderBy("rank"))
+    prof = similarity.song_profile(pred, top)  # rows of the <= k chosen ids; AQE picks the join
+    return finalize(top.join(prof, "song_id", "left").orderBy("rank"))
