@@ -52,6 +52,19 @@ def sample_variance(values: Column) -> Column:
     return F.when(n >= 2, ss / (n - F.lit(1))).otherwise(_null_d())
 
 
+def with_sample_variance(df: DataFrame, cols: list[str], out: str) -> DataFrame:
+    """Add ``out`` = ``sample_variance_sql(cols)`` in two projections (count and mean
+    first), so the mean is computed once per row instead of once per term."""
+    n = " + ".join(f"CASE WHEN {c} IS NULL THEN 0 ELSE 1 END" for c in cols)
+    total = "0.0D" + "".join(f" + coalesce({c}, 0.0D)" for c in cols)
+    staged = df.selectExpr("*", f"({n}) AS _vn",
+                           f"CASE WHEN ({n}) > 0 THEN ({total}) / CAST(({n}) AS DOUBLE) END AS _vmean")
+    ss = "0.0D" + "".join(f" + CASE WHEN {c} IS NULL THEN 0.0D ELSE ({c} - _vmean) * ({c} - _vmean) END"
+                         for c in cols)
+    return staged.selectExpr("*", f"CASE WHEN _vn >= 2 THEN ({ss}) / CAST(_vn - 1 AS DOUBLE) END AS `{out}`").drop(
+        "_vn", "_vmean")
+
+
 def sample_variance_sql(cols: list[str]) -> str:
     """Two-pass var (ddof 1) across columns of one row, skipping NULLs, as plain SQL.
 
@@ -91,7 +104,9 @@ def song_features(frames: DataFrame, rich: bool = True, measures: dict[str, str]
         aggs = [F.count(F.lit(1)).alias("_n")]
     # group on the key as stored (a numeric id hashes cheaper); cast after aggregating
     g = frames.groupBy(F.col(id_col).alias("_sid")).agg(*aggs).withColumn("song_id", F.col("_sid").cast("string"))
-    bv = F.expr(sample_variance_sql([f"_band{i}" for i in range(len(bands))])) if bands else _null_d()
+    if bands:
+        g = with_sample_variance(g, [f"_band{i}" for i in range(len(bands))], "_bandvar")
+    bv = F.col("_bandvar") if bands else _null_d()
     cols = {f: (F.col(f) if f in present else _null_d()) for f in FRAME_MEASURES}
     cols["auditory_band_variance"] = bv
     cols["tempo"] = _null_d()
@@ -105,5 +120,6 @@ def band_variance_from_arrays(frames: DataFrame, bands_col: str = "bands", n_ban
     aggs = [F.avg(nan_to_null(F.try_element_at(F.col(bands_col), F.lit(i + 1)))).alias(f"_b{i}") for i in range(n_bands)]
     g = frames.groupBy(F.col(id_col).alias("song_id")).agg(*aggs)
     cols = [f"_b{i}" for i in range(n_bands)]
-    return g.selectExpr("song_id", f"{sample_variance_sql(cols)} AS auditory_band_variance",
+    g = with_sample_variance(g, cols, "auditory_band_variance")
+    return g.selectExpr("song_id", "auditory_band_variance",
                         " + ".join(f"CASE WHEN {c} IS NULL THEN 0 ELSE 1 END" for c in cols) + " AS n_bands")
