@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..config import AROUSAL_ALIASES, ID_ALIASES, VALENCE_ALIASES
 from ..functions.scalars import nan_to_null, strip, to_numeric_or_null
 from ..operators import labels as L
+from .text_tables import _unquote as unquote
 from .text_tables import read_text_by_header
 
 SONG_LEVEL_SUBDIR = os.path.join("annotations averaged per song", "song_level")
@@ -52,7 +53,7 @@ def static_rows(spark: SparkSession, annotations_dir: str) -> DataFrame | None:
                  _role_position(F.col("names"), VALENCE_ALIASES, "valence", False).alias("p_v"))
     h = h.filter((F.col("p_id") > 0) & (F.col("p_a") > 0) & (F.col("p_v") > 0))  # files lacking a role: skipped
     j = data.join(h, "path")
-    cell = lambda p: F.try_element_at(F.col("cells"), F.col(p))
+    cell = lambda p: unquote(F.try_element_at(F.col("cells"), F.col(p)))
     return j.select(F.col("path").alias("file_name"), F.col("line_key").alias("line_no"),
                     cell("p_id").alias("song_id"), cell("p_a").alias("arousal"), cell("p_v").alias("valence"))
 
@@ -66,10 +67,10 @@ def _long(h: DataFrame, data: DataFrame) -> DataFrame:
     """Unpivot a matrix file: (path, line_key, pos, name, first, value) for every cell after the first."""
     j = data.join(h, "path")
     cells = F.arrays_zip(F.col("names"), F.col("cells"))
-    return j.select("path", "line_key", F.element_at("cells", 1).alias("first"),
+    return j.select("path", "line_key", unquote(F.element_at("cells", 1)).alias("first"),
                     F.posexplode(F.slice(cells, 2, 1_000_000)).alias("pos", "nc")).select(
         "path", "line_key", "first", "pos", F.col("nc.names").alias("name"),
-        to_numeric_or_null(F.col("nc.cells")).alias("value"))
+        to_numeric_or_null(unquote(F.col("nc.cells"))).alias("value"))
 
 
 def dynamic_labels(spark: SparkSession, annotations_dir: str) -> DataFrame | None:

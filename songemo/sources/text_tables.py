@@ -30,9 +30,15 @@ def read_lines(spark: SparkSession, pattern: str) -> DataFrame:
 
 
 def headers(lines: DataFrame) -> DataFrame:
-    """(path, header, header_key): first line of each file, as a combinable aggregate."""
-    return lines.groupBy("path").agg(F.min_by("value", "line_key").alias("header"),
-                                     F.min("line_key").alias("header_key"))
+    """(path, header, header_key): first line of each file (UTF-8 BOM removed), as a combinable aggregate."""
+    h = lines.groupBy("path").agg(F.min_by("value", "line_key").alias("header"),
+                                  F.min("line_key").alias("header_key"))
+    return h.withColumn("header", F.regexp_replace("header", "^\uFEFF", ""))
+
+
+def _unquote(c: Column) -> Column:
+    """A field wrapped in double quotes loses them ("" inside becomes ")."""
+    return F.when(c.rlike('^".*"$'), F.regexp_replace(F.regexp_replace(c, '^"|"$', ""), '""', '"')).otherwise(c)
 
 
 def sniff_sep(header: Column, preferred: str = ";", fallback: str = ",") -> Column:
@@ -42,10 +48,15 @@ def sniff_sep(header: Column, preferred: str = ";", fallback: str = ",") -> Colu
 
 
 def _split(value: Column, sep: Column) -> Column:
-    # literal separator, keep empty trailing cells
+    # literal separator, keep empty trailing cells (fields are unquoted where picked)
     return F.split(value, F.concat(F.lit("\\Q"), sep, F.lit("\\E")), -1)
 
 
+def split_header(header: Column, sep: Column) -> Column:
+    """Header names, unquoted (once per file, so an array lambda is fine here)."""
+    return F.transform(_split(header, sep), _unquote)
+
+
 def read_by_header(spark: SparkSession, pattern: str, wanted: list[str], sep: str | None = ";",
                    keep_header_only: bool = True) -> DataFrame:
     """(path, song_id, line_key, <wanted> as DOUBLE) with columns found by header name.
@@ -57,7 +68,7 @@ def read_by_header(spark: SparkSession, pattern: str, wanted: list[str], sep: st
     h = headers(lines)
     sep_col = sniff_sep(F.col("header")) if sep is None else F.lit(sep)
     h = h.withColumn("sep", sep_col)
-    names = F.transform(_split(F.col("header"), F.col("sep")), lambda c: strip(c))
+    names = F.transform(split_header(F.col("header"), F.col("sep")), lambda c: strip(c))
     h = h.select("path", "header_key", "sep",
                  F.array(*[F.array_position(names, F.lit(w)).cast("int") for w in wanted]).alias("pos"))
     data = lines.join(h, "path").filter((F.col("line_key") != F.col("header_key"))
@@ -66,7 +77,7 @@ def read_by_header(spark: SparkSession, pattern: str, wanted: list[str], sep: st
     vals = []
     for j, w in enumerate(wanted):
         p = F.col("pos")[j]
-        cell = F.when(p > 0, F.try_element_at(cells, p))
+        cell = F.when(p > 0, _unquote(F.try_element_at(cells, p)))
         vals.append(strip(cell).try_cast("double").alias(w))
     rows = data.select("path", "line_key", *vals)
     if keep_header_only:
@@ -83,7 +94,7 @@ def read_text_by_header(spark: SparkSession, pattern: str, sep: str | None = Non
     lines = read_lines(spark, pattern)
     h = headers(lines)
     sep_col = sniff_sep(F.col("header")) if sep is None else F.lit(sep)
-    h = h.withColumn("sep", sep_col).withColumn("names", _split(F.col("header"), F.col("sep")))
+    h = h.withColumn("sep", sep_col).withColumn("names", split_header(F.col("header"), F.col("sep")))
     data = lines.join(h.select("path", "header_key", "sep"), "path").filter(
         (F.col("line_key") != F.col("header_key")) & (F.length(F.trim("value")) > 0))
     data = data.select("path", "line_key", _split(F.col("value"), F.col("sep")).alias("cells"))

@@ -90,3 +90,12 @@ def test_dynamic_rows_and_fallback(spark):
     assert got2 == {"a": (2.0, 3.0), "b": (6.0, 5.0)}   # matched by position
     with pytest.raises(FileNotFoundError):
         annotations.load_labels(spark, tempfile.mkdtemp(prefix="songemo-none-"))
+
+
+def test_bom_and_quotes(spark):
+    d = tempfile.mkdtemp(prefix="songemo-bom-")
+    s = os.path.join("annotations averaged per song", "song_level")
+    _write(d, os.path.join(s, "static_annotations_averaged_songs_1.csv"),
+           '﻿"song_id","arousal","valence"\n"5","3.5","6"\n')
+    got = {r.song_id: (r.arousal, r.valence) for r in annotations.static_labels(spark, d).collect()}
+    assert got == {"5": (3.5, 6.0)}
