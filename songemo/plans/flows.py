@@ -86,19 +86,22 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def _fingerprint(spark: SparkSession, paths: list[str | None]) -> str:
-    """Hash of (path, size, modification time) of every file under the inputs (metadata only)."""
+    """Hash of each input's content summary (bytes, files, folders) and top-level mtimes.
+
+    Metadata only, and no per-file listing on the driver: the filesystem
+    computes the summary (one call on HDFS), so this stays cheap for inputs
+    with millions of files.
+    """
     h = hashlib.sha256()
     for path in paths:
         if not path or not _exists(spark, path):
             continue
         fs, p = _fs(spark, path)
-        it = fs.listFiles(p, True)
-        entries = []
-        while it.hasNext():
-            st = it.next()
-            entries.append(f"{st.getPath().toString()}|{st.getLen()}|{st.getModificationTime()}")
-        for e in sorted(entries):
-            h.update(e.encode())
+        cs = fs.getContentSummary(p)
+        h.update(f"{path}|{cs.getLength()}|{cs.getFileCount()}|{cs.getDirectoryCount()}".encode())
+        tops = fs.listStatus(p)
+        for st in sorted((f"{t.getPath().getName()}|{t.getModificationTime()}|{t.getLen()}" for t in tops)):
+            h.update(st.encode())
     return h.hexdigest()
 
 
