@@ -138,3 +138,19 @@ def test_plans(spark):
         s = _plan(qs[name](spark, SF001))
         assert "BatchEvalPython" not in s and "ArrowEvalPython" not in s, name
         assert "CartesianProduct" not in s and "BroadcastNestedLoopJoin" not in s, name
+
+
+def test_tree_random_search(spark):
+    from songemo.modeling import trees
+    from songemo.modeling.split import with_split
+    rng = np.random.default_rng(1)
+    rows = [(str(i), float(x), float(z), float(2 * x + (z > 0.5) + 0.1 * rng.normal()))
+            for i, (x, z) in enumerate(rng.random((300, 2)))]
+    df = with_split(spark.createDataFrame(rows, "song_id string, x double, z double, y double"))
+    space = {"n_estimators": (5, 10), "max_depth": (2, 4), "min_samples_split": (2,), "min_samples_leaf": (1,),
+             "max_features": ("sqrt", 0.5), "bootstrap": (True,), "min_impurity_decrease": (0.0,)}
+    model, best, cv_mean, cv_rows = trees.fit_tree_model(df, ["x", "z"], "y", "random_forest", tune=True,
+                                                         n_iter=3, space=space)
+    assert set(best) == set(space) and cv_mean == min(r[3] for r in cv_rows) and len(cv_rows) == 3
+    pred = model.transform(df).select("y", "prediction").toPandas()
+    assert np.corrcoef(pred.y, pred.prediction)[0, 1] > 0.9
