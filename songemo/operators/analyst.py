@@ -24,7 +24,7 @@ from pyspark.sql.window import Window
 from ..config import TAG_ORDER, Thresholds
 from ..functions.intent import reply_intent, rule_intent
 from ..functions.tags import tag_predicates
-from .semantic import AROUSAL, VALENCE, match_counts, top_k
+from .semantic import AROUSAL, VALENCE, top_k
 
 NO_MATCH_MESSAGE = "(No songs matched the requested tags.)"
 

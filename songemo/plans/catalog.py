@@ -12,10 +12,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import TAG_ORDER
 from ..functions.intent import reply_intent, rule_intent
 from ..functions.tags import finite, tags
-from ..config import FRAME_MEASURES, MODEL_FEATURES, RICH_FEATURES
+from ..config import MODEL_FEATURES
 from ..functions.keys import add_key_columns
 from ..functions.scalars import nan_to_null, tempo_bucket, to_numeric_or_null
 from ..operators import analyst, audio, features, joins, labels, quality, semantic, similarity, views
