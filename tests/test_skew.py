@@ -54,3 +54,25 @@ def test_batch_answers_with_duplicate_song_rows(spark):
     for q, req in intents.items():
         want = [(i + 1, s, n) for i, (s, n) in enumerate(_brute(tl, req, k))]
         assert sorted(got.get(q, [])) == want, q
+
+
+def test_batch_answers_from_replies_with_repeated_tags(spark):
+    rng = np.random.default_rng(9)
+    pts = [(str(i), float(1 + 0.25 * rng.integers(0, 33)), float(1 + 0.5 * rng.integers(0, 17))) for i in range(300)]
+    pred = spark.createDataFrame(pts, "song_id string, predicted_arousal double, predicted_valence double")
+    qs = spark.createDataFrame([(1, "x"), (2, "y"), (3, "calm")], "question_id bigint, text string")
+    rp = spark.createDataFrame([(1, '{"tags": ["Positive", "Positive", "High Energy"], "explanation": "e"}'),
+                                (2, '{"tags": "Negative, Low Energy", "explanation": ""}'),
+                                (3, "not json")], "question_id bigint, content string")
+    k = 5
+    got = {}
+    for r in analyst.answer_batch(qs, pred, k=k, replies=rp).collect():
+        got.setdefault(r.question_id, []).append((r.rank, r.song_id, r.match_count, r.explanation))
+    tl = [(r.song_id, r.t) for r in pred.select("song_id", tags(F.col("predicted_arousal"),
+                                                                F.col("predicted_valence")).alias("t")).collect()]
+    intents = {1: (["Positive", "Positive", "High Energy"], "e"),
+               2: (["Negative", "Low Energy"], "Songs matching your request."),
+               3: (["Calm Focus"], "Songs matching: Calm Focus (rule-based).")}
+    for q, (req, expl) in intents.items():
+        want = [(i + 1, s, n, expl) for i, (s, n) in enumerate(_brute(tl, req, k))]
+        assert sorted(got[q]) == want, q
