@@ -239,7 +239,7 @@ map_t AS (
   FROM predictions p LEFT JOIN enriched e ON p.song_id = e.song_id)"""
 
 SQL["map_metadata_join"] = f"""WITH {MAP_TABLE}
-SELECT song_id, round(predicted_arousal, 9) AS predicted_arousal, round(predicted_valence, 9) AS predicted_valence,
+SELECT song_id, round(CASE WHEN isnan(predicted_arousal) THEN NULL ELSE predicted_arousal END, 9) AS predicted_arousal, round(predicted_valence, 9) AS predicted_valence,
        key, round(tempo_bpm, 9) AS tempo_bpm, genre, key_note, key_mode, key_signature, is_major, tempo_bucket
 FROM map_t"""
 

@@ -32,12 +32,13 @@ def round_binary_sql(expr: str, digits: int = DIGITS) -> str:
     """SQL text of ``round_binary`` (one parse instead of a dozen Column calls)."""
     m = f"{float(10 ** digits)!r}D"
     y = f"(CAST({expr} AS DOUBLE) * {m})"
-    return (f"CASE WHEN isnan({y}) THEN {y} ELSE (CASE WHEN abs({y}) < {_EXACT!r}D "
+    # NaN is reported as NULL (the engine treats NaN as missing everywhere)
+    return (f"CASE WHEN isnan({y}) THEN CAST(NULL AS DOUBLE) ELSE (CASE WHEN abs({y}) < {_EXACT!r}D "
             f"THEN signum({y}) * CAST(floor(abs({y}) + 0.5D) AS DOUBLE) ELSE {y} END) / {m} END")
 
 
 def finalize(df: DataFrame, digits: int = DIGITS) -> DataFrame:
-    """Doubles rounded (binary, 9 dp), small integers as BIGINT, arrays joined by '|'."""
+    """Doubles rounded (binary, 9 dp; NaN as NULL), small integers as BIGINT, arrays joined by '|'."""
     exprs = []
     for f in df.schema.fields:
         q = "`" + f.name.replace("`", "``") + "`"
