@@ -58,8 +58,22 @@ def song_keys(frames: DataFrame, songs: DataFrame | None = None) -> DataFrame:
 
 def middle_segment(frames: DataFrame, frame_rate_hz: float = DEFAULT.frame_rate_hz,
                    min_seconds: float = DEFAULT.middle_min_seconds, id_col: str = "song_id",
-                   order_col: str = "frame_idx", tie_break: str | None = None) -> DataFrame:
-    """Frames of the middle half [n//4, 3n//4) for songs of at least ``min_seconds``; all frames otherwise."""
+                   order_col: str = "frame_idx", tie_break: str | None = None,
+                   dense_index: bool = False) -> DataFrame:
+    """Frames of the middle half [n//4, 3n//4) for songs of at least ``min_seconds``; all frames otherwise.
+
+    ``dense_index=True`` declares that ``order_col`` numbers each song's frames
+    0..n-1 (how a framer writes them); the position is then the index itself
+    and only a per-song count is needed (an aggregate and a join, no range
+    shuffle).  Otherwise positions come from ``ordered.position``.
+    """
+    if dense_index:
+        n_tab = frames.groupBy(id_col).agg(F.count(F.lit(1)).alias("_n"))
+        p = frames.join(n_tab, id_col).withColumn("_pos", F.col(order_col))
+        n = F.col("_n")
+        long_song = n >= F.lit(frame_rate_hz * min_seconds)
+        keep = ~long_song | ((F.col("_pos") >= F.floor(n / 4)) & (F.col("_pos") < F.floor(n * 3 / 4)))
+        return p.filter(keep).drop("_pos", "_n")
     order = [order_col] + ([tie_break] if tie_break else [])
     p = position(frames, id_col, order)
     n = F.col("_n")

@@ -76,3 +76,16 @@ def test_batch_answers_from_replies_with_repeated_tags(spark):
     for q, (req, expl) in intents.items():
         want = [(i + 1, s, n, expl) for i, (s, n) in enumerate(_brute(tl, req, k))]
         assert sorted(got[q]) == want, q
+
+
+def test_middle_segment_dense_fast_path_matches_general(spark):
+    from songemo.operators import audio
+    rows = [("long", i) for i in range(40)] + [("short", i) for i in range(6)] + [("odd", i) for i in range(13)]
+    df = spark.createDataFrame(rows, "song_id string, frame_idx bigint")
+    a = sorted(audio.middle_segment(df, frame_rate_hz=1.0, min_seconds=10.0).collect())
+    b = sorted(audio.middle_segment(df, frame_rate_hz=1.0, min_seconds=10.0, dense_index=True).collect())
+    assert a == b
+    kept = {}
+    for r in a:
+        kept.setdefault(r.song_id, []).append(r.frame_idx)
+    assert kept["long"] == list(range(10, 30)) and kept["short"] == list(range(6)) and kept["odd"] == list(range(3, 9))
