@@ -1,8 +1,10 @@
 """Musical key: parse key strings, and estimate a key from a chroma vector.
 
 Both are native expressions.  Key estimation scores the 12-bin chroma
-against 24 rotated key profiles held as literal arrays (constant-folded into
-the plan), so there is no join, no broadcast and no Python per row.
+against 24 rotated key profiles whose numbers are literals in generated SQL
+arithmetic (``with_key_estimate``), so there is no join, no broadcast, no
+Python per row, and whole-stage codegen compiles it.  The array-lambda forms
+(``estimate_key``, ``key_scores``) are kept for use on single columns.
 """
 
 from __future__ import annotations

@@ -5,8 +5,9 @@ part of this engine; their outputs arrive as tables:
 ``chroma_frames(song_id, method, frame_idx, chroma ARRAY<DOUBLE>[12])`` and
 ``onsets(song_id, ts, onset_id)``.  From those, everything is Spark work:
 chroma sums are 12 partial ``sum`` aggregates per (song, method); the method
-fallback is a ``min_by``; key estimation is an array expression; middle
-segments and inter-onset gaps use the skew-safe ordering in ``ordered``.
+fallback is a ``min_by``; key estimation is plain per-row arithmetic against
+24 literal templates; middle segments and inter-onset gaps use the
+skew-safe ordering in ``ordered``.
 """
 
 from __future__ import annotations

@@ -2,8 +2,8 @@
 
 Means are ``avg`` over NaN-nullified values (``avg`` alone turns NaN into
 the result).  Band variance needs the per-band means first; it is computed
-from 26 partial ``avg`` aggregates and then an array expression across the
-bands, so frames are never exploded and a song with a third of all frames is
+from 26 partial ``avg`` aggregates and then plain arithmetic across the band
+columns (mean first, then squared deviations), so frames are never exploded and a song with a third of all frames is
 still combined map-side before the shuffle.
 """
 
