@@ -495,6 +495,7 @@ def q_ridge_fit(spark, d):
     """L5 + L9: ridge, random search with exact 5-fold CV from one moments pass."""
     prep = train.prepare(modeling_of(spark, d))
     res = train.train_linear_models(prep, kinds=("ridge",), tune=True, n_iter=train.N_ITER_FULL)
+    prep.release()
     return train.metrics_frame(spark, res)
 
 
@@ -503,6 +504,7 @@ def q_elasticnet_fit(spark, d):
     """L6 + L9: elastic net, random search with exact 5-fold CV from one moments pass."""
     prep = train.prepare(modeling_of(spark, d))
     res = train.train_linear_models(prep, kinds=("elasticnet",), tune=True, n_iter=train.N_ITER_FULL)
+    prep.release()
     return train.metrics_frame(spark, res)
 
 
@@ -511,6 +513,7 @@ def q_cv_scores(spark, d):
     """Per-fold RMSE of every sampled setting, and its mean over folds."""
     prep = train.prepare(modeling_of(spark, d))
     res = train.train_linear_models(prep, tune=True, n_iter=train.N_ITER_FAST)
+    prep.release()
     cv = train.cv_frame(spark, res)
     return cv.groupBy("model", "target", "setting", "params").agg(
         F.avg("rmse").alias("cv_rmse_mean"), F.count(F.lit(1)).alias("n_folds"))
@@ -520,20 +523,25 @@ def q_cv_scores(spark, d):
 def q_rf_fit(spark, d):
     """Random forest per target, holdout metrics."""
     prep = train.prepare(modeling_of(spark, d))
-    return train.metrics_frame(spark, train.train_tree_models(prep, kinds=("random_forest",)))
+    res = train.train_tree_models(prep, kinds=("random_forest",))
+    prep.release()
+    return train.metrics_frame(spark, res)
 
 
 @query("gbt_fit")
 def q_gbt_fit(spark, d):
     """Gradient-boosted trees per target, holdout metrics."""
     prep = train.prepare(modeling_of(spark, d))
-    return train.metrics_frame(spark, train.train_tree_models(prep, kinds=("boosted_trees",)))
+    res = train.train_tree_models(prep, kinds=("boosted_trees",))
+    prep.release()
+    return train.metrics_frame(spark, res)
 
 
 @query("model_comparison")
 def q_model_comparison(spark, d):
     """L11 + L14: all four model kinds, both targets (fast search for the linear models)."""
-    res, _, _ = train.train_all(modeling_of(spark, d), fast=True, tune_trees=False)
+    res, prep, _ = train.train_all(modeling_of(spark, d), fast=True, tune_trees=False)
+    prep.release()
     return train.metrics_frame(spark, res)
 
 
@@ -542,6 +550,7 @@ def q_ml_predict(spark, d):
     """Boosted-tree predictions for every song, features imputed with training medians."""
     prep = train.prepare(modeling_of(spark, d))
     res = train.train_tree_models(prep, kinds=("boosted_trees",))
+    prep.release()  # prediction reads the feature table, not the training data
     return train.predict(enriched_of(spark, d), res.models, prep.medians)
 
 

@@ -160,6 +160,7 @@ def run_all(spark: SparkSession, paths: PipelinePaths, force: bool = False, fast
         steps.append(("train", "ok", f"{len(res.metrics)} models, run {rid}"))
         kind = "boosted_trees" if include_boosted else "ridge"
         writers.write_table(T.predict(spark.read.parquet(sf), res.models, prep.medians, kind=kind), pr)
+        prep.release()
         steps.append(("predict", "ok", pr))
     except Exception as e:  # noqa: BLE001 - recorded in the manifest, then re-raised
         error = f"{type(e).__name__}: {e}"
