@@ -1,13 +1,15 @@
 """Nearest songs in (arousal, valence) space and single-song profiles.
 
-``similar_songs`` takes seed ids as a parameter.  Each seed's coordinates are
-a scalar subquery (a pushed-down point lookup) and its neighbours a
-TakeOrderedAndProject over squared distance, so no pair table of seeds x
-songs is ever built.  Profiles are point lookups by id.
+``similar_songs`` takes a short list of seed ids: each seed's coordinates are
+a scalar subquery (a point lookup) and its neighbours a TakeOrderedAndProject
+over squared distance.  ``similar_songs_grid`` takes a seed table of any
+size and answers all seeds together through equi-joins on grid cells.
+Neither builds a pair table of seeds x songs.  Profiles are point lookups by id.
 """
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -15,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import nan_to_null
 from ..functions.tags import finite, tags
+from ..session import checkpoint_dir
 from .views import A, V, extent, quadrant
 
 
@@ -57,3 +60,83 @@ def song_profile(predictions: DataFrame, song_ids: list[str] | DataFrame) -> Dat
     q = F.when(finite(a) & finite(v), quadrant(v, a, mids.getField("valence_mid"), mids.getField("arousal_mid")))
     return sel.select("song_id", nan_to_null(a).alias("arousal"), nan_to_null(v).alias("valence"),
                       tags(a, v).alias("tags"), q.alias("quadrant"))
+
+
+def similar_songs_grid(predictions: DataFrame, seeds: DataFrame, k: int = 10, max_rounds: int = 8) -> DataFrame:
+    """Exact k nearest songs for every seed of a seed table, in one plan per round.
+
+    Points are bucketed into square cells sized for about k points each.
+    Each round joins every unsatisfied seed with the cells of its ring
+    (Chebyshev radius r around its own cell) on the cell key, ranks the
+    candidates with ``row_number() <= k`` (partial per-task limit before the
+    shuffle) and accepts a seed when its k-th distance is at most r times the
+    cell size (no point outside the ring can be closer) or when the ring
+    covers the whole extent.  Others go to the next round with a doubled
+    ring.  No seed-by-song pair table is built; work per seed follows the
+    density around it.
+    """
+    from pyspark.sql.window import Window
+
+    if k < 0:
+        raise ValueError("k must be >= 0")
+    spark = predictions.sparkSession
+    pts = predictions.filter(finite(F.col(A)) & finite(F.col(V))).select("song_id", F.col(A).alias("a"),
+                                                                       F.col(V).alias("v"))
+    ext = pts.agg(F.min("a").alias("a0"), F.max("a").alias("a1"), F.min("v").alias("v0"),
+                  F.max("v").alias("v1"), F.count(F.lit(1)).alias("n")).first()   # one row
+    empty = spark.createDataFrame([], "seed_id string, rank int, song_id string, distance double")
+    if not ext["n"] or k == 0:
+        return empty
+    span = max(ext["a1"] - ext["a0"], ext["v1"] - ext["v0"], 1e-9)
+    cells_per_axis = max(1, int((ext["n"] / max(k, 1)) ** 0.5))
+    h = span / cells_per_axis
+    cell = lambda col: F.floor(F.col(col) / F.lit(h)).cast("bigint")
+    lo_x, hi_x = math.floor(ext["a0"] / h), math.floor(ext["a1"] / h)   # same floor(x / h) as the cells
+    lo_y, hi_y = math.floor(ext["v0"] / h), math.floor(ext["v1"] / h)
+    grid = pts.select("song_id", "a", "v", cell("a").alias("cx"), cell("v").alias("cy"))
+    pending = (pts.join(seeds.select("song_id").distinct(), "song_id", "left_semi")
+               .select(F.col("song_id").alias("seed_id"), F.col("a").alias("sa"), F.col("v").alias("sv"),
+                       cell("a").alias("scx"), cell("v").alias("scy")))
+    done = []
+    r = 1
+    w = Window.partitionBy("seed_id").orderBy("distance", "song_id")
+    for _ in range(max_rounds):
+        pending = _stable(pending)
+        if pending.isEmpty():
+            break
+        ring = (pending.withColumn("dx", F.explode(F.sequence(F.lit(-r), F.lit(r))))
+                .withColumn("dy", F.explode(F.sequence(F.lit(-r), F.lit(r))))
+                .select("seed_id", "sa", "sv", "scx", "scy", (F.col("scx") + F.col("dx")).alias("cx"),
+                        (F.col("scy") + F.col("dy")).alias("cy")))
+        cand = (ring.join(grid, ["cx", "cy"]).filter(F.col("song_id") != F.col("seed_id"))
+                .select("seed_id", "scx", "scy", "song_id",
+                        ((F.col("a") - F.col("sa")) ** 2 + (F.col("v") - F.col("sv")) ** 2).alias("distance")))
+        top = cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+        stat = top.groupBy("seed_id", "scx", "scy").agg(F.count(F.lit(1)).alias("_found"),
+                                                          F.max("distance").alias("_dk"))
+        covers = ((F.col("scx") - r <= lo_x) & (F.col("scx") + r >= hi_x)
+                  & (F.col("scy") - r <= lo_y) & (F.col("scy") + r >= hi_y))
+        # accept below (r - 0.001) cells: a point that rounding put one cell off
+        # is still at least that far away, so it cannot be missed
+        safe = ((r - 0.001) * h) ** 2
+        ok_seeds = pending.join(stat, ["seed_id", "scx", "scy"], "left").filter(
+            covers | ((F.col("_found") == k) & (F.col("_dk") <= F.lit(safe)))).select("seed_id")
+        ok_seeds = _stable(ok_seeds)
+        done.append(top.join(ok_seeds, "seed_id", "left_semi").select("seed_id", "rank", "song_id", "distance"))
+        pending = pending.join(ok_seeds, "seed_id", "left_anti")
+        r = 2 * r + 1
+    else:
+        # rings used up: the remaining seeds get an exact scan each
+        rest = [row["seed_id"] for row in pending.select("seed_id").collect()]
+        if rest:
+            done.append(similar_songs(predictions, rest, k).select("seed_id", "rank", "song_id", "distance"))
+    out = empty
+    for d_ in done:
+        out = out.unionByName(d_.select("seed_id", F.col("rank").cast("int").alias("rank"), "song_id", "distance"))
+    return out
+
+
+def _stable(df: DataFrame) -> DataFrame:
+    """Checkpoint a small per-seed table into the shared checkpoint folder (cuts round lineage)."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -89,3 +89,26 @@ def test_middle_segment_dense_fast_path_matches_general(spark):
     for r in a:
         kept.setdefault(r.song_id, []).append(r.frame_idx)
     assert kept["long"] == list(range(10, 30)) and kept["short"] == list(range(6)) and kept["odd"] == list(range(3, 9))
+
+
+def test_similar_songs_grid_matches_brute_force(spark):
+    from songemo.operators.similarity import similar_songs_grid
+    rng = np.random.default_rng(2)
+    pts = [(f"s{i}", float(a), float(v)) for i, (a, v) in enumerate(rng.uniform(1, 9, size=(400, 2)))]
+    pts += [(f"h{i}", 5.0, 5.0) for i in range(150)]            # a hot point: many identical coordinates
+    pts += [("far", 100.0, 100.0), ("nan", float("nan"), 3.0)]
+    pred = spark.createDataFrame(pts, "song_id string, predicted_arousal double, predicted_valence double")
+    seeds = ["s1", "s2", "h3", "far", "nan", "missing"] + [f"s{i}" for i in range(10, 60)]
+    k = 7
+    got = {}
+    for r in similar_songs_grid(pred, spark.createDataFrame([(s,) for s in seeds], "song_id string"), k).collect():
+        got.setdefault(r.seed_id, []).append((r.rank, r.song_id, round(r.distance, 12)))
+    ok = [(s, a, v) for s, a, v in pts if np.isfinite(a) and np.isfinite(v)]
+    pos = {s: (a, v) for s, a, v in ok}
+    for sd in seeds:
+        if sd not in pos:
+            assert sd not in got
+            continue
+        a0, v0 = pos[sd]
+        d = sorted(((a - a0) ** 2 + (v - v0) ** 2, s) for s, a, v in ok if s != sd)[:k]
+        assert sorted(got[sd]) == [(i + 1, s, round(x, 12)) for i, (x, s) in enumerate(d)], sd
