@@ -36,13 +36,8 @@ def _n_slices(df: DataFrame, n: int | None) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def position(df: DataFrame, group: str, order: list[str], n_slices: int | None = None) -> DataFrame:
-    """Add ``_pos`` (0-based rank of the row inside its group) and ``_n`` (group size).
-
-    ``order`` must be a total order inside a group (add a unique tie-break);
-    then the numbering is deterministic and survives task retries.
-    """
-    n = _n_slices(df, n_slices)
+def _sliced(df: DataFrame, group: str, order: list[str], n: int) -> DataFrame:
+    """Range slices of (group, order...) with slice id and local row index, checkpointed."""
     keys = [group, *order]
     r = (df.repartitionByRange(n, *[F.col(k) for k in keys])
          .sortWithinPartitions(*keys)
@@ -50,7 +45,16 @@ def position(df: DataFrame, group: str, order: list[str], n_slices: int | None =
          .withColumn("_local", F.monotonically_increasing_id()
                      - F.shiftleft(F.spark_partition_id().cast("bigint"), _ROW_BITS)))
     checkpoint_dir(df.sparkSession)
-    r = r.checkpoint(eager=True)
+    return r.checkpoint(eager=True)
+
+
+def position(df: DataFrame, group: str, order: list[str], n_slices: int | None = None) -> DataFrame:
+    """Add ``_pos`` (0-based rank of the row inside its group) and ``_n`` (group size).
+
+    ``order`` must be a total order inside a group (add a unique tie-break);
+    then the numbering is deterministic and survives task retries.
+    """
+    r = _sliced(df, group, order, _n_slices(df, n_slices))
     per_slice = r.groupBy("_slice", group).agg(F.min("_local").alias("_first"), F.count(F.lit(1)).alias("_cnt"))
     w = Window.partitionBy(group).orderBy("_slice")
     offsets = per_slice.select(
@@ -66,8 +70,24 @@ def position(df: DataFrame, group: str, order: list[str], n_slices: int | None =
 
 def lag(df: DataFrame, group: str, order: list[str], cols: list[str],
         n_slices: int | None = None) -> DataFrame:
-    """Add ``prev_<c>`` for each c in ``cols``: the value of the previous row in the group."""
-    p = position(df, group, order, n_slices)
-    prev = p.select(F.col(group), (F.col("_pos") + 1).alias("_pos"),
-                    *[F.col(c).alias(f"prev_{c}") for c in cols])
-    return p.join(prev, [group, "_pos"], "left")
+    """Add ``prev_<c>`` for each c in ``cols``: the value of the previous row in the group.
+
+    Inside a range slice the predecessor is the previous row of the slice (a
+    window over one slice, bounded by the slice size).  Only the first row of
+    a group in a slice looks further back: it takes the group's last row of
+    the nearest earlier slice, from a small table with one row per
+    (slice, group).
+    """
+    r = _sliced(df, group, order, _n_slices(df, n_slices))
+    w = Window.partitionBy("_slice").orderBy("_local")
+    x = r.select("*", F.lag(F.col(group)).over(w).alias("_pg"),
+                 *[F.lag(F.col(c)).over(w).alias(f"_p_{c}") for c in cols])
+    last = r.groupBy("_slice", group).agg(
+        F.max_by(F.struct(*[F.col(c).alias(c) for c in cols]), "_local").alias("_last"))
+    prev_last = last.select("_slice", group, F.lag("_last").over(
+        Window.partitionBy(group).orderBy("_slice")).alias("_pl"))   # <= one row per slice for a group
+    y = x.join(prev_last, ["_slice", group])
+    same = F.col("_pg").isNotNull() & (F.col("_pg") == F.col(group))
+    return y.select(*[F.col(f"`{c}`") for c in df.columns],
+                    *[F.when(same, F.col(f"_p_{c}")).otherwise(F.col("_pl").getField(c)).alias(f"prev_{c}")
+                      for c in cols])
