@@ -14,8 +14,9 @@ sliced table is checkpointed into the shared checkpoint folder once: both
 uses below then read the same materialised numbering, whatever AQE later
 does to partitions, and a lost executor cannot renumber it.
 
-``lag`` then pairs each row with its predecessor through an equi-join on
-(group, position), which hashes on position and so spreads a hot group.
+``lag`` takes each row's predecessor inside its slice (a window per slice)
+and fills the first row of a group in a slice from the group's last row in
+the previous slice (a small per-(slice, group) table).
 """
 
 from __future__ import annotations
