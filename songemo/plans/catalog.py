@@ -427,6 +427,14 @@ def q_similar_songs(spark, d):
     return similarity.similar_songs(B.predictions(spark, d), SEEDS, k=10)
 
 
+@query("similar_to_calm_focus")
+def q_similar_to_calm_focus(spark, d):
+    """D2 at volume: 5 nearest songs of every Calm Focus song (grid cells, one plan per round)."""
+    p = B.predictions(spark, d)
+    seeds = semantic.filter_by_tag(p, "Calm Focus").select("song_id")
+    return similarity.similar_songs_grid(p, seeds, k=5)
+
+
 @query("song_profile")
 def q_song_profile(spark, d):
     """D3: scores, tags and quadrant of chosen songs."""

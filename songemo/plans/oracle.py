@@ -540,6 +540,14 @@ d AS (SELECT seed_id, ok.song_id, (predicted_arousal - a0) ^ 2 + (predicted_vale
 r AS (SELECT *, row_number() OVER (PARTITION BY seed_id ORDER BY distance, song_id) AS rank FROM d)
 SELECT seed_id, CAST(rank AS BIGINT) AS rank, song_id, round(distance, 9) AS distance FROM r WHERE rank <= 10"""
 
+SQL["similar_to_calm_focus"] = f"""WITH {PRED_TAGGED},
+ok AS (SELECT song_id, predicted_arousal AS a, predicted_valence AS v FROM pt WHERE {FINITE}),
+seeds AS (SELECT song_id AS seed_id, predicted_arousal AS a0, predicted_valence AS v0 FROM pt WHERE t_calm),
+d AS (SELECT seed_id, ok.song_id, (a - a0) ^ 2 + (v - v0) ^ 2 AS distance
+      FROM seeds JOIN ok ON ok.song_id <> seeds.seed_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY seed_id ORDER BY distance, song_id) AS rank FROM d)
+SELECT seed_id, CAST(rank AS BIGINT) AS rank, song_id, round(distance, 9) AS distance FROM r WHERE rank <= 5"""
+
 SQL["song_profile"] = f"""WITH {PRED_TAGGED},
 mids AS (SELECT (min(CASE WHEN isnan(predicted_arousal) THEN NULL ELSE predicted_arousal END)
                  + max(CASE WHEN isnan(predicted_arousal) THEN NULL ELSE predicted_arousal END)) / 2 AS am,
