@@ -134,7 +134,7 @@ def test_plans(spark):
     plan = batch._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "BroadcastExchange" in plan
     for name in ("tags", "song_features_rich", "enrich_left_join", "key_estimation", "map_points",
-                 "labels_keep_first", "validate_features"):
+                 "labels_keep_first", "validate_features", "similar_to_calm_focus", "tempo_from_onsets"):
         s = _plan(qs[name](spark, SF001))
         assert "BatchEvalPython" not in s and "ArrowEvalPython" not in s, name
         assert "CartesianProduct" not in s and "BroadcastNestedLoopJoin" not in s, name
