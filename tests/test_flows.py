@@ -57,3 +57,6 @@ def test_run_all_end_to_end(spark):
     lines = [r.line for r in writers.metrics_report(metrics).collect()]
     assert lines[0] == "--- random_forest ---"
     assert lines[1] == "target,rmse,r2,pearson_r,n_train,n_val,cv_rmse_mean,model_path"
+
+    from songemo import cli
+    assert cli.main(["validate", "--out", paths.out_dir]) == 0   # all checks pass on this output
