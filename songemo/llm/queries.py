@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, token_blocks
+from . import bpe, language, minhash, token_blocks, toxicity
 from .base import table
 
 
@@ -20,12 +20,24 @@ def op3_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_blocks.digests(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), k=2, percent=80)
+
+
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.predictions(table(spark, sf_dir, "documents"))
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.predictions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_token_blocks, op9_bpe)}
+    return {f.__name__: f for f in (op3_token_blocks, op4_minhash, op7_language, op9_bpe, op10_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
