@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, language, minhash, token_blocks, toxicity
+from . import bpe, language, minhash, repeats, token_blocks, toxicity
 from .base import table
 
 
@@ -24,6 +24,10 @@ def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), k=2, percent=80)
 
 
+def op6_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.removal_digests(table(spark, sf_dir, "documents"), length=200)
+
+
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predictions(table(spark, sf_dir, "documents"))
 
@@ -37,7 +41,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_token_blocks, op4_minhash, op7_language, op9_bpe, op10_toxicity)}
+    return {f.__name__: f for f in (op3_token_blocks, op4_minhash, op6_suffix_array, op7_language, op9_bpe, op10_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:

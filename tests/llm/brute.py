@@ -28,3 +28,18 @@ def near(docs, k, percent):
             ra, rb = root(a), root(b)
             comp[max(ra, rb)] = min(ra, rb)
     return {d: root(d) for d in sets}, links
+
+
+def repeated(texts, length):
+    """For each text: (bytes, removed flags) by counting every string of ``length`` bytes."""
+    from collections import Counter
+    data = [(t or "").encode() for t in texts]
+    n = Counter(d[i:i + length] for d in data for i in range(len(d) - length + 1))
+    out = []
+    for d in data:
+        flag = bytearray(len(d))
+        for i in range(len(d) - length + 1):
+            if n[d[i:i + length]] > 1:
+                flag[i:i + length] = b"\1" * length
+        out.append((d, flag))
+    return out
