@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, language, minhash, repeats, token_blocks, toxicity
+from . import bpe, language, learned_partitions, minhash, norm_buckets, repeats, token_blocks, toxicity
 from .base import table
 
 
@@ -24,6 +24,10 @@ def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), k=2, percent=80)
 
 
+def op5_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return learned_partitions.nearest(table(spark, sf_dir, "embeddings"), query_step=20, k=20)
+
+
 def op6_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.removal_digests(table(spark, sf_dir, "documents"), length=200)
 
@@ -32,6 +36,10 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predictions(table(spark, sf_dir, "documents"))
 
 
+def op8_norm_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return norm_buckets.top_k(table(spark, sf_dir, "embeddings"), query_step=50, k=5, scale=256)
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
@@ -41,8 +49,9 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_token_blocks, op4_minhash, op6_suffix_array, op7_language, op9_bpe, op10_toxicity)}
+    return {f.__name__: f for f in (op3_token_blocks, op4_minhash, op5_learned_partitions, op6_suffix_array,
+                                     op7_language, op8_norm_buckets, op9_bpe, op10_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op8_norm_buckets": norm_buckets.ORACLE_SQL}
