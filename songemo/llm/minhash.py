@@ -33,7 +33,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .base import by_batch, stored
@@ -244,3 +244,18 @@ def near_duplicates(docs: DataFrame, k: int = 2, percent: int = 80) -> DataFrame
     return (member.join(comp, "rep", "left")
             .select("doc_id", "n_shingles", F.coalesce("component", "rep", "doc_id").alias("component_id"))
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
+
+
+def without_near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs`` but for those whose component holds a smaller id.
+
+    Of several rows of one id the one whose text stands for it stays; rows
+    without an id stay.
+    """
+    names = docs.columns
+    found = stored(near_duplicates(docs, k, percent), "near-duplicates")
+    out = docs.join(found.filter("not kept").select("doc_id").distinct(), "doc_id", "left_anti")
+    if not found.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").isEmpty():
+        w = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
+        out = out.withColumn("_nth", F.row_number().over(w)).filter("_nth = 1 or doc_id is null").drop("_nth")
+    return out.select(*[F.col(f"`{c}`") for c in names])

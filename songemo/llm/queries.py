@@ -4,16 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, language, learned_partitions, minhash, norm_buckets, repeats, token_blocks, toxicity
-from .base import table
+from . import (bpe, language, learned_partitions, licenses, minhash, mixing, norm_buckets, repeats, token_blocks,
+               toxicity)
+from .base import table, vocabulary
 
 
-def vocabulary(name: str) -> str:
-    """Place of a public tokenizer file (the operators take any path)."""
-    import public_tokenizers
-    return public_tokenizers.path(name)
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.schedule(table(spark, sf_dir, "documents"))
+
+
+def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
 
 
 def op3_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,8 +53,8 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_token_blocks, op4_minhash, op5_learned_partitions, op6_suffix_array,
-                                     op7_language, op8_norm_buckets, op9_bpe, op10_toxicity)}
+    return {f.__name__: f for f in (op1_mixing, op2_licenses, op3_token_blocks, op4_minhash, op5_learned_partitions,
+                                     op6_suffix_array, op7_language, op8_norm_buckets, op9_bpe, op10_toxicity)} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:

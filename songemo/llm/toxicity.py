@@ -29,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .base import by_batch, held_out, remainder4
 
@@ -144,7 +145,8 @@ def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFr
         return pa.RecordBatch.from_arrays(
             [*b.columns, pa.array(s, pa.float64()), pa.array([int(x >= threshold) for x in s], pa.int32())],
             names=[*names, "toxicity", "toxic_predicted"])
-    schema = docs.schema.add("toxicity", "double").add("toxic_predicted", "int")
+    schema = T.StructType([*docs.schema.fields, T.StructField("toxicity", T.DoubleType()),
+                           T.StructField("toxic_predicted", T.IntegerType())])
     return docs.mapInArrow(by_batch(run), schema)
 
 
