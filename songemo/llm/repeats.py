@@ -222,7 +222,7 @@ def spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     out = hits.join(found, ["key", "digest"]).select(
         "doc_id", "text_hash", F.transform("found", lambda x: F.struct((x["first"] + start).alias("first"),
                                                                        (x["last"] + start).alias("last"))).alias("s"))
-    out = stored(out.groupBy("doc_id", "text_hash").agg(F.array_distinct(F.flatten(F.collect_list("s"))).alias("spans")), "spans")
+    out = stored(out.groupBy("doc_id", "text_hash").agg(F.flatten(F.collect_list("s")).alias("spans")), "spans")
     release(spark)
     return out
 
