@@ -177,7 +177,8 @@ def _split_spans(hot: DataFrame, length: int) -> DataFrame:
 def spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """(doc_id, text_hash, spans array<struct<first, last>>): repeated bytes of each text, runs of strings."""
     spark: SparkSession = docs.sparkSession
-    often = keys(docs, length).groupBy("key").count().filter("count > 1").select("key")
+    # A stored table: only a join of two plain shuffles is split where one key is hot.
+    often = stored(keys(docs, length).groupBy("key").count().filter("count > 1").select("key"), "keys")
     hits = stored(segments(docs, length).join(often, "key"), "segments")
     release(spark)
     kinds = hits.groupBy("key", "digest").agg(
