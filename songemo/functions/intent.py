@@ -19,6 +19,7 @@ from ..config import (
     REPLY_DEFAULT_EXPLANATION,
     TAG_ORDER,
 )
+from .scalars import strip
 
 INTENT_TYPE = "struct<tags:array<string>,explanation:string>"
 
@@ -40,7 +41,7 @@ def _tag_array(tags) -> Column:
 
 def rule_intent(question: Column) -> Column:
     """STRUCT<tags ARRAY<STRING>, explanation STRING> from the keyword rules."""
-    q = F.lower(F.trim(question))
+    q = F.lower(strip(question))
     default = F.struct(
         _tag_array(INTENT_DEFAULT_TAGS).alias("tags"),
         F.lit(INTENT_DEFAULT_EXPLANATION).alias("explanation"),
@@ -59,7 +60,7 @@ def rule_intent(question: Column) -> Column:
 
 def strip_code_fence(content: Column) -> Column:
     """Trim, then drop a leading ```lang line and a trailing ``` fence."""
-    c = F.trim(content)
+    c = strip(content)
     unfenced = F.regexp_replace(F.regexp_replace(c, r"^```\w*\n?", ""), r"\n?```\s*$", "")
     return F.when(c.startswith("```"), unfenced).otherwise(c)
 
@@ -70,7 +71,8 @@ def reply_intent(content: Column, question: Column) -> Column:
     * tags may be a JSON list or a comma-separated string (split and trimmed);
     * tags outside the vocabulary are dropped; none left -> ["Neutral"];
     * a missing or empty explanation becomes the default sentence.
-    Deviation: JSON that is not an object falls back to the rules.
+    Deviation: JSON that is not an object, or whose explanation is neither
+    text nor empty, falls back to the rules.
     """
     body = strip_code_fence(content)
     parsed = F.from_json(body, "tags string, explanation string")
@@ -79,14 +81,17 @@ def reply_intent(content: Column, question: Column) -> Column:
     raw_tags = parsed.getField("tags")
     as_list = F.from_json(raw_tags, "array<string>")
     listed = F.when(raw_tags.startswith("["), as_list).otherwise(
-        F.transform(F.split(raw_tags, ","), lambda x: F.trim(x))
+        F.transform(F.split(raw_tags, ","), lambda x: strip(x))
     )
     valid = _tag_array(TAG_ORDER)
     kept = F.filter(F.coalesce(listed, F.array().cast("array<string>")),
                     lambda t: F.array_contains(valid, t))
     tags_out = F.when(F.size(kept) > 0, kept).otherwise(_tag_array(INTENT_DEFAULT_TAGS))
     expl = parsed.getField("explanation")
-    expl_out = F.trim(F.when(F.coalesce(expl, F.lit("")) == "", F.lit(REPLY_DEFAULT_EXPLANATION))
+    kind = F.schema_of_variant(F.try_variant_get(F.try_parse_json(body), "$.explanation", "variant"))
+    is_text = kind.isNull() | kind.isin("STRING", "VOID")
+    is_empty = (F.coalesce(expl, F.lit("")) == "") | (~is_text & expl.isin("0", "0.0", "false", "[]", "{}"))
+    expl_out = strip(F.when(is_empty, F.lit(REPLY_DEFAULT_EXPLANATION))
                       .otherwise(expl))
     from_reply = F.struct(tags_out.alias("tags"), expl_out.alias("explanation"))
-    return F.when(is_object, from_reply).otherwise(rule_intent(question))
+    return F.when(is_object & (is_text | is_empty), from_reply).otherwise(rule_intent(question))

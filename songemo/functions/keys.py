@@ -3,8 +3,7 @@
 Both are native expressions.  Key estimation scores the 12-bin chroma
 against 24 rotated key profiles whose numbers are literals in generated SQL
 arithmetic (``with_key_estimate``), so there is no join, no broadcast, no
-Python per row, and whole-stage codegen compiles it.  The array-lambda forms
-(``estimate_key``, ``key_scores``) are kept for use on single columns.
+Python per row, and whole-stage codegen compiles it.
 """
 
 from __future__ import annotations
@@ -91,67 +90,6 @@ def key_templates() -> list[tuple[str, list[float]]]:
     return out
 
 
-def clean_vector(v: Column) -> Column:
-    """NaN and +/-inf elements become 0."""
-    return F.transform(v, lambda x: F.when(F.isnan(x) | (F.abs(x) == F.lit(float("inf"))) | x.isNull(),
-                                           F.lit(0.0)).otherwise(x.cast("double")))
-
-
-def dot(a: Column, b: Column) -> Column:
-    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda acc, x: acc + x)
-
-
-def l2_norm(v: Column) -> Column:
-    return F.sqrt(dot(v, v))
-
-
-def unit_vector(v: Column) -> Column:
-    """v / |v|; a norm below 1e-12 divides by max(v) + 1e-12 instead."""
-    n = l2_norm(v)
-    d = F.when(n < F.lit(NORM_EPS), F.array_max(v) + F.lit(NORM_EPS)).otherwise(n)
-    return F.transform(v, lambda x: x / d)
-
-
-def cosine(a: Column, b: Column) -> Column:
-    return dot(a, b) / ((l2_norm(a) * l2_norm(b)) + F.lit(NORM_EPS))
-
-
-def rotate(v: Column, shift: int) -> Column:
-    """Roll a 12-element array right by ``shift`` (like numpy.roll)."""
-    s = shift % 12
-    if s == 0:
-        return v
-    return F.concat(F.slice(v, 13 - s, s), F.slice(v, 1, 12 - s))
-
-
-def key_scores(chroma: Column) -> Column:
-    """ARRAY<DOUBLE> of 24 template scores of the cleaned, unit chroma."""
-    return scores_of_unit(unit_vector(clean_vector(chroma)))
-
-
-def scores_of_unit(unit: Column) -> Column:
-    """24 template scores of an already cleaned, unit-length chroma column.
-
-    Pass a column reference (not an expression) so the unit vector is
-    computed once per row, not once per template.
-    """
-    return F.array(*[dot(unit, F.array(*[F.lit(x) for x in prof])) for _, prof in key_templates()])
-
-
-def usable_chroma(chroma: Column) -> Column:
-    """12 bins with at least one positive value after cleaning."""
-    return (chroma.isNotNull() & (F.size(chroma) == 12)
-            & F.exists(clean_vector(chroma), lambda x: x > 0))
-
-
-def key_from_scores(scores: Column, usable: Column, score_digits: int = 9) -> Column:
-    """Name of the best template (first on ties after rounding), else 'unknown'."""
-    names = F.array(*[F.lit(n) for n, _ in key_templates()])
-    r = F.transform(scores, lambda s: F.round(s, score_digits))
-    best = F.array_position(r, F.array_max(r)).cast("int")
-    return F.when(usable, F.element_at(names, best)).otherwise(F.lit("unknown"))
-
-
 def _num(x: float) -> str:
     return repr(float(x)) + "D"
 
@@ -191,30 +129,3 @@ def with_key_estimate(df: DataFrame, chroma_col: str = "chroma", score_digits: i
         "CASE WHEN _usable THEN element_at(_sorted, 24) END AS score",
         "CASE WHEN _usable THEN element_at(_sorted, 24) - element_at(_sorted, 23) END AS margin",
     )
-
-
-def estimate_key(chroma: Column, score_digits: int = 9) -> Column:
-    """Best-matching key name, or 'unknown'.
-
-    'unknown' when the vector is NULL, not 12 long, or has no positive value
-    after cleaning.  Scores are rounded to ``score_digits`` before the argmax
-    so that float noise cannot reorder exact ties; the first template wins.
-    """
-    names = F.array(*[F.lit(n) for n, _ in key_templates()])
-    scores = F.transform(key_scores(chroma), lambda s: F.round(s, score_digits))
-    best = F.array_position(scores, F.array_max(scores)).cast("int")
-    usable = (
-        chroma.isNotNull()
-        & (F.size(chroma) == 12)
-        & F.exists(clean_vector(chroma), lambda x: x > 0)
-    )
-    return F.when(usable, F.element_at(names, best)).otherwise(F.lit("unknown"))
-
-
-def key_score_and_margin(chroma: Column) -> Column:
-    """STRUCT<score, margin>: best score and its lead over the runner-up."""
-    scores = F.array_sort(key_scores(chroma))
-    return F.struct(
-        F.element_at(scores, 24).alias("score"),
-        (F.element_at(scores, 24) - F.element_at(scores, 23)).alias("margin"),
-    )

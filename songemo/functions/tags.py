@@ -57,11 +57,5 @@ def tags(arousal: Column, valence: Column, t: Thresholds = Thresholds()) -> Colu
     return F.array_compact(F.array(*[F.when(preds[name], F.lit(name)) for name in TAG_ORDER]))
 
 
-def tag_count_vector(arousal: Column, valence: Column, t: Thresholds = Thresholds()) -> list[Column]:
-    """0/1 integer per tag in canonical order, for sums and signatures."""
-    preds = tag_predicates(arousal, valence, t)
-    return [F.when(preds[name], F.lit(1)).otherwise(F.lit(0)) for name in TAG_ORDER]
-
-
 def list_tags() -> list[str]:
     return list(TAG_ORDER)

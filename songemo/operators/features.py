@@ -9,6 +9,8 @@ still combined map-side before the shuffle.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,35 +28,20 @@ def _null_d() -> Column:
     return F.lit(None).cast("double")
 
 
+_BAND = re.compile(re.escape(BAND_PREFIX) + r"([0-9]{1,9})\]" + re.escape(BAND_SUFFIX))
+
+
 def band_columns(columns: list[str]) -> list[str]:
     """Names audSpec_Rfilt_sma[i]_amean with digit-only i in 0..25, sorted by i."""
-    found = []
-    for c in columns:
-        if not (c.startswith(BAND_PREFIX) and c.endswith(BAND_SUFFIX)):
-            continue
-        idx = c[len(BAND_PREFIX):c.rindex("]")] if "]" in c else ""
-        if idx.isdigit():
-            try:
-                i = int(idx)
-            except ValueError:
-                continue
-            if 0 <= i <= BAND_MAX_INDEX:
-                found.append((i, c))
-    return [c for _, c in sorted(found)]
-
-
-def sample_variance(values: Column) -> Column:
-    """var (ddof 1) of the non-NULL elements of an array; < 2 elements -> NULL."""
-    xs = F.filter(values, lambda x: x.isNotNull())
-    n = F.size(xs)
-    mean = F.aggregate(xs, F.lit(0.0), lambda acc, x: acc + x) / n
-    ss = F.aggregate(xs, F.lit(0.0), lambda acc, x: acc + (x - mean) * (x - mean))
-    return F.when(n >= 2, ss / (n - F.lit(1))).otherwise(_null_d())
+    bands = {c: int(m[1]) for c in columns if (m := _BAND.fullmatch(c)) and int(m[1]) <= BAND_MAX_INDEX}
+    return sorted(bands, key=bands.get)
 
 
 def with_sample_variance(df: DataFrame, cols: list[str], out: str) -> DataFrame:
-    """Add ``out`` = ``sample_variance_sql(cols)`` in two projections (count and mean
-    first), so the mean is computed once per row instead of once per term."""
+    """Add ``out`` = sample variance (ddof 1) of the non-NULL values of ``cols`` (< 2 values: NULL).
+
+    Two projections (count and mean first), so the mean is computed once per
+    row; plain arithmetic that whole-stage codegen compiles."""
     n = " + ".join(f"CASE WHEN {c} IS NULL THEN 0 ELSE 1 END" for c in cols)
     total = "0.0D" + "".join(f" + coalesce({c}, 0.0D)" for c in cols)
     staged = df.selectExpr("*", f"({n}) AS _vn",
@@ -65,21 +52,6 @@ def with_sample_variance(df: DataFrame, cols: list[str], out: str) -> DataFrame:
         "_vn", "_vmean")
 
 
-def sample_variance_sql(cols: list[str]) -> str:
-    """Two-pass var (ddof 1) across columns of one row, skipping NULLs, as plain SQL.
-
-    Same additions in the same order as ``sample_variance`` (a NULL adds 0.0,
-    which changes nothing), but compiled by whole-stage codegen instead of
-    interpreted array lambdas.
-    """
-    n = " + ".join(f"CASE WHEN {c} IS NULL THEN 0 ELSE 1 END" for c in cols)
-    total = "0.0D" + "".join(f" + coalesce({c}, 0.0D)" for c in cols)
-    mean = f"(({total}) / CAST(({n}) AS DOUBLE))"
-    ss = "0.0D" + "".join(f" + CASE WHEN {c} IS NULL THEN 0.0D ELSE ({c} - {mean}) * ({c} - {mean}) END"
-                         for c in cols)
-    return f"CASE WHEN ({n}) >= 2 THEN ({ss}) / CAST(({n}) - 1 AS DOUBLE) END"
-
-
 def _q(name: str) -> Column:
     return F.col(f"`{name}`")
 

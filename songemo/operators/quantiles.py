@@ -5,11 +5,15 @@ That is fine for ordinary groups and not for a group holding a third of all
 rows.  So groups are first counted (a partial aggregate); groups with at most
 ``max_local`` values use ``median`` directly.  Larger ("hot") groups are
 narrowed in rounds, all hot groups at once, with their state in a small
-DataFrame: a fixed grid of approximate quantiles (a bounded sketch per group)
-proposes a value bracket around each group's middle ranks, a counting pass
-verifies it, and once a bracket holds at most ``max_local`` values those are
-sorted inside one aggregate and read off exactly.  The hot-group table is
-broadcast only after its row count was checked.
+DataFrame of two rows per group (the two middle ranks).
+
+A round takes a fixed grid of approximate quantiles of each bracket (a bounded
+sketch) and counts the rows below, at and between two of its values.  A rank
+that falls on one of the values is found; otherwise the bracket shrinks to the
+open interval beside or between them.  Brackets exclude the values tried, so
+every round makes progress, ties of any number are found by their count, and
+no list of values is ever built.  The state is broadcast only after its row
+count was checked.
 """
 
 from __future__ import annotations
@@ -25,77 +29,72 @@ ACCURACY = 20000     # sketch accuracy (rank error <= n / ACCURACY, well inside
 MAX_BROADCAST_GROUPS = 100_000
 
 
-def _pick(v: Column, r_lo: Column, r_hi: Column, below: Column) -> Column:
-    a = F.element_at(v, (r_lo - below + 1).cast("int"))
-    b = F.element_at(v, (r_hi - below + 1).cast("int"))
-    return a + (b - a) * F.lit(0.5)
+def _small(state: DataFrame, n_hot: int) -> DataFrame:
+    return F.broadcast(state) if n_hot <= MAX_BROADCAST_GROUPS else state
+
+
+def _inside(x: Column) -> Column:
+    return ((F.col("lo").isNull() | (x > F.col("lo"))) & (F.col("hi").isNull() | (x < F.col("hi"))))
+
+
+def _round(hx: DataFrame, state: DataFrame, n_hot: int) -> DataFrame:
+    """One narrowing of every bracket; ``value`` is set where the rank was found."""
+    x = F.col("_x")
+    grid = [i / GRID for i in range(GRID + 1)]
+    inside = hx.join(_small(state, n_hot), "_g").filter(_inside(x))
+    q = inside.groupBy("_g", "rank").agg(F.percentile_approx("_x", grid, ACCURACY).alias("_q"))
+    at = (F.col("rank") - F.col("below")) / F.col("inside") * GRID          # the rank's place on the grid
+    tried = state.join(q, ["_g", "rank"]).select(
+        *state.columns,
+        F.element_at("_q", F.greatest(F.lit(0), F.floor(at) - 1).cast("int") + 1).alias("a"),
+        F.element_at("_q", F.least(F.lit(GRID), F.ceil(at) + 1).cast("int") + 1).alias("b"))
+    n = (hx.join(_small(tried, n_hot), "_g").filter(_inside(x)).groupBy("_g", "rank").agg(
+        F.count_if(x < F.col("a")).alias("_lt"), F.count_if(x == F.col("a")).alias("_at_a"),
+        F.count_if((x > F.col("a")) & (x < F.col("b"))).alias("_mid"),
+        F.count_if((x == F.col("b")) & (F.col("b") > F.col("a"))).alias("_at_b"),
+        F.count_if(x > F.col("b")).alias("_gt")))
+    t = F.col("rank") - F.col("below")
+    c1 = F.col("_lt")
+    c2 = c1 + F.col("_at_a")
+    c3 = c2 + F.col("_mid")
+    c4 = c3 + F.col("_at_b")
+
+    def by_region(left, at_a, mid, at_b, right):
+        return F.when(t < c1, left).when(t < c2, at_a).when(t < c3, mid).when(t < c4, at_b).otherwise(right)
+    none = F.lit(None).cast("double")
+    return tried.join(n, ["_g", "rank"]).select(
+        "_g", "rank",
+        by_region(F.col("lo"), none, F.col("a"), none, F.col("b")).alias("lo"),
+        by_region(F.col("a"), none, F.col("b"), none, F.col("hi")).alias("hi"),
+        (F.col("below") + by_region(F.lit(0), F.lit(0), c2, F.lit(0), c4)).cast("bigint").alias("below"),
+        by_region(F.col("_lt"), F.lit(0), F.col("_mid"), F.lit(0), F.col("_gt")).cast("bigint").alias("inside"),
+        by_region(none, F.col("a"), none, F.col("b"), none).alias("value"))
 
 
-def grouped_median(df: DataFrame, group: str, value: Column, max_local: int = 1_000_000,
-                   rounds: int = 6) -> DataFrame:
+def grouped_median(df: DataFrame, group: str, value: Column, max_local: int = 1_000_000) -> DataFrame:
     """(group, median) of ``value`` per group, NULL / NaN ignored; groups without a value are absent."""
     x = df.select(F.col(group).alias("_g"), nan_to_null(value).alias("_x")).filter(F.col("_x").isNotNull())
     sizes = x.groupBy("_g").agg(F.count(F.lit(1)).alias("_n"))
-    hot = sizes.filter(F.col("_n") > max_local)
+    checkpoint_dir(df.sparkSession)
+    hot = sizes.filter(F.col("_n") > max_local).checkpoint(eager=True)
     n_hot = hot.count()
     if n_hot == 0:
         return x.groupBy("_g").agg(F.median("_x").alias("median")).withColumnRenamed("_g", group)
-    hot_keys = hot.select("_g")
-    if n_hot <= MAX_BROADCAST_GROUPS:
-        hot_keys = F.broadcast(hot_keys)  # size checked just above
+    hot_keys = _small(hot.select("_g"), n_hot)
     normal = x.join(hot_keys, "_g", "left_anti").groupBy("_g").agg(F.median("_x").alias("median"))
     hx = x.join(hot_keys, "_g", "left_semi")
-
-    state = hot.select("_g", ((F.col("_n") - 1) / 2).cast("bigint").alias("r_lo"),
-                       (F.col("_n") / 2).cast("bigint").alias("r_hi"),
-                       F.lit(None).cast("double").alias("lo"), F.lit(None).cast("double").alias("hi"),
+    none = F.lit(None).cast("double")
+    ranks = F.explode(F.array_distinct(F.array(((F.col("_n") - 1) / 2).cast("bigint"), (F.col("_n") / 2).cast("bigint"))))
+    state = hot.select("_g", ranks.alias("rank"), none.alias("lo"), none.alias("hi"),
                        F.lit(0).cast("bigint").alias("below"), F.col("_n").alias("inside"))
-    done = []
-    grid = [i / GRID for i in range(GRID + 1)]
-    checkpoint_dir(df.sparkSession)
-
-    def within(s: DataFrame) -> DataFrame:
-        j = hx.join(F.broadcast(s) if n_hot <= MAX_BROADCAST_GROUPS else s, "_g")
-        cond = F.col("lo").isNull() | ((F.col("_x") >= F.col("lo")) & (F.col("_x") <= F.col("hi")))
-        return j.filter(cond)
-
-    def finish(small: DataFrame) -> DataFrame:
-        fin = within(small).groupBy("_g", "r_lo", "r_hi", "below").agg(
-            F.array_sort(F.collect_list("_x")).alias("_v"))   # <= max_local values per group
-        return fin.select("_g", _pick(F.col("_v"), F.col("r_lo"), F.col("r_hi"), F.col("below")).alias("median"))
-
-    for _ in range(rounds):
-        state = state.checkpoint(eager=True)  # small per-group state; cuts the round lineage
-        done.append(finish(state.filter(F.col("inside") <= max_local)))
-        big = state.filter(F.col("inside") > max_local)
-        if big.isEmpty():
+    found = None
+    while True:
+        done = _round(hx, state, n_hot).checkpoint(eager=True)      # two rows per hot group; cuts the round lineage
+        values = done.filter(F.col("value").isNotNull()).select("_g", "rank", "value")
+        found = values if found is None else found.unionByName(values)
+        state = done.filter(F.col("value").isNull()).drop("value")
+        if state.isEmpty():
             break
-        q = within(big).groupBy("_g").agg(F.percentile_approx("_x", grid, ACCURACY).alias("_q"))
-        prop = big.join(q, "_g").select(
-            "*",
-            F.element_at("_q", F.greatest(F.lit(1), (F.floor((F.col("r_lo") - F.col("below")) / F.col("inside") * GRID)
-                                                     - 1).cast("int") + 1)).alias("c_lo"),
-            F.element_at("_q", F.least(F.lit(GRID + 1), (F.ceil((F.col("r_hi") - F.col("below")) / F.col("inside") * GRID)
-                                                         + 1).cast("int") + 1)).alias("c_hi"))
-        cnt = (hx.join(F.broadcast(prop.select("_g", "c_lo", "c_hi")) if n_hot <= MAX_BROADCAST_GROUPS
-                       else prop.select("_g", "c_lo", "c_hi"), "_g")
-               .groupBy("_g").agg(F.count_if(F.col("_x") < F.col("c_lo")).alias("_b"),
-                                  F.count_if((F.col("_x") >= F.col("c_lo")) & (F.col("_x") <= F.col("c_hi"))).alias("_c")))
-        nxt = prop.join(cnt, "_g")
-        ok = (F.col("_b") <= F.col("r_lo")) & (F.col("_b") + F.col("_c") > F.col("r_hi"))
-        state = nxt.select(
-            "_g", "r_lo", "r_hi",
-            F.when(ok, F.col("c_lo")).otherwise(F.col("lo")).alias("lo"),
-            F.when(ok, F.col("c_hi")).otherwise(F.col("hi")).alias("hi"),
-            F.when(ok, F.col("_b")).otherwise(F.col("below")).alias("below"),
-            F.when(ok, F.col("_c")).otherwise(F.col("inside")).alias("inside"))
-    else:
-        # Rounds used up (only if the sketch kept failing verification; each
-        # round shrinks a bracket ~GRID/2-fold): read the ranks off whatever
-        # the brackets still hold.
-        state = state.checkpoint(eager=True)
-        done.append(finish(state))
-    out = normal
-    for d_ in done:
-        out = out.unionByName(d_)
-    return out.withColumnRenamed("_g", group)
+    a, b = F.min_by("value", "rank"), F.max_by("value", "rank")
+    out = found.groupBy("_g").agg((a + (b - a) * F.lit(0.5)).alias("median"))
+    return normal.unionByName(out).withColumnRenamed("_g", group)

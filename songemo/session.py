@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import os
+import atexit
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -15,6 +16,7 @@ SESSION_DEFAULTS: dict[str, str] = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -45,19 +47,19 @@ def apply_defaults(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster that setting names a shared filesystem folder and is used as
-    is.  Only when it is unset (local runs, tests) is a private folder made.
+    On a cluster that setting must name a folder of a shared filesystem and is
+    used as is.  Only a local master (tests, single-machine runs) gets a
+    private folder when it is unset.
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir", None
     )
     if not d:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         d = tempfile.mkdtemp(prefix="songemo-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+        atexit.register(shutil.rmtree, d, ignore_errors=True)
+    if (spark.sparkContext.getCheckpointDir() or "").removeprefix("file:").rsplit("/", 1)[0] != d.removeprefix("file:").rstrip("/"):
+        spark.sparkContext.setCheckpointDir(d)
     return d
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A table path inside the shared checkpoint folder."""
-    return os.path.join(checkpoint_dir(spark), name)

@@ -176,19 +176,24 @@ def test_scalars(spark):
 
 
 def test_exact_median_bracketing(spark):
-    """The bracket search gives numpy's median, also when forced through several rounds."""
+    """The bracket search gives numpy's median, also when a coarse sketch forces several rounds."""
     import numpy as np
-    from songemo.modeling.impute import column_medians, exact_median
+    from songemo.modeling import impute
+    from songemo.modeling.impute import column_medians
     rng = np.random.default_rng(7)
     a = rng.normal(size=5001)
     b = np.round(rng.exponential(size=5001), 2)  # many ties
     rows = [(float(x), float(y) if i % 7 else None) for i, (x, y) in enumerate(zip(a, b))]
     df = spark.createDataFrame(rows, "a double, b double")
     want_b = float(np.median([r[1] for r in rows if r[1] is not None]))
-    assert exact_median(df, "a", max_local=100) == pytest.approx(float(np.median(a)), abs=0)
-    assert exact_median(df, "b", max_local=50) == pytest.approx(want_b, abs=0)
-    meds = column_medians(df, ["a", "b", "missing"], max_local=64)
-    assert meds["a"] == float(np.median(a)) and meds["b"] == want_b and meds["missing"] == 0.0
+    before = impute.ACCURACY
+    for accuracy in (before, 30):
+        impute.ACCURACY = accuracy
+        try:
+            meds = column_medians(df, ["a", "b", "missing"])
+        finally:
+            impute.ACCURACY = before
+        assert meds["a"] == float(np.median(a)) and meds["b"] == want_b and meds["missing"] == 0.0
 
 
 def test_grouped_median_hot_groups(spark):
@@ -210,3 +215,51 @@ def test_grouped_median_hot_groups(spark):
     assert set(got) == set(want)
     for g in want:
         assert got[g] == pytest.approx(want[g], abs=1e-12), g
+
+
+def test_grouped_median_of_tied_hot_group(spark):
+    """200,000 equal gaps in one group, beside ties at both middle ranks: found by counting, no list of values."""
+    from pyspark.sql import functions as F
+    from songemo.operators.quantiles import grouped_median
+    n = spark.range(200_000)
+    df = (n.select(F.lit("same").alias("g"), F.lit(0.5).alias("v"))
+          .unionByName(n.select(F.lit("two").alias("g"), (F.col("id") % 2).cast("double").alias("v")))
+          .unionByName(n.filter("id < 30001").select(F.lit("odd").alias("g"), F.greatest(F.col("id") - 20000, F.lit(0)).cast("double").alias("v"))))
+    got = {r.g: r.median for r in grouped_median(df, "g", F.col("v"), max_local=1000).collect()}
+    assert got == {"same": 0.5, "two": 0.5, "odd": 0.0}
+
+
+def test_regression_metrics_with_large_offset(spark):
+    from songemo.modeling.metrics import regression_metrics
+    rows = [(1e9 + 0.02 * (i % 10) / 10, 1e9 + 0.02 * ((i + i % 3) % 10) / 10) for i in range(1000)]
+    import numpy as np
+    y, p = np.array(rows).T
+    r = regression_metrics(spark.createDataFrame(rows, "y double, p double"), "y", "p").first()
+    yc, pc = y - 1e9, p - 1e9
+    assert r.pearson_r == pytest.approx(np.corrcoef(yc, pc)[0, 1], abs=1e-4) and -1 <= r.pearson_r <= 1
+    assert r.r2 == pytest.approx(1 - ((yc - pc) ** 2).sum() / ((yc - yc.mean()) ** 2).sum(), abs=1e-4)
+
+
+@pytest.mark.parametrize("reply,tags,explanation", [
+    ('\n```json\n{"tags": ["Calm"], "explanation": "x"}\n```', None, "x"),
+    ('{"tags": ["Negative"], "explanation": "\\n hi "}', ["Negative"], "hi"),
+    ('{"tags": ["Negative"], "explanation": 5}', ["Neutral"], None),
+    ('{"tags": ["Negative"], "explanation": ["a"]}', ["Neutral"], None),
+    ('{"tags": ["Negative"], "explanation": 0}', ["Negative"], "Songs matching your request."),
+    ('{"tags": ["Negative"], "explanation": null}', ["Negative"], "Songs matching your request."),
+])
+def test_reply_white_space_and_types(spark, reply, tags, explanation):
+    from pyspark.sql import functions as F
+    from songemo.functions.intent import reply_intent
+    df = spark.createDataFrame([(reply, "hello")], "c string, q string")
+    r = df.select(reply_intent(F.col("c"), F.col("q")).alias("i")).first().i
+    assert (tags is None or r.tags == tags) and (explanation is None or r.explanation == explanation)
+    if explanation is None:
+        assert r.explanation == df.select(reply_intent(F.lit("no json"), F.col("q")).alias("i")).first().i.explanation
+
+
+def test_band_columns_by_name():
+    from songemo.operators.features import band_columns
+    from songemo.sources.frames_csv import BAND_NAMES
+    odd = [BAND_NAMES[0].replace("[0]", x) for x in ("[26]", "[x]", "[]", "[1", "[-1]", "[0x1]")]
+    assert band_columns([BAND_NAMES[11], *odd, BAND_NAMES[2], "z" + BAND_NAMES[3]]) == [BAND_NAMES[2], BAND_NAMES[11]]
