@@ -25,14 +25,15 @@ def chroma_sums(frames: DataFrame, id_col: str = "song_id", method_col: str = "m
                 chroma_col: str = "chroma") -> DataFrame:
     """(song_id, method, chroma ARRAY<DOUBLE>[12], n_frames, usable) summed over time.
 
-    usable: every frame has 12 bins and some summed bin is > 0.
+    usable: every frame has 12 bins and some summed bin is > 0 (NaN, which Spark
+    orders above every number, is not).
     """
     c = F.col(chroma_col)
     aggs = [F.sum(F.try_element_at(c, F.lit(i + 1)).cast("double")).alias(f"_s{i}") for i in range(12)]
     aggs += [F.count(F.lit(1)).alias("n_frames"), F.count_if(F.size(c) != 12).alias("_bad")]
     g = frames.groupBy(F.col(id_col).alias("song_id"), F.col(method_col).alias("method")).agg(*aggs)
     vec = F.array(*[F.col(f"_s{i}") for i in range(12)])
-    usable = (F.col("_bad") == 0) & F.exists(vec, lambda x: x > 0)
+    usable = (F.col("_bad") == 0) & F.exists(vec, lambda x: ~F.isnan(x) & (x > 0))
     return g.select("song_id", "method", vec.alias("chroma"), "n_frames", usable.alias("usable"))
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import RICH_FEATURES, SONG_FEATURE_COLUMNS, QualityLimits
+from ..functions.scalars import strip
 
 REPORT_SCHEMA = "table string, check string, level string, value double, message string"
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
@@ -41,7 +42,7 @@ def null_counts(df: DataFrame, cols: list[str]) -> DataFrame:
 def _key_known(key: Column) -> Column:
     # known <=> stripped text non-empty and lower-cased text != 'unknown'.
     # NULL counts as unknown (deviation: the reference saw the text 'nan').
-    return key.isNotNull() & (F.trim(key) != "") & (F.lower(key) != "unknown")
+    return key.isNotNull() & (strip(key) != "") & (F.lower(key) != "unknown")
 
 
 def coverage(df: DataFrame, tempo: str = "tempo_bpm", key: str = "key",
@@ -120,7 +121,8 @@ def validate(spark, table: str, df: DataFrame, required: list[str], key: str = "
         valid = "(tempo_bpm IS NOT NULL AND NOT isnan(tempo_bpm))"
         aggs += [f"count_if({valid}) AS _tv",
                  f"count_if({valid} AND (tempo_bpm < {limits.tempo_min}D OR tempo_bpm > {limits.tempo_max}D)) AS _to",
-                 "count_if(key IS NOT NULL AND trim(key) <> '' AND lower(key) <> 'unknown') AS _kk"]
+                 "count_if(_known) AS _kk"]
+        df = df.withColumn("_known", _key_known(F.col("key")))
     names = [a.rsplit(" AS ", 1)[1] for a in aggs]
     if key in df.columns:
         per_key = df.groupBy(F.col(_q(key)).alias("_k")).agg(*[F.expr(a) for a in aggs])

@@ -18,11 +18,6 @@ AROUSAL = "predicted_arousal"
 VALENCE = "predicted_valence"
 
 
-def with_tags(df: DataFrame, arousal: str = AROUSAL, valence: str = VALENCE, out: str = "tags",
-              t: Thresholds = Thresholds()) -> DataFrame:
-    return df.withColumn(out, tags(F.col(arousal), F.col(valence), t))
-
-
 def filter_by_tag(df: DataFrame, tag: str, arousal: str = AROUSAL, valence: str = VALENCE,
                   t: Thresholds = Thresholds()) -> DataFrame:
     """Rows carrying ``tag``; all columns kept.  Unknown tag -> empty, same schema.
@@ -48,30 +43,11 @@ def tag_counts(df: DataFrame, arousal: str = AROUSAL, valence: str = VALENCE,
     return agg.select(F.inline(rows))
 
 
-def match_count_expr(requested: Column, arousal: Column, valence: Column,
-                     t: Thresholds = Thresholds()) -> Column:
-    """Per row: how many entries of ``requested`` (repeats count) the row carries."""
-    row_tags = tags(arousal, valence, t)
-    return F.aggregate(requested, F.lit(0),
-                       lambda acc, tag: acc + F.when(F.array_contains(row_tags, tag), 1).otherwise(0))
-
-
-def match_counts(df: DataFrame, requested: Column, id_col: str = "song_id", arousal: str = AROUSAL,
-                 valence: str = VALENCE, t: Thresholds = Thresholds()) -> DataFrame:
-    """(song_id, match_count) for songs matching at least one requested tag.
-
-    A duplicated song row counts again (sum per song).  The sum is a partial
-    aggregate, so a hot song id is combined map-side before the shuffle.
-    """
-    n = match_count_expr(requested, F.col(arousal), F.col(valence), t)
-    return (df.select(F.col(id_col).alias("song_id"), n.alias("_n"))
-            .filter(F.col("_n") > 0)
-            .groupBy("song_id").agg(F.sum("_n").cast("bigint").alias("match_count")))
-
-
 def match_counts_for(df: DataFrame, requested: list[str], id_col: str = "song_id", arousal: str = AROUSAL,
                      valence: str = VALENCE, t: Thresholds = Thresholds()) -> DataFrame:
-    """``match_counts`` for a tag list known when the plan is built (codegen'd sum of predicates)."""
+    """(song_id, match_count) for songs matching at least one requested tag (codegen'd sum of predicates).
+
+    A duplicated song row counts again (sum per song); the sum combines map-side."""
     preds = tag_predicates(F.col(arousal), F.col(valence), t)
     n = sum((F.when(preds[tag], 1).otherwise(0) for tag in requested if tag in preds), F.lit(0))
     return (df.select(F.col(id_col).alias("song_id"), n.alias("_n")).filter(F.col("_n") > 0)

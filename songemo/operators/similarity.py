@@ -1,8 +1,7 @@
 """Nearest songs in (arousal, valence) space and single-song profiles.
 
-``similar_songs`` takes a short list of seed ids: each seed's coordinates are
-a scalar subquery (a point lookup) and its neighbours a TakeOrderedAndProject
-over squared distance.  ``similar_songs_grid`` takes a seed table of any
+``similar_songs`` takes a short list of seed ids and scans the songs once for
+all of them.  ``similar_songs_grid`` takes a seed table of any
 size and answers all seeds together through equi-joins on grid cells.
 Neither builds a pair table of seeds x songs.  Profiles are point lookups by id.
 """
@@ -14,6 +13,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions.scalars import nan_to_null
 from ..functions.tags import finite, tags
@@ -22,26 +22,27 @@ from .views import A, V, extent, quadrant
 
 
 def similar_songs(predictions: DataFrame, seeds: list[str], k: int = 10) -> DataFrame:
-    """(seed_id, rank, song_id, distance) for the k nearest other songs of each seed."""
+    """(seed_id, rank, song_id, distance) for the k nearest other songs of each seed.
+
+    The seeds' points are looked up first (a list given by the caller, one row
+    each); then one scan computes every song's distance to each of them and
+    keeps k per seed and task before the shuffle.
+    """
     if k < 0:
         raise ValueError("k must be >= 0")
     ok = predictions.filter(finite(F.col(A)) & finite(F.col(V)))
-    parts = []
-    for s in seeds:
-        pt = ok.filter(F.col("song_id") == F.lit(s)).agg(
-            F.struct(F.min(A).alias("a"), F.min(V).alias("v"))).scalar()
-        d2 = (F.col(A) - pt.getField("a")) ** 2 + (F.col(V) - pt.getField("v")) ** 2
-        near = (ok.filter(F.col("song_id") != F.lit(s))
-                .select("song_id", d2.alias("distance"))
-                .filter(F.col("distance").isNotNull())
-                .orderBy("distance", "song_id").limit(k))
-        parts.append(near.select(F.lit(s).alias("seed_id"), "song_id", "distance"))
-    if not parts:
+    points = {r["song_id"]: (r["a"], r["v"]) for r in ok.filter(F.col("song_id").isin(*seeds)).groupBy("song_id").agg(
+        F.min(A).alias("a"), F.min(V).alias("v")).collect()} if seeds else {}
+    if not points or k == 0:
         return predictions.sparkSession.createDataFrame([], "seed_id string, rank int, song_id string, distance double")
-    out = reduce(lambda x, y: x.unionByName(y), parts)
-    from pyspark.sql.window import Window
-    w = Window.partitionBy("seed_id").orderBy("distance", "song_id")  # <= k rows per seed
-    return out.withColumn("rank", F.row_number().over(w)).select("seed_id", "rank", "song_id", "distance")
+    each = F.explode(F.array(*[F.struct(F.lit(s).alias("id"), F.lit(a).alias("a"), F.lit(v).alias("v"))
+                               for s, (a, v) in points.items()]))
+    d2 = (F.col(A) - F.col("s.a")) ** 2 + (F.col(V) - F.col("s.v")) ** 2
+    w = Window.partitionBy("seed_id").orderBy("distance", "song_id")
+    return (ok.select("song_id", A, V, each.alias("s")).filter(F.col("song_id") != F.col("s.id"))
+            .select(F.col("s.id").alias("seed_id"), "song_id", d2.alias("distance"))
+            .withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+            .select("seed_id", F.col("rank").cast("int").alias("rank"), "song_id", "distance"))
 
 
 def song_profile(predictions: DataFrame, song_ids: list[str] | DataFrame) -> DataFrame:
@@ -62,78 +63,80 @@ def song_profile(predictions: DataFrame, song_ids: list[str] | DataFrame) -> Dat
                       tags(a, v).alias("tags"), q.alias("quadrant"))
 
 
-def similar_songs_grid(predictions: DataFrame, seeds: DataFrame, k: int = 10, max_rounds: int = 8) -> DataFrame:
+def similar_songs_grid(predictions: DataFrame, seeds: DataFrame, k: int = 10) -> DataFrame:
     """Exact k nearest songs for every seed of a seed table, in one plan per round.
 
-    Points are bucketed into square cells sized for about k points each.
-    Each round joins every unsatisfied seed with the cells of its ring
-    (Chebyshev radius r around its own cell) on the cell key, ranks the
-    candidates with ``row_number() <= k`` (partial per-task limit before the
-    shuffle) and accepts a seed when its k-th distance is at most r times the
-    cell size (no point outside the ring can be closer) or when the ring
-    covers the whole extent.  Others go to the next round with a doubled
-    ring.  No seed-by-song pair table is built; work per seed follows the
-    density around it.
+    Songs are first reduced to their distinct points, each with its k + 1
+    smallest ids; no answer can need more of a point's songs, so what is
+    compared are points, however many songs share one.  Points fall into
+    square cells sized for about k of them.  Each round joins every pending
+    seed point with the cells of its ring (Chebyshev radius r around its own
+    cell) on the cell key and ranks the candidates.  A seed point is done when
+    its k + 1 nearest songs (itself among them) lie within r times the cell
+    size (no point outside the ring can be closer) or when the ring covers the
+    whole extent; the others go on with a doubled ring, so the rounds end with
+    the extent.  The seeds' own songs are joined back last.
     """
-    from pyspark.sql.window import Window
-
     if k < 0:
         raise ValueError("k must be >= 0")
     spark = predictions.sparkSession
-    pts = predictions.filter(finite(F.col(A)) & finite(F.col(V))).select("song_id", F.col(A).alias("a"),
-                                                                       F.col(V).alias("v"))
+    songs = predictions.filter(finite(F.col(A)) & finite(F.col(V))).select("song_id", F.col(A).alias("a"),
+                                                                         F.col(V).alias("v"))
+    empty = spark.createDataFrame([], "seed_id string, rank int, song_id string, distance double")
+    of_point = Window.partitionBy("a", "v").orderBy("song_id")
+    pts = _stable(songs.distinct().withColumn("_n", F.row_number().over(of_point)).filter(F.col("_n") <= k + 1)
+                  .groupBy("a", "v").agg(F.collect_list("song_id").alias("ids")))       # <= k + 1 ids each
     ext = pts.agg(F.min("a").alias("a0"), F.max("a").alias("a1"), F.min("v").alias("v0"),
                   F.max("v").alias("v1"), F.count(F.lit(1)).alias("n")).first()   # one row
-    empty = spark.createDataFrame([], "seed_id string, rank int, song_id string, distance double")
     if not ext["n"] or k == 0:
         return empty
     span = max(ext["a1"] - ext["a0"], ext["v1"] - ext["v0"], 1e-9)
-    cells_per_axis = max(1, int((ext["n"] / max(k, 1)) ** 0.5))
+    cells_per_axis = max(1, int((ext["n"] / k) ** 0.5))
     h = span / cells_per_axis
     cell = lambda col: F.floor(F.col(col) / F.lit(h)).cast("bigint")
     lo_x, hi_x = math.floor(ext["a0"] / h), math.floor(ext["a1"] / h)   # same floor(x / h) as the cells
     lo_y, hi_y = math.floor(ext["v0"] / h), math.floor(ext["v1"] / h)
-    grid = pts.select("song_id", "a", "v", cell("a").alias("cx"), cell("v").alias("cy"))
-    pending = (pts.join(seeds.select("song_id").distinct(), "song_id", "left_semi")
-               .select(F.col("song_id").alias("seed_id"), F.col("a").alias("sa"), F.col("v").alias("sv"),
-                       cell("a").alias("scx"), cell("v").alias("scy")))
-    done = []
+    grid = pts.select("ids", "a", "v", cell("a").alias("cx"), cell("v").alias("cy"))
+    asked = _stable(songs.join(seeds.select("song_id").distinct(), "song_id", "left_semi")
+                    .select(F.col("song_id").alias("seed_id"), F.col("a").alias("sa"), F.col("v").alias("sv")).distinct())
+    pending = asked.select("sa", "sv").distinct().withColumns({"scx": cell("sa"), "scy": cell("sv")})
+    point = ["sa", "sv"]
+    by_distance = Window.partitionBy(*point).orderBy("distance")
+    by_song = Window.partitionBy(*point).orderBy("distance", "song_id")
+    near = []
     r = 1
-    w = Window.partitionBy("seed_id").orderBy("distance", "song_id")
-    for _ in range(max_rounds):
+    while True:
         pending = _stable(pending)
         if pending.isEmpty():
             break
         ring = (pending.withColumn("dx", F.explode(F.sequence(F.lit(-r), F.lit(r))))
                 .withColumn("dy", F.explode(F.sequence(F.lit(-r), F.lit(r))))
-                .select("seed_id", "sa", "sv", "scx", "scy", (F.col("scx") + F.col("dx")).alias("cx"),
+                .select(*point, "scx", "scy", (F.col("scx") + F.col("dx")).alias("cx"),
                         (F.col("scy") + F.col("dy")).alias("cy")))
-        cand = (ring.join(grid, ["cx", "cy"]).filter(F.col("song_id") != F.col("seed_id"))
-                .select("seed_id", "scx", "scy", "song_id",
-                        ((F.col("a") - F.col("sa")) ** 2 + (F.col("v") - F.col("sv")) ** 2).alias("distance")))
-        top = cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
-        stat = top.groupBy("seed_id", "scx", "scy").agg(F.count(F.lit(1)).alias("_found"),
-                                                          F.max("distance").alias("_dk"))
+        d2 = (F.col("a") - F.col("sa")) ** 2 + (F.col("v") - F.col("sv")) ** 2
+        # every point holds at least one song: k + 1 nearest points, with ties, hold the k + 1 nearest songs
+        cand = (ring.join(grid, ["cx", "cy"]).withColumn("distance", d2)
+                .withColumn("_r", F.rank().over(by_distance)).filter(F.col("_r") <= k + 1))
+        top = (cand.select(*point, "scx", "scy", "distance", F.explode("ids").alias("song_id"))
+               .withColumn("_r", F.row_number().over(by_song)).filter(F.col("_r") <= k + 1))
+        stat = top.groupBy(*point).agg(F.count(F.lit(1)).alias("_found"), F.max("distance").alias("_dk"))
         covers = ((F.col("scx") - r <= lo_x) & (F.col("scx") + r >= hi_x)
                   & (F.col("scy") - r <= lo_y) & (F.col("scy") + r >= hi_y))
         # accept below (r - 0.001) cells: a point that rounding put one cell off
         # is still at least that far away, so it cannot be missed
         safe = ((r - 0.001) * h) ** 2
-        ok_seeds = pending.join(stat, ["seed_id", "scx", "scy"], "left").filter(
-            covers | ((F.col("_found") == k) & (F.col("_dk") <= F.lit(safe)))).select("seed_id")
-        ok_seeds = _stable(ok_seeds)
-        done.append(top.join(ok_seeds, "seed_id", "left_semi").select("seed_id", "rank", "song_id", "distance"))
-        pending = pending.join(ok_seeds, "seed_id", "left_anti")
+        ok = _stable(pending.join(stat, point).filter(
+            covers | ((F.col("_found") == k + 1) & (F.col("_dk") <= F.lit(safe)))).select(*point))
+        near.append(_stable(top.join(ok, point, "left_semi").select(*point, "song_id", "distance")))
+        pending = pending.join(ok, point, "left_anti")
         r = 2 * r + 1
-    else:
-        # rings used up: the remaining seeds get an exact scan each
-        rest = [row["seed_id"] for row in pending.select("seed_id").collect()]
-        if rest:
-            done.append(similar_songs(predictions, rest, k).select("seed_id", "rank", "song_id", "distance"))
-    out = empty
-    for d_ in done:
-        out = out.unionByName(d_.select("seed_id", F.col("rank").cast("int").alias("rank"), "song_id", "distance"))
-    return out
+    found = reduce(lambda x, y: x.unionByName(y), near) if near else None
+    if found is None:
+        return empty
+    of_seed = Window.partitionBy("seed_id").orderBy("distance", "song_id")
+    return (asked.join(found, point).filter(F.col("song_id") != F.col("seed_id"))
+            .withColumn("rank", F.row_number().over(of_seed)).filter(F.col("rank") <= k)
+            .select("seed_id", F.col("rank").cast("int").alias("rank"), "song_id", "distance"))
 
 
 def _stable(df: DataFrame) -> DataFrame:

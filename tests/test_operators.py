@@ -154,3 +154,43 @@ def test_tree_random_search(spark):
     assert set(best) == set(space) and cv_mean == min(r[3] for r in cv_rows) and len(cv_rows) == 3
     pred = model.transform(df).select("y", "prediction").toPandas()
     assert np.corrcoef(pred.y, pred.prediction)[0, 1] > 0.9
+
+
+def test_nan_chroma_falls_to_next_method(spark):
+    from songemo.operators import audio
+    nan = float("nan")
+    good = [1.0, 0.0, 0.0, 0.0, 1.0, 0.0, 0.0, 1.0, 0.0, 0.0, 0.0, 0.0]
+    rows = [("a", "stft", 0, [nan] * 12), ("a", "cqt", 0, good), ("b", "stft", 0, [nan] * 11 + [2.0]), ("c", "stft", 0, [nan] * 12)]
+    df = spark.createDataFrame(rows, "song_id string, method string, frame_idx long, chroma array<double>")
+    got = {r.song_id: r.method for r in audio.first_usable_chroma(audio.chroma_sums(df)).collect()}
+    assert got == {"a": "cqt", "b": "stft"}
+    assert {r.song_id: r.key for r in audio.song_keys(df).collect()}["a"] != "unknown"
+
+
+def test_key_of_white_space_is_unknown(spark):
+    from songemo.operators import quality
+    df = spark.createDataFrame([("1", 100.0, "\t"), ("2", 100.0, " \n"), ("3", 100.0, "C major"), ("4", None, "Unknown"), ("5", 1.0, None)],
+                               "song_id string, tempo_bpm double, key string")
+    assert quality.coverage(df).first().n_key_known == 1
+
+
+def test_similar_songs_with_shared_points(spark):
+    """Many songs on few points: answers equal brute force, with ties by id; the cell join sees points, not songs."""
+    import random
+    from songemo.operators import similarity
+    rng = random.Random(4)
+    pts = [(rng.randint(0, 6) / 2, rng.randint(0, 6) / 2) for _ in range(12)]
+    rows = [(f"s{i:03d}", *rng.choice(pts)) for i in range(300)] + [("far", 40.0, 1.0), ("nan", float("nan"), 1.0)]
+    df = spark.createDataFrame(rows, "song_id string, predicted_arousal double, predicted_valence double")
+    ok = rows[:-1]
+    def brute(s, k):
+        _, a, v = next(r for r in ok if r[0] == s)
+        return [x for _, x in sorted(((r[1] - a) ** 2 + (r[2] - v) ** 2, r[0]) for r in ok if r[0] != s)[:k]]
+    seeds = ["s000", "s007", "far", "s123", "nan", "none"]
+    table = spark.createDataFrame([(s,) for s in seeds], "song_id string")
+    for k in (1, 5, 40, 400):
+        for out in (similarity.similar_songs(df, seeds, k), similarity.similar_songs_grid(df, table, k)):
+            got = {}
+            for r in out.collect():
+                got.setdefault(r.seed_id, []).append((r["rank"], r.song_id))
+            assert {s: [x for _, x in sorted(v)] for s, v in got.items()} == {s: brute(s, k) for s in seeds[:4]}
