@@ -237,11 +237,8 @@ def q_labels_keep_first(spark, d):
 @query("labels_union_all")
 def q_labels_union_all(spark, d):
     """Annotation files concatenated (UNION ALL), numbers parsed."""
-    rows = B.annotation_rows(spark, d)
-    kinds = ["click", "error", "purchase", "signup", "view"]
-    parts = [labels.coerce_labels(rows.filter(F.col("file_name") == k), keep=("file_name", "line_no"))
-             for k in kinds]
-    return labels.union_all(parts)
+    files = [B.annotation_rows(spark, d), B.order_annotation_rows(spark, d)]
+    return labels.union_all([labels.coerce_labels(f, keep=("file_name", "line_no")) for f in files])
 
 
 @query("ids_intersect")

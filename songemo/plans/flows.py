@@ -164,7 +164,7 @@ def run_all(spark: SparkSession, paths: PipelinePaths, force: bool = False, fast
         steps.append(("predict", "ok", pr))
     except Exception as e:  # noqa: BLE001 - recorded in the manifest, then re-raised
         error = f"{type(e).__name__}: {e}"
-        steps.append(("pipeline", "fail", error[:500]))
+        steps.append(("pipeline", "fail", error))
     finally:
         rep = None
         try:
@@ -184,7 +184,7 @@ def run_all(spark: SparkSession, paths: PipelinePaths, force: bool = False, fast
             else:
                 steps.append(("validate", "fail", "song_features missing"))
         except Exception as e:  # noqa: BLE001
-            steps.append(("validate", "fail", f"{type(e).__name__}: {e}"[:500]))
+            steps.append(("validate", "fail", f"{type(e).__name__}: {e}"))
         writers.append_manifest(writers.manifest_row(spark, run_id, started, steps, error,
                                                      {"fast": fast, "force": force, "tune": tune}),
                                 paths.table("runs"))

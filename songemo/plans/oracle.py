@@ -269,7 +269,10 @@ SELECT song_id, round(arousal, 9) AS arousal, round(valence, 9) AS valence FROM
 
 SQL["labels_union_all"] = f"""WITH {ANNOT}
 SELECT file_name, line_no, song_id, round(arousal, 9) AS arousal, round(valence, 9) AS valence
-FROM annot WHERE file_name IN ('click', 'error', 'purchase', 'signup', 'view')"""
+FROM annot
+UNION ALL
+SELECT 'orders', o_orderkey, CAST(o_custkey AS VARCHAR), TRY_CAST(substr(o_orderpriority, 1, 1) AS DOUBLE),
+       CAST(year(CAST(o_orderdate AS DATE)) AS DOUBLE) FROM orders"""
 
 SQL["ids_intersect"] = """SELECT CAST(l_orderkey AS VARCHAR) AS song_id FROM lineitem
 INTERSECT SELECT CAST(o_orderkey AS VARCHAR) FROM orders"""

@@ -9,19 +9,18 @@ ordinary aggregates.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import AROUSAL_ALIASES, ID_ALIASES, VALENCE_ALIASES
 from ..functions.scalars import nan_to_null, strip, to_numeric_or_null
 from ..operators import labels as L
+from .files import matches
 from .text_tables import _unquote as unquote
 from .text_tables import read_text_by_header
 
-SONG_LEVEL_SUBDIR = os.path.join("annotations averaged per song", "song_level")
-DYNAMIC_SUBDIR = os.path.join("annotations averaged per song", "dynamic (per second annotations)")
+SONG_LEVEL_SUBDIR = "annotations averaged per song/song_level"
+DYNAMIC_SUBDIR = "annotations averaged per song/dynamic (per second annotations)"
 STATIC_GLOB = "static_annotations_averaged_songs_*.csv"
 
 
@@ -41,13 +40,10 @@ def _role_position(names: Column, aliases: tuple[str, ...], word: str, is_id: bo
 
 def static_rows(spark: SparkSession, annotations_dir: str) -> DataFrame | None:
     """(file_name, line_no, song_id, arousal, valence) text rows of the static files, or None."""
-    d = os.path.join(annotations_dir, SONG_LEVEL_SUBDIR)
-    if not os.path.isdir(d):
-        return None
-    import glob
-    if not glob.glob(os.path.join(d, STATIC_GLOB)):
+    pattern = f"{annotations_dir.rstrip('/')}/{SONG_LEVEL_SUBDIR}/{STATIC_GLOB}"
+    if not matches(spark, pattern):
         return None
-    h, data = read_text_by_header(spark, os.path.join(d, STATIC_GLOB), sep=None)
+    h, data = read_text_by_header(spark, pattern, sep=None)
     h = h.select("path", _role_position(F.col("names"), ID_ALIASES, "song", True).alias("p_id"),
                  _role_position(F.col("names"), AROUSAL_ALIASES, "arousal", False).alias("p_a"),
                  _role_position(F.col("names"), VALENCE_ALIASES, "valence", False).alias("p_v"))
@@ -68,7 +64,7 @@ def _long(h: DataFrame, data: DataFrame) -> DataFrame:
     j = data.join(h, "path")
     cells = F.arrays_zip(F.col("names"), F.col("cells"))
     return j.select("path", "line_key", unquote(F.element_at("cells", 1)).alias("first"),
-                    F.posexplode(F.slice(cells, 2, 1_000_000)).alias("pos", "nc")).select(
+                    F.posexplode(cells).alias("pos", "nc")).filter("pos > 0").select(
         "path", "line_key", "first", "pos", F.col("nc.names").alias("name"),
         to_numeric_or_null(unquote(F.col("nc.cells"))).alias("value"))
 
@@ -82,9 +78,8 @@ def dynamic_labels(spark: SparkSession, annotations_dir: str) -> DataFrame | Non
     are songs (row means; ids present in both files).  Deviation: the
     delimiter is sniffed per file here too.
     """
-    d = os.path.join(annotations_dir, DYNAMIC_SUBDIR)
-    pa, pv = os.path.join(d, "arousal.csv"), os.path.join(d, "valence.csv")
-    if not (os.path.exists(pa) and os.path.exists(pv)):
+    pa, pv = (f"{annotations_dir.rstrip('/')}/{DYNAMIC_SUBDIR}/{n}.csv" for n in ("arousal", "valence"))
+    if not (matches(spark, pa) and matches(spark, pv)):
         return None
     ha, da = read_text_by_header(spark, pa, sep=None)
     hv, dv = read_text_by_header(spark, pv, sep=None)
@@ -111,4 +106,7 @@ def dynamic_labels(spark: SparkSession, annotations_dir: str) -> DataFrame | Non
 
 def load_labels(spark: SparkSession, annotations_dir: str) -> DataFrame:
     """Static labels unless absent or empty, else dynamic; neither -> FileNotFoundError."""
-    return L.prefer_static(static_labels(spark, annotations_dir), dynamic_labels(spark, annotations_dir))
+    static = static_labels(spark, annotations_dir)
+    if static is not None and not static.isEmpty():
+        return static                               # the dynamic files are not opened
+    return L.prefer_static(None, dynamic_labels(spark, annotations_dir))

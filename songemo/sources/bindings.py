@@ -142,6 +142,14 @@ def annotation_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
                      _sid("user_id").alias("song_id"), a_txt.alias("arousal"), v_txt.alias("valence"))
 
 
+def order_annotation_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second annotation file from orders: song = customer, arousal text = priority's digit, valence text = year."""
+    o = table(spark, sf_dir, "orders")
+    return o.select(F.lit("orders").alias("file_name"), F.col("o_orderkey").alias("line_no"),
+                    _sid("o_custkey").alias("song_id"), F.substring("o_orderpriority", 1, 1).alias("arousal"),
+                    F.year("o_orderdate").cast("string").alias("valence"))
+
+
 # ---------------------------------------------------- dynamic (wide) labels
 def dynamic_arousal_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Songs-as-rows arousal matrix: one row per order, t1..t4 = mean measures."""

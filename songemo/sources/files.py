@@ -66,3 +66,10 @@ def latest_runs(runs: DataFrame, run_col: str = "run_id", group_col: str | None
     keys = [group_col] if group_col else []
     g = runs.groupBy(*keys).agg(F.max(valid).alias("_latest"))
     return g.select(*keys, F.coalesce(F.col("_latest"), F.lit(base)).alias("latest_run"))
+
+
+def matches(spark: SparkSession, pattern: str) -> bool:
+    """Whether a path or glob names anything, on any Hadoop filesystem."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(p)
+    return found is not None and len(found) > 0

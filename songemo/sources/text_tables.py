@@ -48,8 +48,14 @@ def sniff_sep(header: Column, preferred: str = ";", fallback: str = ",") -> Colu
 
 
 def _split(value: Column, sep: Column) -> Column:
-    # literal separator, keep empty trailing cells (fields are unquoted where picked)
-    return F.split(value, F.concat(F.lit("\\Q"), sep, F.lit("\\E")), -1)
+    """Cells of a line, still quoted; a separator inside a quoted cell does not split."""
+    plain = F.split(value, F.concat(F.lit("\\Q"), sep, F.lit("\\E")), -1)
+
+    def quoted(s: str) -> Column:
+        cells = F.regexp_extract_all(value, F.lit(f'("(?:[^"]|"")*"[^{s}]*|[^{s}]*)(?:{s}|$)'), F.lit(1))
+        # the match at the very end is a cell of its own only after a separator
+        return F.when(value.endswith(s), cells).otherwise(F.slice(cells, 1, F.size(cells) - 1))
+    return F.when(~value.contains('"'), plain).when(sep == ";", quoted(";")).otherwise(quoted(","))
 
 
 def split_header(header: Column, sep: Column) -> Column:

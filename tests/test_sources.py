@@ -99,3 +99,55 @@ def test_bom_and_quotes(spark):
            '﻿"song_id","arousal","valence"\n"5","3.5","6"\n')
     got = {r.song_id: (r.arousal, r.valence) for r in annotations.static_labels(spark, d).collect()}
     assert got == {"5": (3.5, 6.0)}
+
+
+def _annotations(tmp_path, static=True, dynamic=True):
+    import os
+    from songemo.sources import annotations as an
+    root = str(tmp_path / "an notations")
+    if static:
+        os.makedirs(f"{root}/{an.SONG_LEVEL_SUBDIR}")
+        with open(f"{root}/{an.SONG_LEVEL_SUBDIR}/static_annotations_averaged_songs_1.csv", "w") as f:
+            f.write('note;song_id;arousal_mean;valence_mean\n"a;b ""c""";1;5;4\nplain;2;3;2.5\n;3;1;1\n')
+    if dynamic:
+        os.makedirs(f"{root}/{an.DYNAMIC_SUBDIR}")
+        for n, text in (("arousal", "time,1,2\n0.5,1,2\n"), ("valence", "time,1\n0.5,1\n")):       # these do not match
+            with open(f"{root}/{an.DYNAMIC_SUBDIR}/{n}.csv", "w") as f:
+                f.write(text)
+    return root
+
+
+def test_quoted_cells_and_static_labels_first(spark, tmp_path):
+    from songemo.sources import annotations as an
+    root = _annotations(tmp_path)
+    want = {("1", 5.0, 4.0), ("2", 3.0, 2.5), ("3", 1.0, 1.0)}
+    for path in (root, root + "/", "file://" + root.replace(" ", "%20")):
+        rows = an.load_labels(spark, path.replace("%20", " ")).select("song_id", "arousal", "valence").collect()
+        assert {tuple(r) for r in rows} == want
+
+
+def test_mismatched_dynamic_files_fail_only_when_used(spark, tmp_path):
+    import pytest
+    from songemo.sources import annotations as an
+    with pytest.raises(ValueError):
+        an.load_labels(spark, _annotations(tmp_path, static=False)).collect()
+    with pytest.raises(FileNotFoundError):
+        an.load_labels(spark, str(tmp_path / "nothing"))
+
+
+def test_split_cells(spark):
+    from pyspark.sql import functions as F
+    from songemo.sources.text_tables import _split
+    lines = ['a;b', 'a;b;', ';', '"x;y";z', '"x;y";', '"q ""r"";";1;"2"', 'a"b;c', '"open;1']
+    got = [r.c for r in spark.createDataFrame([(i, v) for i, v in enumerate(lines)], "i int, v string").orderBy("i").select(
+        _split(F.col("v"), F.lit(";")).alias("c")).collect()]
+    assert got == [["a", "b"], ["a", "b", ""], ["", ""], ['"x;y"', "z"], ['"x;y"', ""], ['"q ""r"";"', "1", '"2"'],
+                   ['a"b', "c"], ['"open', "1"]]
+
+
+def test_wide_dynamic_matrix_keeps_every_column(spark, tmp_path):
+    from songemo.sources import annotations as an
+    h = spark.createDataFrame([("p", ["t"] + [f"c{i}" for i in range(5)])], "path string, names array<string>")
+    d = spark.createDataFrame([("p", 1, ["0"] + [str(i) for i in range(5)])], "path string, line_key int, cells array<string>")
+    got = an._long(h, d).orderBy("pos").select("pos", "name", "value").collect()
+    assert [tuple(r) for r in got] == [(i + 1, f"c{i}", float(i)) for i in range(5)]
