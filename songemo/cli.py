@@ -1,6 +1,6 @@
 """Command line: the pipeline and the question / tag / validation reports as Spark jobs.
 
-    python -m songemo run --frames DIR --annotations DIR --out DIR [--chroma P] [--onsets P] [--force] [--full]
+    python -m songemo run --frames DIR --annotations DIR --out DIR [--chroma P] [--onsets P] [--force] [--fast]
     python -m songemo ask "Find calm music" --predictions PATH [-k 20]
     python -m songemo tags --predictions PATH
     python -m songemo validate --out DIR
@@ -38,7 +38,7 @@ def _predictions(spark: SparkSession, path: str):
 def cmd_run(a) -> int:
     spark = _spark()
     paths = flows.PipelinePaths(a.frames, a.annotations, a.out, a.chroma, a.onsets)
-    report = flows.run_all(spark, paths, force=a.force, fast=not a.full)
+    report = flows.run_all(spark, paths, force=a.force, fast=a.fast)
     bad = report.filter(F.col("level") == "error").count() if report is not None else 1
     print("Overall:", "PASSED" if bad == 0 else "FAILED")
     return 0 if bad == 0 else 1
@@ -98,7 +98,7 @@ def main(argv: list[str] | None = None) -> int:
     r.add_argument("--chroma")
     r.add_argument("--onsets")
     r.add_argument("--force", action="store_true")
-    r.add_argument("--full", action="store_true", help="64 search iterations instead of 5")
+    r.add_argument("--fast", action="store_true", help="5 search iterations instead of 64")
     r.set_defaults(fn=cmd_run)
     q = sub.add_parser("ask", help="ranked songs for a question")
     q.add_argument("question", nargs="+")

@@ -86,12 +86,14 @@ def song_features(frames: DataFrame, rich: bool = True, measures: dict[str, str]
     return g.select("song_id", *[cols[f].alias(f) for f in order])
 
 
-def band_variance_from_arrays(frames: DataFrame, bands_col: str = "bands", n_bands: int = BAND_MAX_INDEX + 1,
-                              id_col: str = "song_id") -> DataFrame:
-    """(song_id, auditory_band_variance, n_bands) when bands are stored as an array column."""
-    aggs = [F.avg(nan_to_null(F.try_element_at(F.col(bands_col), F.lit(i + 1)))).alias(f"_b{i}") for i in range(n_bands)]
-    g = frames.groupBy(F.col(id_col).alias("song_id")).agg(*aggs)
-    cols = [f"_b{i}" for i in range(n_bands)]
+def band_variance(frames: DataFrame, id_col: str = "song_id") -> DataFrame:
+    """(song_id, auditory_band_variance, n_bands) over the band columns that are found by name."""
+    bands = band_columns(frames.columns)
+    cols = [f"_b{i}" for i in range(len(bands))]
+    g = frames.groupBy(F.col(id_col).alias("song_id")).agg(
+        F.count(F.lit(1)).alias("_rows"), *[F.avg(nan_to_null(_q(b))).alias(c) for b, c in zip(bands, cols)])
+    if not bands:
+        return g.select("song_id", _null_d().alias("auditory_band_variance"), F.lit(0).alias("n_bands"))
     g = with_sample_variance(g, cols, "auditory_band_variance")
     return g.selectExpr("song_id", "auditory_band_variance",
                         " + ".join(f"CASE WHEN {c} IS NULL THEN 0 ELSE 1 END" for c in cols) + " AS n_bands")

@@ -122,16 +122,16 @@ def validate(spark, table: str, df: DataFrame, required: list[str], key: str = "
         aggs += [f"count_if({valid}) AS _tv",
                  f"count_if({valid} AND (tempo_bpm < {limits.tempo_min}D OR tempo_bpm > {limits.tempo_max}D)) AS _to",
                  "count_if(_known) AS _kk"]
-        df = df.withColumn("_known", _key_known(F.col("key")))
     names = [a.rsplit(" AS ", 1)[1] for a in aggs]
+    measured = df.withColumn("_known", _key_known(F.col("key"))) if has_cov else df
     if key in df.columns:
-        per_key = df.groupBy(F.col(_q(key)).alias("_k")).agg(*[F.expr(a) for a in aggs])
+        per_key = measured.groupBy(F.col(_q(key)).alias("_k")).agg(*[F.expr(a) for a in aggs])
         stats = per_key.selectExpr(
             "CAST(coalesce(sum(n), 0) AS BIGINT) AS n",
             "CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS duplicate_rows",
             *[f"CAST(coalesce(sum({c}), 0) AS BIGINT) AS {c}" for c in names if c != "n"])
     else:
-        stats = df.agg(*[F.expr(a) for a in aggs]).withColumn("duplicate_rows", F.lit(0).cast("bigint"))
+        stats = measured.agg(*[F.expr(a) for a in aggs]).withColumn("duplicate_rows", F.lit(0).cast("bigint"))
     if expected_rows is not None:
         # scalar subquery: the other table's row count, no join
         stats = stats.withColumn("_exp", expected_rows.select(F.count(F.lit(1))).scalar())

@@ -174,7 +174,7 @@ def q_song_features_minimal(spark, d):
 @query("band_variance")
 def q_band_variance(spark, d):
     """A2 + P7: variance across the 26 per-band means of each song."""
-    return features.band_variance_from_arrays(B.band_frames(spark, d))
+    return features.band_variance(B.band_frames(spark, d))
 
 
 # ------------------------------------------------------------------- joins

@@ -85,28 +85,25 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
-def _fingerprint(spark: SparkSession, paths: list[str | None]) -> str:
-    """Hash of each input's content summary (bytes, files, folders) and top-level mtimes.
+def _fingerprint(spark: SparkSession, paths: list[str | None], *settings) -> str:
+    """Hash of the settings and of every file below each input: its path, size and modification time.
 
-    Metadata only, and no per-file listing on the driver: the filesystem
-    computes the summary (one call on HDFS), so this stays cheap for inputs
-    with millions of files.
+    The files are a table (listed by Spark, without their content) that is
+    aggregated to one row, so nothing per file is handled here.
     """
-    h = hashlib.sha256()
+    h = hashlib.sha256(repr(settings).encode())
     for path in paths:
         if not path or not _exists(spark, path):
             continue
-        fs, p = _fs(spark, path)
-        cs = fs.getContentSummary(p)
-        h.update(f"{path}|{cs.getLength()}|{cs.getFileCount()}|{cs.getDirectoryCount()}".encode())
-        tops = fs.listStatus(p)
-        for st in sorted((f"{t.getPath().getName()}|{t.getModificationTime()}|{t.getLen()}" for t in tops)):
-            h.update(st.encode())
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+        row = files.agg(F.count(F.lit(1)), F.sum("length"),
+                        F.bit_xor(F.xxhash64("path", "length", "modificationTime"))).first()
+        h.update(f"{path}|{tuple(row)}".encode())
     return h.hexdigest()
 
 
-def _done(spark: SparkSession, path: str, fp: str) -> bool:
-    if not _exists(spark, path.rstrip("/") + "/_SUCCESS") or not _exists(spark, path.rstrip("/") + "/_fingerprint"):
+def _done(spark: SparkSession, path: str, fp: str, table: bool = True) -> bool:
+    if not (table and _exists(spark, path.rstrip("/") + "/_SUCCESS") or not table) or not _exists(spark, path.rstrip("/") + "/_fingerprint"):
         return False
     fs, p = _fs(spark, path.rstrip("/") + "/_fingerprint")
     stream = fs.open(p)
@@ -124,10 +121,12 @@ def _mark(spark: SparkSession, path: str, fp: str) -> None:
     out.close()
 
 
-def run_all(spark: SparkSession, paths: PipelinePaths, force: bool = False, fast: bool = True,
+def run_all(spark: SparkSession, paths: PipelinePaths, force: bool = False, fast: bool = False,
             tune: bool = True, include_boosted: bool = True) -> DataFrame:
     """C4: the whole chain with step reuse; returns the validation report.
 
+    ``fast`` searches 5 settings per model instead of 64.
+
     Steps: enrich -> labels + modeling_dataset -> train -> predict -> validate
     (validation always runs).  Appends a manifest row to ``<out>/runs``.
     """
@@ -154,14 +153,28 @@ def run_all(spark: SparkSession, paths: PipelinePaths, force: bool = False, fast
             writers.write_table(joins.modeling_dataset(spark.read.parquet(sf), spark.read.parquet(lb)), md)
             _mark(spark, md, fp2)
             steps.append(("labels_and_join", "ok", md))
-        res, prep, rid = T.train_all(spark.read.parquet(md), fast=fast, tune=tune, include_boosted=include_boosted,
-                                     run_id=run_id, models_dir=paths.table("models"))
-        writers.write_table(T.metrics_frame(spark, res), paths.table(f"metrics/run_id={rid}"))
-        steps.append(("train", "ok", f"{len(res.metrics)} models, run {rid}"))
-        kind = "boosted_trees" if include_boosted else "ridge"
-        writers.write_table(T.predict(spark.read.parquet(sf), res.models, prep.medians, kind=kind), pr)
-        prep.release()
-        steps.append(("predict", "ok", pr))
+        models = paths.table("models")
+        fp3 = _fingerprint(spark, [md], fast, tune, include_boosted)
+        if not force and _done(spark, models, fp3, table=False):
+            steps.append(("train", "skipped", "reused the latest run's models"))
+        else:
+            res, prep, rid = T.train_all(spark.read.parquet(md), fast=fast, tune=tune, include_boosted=include_boosted,
+                                         run_id=run_id, models_dir=models)
+            metrics = T.metrics_frame(spark, res)
+            writers.write_table(metrics, paths.table(f"metrics/run_id={rid}"))
+            writers.write_metrics_report(metrics, paths.table(f"metrics_report/run_id={rid}"))
+            prep.release()
+            _mark(spark, models, fp3)
+            steps.append(("train", "ok", f"{len(res.metrics)} models, run {rid}"))
+        fp4 = _fingerprint(spark, [sf, models], include_boosted)
+        if not force and _done(spark, pr, fp4):
+            steps.append(("predict", "skipped", "reused emotion_predictions"))
+        else:
+            kind = "boosted_trees" if include_boosted else "ridge"
+            loaded, medians, _ = T.load_models(spark, models)
+            writers.write_table(T.predict(spark.read.parquet(sf), loaded, medians, kind=kind), pr)
+            _mark(spark, pr, fp4)
+            steps.append(("predict", "ok", pr))
     except Exception as e:  # noqa: BLE001 - recorded in the manifest, then re-raised
         error = f"{type(e).__name__}: {e}"
         steps.append(("pipeline", "fail", error))

@@ -216,7 +216,8 @@ SQL["song_features_minimal"] = f"""WITH {FEAT_RICH}
 SELECT song_id, NULL::DOUBLE AS tempo, {_r("spectral_centroid, energy, mfcc_coef1, auditory_band_variance")}
 FROM feat"""
 
-_BANDS = ", ".join(f"avg(CAST(embedding[{i}] AS DOUBLE))" for i in range(1, 27))
+_BANDS = ", ".join("avg(" + " + ".join(f"CAST(embedding[{j + 1}] AS DOUBLE)" for j in range(i, 64, 26)) + ")"
+                   for i in range(26))
 SQL["band_variance"] = f"""SELECT CAST(label AS VARCHAR) AS song_id,
        round(list_aggregate([{_BANDS}], 'var_samp'), 9) AS auditory_band_variance,
        CAST(len(list_filter([{_BANDS}], lambda x: x IS NOT NULL)) AS BIGINT) AS n_bands
@@ -462,8 +463,8 @@ FROM map_t WHERE {IN_RANGE}"""
 
 # ------------------------------------------------------------------- audio
 _NEG = "(label % 3 = 0 AND vec_id % 3 = 0)"
-_CH = ", ".join(f"CASE WHEN {_NEG} THEN -abs(CAST(embedding[{i + 1}] AS DOUBLE)) "
-                f"ELSE abs(CAST(embedding[{i + 1}] AS DOUBLE)) END AS x{i}" for i in range(12))
+_FOLD = [" + ".join(f"abs(CAST(embedding[{j + 1}] AS DOUBLE))" for j in range(i, 64, 12)) for i in range(12)]
+_CH = ", ".join(f"CASE WHEN {_NEG} THEN -({x}) ELSE {x} END AS x{i}" for i, x in enumerate(_FOLD))
 CHROMA = f"""cf AS (SELECT CAST(label AS VARCHAR) AS song_id, ['stft', 'cqt', 'cens'][vec_id % 3 + 1] AS method,
                   vec_id AS frame_idx, {_CH} FROM embeddings),
 sums AS (SELECT song_id, method, {", ".join(f"sum(x{i}) AS s{i}" for i in range(12))}, count(*) AS n_frames

@@ -9,11 +9,12 @@ written in SQL in ``songemo.plans.oracle``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import CHROMA_METHODS
 from ..functions.keys import key_templates
+from .frames_csv import BAND_NAMES
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -79,16 +80,25 @@ def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def band_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """bands(song_id, frame_idx, bands ARRAY<DOUBLE>[26]) from embeddings."""
+    """bands(song_id, frame_idx, one column per band name) from embeddings: band i sums the elements i, i + 26, ..."""
     e = table(spark, sf_dir, "embeddings")
     return e.select(_sid("label").alias("song_id"), F.col("vec_id").alias("frame_idx"),
-                    F.transform(F.slice("embedding", 1, 26), lambda x: x.cast("double")).alias("bands"))
+                    *[_folded(i, len(BAND_NAMES)).alias(n) for i, n in enumerate(BAND_NAMES)])
+
+
+def _folded(i: int, n: int, each=lambda x: x) -> Column:
+    """Sum of every n-th of the vector's 64 elements from element i on (all n sums use the whole vector)."""
+    parts = [each(F.element_at("embedding", j + 1).cast("double")) for j in range(i, 64, n)]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out + p
+    return out
 
 
 def chroma_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     """chroma_frames(song_id, method, frame_idx, chroma ARRAY<DOUBLE>[12]) from embeddings.
 
-    chroma = |element 0..11|; method = stft/cqt/cens by vec_id % 3.  For songs
+    chroma class i sums |element i|, |element i + 12|, ...; method = stft/cqt/cens by vec_id % 3.  For songs
     (labels) divisible by 3 the stft frames are negated, so their stft sum
     is unusable and the method fallback is exercised.
     """
@@ -96,8 +106,8 @@ def chroma_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     method = F.element_at(F.array(*[F.lit(m) for m in CHROMA_METHODS]),
                           (F.col("vec_id") % 3 + 1).cast("int"))
     neg = (F.col("label") % 3 == 0) & (method == F.lit(CHROMA_METHODS[0]))
-    chroma = F.transform(F.slice("embedding", 1, 12),
-                         lambda x: F.when(neg, -F.abs(x.cast("double"))).otherwise(F.abs(x.cast("double"))))
+    chroma = F.array(*[_folded(i, 12, F.abs) for i in range(12)])
+    chroma = F.when(neg, F.transform(chroma, lambda x: -x)).otherwise(chroma)
     return e.select(_sid("label").alias("song_id"), method.alias("method"),
                     F.col("vec_id").alias("frame_idx"), chroma.alias("chroma"))
 

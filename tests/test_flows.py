@@ -5,6 +5,7 @@ import tempfile
 
 from pyspark.sql import functions as F
 
+from songemo.modeling import train
 from songemo.plans import flows
 from songemo.sinks import writers
 
@@ -51,7 +52,21 @@ def test_run_all_end_to_end(spark):
     # second run reuses both finished table steps
     flows.run_all(spark, paths, fast=True, tune=False, include_boosted=False)
     man = sorted(flows.manifest_json(spark, paths.out_dir), key=lambda m: m["started_utc"])
-    assert [s["status"] for s in man[-1]["steps"]][:2] == ["skipped", "skipped"]
+    assert [s["status"] for s in man[-1]["steps"]][:4] == ["skipped"] * 4
+    assert spark.read.text(paths.table("metrics_report")).filter("value = '--- ridge ---'").count() == 1
+
+    # a saved run predicts the same from its files alone; an edit of equal length is noticed
+    models, medians, rid = train.load_models(spark, paths.table("models"))
+    assert rid and set(models) == {(k, t) for k in ("random_forest", "ridge", "elasticnet") for t in ("arousal", "valence")}
+    again = train.predict(sf, models, medians, kind="ridge")
+    assert sorted(again.collect()) == sorted(spark.read.parquet(paths.table("emotion_predictions")).collect())
+    file = os.path.join(ann, "static_annotations_averaged_songs_1_2000.csv")
+    before = flows._fingerprint(spark, [paths.annotations_dir])
+    text = open(file).read()
+    with open(file, "w") as f:
+        f.write(text.replace("0;1;1", "0;2;1"))
+    os.utime(file, (1, 1))
+    assert flows._fingerprint(spark, [paths.annotations_dir]) != before
 
     metrics = spark.read.parquet(paths.table("metrics"))
     lines = [r.line for r in writers.metrics_report(metrics).collect()]
