@@ -48,8 +48,12 @@ def range_filter(df: DataFrame, arousal_range: tuple[float, float] | None,
     return df.filter(F.coalesce(cond, F.lit(False)))
 
 
-def extent(df: DataFrame) -> DataFrame:
-    """One row: min/max of both axes (NaN skipped), slider step, padding and midpoints."""
+def extent(df: DataFrame, ui_rounding: bool = False) -> DataFrame:
+    """One row: min/max of both axes (NaN skipped), slider step, padding and midpoints.
+
+    ``ui_rounding`` rounds the bounds to 2 decimals, as a slider shows them (the
+    extreme rows may then lie outside); step, padding and midpoints stay exact.
+    """
     a, v = nan_to_null(F.col(A)), nan_to_null(F.col(V))
     g = df.agg(F.min(a).alias("arousal_min"), F.max(a).alias("arousal_max"),
                F.min(v).alias("valence_min"), F.max(v).alias("valence_max"))
@@ -58,8 +62,9 @@ def extent(df: DataFrame) -> DataFrame:
         p = (F.col(hi) - F.col(lo)) * 0.05
         return F.when(p == 0, F.lit(0.3)).otherwise(p)
 
+    bounds = ["arousal_min", "arousal_max", "valence_min", "valence_max"]
     return g.select(
-        "arousal_min", "arousal_max", "valence_min", "valence_max",
+        *[F.bround(F.col(c), 2).alias(c) if ui_rounding else F.col(c) for c in bounds],
         F.bround((F.col("arousal_max") - F.col("arousal_min")) / 100, 3).alias("arousal_step"),
         F.bround((F.col("valence_max") - F.col("valence_min")) / 100, 3).alias("valence_step"),
         pad("arousal_min", "arousal_max").alias("arousal_pad"),

@@ -298,6 +298,18 @@ def q_validate_labels(spark, d):
     return quality.validate_labels(spark, labels.static_labels(B.annotation_rows(spark, d)))
 
 
+@query("validate_modeling_dataset")
+def q_validate_modeling_dataset(spark, d):
+    """V3: modeling_dataset report."""
+    return quality.validate_modeling_dataset(spark, modeling_of(spark, d))
+
+
+@query("validate_wrong_columns")
+def q_validate_wrong_columns(spark, d):
+    """U4: a table checked against another table's columns: missing and unexpected ones are reported."""
+    return quality.validate_labels(spark, B.predictions(spark, d))
+
+
 @query("validate_predictions")
 def q_validate_predictions(spark, d):
     """V4: predictions report, row count checked against song_features."""
@@ -331,6 +343,13 @@ def q_map_extent(spark, d):
     return views.extent(B.predictions(spark, d))
 
 
+@query("map_extent_ui")
+def q_map_extent_ui(spark, d):
+    """Slider bounds as shown, rounded to 2 decimals."""
+    p = B.predictions(spark, d)
+    return views.extent(p.withColumn("predicted_arousal", F.col("predicted_arousal") / 3), ui_rounding=True)
+
+
 @query("map_counts")
 def q_map_counts(spark, d):
     """A14: 'Showing N of M songs'."""

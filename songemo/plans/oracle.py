@@ -429,6 +429,18 @@ SELECT round(amin, 9) AS arousal_min, round(amax, 9) AS arousal_max, round(vmin,
        round((amin + amax) / 2, 9) AS arousal_mid, round((vmin + vmax) / 2, 9) AS valence_mid
 FROM g"""
 
+SQL["map_extent_ui"] = f"""WITH {PRED},
+p3 AS (SELECT CASE WHEN isnan(predicted_arousal) THEN NULL ELSE predicted_arousal / 3 END AS a, predicted_valence AS v
+       FROM predictions),
+g AS (SELECT min(a) AS amin, max(a) AS amax, min(v) AS vmin, max(v) AS vmax FROM p3)
+SELECT round_even(amin, 2) AS arousal_min, round_even(amax, 2) AS arousal_max, round_even(vmin, 2) AS valence_min,
+       round_even(vmax, 2) AS valence_max,
+       round(round_even((amax - amin) / 100, 3), 9) AS arousal_step, round(round_even((vmax - vmin) / 100, 3), 9) AS valence_step,
+       round(CASE WHEN (amax - amin) * 0.05 = 0 THEN 0.3 ELSE (amax - amin) * 0.05 END, 9) AS arousal_pad,
+       round(CASE WHEN (vmax - vmin) * 0.05 = 0 THEN 0.3 ELSE (vmax - vmin) * 0.05 END, 9) AS valence_pad,
+       round((amin + amax) / 2, 9) AS arousal_mid, round((vmin + vmax) / 2, 9) AS valence_mid
+FROM g"""
+
 SQL["map_counts"] = f"""WITH {PRED},
 g AS (SELECT count(*) FILTER (WHERE {IN_RANGE}) AS n_shown, count(*) AS n_total FROM predictions)
 SELECT CAST(n_shown AS BIGINT) AS n_shown, CAST(n_total AS BIGINT) AS n_total,
@@ -638,6 +650,19 @@ SELECT fold, count(*) AS n_rows FROM s WHERE NOT is_test GROUP BY fold"""
 MODELING = ENRICHED + ",\n" + LABELS_CLEAN + """,
 modeling AS (SELECT e.*, l.arousal, l.valence FROM enriched e JOIN labels_ok l ON e.song_id = l.song_id)"""
 
+SQL["validate_modeling_dataset"] = f"""WITH {MODELING},
+st AS (SELECT count(*) AS n, (SELECT coalesce(sum(c - 1), 0) FROM (SELECT count(*) AS c FROM modeling GROUP BY song_id)) AS dup
+       FROM modeling)
+{" UNION ALL ".join(_basic("modeling_dataset", "song_id"))}"""
+
+SQL["validate_wrong_columns"] = f"""WITH {PRED},
+st AS (SELECT count(*) AS n, (SELECT coalesce(sum(c - 1), 0) FROM (SELECT count(*) AS c FROM predictions GROUP BY song_id)) AS dup
+       FROM predictions)
+{" UNION ALL ".join(_basic("song_labels", "song_id"))}
+UNION ALL SELECT 'song_labels', 'missing_columns', 'error', 2.0::DOUBLE, 'Missing columns: [''arousal'', ''valence'']'
+UNION ALL SELECT 'song_labels', 'unexpected_columns', 'info', 2.0::DOUBLE,
+                 'Unexpected columns: [''predicted_arousal'', ''predicted_valence'']'"""
+
 _STD = ["spectral_centroid", "energy", "mfcc_coef1", "zcr", "auditory_band_variance", "tempo_bpm", "spectral_flux"]
 SQL["standardize"] = f"""WITH {MODELING},
 tr AS (SELECT * FROM modeling WHERE NOT (('0x' || substr(md5(song_id), 1, 8))::BIGINT % 5 = 0))
