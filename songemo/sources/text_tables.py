@@ -30,10 +30,19 @@ def read_lines(spark: SparkSession, pattern: str) -> DataFrame:
 
 
 def headers(lines: DataFrame) -> DataFrame:
-    """(path, header, header_key): first line of each file (UTF-8 BOM removed), as a combinable aggregate."""
-    h = lines.groupBy("path").agg(F.min_by("value", "line_key").alias("header"),
-                                  F.min("line_key").alias("header_key"))
-    return h.withColumn("header", F.regexp_replace("header", "^\uFEFF", ""))
+    """(path, header, header_key, n_data): first line of each file (UTF-8 BOM removed) and its non-blank lines after it.
+
+    The first line is found by number: the smallest row id of the file's
+    first block, a numeric aggregate that combines without sorting any text;
+    only then is that line's text fetched by its id.
+    """
+    filled = F.length(F.trim("value")) > 0
+    first = lines.groupBy("path").agg(F.min(F.when(F.col("line_key.block") == 0, F.col("line_key.rid"))).alias("rid"),
+                                      F.count_if(filled).alias("filled"))
+    at = lines.filter(F.col("line_key.block") == 0).withColumn("rid", F.col("line_key.rid")).join(first, ["path", "rid"])
+    return at.select("path", F.regexp_replace("value", "^\uFEFF", "").alias("header"),
+                     F.col("line_key").alias("header_key"),
+                     (F.col("filled") - filled.cast("int")).alias("n_data"))
 
 
 def _unquote(c: Column) -> Column:
@@ -75,7 +84,7 @@ def read_by_header(spark: SparkSession, pattern: str, wanted: list[str], sep: st
     sep_col = sniff_sep(F.col("header")) if sep is None else F.lit(sep)
     h = h.withColumn("sep", sep_col)
     names = F.transform(split_header(F.col("header"), F.col("sep")), lambda c: strip(c))
-    h = h.select("path", "header_key", "sep",
+    h = h.select("path", "header_key", "sep", "n_data",
                  F.array(*[F.array_position(names, F.lit(w)).cast("int") for w in wanted]).alias("pos"))
     data = lines.join(h, "path").filter((F.col("line_key") != F.col("header_key"))
                                         & (F.length(F.trim("value")) > 0))  # blank lines are skipped
@@ -87,8 +96,7 @@ def read_by_header(spark: SparkSession, pattern: str, wanted: list[str], sep: st
         vals.append(strip(cell).try_cast("double").alias(w))
     rows = data.select("path", "line_key", *vals)
     if keep_header_only:
-        has_data = rows.select("path").distinct()
-        empty = h.join(has_data, "path", "left_anti").select(
+        empty = h.filter("n_data = 0").select(
             "path", F.lit(None).cast("struct<block:bigint,rid:bigint>").alias("line_key"),
             *[F.lit(None).cast("double").alias(w) for w in wanted])
         rows = rows.unionByName(empty)
