@@ -15,9 +15,12 @@ shingle).  Two documents are linked when ``100 * |A n B| >= percent * |A u B|``.
    collisions (bit counts of the XOR), is at least ``percent / 100 - 0.14``
    (five standard deviations), and is linked if the full shingle sets say so.
 5. Links give components.  Two classes of a bucket that are still in different
-   components are compared by signature, in blocks of bounded size; those
-   above the same bound are verified as well.  Pairs that are already
-   connected need no test, so a large group of near copies stays linear.
+   components are compared by signature, in blocks of bounded size, in the
+   first band that they share; those above the same bound are verified as
+   well.  Where a block pair has more than ``DENSE`` such pairs per member, the
+   pairs are not sent anywhere: the members' full sets come to the block pair,
+   and only links that connect components there leave it.  Pairs that are
+   already connected need no test, so what is sent stays linear in the rows.
 
 Defined cases: null texts and texts without words have an empty set and are
 linked with nothing; rows with the same ``doc_id`` are one node, for which the
@@ -31,12 +34,11 @@ from collections import OrderedDict
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .base import by_batch, stored
+from .base import by_batch, partitions, release, stored
 from .links import components
 
 BANDS, ROWS = 40, 6
@@ -45,6 +47,7 @@ LOW_BITS = 4
 LONGS = HASHES * LOW_BITS // 64
 MARGIN = 0.14
 BLOCK = 256
+DENSE = 4
 
 _rng = np.random.default_rng(20240229)
 _A = (_rng.integers(0, 2**32, HASHES, dtype=np.uint64) | 1).astype(np.uint32)[:, None]
@@ -168,28 +171,136 @@ def verified(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFr
     return with_texts.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
 
 
-def _block_pairs(bound: float):
-    """Pairs of different components within one block pair of a bucket that pass the signature bound."""
-    need = (1 - (bound * (1 - 2.0 ** -LOW_BITS) + 2.0 ** -LOW_BITS)) * HASHES
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.drop_duplicates("rep")
-        sig = np.stack(rows["sig"].to_numpy()).view(np.uint64)
-        rep, comp, block = rows["rep"].to_numpy(), rows["component"].to_numpy(), rows["block"].to_numpy()
-        both = rows["i"].iloc[0] != rows["j"].iloc[0]
-        out = []
-        for n in range(len(rep)):
-            d = sig[n] ^ sig
-            d |= d >> np.uint64(1)
-            d |= d >> np.uint64(2)
-            differ = np.bitwise_count(d & np.uint64(0x1111111111111111)).sum(axis=1)
-            hit = (differ <= need) & (comp[n] != comp) & (rep[n] > rep)
-            if both:
-                hit &= block[n] != block
-            out += [(int(rep[n]), int(x)) for x in rep[hit]]
-        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[list[pa.RecordBatch]]:
+    """Lists of batches that hold whole groups of the first ``keys`` columns, of rows sorted by them."""
+    held: list[pa.RecordBatch] = []
+    for b in batches:
+        if not b.num_rows:
+            continue
+        k = np.stack([b.column(i).to_numpy() for i in range(keys)])
+        new = np.flatnonzero((k[:, 1:] != k[:, :-1]).any(axis=0)) + 1
+        same = bool(held) and all(held[-1].column(i)[-1].as_py() == k[i, 0] for i in range(keys))
+        if held and not same:
+            yield held
+            held = []
+        if len(new):
+            yield [*held, b.slice(0, int(new[-1]))]
+            held = [b.slice(int(new[-1]))]
+        else:
+            held.append(b)
+    if held:
+        yield held
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], columns: tuple[str, ...]) -> Iterator[dict]:
+    """Block pairs of buckets: keys band, i, j and the members' columns as arrays."""
+    for part in _groups(batches, 3):
+        t = pa.Table.from_batches(part).combine_chunks()
+        cols = {}
+        for c in t.column_names:
+            x = t[c].combine_chunks() if t[c].num_chunks != 1 else t[c].chunk(0)
+            cols[c] = x.flatten().to_numpy().reshape(len(x), -1) if c in ("sig", "bands") else x if c == "data" else x.to_numpy()
+        k = np.stack([cols[c] for c in ("band", "i", "j")])
+        cuts = np.concatenate([[0], np.flatnonzero((k[:, 1:] != k[:, :-1]).any(axis=0)) + 1, [t.num_rows]]).tolist()
+        for a, z in zip(cuts, cuts[1:]):
+            if z - a > 1:
+                yield {c: cols[c][a:z] for c in columns} | {"band": int(k[0, a]), "i": int(k[1, a]), "j": int(k[2, a])}
+
+
+def _candidates(g: dict, need: float) -> Iterator[tuple[int, np.ndarray]]:
+    """(member, members) of a block pair: pairs of different components whose signatures are near enough.
+
+    A pair counts only in the first band that its members share, and in a pair of
+    two blocks only across them.
+    """
+    sig, bands, comp, rep = g["sig"].view(np.uint64), g["bands"], g["component"], g["rep"]
+    first = int((bands[0] == g["band"]).argmax())
+    for n in range(len(rep) - 1):
+        ok = np.flatnonzero(comp[n + 1:] != comp[n]) + n + 1
+        if g["i"] != g["j"]:
+            ok = ok[g["block"][ok] != g["block"][n]]
+        if not len(ok):
+            continue
+        d = sig[ok] ^ sig[n]
+        d |= d >> np.uint64(1)
+        d |= d >> np.uint64(2)
+        ok = ok[np.bitwise_count(d & np.uint64(0x1111111111111111)).sum(axis=1) <= need]
+        if first and len(ok):
+            ok = ok[~(bands[ok, :first] == bands[n, :first]).any(axis=1)]
+        if len(ok):
+            yield n, ok
+
+
+def _need(bound: float) -> float:
+    """How many low-bit values of a signature may differ at the given similarity."""
+    chance = 2.0 ** -LOW_BITS
+    return (1 - (bound * (1 - chance) + chance)) * HASHES
+
+
+def _sparse_pairs(bound: float):
+    """Pairs of a block pair, or one row (null, null, band, i, j) if they are more than DENSE per member."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out: list[tuple] = []
+        for g in _blocks(batches, ("rep", "component", "block", "sig", "bands")):
+            pairs: list[tuple] = []
+            rep = g["rep"]
+            for n, ok in _candidates(g, _need(bound)):
+                pairs += [(max(int(rep[n]), x), min(int(rep[n]), x)) for x in rep[ok].tolist()]
+                if len(pairs) > DENSE * len(rep):
+                    break
+            if len(pairs) > DENSE * len(rep):
+                out.append((None, None, g["band"], g["i"], g["j"]))
+            else:
+                out += [(a, b, None, None, None) for a, b in pairs]
+            if len(out) >= 10_000:
+                yield _rows(out, _PAIR)
+                out = []
+        yield _rows(out, _PAIR)
     return run
 
 
+def _dense_links(bound: float, percent: int):
+    """Links of a dense block pair that connect its components, found on the full shingle sets."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for g in _blocks(batches, ("rep", "component", "block", "sig", "bands", "data")):
+            sets = [frozenset(np.frombuffer(x.as_py(), "<u8").tolist()) for x in g["data"]]
+            rep, root, out = g["rep"].tolist(), {}, []
+
+            def top(c: int) -> int:
+                while (up := root.get(c, c)) != c:
+                    root[c] = c = root.get(up, up)
+                return c
+            comp = g["component"].tolist()
+            for n, ok in _candidates(g, _need(bound)):
+                for m in ok.tolist():
+                    x, y = top(comp[n]), top(comp[m])
+                    if x != y:
+                        both = len(sets[n] & sets[m])
+                        if 100 * both >= percent * (len(sets[n]) + len(sets[m]) - both):
+                            root[max(x, y)] = min(x, y)
+                            out.append((max(rep[n], rep[m]), min(rep[n], rep[m])))
+            if out:
+                yield _rows(out, _PAIR[:2])
+    return run
+
+
+_PAIR = [("a", pa.int64()), ("b", pa.int64()), ("band", pa.int64()), ("i", pa.int32()), ("j", pa.int32())]
+
+
+def _rows(rows: list[tuple], fields: list[tuple[str, pa.DataType]]) -> pa.RecordBatch:
+    cols = list(zip(*rows)) if rows else [()] * len(fields)
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(cols, fields)], names=[n for n, _ in fields])
+
+
+def _sets(texts: DataFrame, k: int) -> DataFrame:
+    """(rep, data): all shingle hashes of each text."""
+    def run(b: pa.RecordBatch) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [b.column(0), pa.array([shingle_hashes(t.as_py(), k).astype("<u8").tobytes() for t in b.column(1)], pa.binary())],
+            names=["rep", "data"])
+    return texts.select("doc_id", "text").mapInArrow(by_batch(run), "rep long, data binary")
+
+
 def near_links(docs: DataFrame, k: int = 2, percent: int = 80) -> tuple[DataFrame, DataFrame]:
     """(signatures with class ``rep`` of every document, verified links (a, b) between classes)."""
     sig = stored(signatures(docs, k), "signatures")
@@ -216,9 +327,11 @@ def near_links(docs: DataFrame, k: int = 2, percent: int = 80) -> tuple[DataFram
     star = stored(star, "pairs")
     # Texts of all classes that stand in some bucket with another: the only ones a pair can name.
     named = buckets.select(F.col("rep").alias("doc_id")).distinct()
+    release(docs.sparkSession)
     texts = stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(named, "doc_id", "left_semi")
                    .groupBy("doc_id").agg(F.min_by("text", F.xxhash64("text")).alias("text")), "texts")
     linked = stored(verified(star, texts, k, percent), "verified")
+    release(docs.sparkSession)
 
     comp = components(linked)
     placed = buckets.join(comp.withColumnRenamed("node", "rep"), "rep", "left").withColumn(
@@ -226,13 +339,26 @@ def near_links(docs: DataFrame, k: int = 2, percent: int = 80) -> tuple[DataFram
     open_ = (placed.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
              .filter("lo != hi").select("band"))
     blocks = F.ceil(F.col("size") / F.lit(BLOCK)).cast("int")
-    left = (placed.join(open_, "band").join(packed, "rep")
+    left = (placed.join(open_, "band")
             .withColumn("block", F.pmod(F.xxhash64("rep"), blocks).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
             .select("band", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-                    "block", "rep", "component", "sig"))
-    rest = left.groupBy("band", "i", "j").applyInPandas(_block_pairs(bound), "a long, b long").distinct()
-    rest = stored(rest.join(star, ["a", "b"], "left_anti"), "pairs")
+                    "block", "rep", "component"))
+    left = stored(left, "blocks")
+    side = classes.select("rep", "sig", "bands")
+    order = ["band", "i", "j"]
+
+    def dealt(rows: DataFrame) -> DataFrame:
+        return rows.repartition(partitions(docs.sparkSession), *order).sortWithinPartitions(*order, "rep")
+    found = stored(dealt(left.join(side, "rep").select(*order, "block", "rep", "component", "sig", "bands"))
+                   .mapInArrow(_sparse_pairs(bound), "a long, b long, band long, i int, j int"), "pairs")
+    rest = found.filter("a is not null").select("a", "b").distinct().join(star, ["a", "b"], "left_anti")
+    dense = found.filter("a is null").select(*order)
+    if not dense.isEmpty():
+        full = left.join(dense, order).join(side, "rep").join(_sets(texts, k), "rep")
+        rest = rest.unionByName(dealt(full.select(*order, "block", "rep", "component", "sig", "bands", "data"))
+                                .mapInArrow(_dense_links(bound, percent), "a long, b long").distinct())
+    rest = stored(rest, "pairs")
     more = verified(rest, texts, k, percent)
     return member, linked.unionByName(more)
 
@@ -259,3 +385,28 @@ def without_near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> D
         w = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
         out = out.withColumn("_nth", F.row_number().over(w)).filter("_nth = 1 or doc_id is null").drop("_nth")
     return out.select(*[F.col(f"`{c}`") for c in names])
+
+
+ORACLE_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+shingles AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) < 2 THEN w
+    ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END) AS s FROM words),
+places AS (SELECT doc_id, unnest(s) AS x FROM shingles),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM places a JOIN places b ON a.x = b.x AND a.doc_id < b.doc_id
+  GROUP BY a.doc_id, b.doc_id),
+links AS (
+  SELECT a, b FROM shared JOIN shingles x ON x.doc_id = a JOIN shingles y ON y.doc_id = b
+  WHERE 100 * n >= 80 * (len(x.s) + len(y.s) - n)),
+both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION SELECT r.doc_id, l.b FROM reach r JOIN both_ways l ON r.other = l.a),
+lowest AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, l.component_id, s.doc_id = l.component_id AS kept
+FROM shingles s JOIN lowest l ON s.doc_id = l.doc_id
+"""

@@ -58,4 +58,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_norm_buckets": norm_buckets.ORACLE_SQL}
+    return {"op4_minhash": minhash.ORACLE_SQL, "op8_norm_buckets": norm_buckets.ORACLE_SQL}

@@ -41,11 +41,14 @@ def test_near_duplicates_equal_brute_force(spark, make_docs, k):
     check(spark, make_docs, list(zip(ids, texts)), k, 80)
 
 
-def test_chain_in_one_large_bucket(spark, make_docs, monkeypatch):
+@pytest.mark.parametrize("dense", [0, 4, 1000])
+def test_chain_in_one_large_bucket(spark, make_docs, monkeypatch, dense):
     """A common core with many outliers: links that the bucket's first member does not see are found in blocks."""
     monkeypatch.setattr(minhash, "BLOCK", 4)
+    monkeypatch.setattr(minhash, "DENSE", dense)
     core = [f"c{i}" for i in range(40)]
     texts = [" ".join(core + [f"x{g}_{i}" for i in range(9)] + [f"y{g}_{m}"]) for g in range(12) for m in range(3)]
+    texts += variants(9, 40, 60, 9)
     check(spark, make_docs, list(enumerate(texts)), 2, 80)
 
 
@@ -88,3 +91,15 @@ def test_components(spark):
     df = spark.createDataFrame([*edges, (None, 3), (7, 7)], "a long, b long")
     got = {r.node: r.component for r in components(df).collect()}
     assert got == {n: root(n) for e in edges if e[0] != e[1] for n in e}
+
+
+def test_groups_stay_whole_across_batches():
+    import numpy as np
+    import pyarrow as pa
+    keys = [(1, 0)] * 3 + [(1, 1)] * 5 + [(2, 0)] + [(2, 1)] * 4
+    t = pa.table({"k": [k for k, _ in keys], "m": [m for _, m in keys], "v": list(range(len(keys)))})
+    for size in (1, 2, 3, 4, 100):
+        got = [np.concatenate([b.column(2).to_numpy() for b in g]).tolist() for g in minhash._groups(t.to_batches(max_chunksize=size), 2)]
+        assert sum(got, []) == list(range(len(keys)))
+        for g in got[1:]:
+            assert keys[g[0]] != keys[g[0] - 1]
