@@ -585,7 +585,7 @@ FROM pt, mids WHERE song_id IN ('1', '2', '3', '4', '5', '101', '103')"""
 REPLIES = """replies AS (
   SELECT conv_id * 1000 + turn AS question_id,
          ['["Calm Focus"]', '"Positive, Dramatic"', '["Happy", "Negative"]', '["Happy"]', '[]'][turn % 5 + 1] AS tg,
-         'Reply for conversation ' || CAST(conv_id AS VARCHAR) AS ex, (conv_id + turn) % 6 AS shape
+         'Reply for conversation ' || CAST(conv_id AS VARCHAR) AS ex, (conv_id + turn) % 8 AS shape
   FROM conversations WHERE role = 'user'),
 replies2 AS (
   SELECT question_id,
@@ -594,18 +594,23 @@ replies2 AS (
                     WHEN 2 THEN '{"tags": ' || tg || ', "explanation": ""}'
                     WHEN 3 THEN '{"tags": ["Loud"], "explanation": "  none  "}'
                     WHEN 4 THEN 'I think ' || tg
-                    ELSE '[' || tg || ']' END AS content
+                    WHEN 5 THEN '[' || tg || ']'
+                    WHEN 6 THEN chr(10) || '```json' || chr(10) || '{"tags": ' || tg || ', "explanation": "' || ex
+                                || chr(92) || 'n"}' || chr(10) || '```'
+                    ELSE '{"tags": ' || tg || ', "explanation": 5}' END AS content
   FROM replies)"""
 
 _VALID = "('High Energy', 'Low Energy', 'Positive', 'Negative', 'Calm Focus', 'Dramatic', 'Neutral')"
+_STRIP = r"regexp_replace(%s, '^\s+|\s+$', '', 'g')"
 REPLY_CTES = f"""j AS (SELECT q.question_id, q.text,
-             CASE WHEN starts_with(trim(r.content), '```')
-                  THEN regexp_replace(regexp_replace(trim(r.content), '^```\\w*\\n?', ''), '\\n?```\\s*$', '')
-                  ELSE trim(r.content) END AS body
-      FROM questions q JOIN replies2 r ON q.question_id = r.question_id),
+             CASE WHEN starts_with(r.c, '```')
+                  THEN regexp_replace(regexp_replace(r.c, '^```\\w*\\n?', ''), '\\n?```\\s*$', '')
+                  ELSE r.c END AS body
+      FROM questions q JOIN (SELECT question_id, {_STRIP % "content"} AS c FROM replies2) r ON q.question_id = r.question_id),
 k0 AS (SELECT *, coalesce(json_valid(body), false) AS ok_json FROM j),
 k1 AS (SELECT *, CASE WHEN ok_json THEN body ELSE '0' END AS safe FROM k0),
-k2 AS (SELECT *, ok_json AND json_type(safe) = 'OBJECT' AS is_obj FROM k1),
+k2 AS (SELECT *, ok_json AND json_type(safe) = 'OBJECT'
+               AND coalesce(json_type(safe, '$.explanation'), 'NULL') IN ('NULL', 'VARCHAR') AS is_obj FROM k1),
 k AS (SELECT question_id, text, is_obj, CASE WHEN is_obj THEN body ELSE '{{}}' END AS body FROM k2),
 t AS (SELECT *,
         CASE WHEN NOT is_obj THEN NULL
@@ -616,9 +621,9 @@ t AS (SELECT *,
 v AS (SELECT *, list_filter(raw_tags, lambda x: x IN {_VALID}) AS kept FROM t),
 rv AS (SELECT question_id,
        CASE WHEN is_obj THEN (CASE WHEN len(kept) > 0 THEN kept ELSE ['Neutral'] END) ELSE {RULE_TAGS} END AS req,
-       CASE WHEN is_obj THEN trim(CASE WHEN coalesce(json_extract_string(body, '$.explanation'), '') = ''
+       CASE WHEN is_obj THEN {_STRIP % """CASE WHEN coalesce(json_extract_string(body, '$.explanation'), '') = ''
                                        THEN 'Songs matching your request.'
-                                       ELSE json_extract_string(body, '$.explanation') END)
+                                       ELSE json_extract_string(body, '$.explanation') END"""}
             ELSE {RULE_EXPL} END AS explanation
 FROM v)"""
 

@@ -222,11 +222,12 @@ REPLY_TAG_TEXT: tuple[str, ...] = (
 def replies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """replies(question_id, content): model-style replies, one per user turn.
 
-    Shapes by (conv_id + turn) % 6: fenced JSON, plain JSON, empty
-    explanation, no valid tag, not JSON at all, and a JSON array.
+    Shapes by (conv_id + turn) % 8: fenced JSON, plain JSON, empty
+    explanation, no valid tag, not JSON at all, a JSON array, fenced JSON
+    after a newline with a newline in its explanation, and a numeric explanation.
     """
     c = table(spark, sf_dir, "conversations").filter(F.col("role") == "user")
-    shape = (F.col("conv_id") + F.col("turn")) % 6
+    shape = (F.col("conv_id") + F.col("turn")) % 8
     tags = F.element_at(F.array(*[F.lit(t) for t in REPLY_TAG_TEXT]),
                         (F.col("turn") % len(REPLY_TAG_TEXT) + 1).cast("int"))
     expl = F.concat(F.lit("Reply for conversation "), F.col("conv_id").cast("string"))
@@ -237,7 +238,9 @@ def replies(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(shape == 2, F.concat(F.lit('{"tags": '), tags, F.lit(', "explanation": ""}')))
         .when(shape == 3, F.lit('{"tags": ["Loud"], "explanation": "  none  "}'))
         .when(shape == 4, F.concat(F.lit("I think "), tags))
-        .otherwise(F.concat(F.lit("["), tags, F.lit("]")))
+        .when(shape == 5, F.concat(F.lit("["), tags, F.lit("]")))
+        .when(shape == 6, F.concat(F.lit("\n```json\n"), F.regexp_replace(obj, '"}$', F.lit('\\\\n"}')), F.lit("\n```")))
+        .otherwise(F.concat(F.lit('{"tags": '), tags, F.lit(', "explanation": 5}')))
     )
     return c.select((F.col("conv_id") * 1000 + F.col("turn")).alias("question_id"), content.alias("content"))
 
