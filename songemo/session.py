@@ -44,6 +44,11 @@ def apply_defaults(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def _plain(path: str) -> str:
+    """A path without the ways to write the local scheme, and without an end slash."""
+    return "/" + path.removeprefix("file:").strip("/") if path.startswith(("/", "file:")) else path.rstrip("/")
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
@@ -60,6 +65,6 @@ def checkpoint_dir(spark: SparkSession) -> str:
         d = tempfile.mkdtemp(prefix="songemo-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
         atexit.register(shutil.rmtree, d, ignore_errors=True)
-    if (spark.sparkContext.getCheckpointDir() or "").removeprefix("file:").rsplit("/", 1)[0] != d.removeprefix("file:").rstrip("/"):
+    if _plain(spark.sparkContext.getCheckpointDir() or "").rsplit("/", 1)[0] != _plain(d):
         spark.sparkContext.setCheckpointDir(d)
     return d
