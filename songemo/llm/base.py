@@ -31,7 +31,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """
     path = run_folder(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes ``stored`` tables that nothing reads any more."""
+    for t in tables:
+        path = t.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(t._stored_at)
+        path.getFileSystem(t.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def release(spark: SparkSession) -> None:

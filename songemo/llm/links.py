@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import stored
+from .base import discard, stored
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -33,8 +33,10 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = (large.join(low, "a").filter("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .unionByName(low.select("a", F.col("m").alias("b"))))
+        old = edges
         edges = stored(small.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
         before, state = state, _state(edges)
+        discard(old)
         if state == before:
             break
     tops = edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()

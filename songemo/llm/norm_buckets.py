@@ -29,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .base import partitions, stored
@@ -137,6 +137,24 @@ def _with_thresholds(blocks: DataFrame, top: tuple[bytes, bytes] | None, k: int)
     return blocks.select("ids", "vectors").mapInArrow(run, "ids binary, vectors binary, thresholds binary, least double")
 
 
+def _needed(queries: DataFrame, buckets: DataFrame) -> DataFrame:
+    """(key, bucket): the buckets whose longest vector reaches the least length that a query block needs.
+
+    Sorted by length, what a query block needs is the front of the buckets:
+    one running count over both lists (a row per block) gives its end.
+    """
+    by_length = Window.orderBy(F.desc("longest"), "bucket")
+    placed = buckets.withColumn("place", F.row_number().over(by_length).cast("long"))
+    none = F.lit(None).cast("long")
+    marks = (buckets.select(F.col("longest").alias("v"), F.lit(1).alias("is_bucket"), none.alias("key"))
+             .unionByName(queries.select((F.col("least") * (1 - LOOSE)).alias("v"), F.lit(0).alias("is_bucket"), "key")))
+    ahead = F.sum("is_bucket").over(Window.orderBy(F.desc("v"), F.desc("is_bucket"))
+                                    .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ends = marks.withColumn("n", ahead).filter("key is not null and n > 0")
+    return (ends.select("key", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))).alias("place"))
+            .join(placed, "place").select("key", "bucket"))
+
+
 def top_k(table: DataFrame, query_step: int = 50, k: int = 5, scale: int = 256, block: int = BLOCK) -> DataFrame:
     """(query_id, rank, vec_id, score) of the k highest integer inner products of every query.
 
@@ -160,10 +178,8 @@ def top_k(table: DataFrame, query_step: int = 50, k: int = 5, scale: int = 256,
     top = buckets.orderBy(F.desc("longest"), F.desc(F.length("p_ids")), "p_ids").select("p_ids", "p").first()
     queries = stored(_with_thresholds(queries, top, k), "query-blocks")
 
-    # Which buckets each query block still needs: two short lists, one row per block.
-    names = buckets.select(F.xxhash64("p_ids").alias("bucket"), "longest")
-    needed = (queries.select(F.xxhash64("ids").alias("key"), "least")
-              .join(names, F.col("longest") * (1 + 1e-9) >= F.col("least")).select("key", "bucket"))
+    needed = _needed(queries.select(F.xxhash64("ids").alias("key"), "least"),
+                     buckets.select(F.xxhash64("p_ids").alias("bucket"), "longest"))
     cells = (needed.join(queries.select(F.xxhash64("ids").alias("key"), "ids", "vectors", "thresholds"), "key")
              .join(buckets.select(F.xxhash64("p_ids").alias("bucket"), "p_ids", "p"), "bucket"))
     found = cells.select("ids", "vectors", "thresholds", "p_ids", "p").mapInArrow(_search(k), FOUND)

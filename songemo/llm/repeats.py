@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import anchors
-from .base import by_batch, partitions, release, stored
+from .base import by_batch, discard, partitions, release, stored
 from .suffix import permuted_lcp, suffix_array
 
 LENGTH = 200
@@ -224,6 +224,7 @@ def spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         "doc_id", "text_hash", F.transform("found", lambda x: F.struct((x["first"] + start).alias("first"),
                                                                        (x["last"] + start).alias("last"))).alias("s"))
     out = stored(out.groupBy("doc_id", "text_hash").agg(F.flatten(F.collect_list("s")).alias("spans")), "spans")
+    discard(often, hits, kinds, parts, found)
     release(spark)
     return out
 
