@@ -169,3 +169,51 @@ def scan(docs: DataFrame) -> DataFrame:
         F.max(F.when(whole, F.col("start"))).alias("last_word"),
         labels(whole).alias("base_labels"), labels(whole | near).alias("labels"),
         F.coalesce(F.max(score), F.lit(0.0)).alias("score")).drop("row")
+
+
+def oracle_sql() -> str:
+    """DuckDB SQL with the same result, its template table written out from this module's templates."""
+    rows = []
+    for i, (label, phrase, k, w) in enumerate(_specs()):
+        w = [x.decode() for x in w]
+        n = len(w) - k + 1
+        rows += [f"({i}, '{label}', {phrase}, {k}, {n}, {len(w)}, {o}, '{' '.join(w[o:o + k])}')" for o in range(n)]
+    return f"""
+WITH templates(template, label, phrase, k, grams, size, offs, gram) AS (VALUES {", ".join(rows)}),
+words AS (
+  SELECT row_number() OVER () AS doc, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+places AS (SELECT doc, w, unnest(range(1, len(w) + 1)) AS i FROM words),
+grams AS (
+  SELECT doc, i - 1 AS place, k, array_to_string(w[i:i + k - 1], ' ') AS gram
+  FROM places, (SELECT DISTINCT k FROM templates) WHERE i + k - 1 <= len(w)),
+diagonals AS (
+  SELECT doc, template, label, phrase, t.grams AS grams, size, place - offs AS diagonal, min(place) AS lo, max(place) AS hi,
+    list(offs) AS covered
+  FROM grams g JOIN templates t ON g.k = t.k AND g.gram = t.gram GROUP BY ALL),
+marked AS (
+  SELECT *, coalesce(diagonal - lag(diagonal) OVER (PARTITION BY doc, template ORDER BY diagonal)
+                     > CASE WHEN phrase THEN 0 ELSE {NEIGHBOUR} END, true) AS new FROM diagonals),
+grouped AS (
+  SELECT *, sum(CAST(new AS INTEGER)) OVER (PARTITION BY doc, template ORDER BY diagonal) AS grp FROM marked),
+spans AS (
+  SELECT doc, label, phrase, grams, min(diagonal) AS start, max(hi) - min(lo) + {K} <= {STRETCH} * size AS compact,
+    len(list_distinct(flatten(list(covered)))) AS covered
+  FROM grouped GROUP BY doc, template, label, phrase, grams, size, grp),
+hits AS (
+  SELECT doc, label, start, phrase AND covered = grams AS whole,
+    NOT phrase AND compact AND covered / grams >= {COVERAGE} AS near,
+    CASE WHEN phrase THEN CASE WHEN covered = grams THEN 1.0 ELSE 0.0 END WHEN compact THEN covered / grams ELSE 0.0 END AS score
+  FROM spans),
+found AS (
+  SELECT doc, count(*) FILTER (WHERE whole) AS n_base, min(start) FILTER (WHERE whole) AS first_word,
+    max(start) FILTER (WHERE whole) AS last_word,
+    array_to_string(list_sort(list_distinct(list(label) FILTER (WHERE whole))), ',') AS base_labels,
+    array_to_string(list_sort(list_distinct(list(label) FILTER (WHERE whole OR near))), ',') AS labels, max(score) AS score
+  FROM hits GROUP BY doc)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base,
+  CAST(first_word AS BIGINT) AS first_word, CAST(last_word AS BIGINT) AS last_word, coalesce(base_labels, '') AS base_labels,
+  coalesce(labels, '') AS labels, coalesce(CAST(score AS DOUBLE), 0.0) AS score
+FROM words LEFT JOIN found USING (doc)
+"""

@@ -58,4 +58,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_minhash": minhash.ORACLE_SQL, "op8_norm_buckets": norm_buckets.ORACLE_SQL}
+    return {"op2_licenses": licenses.oracle_sql(), "op4_minhash": minhash.ORACLE_SQL,
+            "op8_norm_buckets": norm_buckets.ORACLE_SQL}
