@@ -10,7 +10,9 @@ The windows repeat every H slots, so only one period is scheduled (a heap of
 one entry per source); a block's slot follows from its number by arithmetic,
 and the documents get theirs by a join with one row per source and phase.
 Nothing is dropped or repeated: when a source runs out, a new phase begins in
-which the others share by their weights.
+which the others share by their weights.  The schedule is made on the driver from
+one count per source; it has a row per source and phase, at most half the square
+of the number of sources, and does not grow with the documents.
 
 The numbering inside a source cuts it into range slices (no task holds a
 source), and the text is not moved for it.
