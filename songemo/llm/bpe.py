@@ -34,7 +34,7 @@ from . import lockstep
 from .base import by_batch, byte_chars
 
 #: Words whose ids a worker keeps (about 200 bytes each).
-KEPT_WORDS = 1_000_000
+KEPT_WORDS = 250_000
 
 # Python's \s also holds U+001C..U+001F, which are no white space to the tokenizer.
 _CONTROL = re.compile("[\x1c-\x1f]")
