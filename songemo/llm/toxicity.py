@@ -35,7 +35,7 @@ from .base import by_batch, held_out, remainder4
 
 SIZES = (3, 4, 5, 6)
 BITS = 20
-PER_CLASS = 3000
+PER_CLASS = 2000
 MAX_TRAIN_CHARS = 20_000
 MIN_Z = 4.0
 MIN_TEXTS = 4
