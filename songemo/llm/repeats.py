@@ -7,7 +7,7 @@ have equal anchors, so whatever repeats meets under one key.
 1. Keys that occur once hold nothing that repeats; a grouped count finds the
    others.  Each of their segments (the bytes that an anchor's strings cover)
    is known by a digest.  Segments with equal digests repeat whole.
-2. Keys with several different segments go to shards of about one MB.  A
+2. Keys with several different segments go to shards of about 400 kB.  A
    shard's segments are joined by a symbol smaller than all bytes, sorted by
    induced sorting, and a string repeats if its permuted common prefix with a
    neighbour in the order has ``length`` bytes.
@@ -43,7 +43,7 @@ from .base import by_batch, discard, partitions, release, stored
 from .suffix import permuted_lcp, suffix_array
 
 LENGTH = 200
-SHARD_BYTES = 1_000_000
+SHARD_BYTES = 400_000
 KEY_SEGMENTS = 3000
 
 
