@@ -38,7 +38,7 @@ from .vectors import best_of, packed, query_blocks, ranked, unpacked, usable
 
 SAMPLE = 4096
 NEIGHBOURS = 16
-ROWS_PER_PART = 1500
+ROWS_PER_PART = 4096
 MAX_PARTS = 64
 HIDDEN = 64
 STEPS = 300
@@ -166,10 +166,21 @@ def _routed(rows: DataFrame, router: Router, probes: int) -> DataFrame:
 
 
 def _rerank(k: int):
+    def rows(held: dict[int, list]) -> pa.RecordBatch:
+        out = [(q, v, s) for q, found in held.items() for v, s in found]
+        cols = list(zip(*out)) if out else [(), (), ()]
+        kinds = (pa.int64(), pa.int64(), pa.float64())
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names=["query_id", "vec_id", "score"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Blocks of one part follow each other for a block of queries: its best rows leave once, not per block.
+        block, held = None, {}
         for b in batches:
-            out = []
             for r in range(b.num_rows):
+                if block != (new := (b.column(4)[r].as_py(), b.column(0)[r].as_py())):
+                    if held:
+                        yield rows(held)
+                    block, held = new, {}
                 q_ids, q = unpacked(b.column(0)[r].as_py(), b.column(1)[r].as_py())
                 ids, p = unpacked(b.column(2)[r].as_py(), b.column(3)[r].as_py())
                 rough = q @ p.T
@@ -177,12 +188,10 @@ def _rerank(k: int):
                 for i, row in enumerate(rough):
                     near = best_of(row, ids, k, slack=1e-9 * max(1.0, float(np.abs(row[np.isfinite(row)]).max(initial=0))))
                     exact = (p[near] * q[i]).sum(axis=1)          # the same for equal vectors wherever they stand
-                    for j in best_of(exact, ids[near], k):
-                        out.append((int(q_ids[i]), int(ids[near[j]]), float(exact[j])))
-            cols = list(zip(*out)) if out else [(), (), ()]
-            kinds = (pa.int64(), pa.int64(), pa.float64())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)],
-                                             names=["query_id", "vec_id", "score"])
+                    best = held.get(int(q_ids[i]), []) + [(int(ids[near[j]]), float(exact[j])) for j in best_of(exact, ids[near], k)]
+                    held[int(q_ids[i])] = sorted(best, key=lambda x: (-x[1], x[0]))[:k]
+        if held:
+            yield rows(held)
     return run
 
 
@@ -207,4 +216,5 @@ def nearest(table: DataFrame, query_step: int = 20, k: int = 20, target: float =
     asked = query_blocks(_routed(queries, router, router.probes), max(1, -(-queries.count() // 1024)), key="part")
     cells = (asked.withColumnsRenamed({"ids": "q_ids", "vectors": "q"})
              .join(index.withColumnsRenamed({"ids": "p_ids", "vectors": "p"}), "key"))
-    return ranked(cells.select("q_ids", "q", "p_ids", "p").mapInArrow(_rerank(k), "query_id long, vec_id long, score double"), k)
+    cells = cells.select("q_ids", "q", "p_ids", "p", "key").sortWithinPartitions("key", "q_ids")
+    return ranked(cells.mapInArrow(_rerank(k), "query_id long, vec_id long, score double"), k)
