@@ -46,7 +46,7 @@ HASHES = BANDS * ROWS
 LOW_BITS = 4
 LONGS = HASHES * LOW_BITS // 64
 MARGIN = 0.14
-BLOCK = 256
+BLOCK = 2048
 DENSE = 4
 
 _rng = np.random.default_rng(20240229)
@@ -263,7 +263,7 @@ def _dense_links(bound: float, percent: int):
     """Links of a dense block pair that connect its components, found on the full shingle sets."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for g in _blocks(batches, ("rep", "component", "block", "sig", "bands", "data")):
-            sets = [frozenset(np.frombuffer(x.as_py(), "<u8").tolist()) for x in g["data"]]
+            sets = [np.frombuffer(x.as_buffer(), "<u8") for x in g["data"]]            # sorted, distinct
             rep, root, out = g["rep"].tolist(), {}, []
 
             def top(c: int) -> int:
@@ -275,7 +275,7 @@ def _dense_links(bound: float, percent: int):
                 for m in ok.tolist():
                     x, y = top(comp[n]), top(comp[m])
                     if x != y:
-                        both = len(sets[n] & sets[m])
+                        both = len(np.intersect1d(sets[n], sets[m], assume_unique=True))
                         if 100 * both >= percent * (len(sets[n]) + len(sets[m]) - both):
                             root[max(x, y)] = min(x, y)
                             out.append((max(rep[n], rep[m]), min(rep[n], rep[m])))
