@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from songemo.llm import bpe, minhash, mixing, repeats, toxicity
-from songemo.llm.base import stored, table, vocabulary
+from songemo.llm.base import in_file_order, stored, table, vocabulary
 
 
 def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,8 +36,11 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(doc_id, n_tokens, token_ids) of every document, ids as little-endian unsigned 32-bit integers."""
-    return bpe.encode(docs, vocabulary("word_bpe_49k.json"))
+    """(doc_id, n_tokens, token_ids, position) of every document, ids as little-endian unsigned 32-bit integers.
+
+    ``position`` numbers the documents from 0 in the order the mixing stage wrote them.
+    """
+    return bpe.encode(in_file_order(docs), vocabulary("word_bpe_49k.json"), more=["position"])
 
 
 STAGES = [

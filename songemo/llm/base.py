@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import re
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -43,6 +44,26 @@ def discard(*tables: DataFrame) -> None:
         path.getFileSystem(t.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def in_file_order(df: DataFrame, name: str = "position") -> DataFrame:
+    """``df`` with the number of each row in the order in which it was written.
+
+    Reading Parquet files again deals them out by size, so the order survives only
+    in the files' names and the rows' places in them.  A table that was not read
+    straight from files is written first.  The driver holds one number per file.
+    """
+    if df._jdf.queryExecution().analyzed().getClass().getSimpleName() != "LogicalRelation":
+        df = stored(df, "in-order")
+    rows = df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_at"))
+    ends = {r["_file"]: r["n"] for r in rows.groupBy("_file").agg((F.max("_at") + 1).alias("n")).collect()}  # one per file
+    before, starts = 0, []
+    for path in sorted(ends, key=lambda x: [int(y) if y.isdigit() else y for y in re.split("([0-9]+)", x)]):
+        starts.append((path, before))
+        before += ends[path]
+    start = df.sparkSession.createDataFrame(starts, "_path string, _start long")
+    return (rows.join(F.broadcast(start), F.col("_file") == F.col("_path"))
+            .select(*[rows[f"`{c}`"] for c in df.columns], (F.col("_start") + F.col("_at")).alias(name)))
+
+
 def release(spark: SparkSession) -> None:
     """Lets Spark drop the shuffle files of finished steps whose DataFrames are gone.
 

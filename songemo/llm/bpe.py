@@ -23,7 +23,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -192,17 +192,19 @@ def _texts(batch: pa.RecordBatch) -> Iterator[str | None]:
     return (x.as_py() for x in batch.column(1))
 
 
-def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_tokens long, token_ids binary) for every row of ``docs``."""
+def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text",
+           more: Sequence[str] = ()) -> DataFrame:
+    """(id, n_tokens long, token_ids binary) for every row of ``docs``, and the columns ``more`` as they are."""
     def run(b: pa.RecordBatch) -> pa.RecordBatch:
         enc = encoder(path)
         ids = list(enc.encode_many(_texts(b)))
         return pa.RecordBatch.from_arrays(
-            [b.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())],
-            names=[id_col, "n_tokens", "token_ids"])
-    t = docs.select(id_col, text_col)
+            [b.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary()), *b.columns[2:]],
+            names=[id_col, "n_tokens", "token_ids", *more])
+    t = docs.select(id_col, text_col, *more)
     kind = t.schema[id_col].dataType.simpleString()
-    return t.mapInArrow(by_batch(run), f"`{id_col}` {kind}, n_tokens long, token_ids binary")
+    rest = "".join(f", `{c}` {t.schema[c].dataType.simpleString()}" for c in more)
+    return t.mapInArrow(by_batch(run), f"`{id_col}` {kind}, n_tokens long, token_ids binary{rest}")
 
 
 def decode(tokens: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "token_ids") -> DataFrame:

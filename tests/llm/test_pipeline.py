@@ -4,7 +4,8 @@ from conftest import SF001
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from songemo.llm.base import table, vocabulary
+from songemo.llm import mixing
+from songemo.llm.base import stored, table, vocabulary
 
 
 def rows(df):
@@ -52,3 +53,25 @@ def test_odd_rows_pass_the_stages(spark, make_docs):
         else:
             assert len(kept) == 10
         assert f(spark, docs.limit(0), SF001).count() == 0
+
+
+def test_result_holds_the_mixture(spark, make_docs, tmp_path, monkeypatch):
+    """Sorting run()'s rows by position gives the schedule, also where several files of uneven size are reread."""
+    docs = make_docs([(i, f"w{i} " * (1 + i % 97 + i // 8)) for i in range(600)])
+    docs = docs.withColumn("source", F.when(F.col("doc_id") < 420, "a").when(F.col("doc_id") < 560, "b"))
+    docs.repartition(5).write.parquet(f"{tmp_path}/documents.parquet")
+    docs = table(spark, str(tmp_path), "documents")
+    want = [r.doc_id for r in mixing.schedule(docs).orderBy("slot", "place").collect()]
+    monkeypatch.setattr(corpus_pipeline, "STAGES", corpus_pipeline.STAGES[-2:])
+    files = []
+    monkeypatch.setattr(corpus_pipeline, "stored", lambda df, name: files.append(stored(df, name)) or files[-1])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+        flat = corpus_pipeline.encode(spark, mixing.mixed(docs), "").collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(files[0].inputFiles()) > 1
+    for rows_ in got, flat:
+        assert sorted(r.position for r in rows_) == list(range(600))
+        assert [r.doc_id for r in sorted(rows_, key=lambda r: r.position)] == want
