@@ -194,3 +194,42 @@ def test_similar_songs_with_shared_points(spark):
             for r in out.collect():
                 got.setdefault(r.seed_id, []).append((r["rank"], r.song_id))
             assert {s: [x for _, x in sorted(v)] for s, v in got.items()} == {s: brute(s, k) for s in seeds[:4]}
+
+
+def test_model_queries_search_in_full(spark, monkeypatch):
+    """cv_scores has every setting of the full search; tree queries ask for as many, scored on each fold."""
+    from songemo.modeling import train, trees
+    qs = queries()
+    got = {(r.model, r.target): r["count"] for r in qs["cv_scores"](spark, SF001).groupBy("model", "target").count().collect()}
+    assert got == {(m, t): n for m, n in (("ridge", 40), ("elasticnet", 64)) for t in ("arousal", "valence")}
+    asked, model = [], []
+
+    def fit(data, features, label, kind, **more):
+        asked.append((kind, label, more["tune"], more["n_iter"]))
+        if not model:
+            est = trees.RandomForestRegressor(labelCol=label, numTrees=1, maxDepth=1)
+            model.append(trees.Pipeline(stages=[trees.VectorAssembler(inputCols=features, outputCol="features"), est]).fit(data))
+        return model[0], {"a": 1}, 3.0, [(0, "a", [1.0, 2.0, 3.0, 4.0, 5.0], 3.0)]
+    monkeypatch.setattr(trees, "fit_tree_model", fit)
+    both = ["random_forest", "boosted_trees"]
+    for name, kinds in (("rf_fit", both[:1]), ("gbt_fit", both[1:]), ("ml_predict", both[1:]), ("model_comparison", both),
+                        ("tree_cv_scores", both)):
+        asked.clear()
+        out = qs[name](spark, SF001)
+        assert sorted(asked) == sorted((k, t, True, train.N_ITER_FULL) for k in kinds for t in ("arousal", "valence")), name
+    assert sorted((r.model, r.target, r.setting, r.fold, r.rmse) for r in out.collect()) == sorted(
+        (k, t, 0, f, f + 1.0) for k in both for t in ("arousal", "valence") for f in range(5))
+
+
+def test_tree_search_scores_each_fold(spark):
+    from songemo.modeling import trees
+    rows = [(float(i % 7), float(i % 7 + i % 3), i % 2) for i in range(40)]
+    df = spark.createDataFrame(rows, "x double, y double, fold int").coalesce(1)
+    space = {k: v[:1] for k, v in trees.RF_SPACE.items()} | {"n_estimators": (2,), "max_depth": (1, 2)}
+    _, _, mean, cv = trees.fit_tree_model(df, ["x"], "y", "random_forest", tune=True, n_iter=9, space=space, folds=2)
+    assert len(cv) == 2 and all(len(r[2]) == 2 and sum(r[2]) / 2 == r[3] for r in cv) and mean == min(r[3] for r in cv)
+    est = trees.make_estimator("random_forest", "y", 42)
+    data = trees.VectorAssembler(inputCols=["x"], outputCol="features").transform(df)
+    setting = next(s for s in trees.sample_params(space, 9, 42) if str(s) == cv[0][1])
+    held = est.fit(data.filter("fold != 1"), trees.rf_params(est, setting)).transform(data.filter("fold = 1")).toPandas()
+    assert abs(np.sqrt(((held.y - held.prediction) ** 2).mean()) - cv[0][2][1]) < 1e-9
