@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .base import by_batch, partitions, release, stored
+from .base import by_batch, in_file_order, partitions, release, stored
 from .links import components
 
 BANDS, ROWS = 40, 6
@@ -373,17 +373,25 @@ def near_duplicates(docs: DataFrame, k: int = 2, percent: int = 80) -> DataFrame
 
 
 def without_near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` but for those whose component holds a smaller id.
+    """One row of each component: the one with the smallest id; rows without an id stay.
 
-    Of several rows of one id the one whose text stands for it stays; rows
-    without an id stay.
+    Here a node is a text of an id, so of several texts of one id each goes only
+    if it has a near duplicate itself.  Of rows alike in id and text one stays.
     """
     names = docs.columns
-    found = stored(near_duplicates(docs, k, percent), "near-duplicates")
-    out = docs.join(found.filter("not kept").select("doc_id").distinct(), "doc_id", "left_anti")
-    if not found.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").isEmpty():
-        w = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-        out = out.withColumn("_nth", F.row_number().over(w)).filter("_nth = 1 or doc_id is null").drop("_nth")
+    node, rows = "doc_id", docs
+    if not docs.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").isEmpty():
+        # nodes are numbered in the order of their ids, so the smallest node has the smallest id
+        pairs = (docs.filter("doc_id is not null").select(F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_hash"))
+                 .distinct().orderBy("_id", "_hash"))
+        node, number = "_node", in_file_order(stored(pairs, "nodes"), "_node")
+        rows = docs.join(number, (F.col("doc_id") == F.col("_id")) & (F.xxhash64("text") == F.col("_hash")), "left")
+        rows = stored(rows.drop("_id", "_hash"), "numbered")
+    found = stored(near_duplicates(rows.select(F.col(node).alias("doc_id"), "text"), k, percent), "near-duplicates")
+    out = rows.join(found.filter("not kept").select(F.col("doc_id").alias(node)).distinct(), node, "left_anti")
+    if node != "doc_id":
+        w = Window.partitionBy(node).orderBy(F.xxhash64(*[F.col(f"`{c}`") for c in names]))
+        out = out.withColumn("_nth", F.row_number().over(w)).filter("_nth = 1 or _node is null")
     return out.select(*[F.col(f"`{c}`") for c in names])
 
 

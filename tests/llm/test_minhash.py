@@ -69,6 +69,14 @@ def test_repeated_and_null_ids(spark, make_docs):
     assert minhash.near_duplicates(make_docs([(1, "x")]).limit(0)).count() == 0
 
 
+def test_texts_of_a_repeated_id_stay(spark, make_docs):
+    """A row goes only if its own text has a near copy under a smaller id, or is a copy of it."""
+    rows = [(7, "p q r s t u"), (7, "zz yy xx ww vv uu"), (7, "zz yy xx ww vv uu"), (8, "zz yy xx ww vv uu"), (9, "p q r s t u"),
+            (9, "only here a b c"), (4, "only once d e f"), (None, "p q r s t u"), (3, ""), (3, None)]
+    got = minhash.without_near_duplicates(make_docs(rows)).select("doc_id", "text").collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, (rows[i] for i in (0, 1, 5, 6, 7, 8, 9))))
+
+
 def test_estimate_tracks_similarity(spark, make_docs):
     a, b = (" ".join(f"w{i}" for i in range(s, s + 901)) for s in (0, 100))
     sig = minhash.signatures(make_docs([a, b]), 2).orderBy("doc_id").select("sig")
