@@ -38,7 +38,6 @@ EMBED = 8
 STRIDE = WINDOW - max(WIDTHS) + 1
 PER_LANGUAGE = 400
 WINDOWS_PER_TEXT = 4
-MAX_TRAIN_CHARS = 20_000
 STEPS = 400
 BATCH = 96
 UNKNOWN = "und"
@@ -83,15 +82,19 @@ class Network:
         return out
 
 
-def fit(texts: list[str], languages: list[str], steps: int = STEPS, seed: int = 7) -> Network:
-    """Trains with Adam on the windows of ``texts``; batches take every language alike."""
+def some_windows(text: str) -> np.ndarray:
+    """At most ``WINDOWS_PER_TEXT`` windows of a text, evenly spaced."""
+    w, _ = windows(text.encode("utf-8", "replace"))
+    return w[np.unique(np.linspace(0, len(w) - 1, min(len(w), WINDOWS_PER_TEXT)).astype(int))]
+
+
+def fit(texts: list[np.ndarray], languages: list[str], steps: int = STEPS, seed: int = 7) -> Network:
+    """Trains with Adam on windows of texts, one array a text; batches take every language alike."""
     names = tuple(sorted(set(languages)))
     rng = np.random.default_rng(seed)
     by: list[list[np.ndarray]] = [[] for _ in names]
-    for t, lang in zip(texts, languages):
-        w, adds = windows(t.encode("utf-8", "replace"))
-        pick = np.unique(np.linspace(0, len(w) - 1, min(len(w), WINDOWS_PER_TEXT)).astype(int))
-        by[names.index(lang)].append(w[pick])
+    for w, lang in zip(texts, languages):
+        by[names.index(lang)].append(w)
     pools = [np.concatenate(x) for x in by]
     wide, f = max(WIDTHS), FILTERS * len(WIDTHS)
     mask = np.repeat(np.stack([np.arange(wide) < w for w in WIDTHS for _ in range(FILTERS)], 1), EMBED, 0)
@@ -162,7 +165,7 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Network | None:
     """Fits on the bounded sample of rows that are not held out; None without any."""
     rows = (docs.select("doc_id", "text", "lang")
             .filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & (remainder4(F.col("doc_id")) != 2))
-            .filter(F.col("text").rlike(r"\p{L}") & (F.length("text") <= MAX_TRAIN_CHARS)))
+            .filter(F.col("text").rlike(r"\p{L}")))
     counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
     if not counts:
         return None
@@ -172,10 +175,17 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Network | None:
     pick = few[0]
     for c in few[1:]:
         pick = pick | c
-    w = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"))
-    sample = (rows.filter(pick).withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= per_language)
-              .orderBy("lang", "_n").select("text", "lang").collect())
-    return fit([r["text"] for r in sample], [r["lang"] for r in sample])
+
+    def cut(b: pa.RecordBatch) -> pa.RecordBatch:
+        data = [some_windows(t.as_py()).tobytes() for t in b.column(4)]
+        return pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(data, pa.binary())], names=[*b.schema.names[:4], "windows"])
+    t = rows.filter(pick).select("lang", F.xxhash64("doc_id").alias("_h"), "doc_id", F.xxhash64("text").alias("_t"), "text")
+    bytes_ = t.mapInArrow(by_batch(cut), f"lang string, _h long, doc_id {t.schema['doc_id'].dataType.simpleString()}, "
+                                         "_t long, windows binary")
+    w = Window.partitionBy("lang").orderBy("_h", "doc_id", "_t")
+    sample = (bytes_.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= per_language)
+              .orderBy("lang", "_n").select("windows", "lang").collect())
+    return fit([np.frombuffer(r["windows"], np.uint8).reshape(-1, WINDOW) for r in sample], [r["lang"] for r in sample])
 
 
 def predictions(docs: DataFrame) -> DataFrame:

@@ -110,3 +110,10 @@ def test_windows_cover_every_byte(n):
     assert adds.sum() == max(1, n)
     seen = {bytes(x[i:i + 4]) for x in w for i in range(language.STRIDE)}
     assert {data[i:i + 4] for i in range(n - 3)} <= seen
+
+
+def test_language_of_long_texts_is_learned(spark, make_docs):
+    docs = make_docs([(i, "the cat and the dog ") for i in range(9)]).unionByName(
+        make_docs([(i, "żółw łąka święto źdźbło " * 1000) for i in range(9, 18)], lang="pl"))
+    assert {r.doc_id: r.lang_pred for r in language.predictions(docs).collect()} == {
+        i: "en" if i < 9 else "pl" for i in range(18)}
