@@ -7,8 +7,8 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (bpe, language, learned_partitions, licenses, minhash, mixing, norm_buckets, repeats, token_blocks,
-               toxicity)
+from . import (bpe, language, learned_partitions, licenses, merkle, minhash, mixing, norm_buckets, repeats, secrets,
+               token_blocks, toxicity, variants)
 from .base import table, vocabulary
 
 
@@ -52,9 +52,22 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.predictions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digests(table(spark, sf_dir, "documents"))
+
+
+def op12_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.groups(table(spark, sf_dir, "documents"))
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_mixing, op2_licenses, op3_token_blocks, op4_minhash, op5_learned_partitions,
-                                     op6_suffix_array, op7_language, op8_norm_buckets, op9_bpe, op10_toxicity)} | {"pipeline": corpus_pipeline.run}
+                                     op6_suffix_array, op7_language, op8_norm_buckets, op9_bpe, op10_toxicity,
+                                     op11_secrets, op12_variants, op13_merkle)} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
