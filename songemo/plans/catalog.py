@@ -18,7 +18,7 @@ from ..config import MODEL_FEATURES
 from ..functions.keys import add_key_columns
 from ..functions.scalars import nan_to_null, tempo_bucket, to_numeric_or_null
 from ..operators import analyst, audio, features, joins, labels, quality, semantic, similarity, views
-from ..modeling import impute, linear, metrics, split, train
+from ..modeling import impute, linear, metrics, split, train, trees
 from ..sources import files
 from .report import round_binary
 from ..sources import bindings as B
@@ -545,48 +545,78 @@ def q_cv_scores(spark, d):
 
 @query("rf_fit")
 def q_rf_fit(spark, d):
-    """L7 + L9: random forest per target, full random search on 5 folds, holdout metrics."""
+    """The base forest (100 trees of any depth) per target, holdout metrics."""
     prep = train.prepare(modeling_of(spark, d))
-    res = train.train_tree_models(prep, kinds=("random_forest",), tune=True, n_iter=train.N_ITER_FULL)
+    res = train.train_tree_models(prep, kinds=("random_forest",))
     prep.release()
     return train.metrics_frame(spark, res)
 
 
 @query("gbt_fit")
 def q_gbt_fit(spark, d):
-    """L8 + L9: gradient-boosted trees per target, full random search on 5 folds, holdout metrics."""
+    """L8 + L9: boosted trees per target, the fast search (5 settings) on 5 folds, holdout metrics."""
     prep = train.prepare(modeling_of(spark, d))
-    res = train.train_tree_models(prep, kinds=("boosted_trees",), tune=True, n_iter=train.N_ITER_FULL)
+    res = train.train_tree_models(prep, kinds=("boosted_trees",), tune=True, n_iter=train.N_ITER_FAST)
     prep.release()
     return train.metrics_frame(spark, res)
 
 
 @query("tree_cv_scores")
 def q_tree_cv_scores(spark, d):
-    """L9 + L10: RMSE on each fold of every sampled setting of both tree kinds (full search)."""
+    """L9 + L10: RMSE on each fold of every setting of both tree kinds (the fast search)."""
     prep = train.prepare(modeling_of(spark, d))
-    res = train.train_tree_models(prep, tune=True, n_iter=train.N_ITER_FULL)
+    res = train.train_tree_models(prep, tune=True, n_iter=train.N_ITER_FAST)
     prep.release()
     return train.cv_frame(spark, res)
 
 
 @query("model_comparison")
 def q_model_comparison(spark, d):
-    """L11 + L14: all four model kinds, both targets, full search for each."""
-    res, prep, _ = train.train_all(modeling_of(spark, d))
+    """L11 + L14: all four model kinds, both targets; full search of the linear kinds, fast search of the trees."""
+    res, prep, _ = train.train_all(modeling_of(spark, d), n_iter_trees=train.N_ITER_FAST)
     prep.release()
     return train.metrics_frame(spark, res)
 
 
 @query("ml_predict")
 def q_ml_predict(spark, d):
-    """Predictions of the tuned boosted trees for every song, features imputed with training medians."""
+    """Predictions of the searched boosted trees for every song, features imputed with training medians."""
     prep = train.prepare(modeling_of(spark, d))
-    res = train.train_tree_models(prep, kinds=("boosted_trees",), tune=True, n_iter=train.N_ITER_FULL)
+    res = train.train_tree_models(prep, kinds=("boosted_trees",), tune=True, n_iter=train.N_ITER_FAST)
     prep.release()  # prediction reads the feature table, not the training data
     return train.predict(enriched_of(spark, d), res.models, prep.medians)
 
 
+#: A small node table: (tree, node, feature, threshold, left, right, value); the base value is tree -1.
+SCORE_FEATURES = ["l_quantity", "l_discount", "l_tax"]
+SCORE_NODES = [(-1, 0, -1, 0.0, 0, 0, 1200.5),
+               (0, 0, 0, 25.0, 1, 2, 0.0), (0, 1, 1, 0.05, 3, 4, 0.0), (0, 2, 2, 0.02, 5, 6, 0.0),
+               (0, 3, -1, 0.0, 0, 0, -310.25), (0, 4, -1, 0.0, 0, 0, -95.5), (0, 5, 0, 40.0, 7, 8, 0.0), (0, 6, -1, 0.0, 0, 0, 410.75),
+               (0, 7, -1, 0.0, 0, 0, 120.0), (0, 8, -1, 0.0, 0, 0, 333.125),
+               (1, 0, 1, 0.03, 1, 2, 0.0), (1, 1, -1, 0.0, 0, 0, 20.5), (1, 2, 2, 0.04, 3, 4, 0.0),
+               (1, 3, -1, 0.0, 0, 0, -7.75), (1, 4, -1, 0.0, 0, 0, 64.0),
+               (2, 0, -1, 0.0, 0, 0, 0.5)]
+
+
+@query("tree_score")
+def q_tree_score(spark, d):
+    """K2 + L12: a node table applied to every row of lineitem."""
+    model = trees.TreeModel(SCORE_FEATURES, SCORE_NODES)
+    return model.transform(B.regression_rows(spark, d), "score").select("l_orderkey", "l_linenumber", "score")
+
+
+@query("tree_first_cut")
+def q_tree_first_cut(spark, d):
+    """Sums of gradients and weights of each (column, bin) over all rows, and the best first cut by its gain."""
+    r = B.regression_rows(spark, d).na.drop()
+    out = trees.first_cut(r, list(B.REGRESSION_COEFS), "y", TREE_EDGES, alpha=0.1, lam=1.0)
+    return out.withColumns({"g_mean": round_binary(F.col("g_mean"), 6), "gain_share": round_binary(F.col("gain_share"), 9)})
+
+
+#: Cut values of each column, as a quantiser would give them.
+TREE_EDGES = [[5.0 * i for i in range(1, 10)], [0.01 * i for i in range(10)], [0.01 * i for i in range(8)]]
+
+
 @query("kmeans")
 def q_kmeans(spark, d):
     """Four emotion clusters of the (valence, arousal) points."""

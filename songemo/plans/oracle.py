@@ -692,6 +692,44 @@ SELECT n, round(sqrt(sse / n), 6) AS rmse,
        round((syp - sy * sp / n) / (sqrt(syy - sy * sy / n) * sqrt(spp - sp * sp / n)), 6) AS pearson_r
 FROM m"""
 
+# A node table walked node by node.
+_NODES = [(0, 0, 0, 25.0, 1, 2, 0.0), (0, 1, 1, 0.05, 3, 4, 0.0), (0, 2, 2, 0.02, 5, 6, 0.0), (0, 3, -1, 0.0, 0, 0, -310.25),
+          (0, 4, -1, 0.0, 0, 0, -95.5), (0, 5, 0, 40.0, 7, 8, 0.0), (0, 6, -1, 0.0, 0, 0, 410.75), (0, 7, -1, 0.0, 0, 0, 120.0),
+          (0, 8, -1, 0.0, 0, 0, 333.125), (1, 0, 1, 0.03, 1, 2, 0.0), (1, 1, -1, 0.0, 0, 0, 20.5), (1, 2, 2, 0.04, 3, 4, 0.0),
+          (1, 3, -1, 0.0, 0, 0, -7.75), (1, 4, -1, 0.0, 0, 0, 64.0), (2, 0, -1, 0.0, 0, 0, 0.5)]
+
+SQL["tree_score"] = f"""WITH RECURSIVE
+nodes(tree, node, feature, threshold, l, r, value) AS (VALUES {", ".join(f"({t}, {n}, {f}, {x}::DOUBLE, {a}, {b}, {v}::DOUBLE)" for t, n, f, x, a, b, v in _NODES)}),
+li AS (SELECT row_number() OVER () AS id, l_orderkey, l_linenumber, [l_quantity::DOUBLE, l_discount::DOUBLE, l_tax::DOUBLE] AS x FROM lineitem),
+walk AS (
+  SELECT id, l_orderkey, l_linenumber, x, n.* FROM li, nodes n WHERE n.node = 0
+  UNION ALL
+  SELECT id, l_orderkey, l_linenumber, x, n.* FROM walk w JOIN nodes n
+  ON n.tree = w.tree AND n.node = CASE WHEN w.x[w.feature + 1] <= w.threshold THEN w.l ELSE w.r END WHERE w.feature >= 0)
+SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, round(1200.5::DOUBLE + sum(value), 9) AS score
+FROM walk WHERE feature < 0 GROUP BY id, l_orderkey, l_linenumber"""
+
+
+def _first_cut(columns: list[tuple[str, list[str]]], target: str, alpha: float, lam: float) -> str:
+    def score(g: str, h: str) -> str:
+        return f"power(greatest(abs({g}) - {alpha}::DOUBLE, 0), 2) / ({h} + {lam}::DOUBLE)"
+    bins = " UNION ALL ".join(
+        f"SELECT {i} AS c, '{f}' AS feature, {' + '.join(f'CAST({f} > {e}::DOUBLE AS INTEGER)' for e in edges)} AS bin, g FROM grad"
+        for i, (f, edges) in enumerate(columns))
+    return f"""WITH grad AS (SELECT *, (SELECT avg({target}::DOUBLE) FROM lineitem) - {target}::DOUBLE AS g FROM lineitem),
+rows AS ({bins}),
+per AS (SELECT c, feature, bin, count(*) AS n, sum(g) AS sg, sum(g * g) AS gg FROM rows GROUP BY c, feature, bin),
+run AS (SELECT *, sum(sg) OVER (PARTITION BY c ORDER BY bin) AS gl, sum(n) OVER (PARTITION BY c ORDER BY bin) AS hl,
+               sum(sg) OVER (PARTITION BY c) AS g, sum(n) OVER (PARTITION BY c) AS h, sum(gg) OVER (PARTITION BY c) AS all_gg FROM per),
+gains AS (SELECT *, CASE WHEN hl < h THEN ({score("gl", "hl")} + {score("(g - gl)", "(h - hl)")} - {score("g", "h")}) / all_gg END AS share FROM run)
+SELECT feature, CAST(bin AS BIGINT) AS bin, CAST(n AS BIGINT) AS n, round(sg / n, 6) AS g_mean, round(share, 9) AS gain_share,
+       row_number() OVER (ORDER BY round(share, 9) DESC NULLS LAST, c, bin) = 1 AS best FROM gains"""
+
+
+SQL["tree_first_cut"] = _first_cut(
+    [("l_quantity", [f"{5.0 * i}" for i in range(1, 10)]), ("l_discount", [repr(0.01 * i) for i in range(10)]),
+     ("l_tax", [repr(0.01 * i) for i in range(8)])], "l_extendedprice", 0.1, 1.0)
+
 
 def oracle_sql() -> dict[str, str]:
     return dict(SQL)

@@ -91,8 +91,8 @@ def test_ridge_matches_numpy(spark):
     df = spark.createDataFrame([tuple(map(float, r)) + (float(t),) for r, t in zip(X, y)],
                                ", ".join(f"x{i} double" for i in range(p)) + ", y double")
     feats = [f"x{i}" for i in range(p)]
-    shift = linear.feature_means(df, feats)
-    m = linear.gram_moments(df, feats, ["y"], by=None, shift=shift)[None]
+    shift = linear.column_means(df, feats)
+    m = linear.gram_moments(df, feats, ["y"], None, shift, np.zeros(1))[None]
     for alpha in (0.001, 1.0, 100.0):
         v, c = linear.fit_ridge(m, 0, alpha)
         mu, sd = X.mean(0), X.std(0)
@@ -140,20 +140,45 @@ def test_plans(spark):
         assert "CartesianProduct" not in s and "BroadcastNestedLoopJoin" not in s, name
 
 
-def test_tree_random_search(spark):
-    from songemo.modeling import trees
-    from songemo.modeling.split import with_split
-    rng = np.random.default_rng(1)
-    rows = [(str(i), float(x), float(z), float(2 * x + (z > 0.5) + 0.1 * rng.normal()))
-            for i, (x, z) in enumerate(rng.random((300, 2)))]
-    df = with_split(spark.createDataFrame(rows, "song_id string, x double, z double, y double"))
-    space = {"n_estimators": (5, 10), "max_depth": (2, 4), "min_samples_split": (2,), "min_samples_leaf": (1,),
-             "max_features": ("sqrt", 0.5), "bootstrap": (True,), "min_impurity_decrease": (0.0,)}
-    model, best, cv_mean, cv_rows = trees.fit_tree_model(df, ["x", "z"], "y", "random_forest", tune=True,
-                                                         n_iter=3, space=space)
-    assert set(best) == set(space) and cv_mean == min(r[3] for r in cv_rows) and len(cv_rows) == 3
-    pred = model.transform(df).select("y", "prediction").toPandas()
-    assert np.corrcoef(pred.y, pred.prediction)[0, 1] > 0.9
+def test_large_values_beside_small_spread(spark):
+    """Targets near 1e8 that differ by hundredths, features near 1e6: fits, folds and metrics keep their digits."""
+    rng = np.random.default_rng(8)
+    n = 2000
+    x = rng.normal(size=(n, 2)) * [1.0, 1e-3] + [0.0, 1e6]
+    y = 1e8 + 0.03 * x[:, 0] + 10.0 * (x[:, 1] - 1e6) + 1e-3 * rng.normal(size=n)
+    f = rng.integers(0, 3, n)
+    df = spark.createDataFrame([(float(a), float(b), float(t), int(k)) for (a, b), t, k in zip(x, y, f)], "a double, b double, y double, f int")
+    means = linear.column_means(df, ["a", "b", "y"])
+    folds = linear.gram_moments(df, ["a", "b"], ["y"], "f", means[:2], means[2:])
+    for held in folds:
+        m = linear.merged([folds[k] for k in sorted(folds) if k != held])
+        v, c = linear.fit_ridge(m, 0, 1e-3)
+        got = linear.metrics_of(folds[held], 0, v, c)
+        tr, te = f != held, f == held
+        z = x - x[tr].mean(0)
+        w = np.linalg.lstsq(z[tr], y[tr] - y[tr].mean(), rcond=None)[0]
+        pred = z[te] @ w + y[tr].mean()
+        assert got["rmse"] == pytest.approx(float(np.sqrt(((y[te] - pred) ** 2).mean())), rel=1e-3)
+        assert got["r2"] > 0.99 and got["pearson_r"] == pytest.approx(np.corrcoef(y[te], pred)[0, 1], rel=1e-6)
+
+
+def test_elastic_net_path_and_gap():
+    """Warm starts end where cold ones do, at the optimum."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(300, 5)) @ rng.normal(size=(5, 5))
+    y = x @ [1.0, 0, -2, 0, 0.5] + rng.normal(size=300)
+    x, yc = x - x.mean(0), y - y.mean()
+    m = linear.Moments(300.0, np.zeros(5), np.zeros(1), x.T @ x, (x.T @ yc)[:, None], np.array([yc @ yc]))
+    settings = [{"alpha": a, "l1_ratio": r, "max_iter": 5000} for a in (0.5, 0.01, 0.1) for r in (0.1, 0.9)]
+    for s, (v, _) in zip(settings, linear._fits("elasticnet", m, 0, settings)):
+        cold, _ = linear.fit_elasticnet(m, 0, s["alpha"], s["l1_ratio"], 50000, tol=1e-12)
+        sd = x.std(0)
+
+        def cost(v):
+            return (((yc - x @ v) ** 2).mean() / 2 + s["alpha"] * s["l1_ratio"] * np.abs(v * sd).sum()
+                    + s["alpha"] * (1 - s["l1_ratio"]) / 2 * ((v * sd) ** 2).sum())
+        assert cost(v) - cost(cold) <= 1e-4 * (yc @ yc) / 300
+        np.testing.assert_allclose(v, cold, atol=0.05)
 
 
 def test_nan_chroma_falls_to_next_method(spark):
@@ -196,40 +221,27 @@ def test_similar_songs_with_shared_points(spark):
             assert {s: [x for _, x in sorted(v)] for s, v in got.items()} == {s: brute(s, k) for s in seeds[:4]}
 
 
-def test_model_queries_search_in_full(spark, monkeypatch):
-    """cv_scores has every setting of the full search; tree queries ask for as many, scored on each fold."""
-    from songemo.modeling import train, trees
+def test_model_queries(spark):
+    """cv_scores has every setting of the full search; the tree queries' scores agree with each other."""
     qs = queries()
     got = {(r.model, r.target): r["count"] for r in qs["cv_scores"](spark, SF001).groupBy("model", "target").count().collect()}
     assert got == {(m, t): n for m, n in (("ridge", 40), ("elasticnet", 64)) for t in ("arousal", "valence")}
-    asked, model = [], []
-
-    def fit(data, features, label, kind, **more):
-        asked.append((kind, label, more["tune"], more["n_iter"]))
-        if not model:
-            est = trees.RandomForestRegressor(labelCol=label, numTrees=1, maxDepth=1)
-            model.append(trees.Pipeline(stages=[trees.VectorAssembler(inputCols=features, outputCol="features"), est]).fit(data))
-        return model[0], {"a": 1}, 3.0, [(0, "a", [1.0, 2.0, 3.0, 4.0, 5.0], 3.0)]
-    monkeypatch.setattr(trees, "fit_tree_model", fit)
-    both = ["random_forest", "boosted_trees"]
-    for name, kinds in (("rf_fit", both[:1]), ("gbt_fit", both[1:]), ("ml_predict", both[1:]), ("model_comparison", both),
-                        ("tree_cv_scores", both)):
-        asked.clear()
-        out = qs[name](spark, SF001)
-        assert sorted(asked) == sorted((k, t, True, train.N_ITER_FULL) for k in kinds for t in ("arousal", "valence")), name
-    assert sorted((r.model, r.target, r.setting, r.fold, r.rmse) for r in out.collect()) == sorted(
-        (k, t, 0, f, f + 1.0) for k in both for t in ("arousal", "valence") for f in range(5))
-
-
-def test_tree_search_scores_each_fold(spark):
-    from songemo.modeling import trees
-    rows = [(float(i % 7), float(i % 7 + i % 3), i % 2) for i in range(40)]
-    df = spark.createDataFrame(rows, "x double, y double, fold int").coalesce(1)
-    space = {k: v[:1] for k, v in trees.RF_SPACE.items()} | {"n_estimators": (2,), "max_depth": (1, 2)}
-    _, _, mean, cv = trees.fit_tree_model(df, ["x"], "y", "random_forest", tune=True, n_iter=9, space=space, folds=2)
-    assert len(cv) == 2 and all(len(r[2]) == 2 and sum(r[2]) / 2 == r[3] for r in cv) and mean == min(r[3] for r in cv)
-    est = trees.make_estimator("random_forest", "y", 42)
-    data = trees.VectorAssembler(inputCols=["x"], outputCol="features").transform(df)
-    setting = next(s for s in trees.sample_params(space, 9, 42) if str(s) == cv[0][1])
-    held = est.fit(data.filter("fold != 1"), trees.rf_params(est, setting)).transform(data.filter("fold = 1")).toPandas()
-    assert abs(np.sqrt(((held.y - held.prediction) ** 2).mean()) - cv[0][2][1]) < 1e-9
+    fitted = {r.target: r for r in qs["gbt_fit"](spark, SF001).collect()}
+    assert set(fitted) == {"arousal", "valence"} and all(r.rmse > 0 and r.cv_rmse_mean > 0 and r.best_params for r in fitted.values())
+    pred = qs["ml_predict"](spark, SF001)
+    assert pred.columns == ["song_id", "predicted_arousal", "predicted_valence"]
+    assert pred.filter("predicted_arousal is null or predicted_valence is null").count() == 0 and pred.count() > 1000
+
+
+def test_default_search_is_full(spark, monkeypatch):
+    """train_all's defaults search 64 settings of both tree kinds and of the linear ones."""
+    from songemo.modeling import train, trees
+    from songemo.plans import catalog
+    asked = []
+    fit = trees.fit_tree_models
+    monkeypatch.setattr(trees, "fit_tree_models", lambda q, kind, **more: asked.append((kind, more["tune"], more["n_iter"])) or fit(
+        q, kind, space={k: v[:1] for k, v in trees.SPACES[kind][0].items()} | {"n_estimators": (2,), "max_depth": (2, 3)}, **more))
+    res, prep, _ = train.train_all(catalog.modeling_of(spark, SF001))
+    prep.release()
+    assert asked == [("random_forest", True, 64), ("boosted_trees", True, 64)]
+    assert {m[0] for m in res.metrics} == {"ridge", "elasticnet", "random_forest", "boosted_trees"} and len(res.metrics) == 8
