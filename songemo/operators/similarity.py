@@ -11,7 +11,7 @@ from __future__ import annotations
 import math
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -63,19 +63,28 @@ def song_profile(predictions: DataFrame, song_ids: list[str] | DataFrame) -> Dat
                       tags(a, v).alias("tags"), q.alias("quadrant"))
 
 
+#: Points that a seed's own cell may hold at first, as a multiple of k + 1 (mean over points).
+FULL_CELL = 8
+#: Seed points that are few enough to be compared with every point in one scan.
+SCAN_SEEDS = 64
+
+
 def similar_songs_grid(predictions: DataFrame, seeds: DataFrame, k: int = 10) -> DataFrame:
     """Exact k nearest songs for every seed of a seed table, in one plan per round.
 
     Songs are first reduced to their distinct points, each with its k + 1
     smallest ids; no answer can need more of a point's songs, so what is
     compared are points, however many songs share one.  Points fall into
-    square cells sized for about k of them.  Each round joins every pending
-    seed point with the cells of its ring (Chebyshev radius r around its own
-    cell) on the cell key and ranks the candidates.  A seed point is done when
-    its k + 1 nearest songs (itself among them) lie within r times the cell
-    size (no point outside the ring can be closer) or when the ring covers the
-    whole extent; the others go on with a doubled ring, so the rounds end with
-    the extent.  The seeds' own songs are joined back last.
+    square cells.  The first cell size follows the middle 98 % of the points, and
+    is halved until a point's cell holds few others on average, so neither
+    far-off points nor dense clusters make cells crowded.  Each round joins every
+    pending seed point with the nine cells around it on the cell key and ranks the
+    candidates.  A seed point is done when its k + 1 nearest songs (itself among
+    them) lie within one cell size (no point outside the nine cells can be
+    closer) or when the nine cells cover the whole extent; the others go on with
+    cells four times as wide, which are still sparse where they are pending.  As
+    soon as few are left, one scan of the points answers them.  The seeds' own
+    songs are joined back last.
     """
     if k < 0:
         raise ValueError("k must be >= 0")
@@ -86,59 +95,76 @@ def similar_songs_grid(predictions: DataFrame, seeds: DataFrame, k: int = 10) ->
     of_point = Window.partitionBy("a", "v").orderBy("song_id")
     pts = _stable(songs.distinct().withColumn("_n", F.row_number().over(of_point)).filter(F.col("_n") <= k + 1)
                   .groupBy("a", "v").agg(F.collect_list("song_id").alias("ids")))       # <= k + 1 ids each
-    ext = pts.agg(F.min("a").alias("a0"), F.max("a").alias("a1"), F.min("v").alias("v0"),
-                  F.max("v").alias("v1"), F.count(F.lit(1)).alias("n")).first()   # one row
+    middle = [0.01, 0.99]
+    ext = pts.agg(F.min("a").alias("a0"), F.max("a").alias("a1"), F.min("v").alias("v0"), F.max("v").alias("v1"),
+                  F.percentile_approx("a", middle).alias("qa"), F.percentile_approx("v", middle).alias("qv"),
+                  F.count(F.lit(1)).alias("n")).first()   # one row
     if not ext["n"] or k == 0:
         return empty
-    span = max(ext["a1"] - ext["a0"], ext["v1"] - ext["v0"], 1e-9)
-    cells_per_axis = max(1, int((ext["n"] / k) ** 0.5))
-    h = span / cells_per_axis
-    cell = lambda col: F.floor(F.col(col) / F.lit(h)).cast("bigint")
-    lo_x, hi_x = math.floor(ext["a0"] / h), math.floor(ext["a1"] / h)   # same floor(x / h) as the cells
-    lo_y, hi_y = math.floor(ext["v0"] / h), math.floor(ext["v1"] / h)
-    grid = pts.select("ids", "a", "v", cell("a").alias("cx"), cell("v").alias("cy"))
     asked = _stable(songs.join(seeds.select("song_id").distinct(), "song_id", "left_semi")
                     .select(F.col("song_id").alias("seed_id"), F.col("a").alias("sa"), F.col("v").alias("sv")).distinct())
-    pending = asked.select("sa", "sv").distinct().withColumns({"scx": cell("sa"), "scy": cell("sv")})
+    h = _cell_size(pts, ext, k)
+    pending = _stable(asked.select("sa", "sv").distinct())
     point = ["sa", "sv"]
     by_distance = Window.partitionBy(*point).orderBy("distance")
     by_song = Window.partitionBy(*point).orderBy("distance", "song_id")
-    near = []
-    r = 1
-    while True:
-        pending = _stable(pending)
-        if pending.isEmpty():
-            break
-        ring = (pending.withColumn("dx", F.explode(F.sequence(F.lit(-r), F.lit(r))))
-                .withColumn("dy", F.explode(F.sequence(F.lit(-r), F.lit(r))))
-                .select(*point, "scx", "scy", (F.col("scx") + F.col("dx")).alias("cx"),
-                        (F.col("scy") + F.col("dy")).alias("cy")))
-        d2 = (F.col("a") - F.col("sa")) ** 2 + (F.col("v") - F.col("sv")) ** 2
+    d2 = (F.col("a") - F.col("sa")) ** 2 + (F.col("v") - F.col("sv")) ** 2
+
+    def nearest(pairs: DataFrame) -> DataFrame:
         # every point holds at least one song: k + 1 nearest points, with ties, hold the k + 1 nearest songs
-        cand = (ring.join(grid, ["cx", "cy"]).withColumn("distance", d2)
+        cand = (pairs.select(*point, "ids", d2.alias("distance"))
                 .withColumn("_r", F.rank().over(by_distance)).filter(F.col("_r") <= k + 1))
-        top = (cand.select(*point, "scx", "scy", "distance", F.explode("ids").alias("song_id"))
-               .withColumn("_r", F.row_number().over(by_song)).filter(F.col("_r") <= k + 1))
+        return (cand.select(*point, "distance", F.explode("ids").alias("song_id"))
+                .withColumn("_r", F.row_number().over(by_song)).filter(F.col("_r") <= k + 1))
+    near = []
+    while left := pending.count():
+        if left <= SCAN_SEEDS:
+            each = F.inline(F.array(*[F.struct(F.lit(r["sa"]).alias("sa"), F.lit(r["sv"]).alias("sv")) for r in pending.collect()]))
+            near.append(_stable(nearest(pts.select("*", each)).select(*point, "song_id", "distance")))
+            break
+        around = F.array(*[F.struct(F.lit(i).alias("dx"), F.lit(j).alias("dy")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
+        ring = (pending.withColumns({"scx": _cell("sa", h), "scy": _cell("sv", h)}).select(*point, "scx", "scy", F.inline(around))
+                .select(*point, (F.col("scx") + F.col("dx")).alias("cx"), (F.col("scy") + F.col("dy")).alias("cy")))
+        grid = pts.select("ids", "a", "v", _cell("a", h).alias("cx"), _cell("v", h).alias("cy"))
+        top = _stable(nearest(ring.join(grid, ["cx", "cy"])).select(*point, "song_id", "distance"))
         stat = top.groupBy(*point).agg(F.count(F.lit(1)).alias("_found"), F.max("distance").alias("_dk"))
-        covers = ((F.col("scx") - r <= lo_x) & (F.col("scx") + r >= hi_x)
-                  & (F.col("scy") - r <= lo_y) & (F.col("scy") + r >= hi_y))
-        # accept below (r - 0.001) cells: a point that rounding put one cell off
-        # is still at least that far away, so it cannot be missed
-        safe = ((r - 0.001) * h) ** 2
+        covers = F.lit(True)
+        for c, lo, hi in (("sa", ext["a0"], ext["a1"]), ("sv", ext["v0"], ext["v1"])):
+            covers &= (_cell(c, h) - 1 <= math.floor(lo / h)) & (_cell(c, h) + 1 >= math.floor(hi / h))
+        # accept below 0.999 cells: a point that rounding put one cell off is still
+        # at least that far away, so it cannot be missed
+        safe = (0.999 * h) ** 2
         ok = _stable(pending.join(stat, point).filter(
             covers | ((F.col("_found") == k + 1) & (F.col("_dk") <= F.lit(safe)))).select(*point))
-        near.append(_stable(top.join(ok, point, "left_semi").select(*point, "song_id", "distance")))
-        pending = pending.join(ok, point, "left_anti")
-        r = 2 * r + 1
-    found = reduce(lambda x, y: x.unionByName(y), near) if near else None
-    if found is None:
+        near.append(top.join(ok, point, "left_semi"))
+        pending = _stable(pending.join(ok, point, "left_anti"))
+        h *= 4
+    if not near:
         return empty
+    found = reduce(lambda x, y: x.unionByName(y), near)
     of_seed = Window.partitionBy("seed_id").orderBy("distance", "song_id")
     return (asked.join(found, point).filter(F.col("song_id") != F.col("seed_id"))
             .withColumn("rank", F.row_number().over(of_seed)).filter(F.col("rank") <= k)
             .select("seed_id", F.col("rank").cast("int").alias("rank"), "song_id", "distance"))
 
 
+def _cell(col: str, h: float) -> Column:
+    return F.floor(F.col(col) / F.lit(h)).cast("bigint")
+
+
+def _cell_size(pts: DataFrame, ext, k: int) -> float:
+    """A cell size at which a point's cell holds at most FULL_CELL * (k + 1) points, on average over the points."""
+    far = max(abs(ext[c]) for c in ("a0", "a1", "v0", "v1"))
+    least = max(far, 1e-9) * 2.0 ** -50                        # cell numbers stay exact
+    h = max(ext["qa"][1] - ext["qa"][0], ext["qv"][1] - ext["qv"][0], least) / max(1, int((ext["n"] / k) ** 0.5))
+    while h > 2 * least:
+        cells = pts.groupBy(_cell("a", h).alias("cx"), _cell("v", h).alias("cy")).agg(F.count(F.lit(1)).cast("double").alias("c"))
+        if cells.agg(F.sum(F.col("c") * F.col("c")) / F.sum("c")).first()[0] <= FULL_CELL * (k + 1):
+            break
+        h /= 2
+    return max(h, least)
+
+
 def _stable(df: DataFrame) -> DataFrame:
     """Checkpoint a small per-seed table into the shared checkpoint folder (cuts round lineage)."""
     checkpoint_dir(df.sparkSession)

@@ -112,3 +112,27 @@ def test_similar_songs_grid_matches_brute_force(spark):
         a0, v0 = pos[sd]
         d = sorted(((a - a0) ** 2 + (v - v0) ** 2, s) for s, a, v in ok if s != sd)[:k]
         assert sorted(got[sd]) == [(i + 1, s, round(x, 12)) for i, (x, s) in enumerate(d)], sd
+
+
+def test_similar_songs_grid_with_outliers_and_clusters(spark):
+    """Far-off points and a dense cluster: answers equal brute force, and cells stay sparse."""
+    import numpy as np
+    from songemo.operators import similarity
+    rng = np.random.default_rng(6)
+    xy = np.concatenate([rng.normal(size=(400, 2)), rng.normal(size=(400, 2)) * 1e-4 + 3, [[1e3, 0], [1e3, 1], [-5e5, 7e5]]])
+    rows = [(f"s{i:04d}", float(a), float(v)) for i, (a, v) in enumerate(xy)]
+    df = spark.createDataFrame(rows, "song_id string, predicted_arousal double, predicted_valence double")
+    got = {}
+    for r in similarity.similar_songs_grid(df, df.select("song_id"), 4).collect():
+        got.setdefault(r.seed_id, []).append((r["rank"], r.song_id))
+    for i, (s, a, v) in enumerate(rows):
+        d = (xy[:, 0] - a) ** 2 + (xy[:, 1] - v) ** 2
+        want = [f"s{j:04d}" for j in sorted(range(len(rows)), key=lambda j: (d[j], j)) if j != i][:4]
+        assert [x for _, x in sorted(got[s])] == want, s
+    pts = df.selectExpr("predicted_arousal a", "predicted_valence v")
+    ext = pts.agg(*[f(c).alias(n) for c, f, n in (("a", F.min, "a0"), ("a", F.max, "a1"), ("v", F.min, "v0"), ("v", F.max, "v1"))],
+                  F.percentile_approx("a", [0.01, 0.99]).alias("qa"), F.percentile_approx("v", [0.01, 0.99]).alias("qv"),
+                  F.count(F.lit(1)).alias("n")).first()
+    h = similarity._cell_size(pts, ext, 4)
+    cells = pts.groupBy(F.floor(F.col("a") / h), F.floor(F.col("v") / h)).count()
+    assert cells.agg(F.sum(F.col("count") * F.col("count"))).first()[0] <= 8 * 5 * len(rows)
