@@ -87,12 +87,9 @@ def band_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _folded(i: int, n: int, each=lambda x: x) -> Column:
-    """Sum of every n-th of the vector's 64 elements from element i on (all n sums use the whole vector)."""
-    parts = [each(F.element_at("embedding", j + 1).cast("double")) for j in range(i, 64, n)]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out + p
-    return out
+    """Sum of every n-th element of the vector from element i on (all n sums use the whole vector, whatever its length)."""
+    mine = F.filter("embedding", lambda x, j: j % n == i)
+    return F.aggregate(mine, F.lit(0.0), lambda total, x: total + each(x.cast("double")))
 
 
 def chroma_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
