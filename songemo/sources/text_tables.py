@@ -1,21 +1,32 @@
 """Delimited text files whose columns are bound by header name, per file.
 
 A directory ``read.csv(schema=...)`` binds columns by position, so files
-with the same columns in another order would be read wrong.  Here every file
-is read as lines; the first line of each file (lowest block offset, then
-lowest row id) is its header; each wanted column is looked up by name in
-that header, per file, and the data lines are split and picked by those
-positions.  Per file only a small array of positions travels, never the
-header text.  Files with a header and no data still yield one row (all
-values NULL), so a header-only song is kept; zero-byte files yield nothing.
+with the same columns in another order would be read wrong.  Here one numeric
+pass over the lines finds the hash of every file's first line; files with the same
+header form a group (usually there is one), and each group is one positional CSV
+scan that reads the wanted columns only.  The largest group is read by the
+pattern less the other groups' files.  No line is joined with its file's header.
+Files of very many different headers (more than ``GROUPS``, or more than
+``LISTED_FILES`` files outside the largest group) are read as lines instead, joined
+by path with each file's column positions.  Files with a header and no data
+still yield one row (all values NULL), so a header-only song is kept; zero-byte
+files yield nothing.
 """
 
 from __future__ import annotations
 
+import re
+from urllib.parse import unquote as unquote_uri
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.scalars import song_id_from_path, strip
+from ..session import checkpoint_dir
+
+GROUPS = 64
+LISTED_FILES = 10_000
 
 
 def read_lines(spark: SparkSession, pattern: str) -> DataFrame:
@@ -72,6 +83,36 @@ def split_header(header: Column, sep: Column) -> Column:
     return F.transform(_split(header, sep), _unquote)
 
 
+def _line_key() -> Column:
+    return F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("rid"))
+
+
+def file_signatures(spark: SparkSession, pattern: str) -> DataFrame:
+    """(path, signature, n_data) of every file with a line: the hash of its first filled line and its filled lines after it.
+
+    A numeric aggregate, combined before the shuffle; one row per file, checkpointed.
+    """
+    checkpoint_dir(spark)
+    lines = read_lines(spark, pattern).filter(F.length(F.trim("value")) > 0)
+    first = F.when(F.col("line_key.block") == 0, F.col("line_key.rid"))
+    per = lines.groupBy("path").agg(F.min_by(F.xxhash64("value"), first).alias("signature"), (F.count(F.lit(1)) - 1).alias("n_data"))
+    return per.checkpoint(eager=True)
+
+
+def _header_names(spark: SparkSession, path: str, sep: str | None) -> tuple[list[str], str]:
+    """Header names and separator of one file."""
+    lines = read_lines(spark, path).filter(F.length(F.trim("value")) > 0)
+    h = lines.orderBy("line_key.block", "line_key.rid").limit(1).select(F.regexp_replace("value", "^\uFEFF", "").alias("header"))
+    h = h.withColumn("sep", sniff_sep(F.col("header")) if sep is None else F.lit(sep))
+    row = h.select(F.transform(split_header(F.col("header"), F.col("sep")), lambda c: strip(c)).alias("names"), "sep").first()
+    return row["names"], row["sep"]
+
+
+def _as_path(uri: str) -> str:
+    """A file's URI as a path that stands for this file alone."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", unquote_uri(uri))
+
+
 def read_by_header(spark: SparkSession, pattern: str, wanted: list[str], sep: str | None = ";",
                    keep_header_only: bool = True) -> DataFrame:
     """(path, song_id, line_key, <wanted> as DOUBLE) with columns found by header name.
@@ -79,6 +120,42 @@ def read_by_header(spark: SparkSession, pattern: str, wanted: list[str], sep: st
     ``sep=None`` sniffs the delimiter per file.  Cells that are empty or not
     numbers become NULL (``try_cast``).
     """
+    files = file_signatures(spark, pattern)
+    groups = files.groupBy("signature").agg(F.count(F.lit(1)).alias("files"), F.min("path").alias("one"),
+                                            F.count_if(F.col("n_data") == 0).alias("empty"))
+    groups = groups.orderBy(F.desc("files"), "signature").limit(GROUPS + 1).collect()          # one per header
+    others = sum(g["files"] for g in groups[1:])
+    if len(groups) > GROUPS or others > LISTED_FILES:
+        return _read_by_join(spark, pattern, wanted, sep, keep_header_only)
+    paths: dict[int, list[str]] = {}
+    if others:
+        for r in files.filter(F.col("signature") != groups[0]["signature"]).collect():        # at most LISTED_FILES
+            paths.setdefault(r["signature"], []).append(r["path"])
+    parts = []
+    for g in groups:
+        names, s = _header_names(spark, _as_path(g["one"]), sep)
+        schema = StructType([StructField(f"c{i}", StringType()) for i in range(len(names))])
+        reader = (spark.read.schema(schema).option("header", True).option("sep", s).option("quote", '"').option("escape", '"')
+                  .option("maxColumns", len(names) + 1))
+        largest = g is groups[0]
+        rows = reader.csv(pattern if largest else [_as_path(p) for p in paths[g["signature"]]])
+        if largest and others:
+            rows = rows.filter(~F.col("_metadata.file_path").isin([p for ps in paths.values() for p in ps]))
+        at = {n: i for i, n in reversed(list(enumerate(names)))}                              # the first of equal names
+        vals = [strip(F.col(f"c{at[w]}")).try_cast("double").alias(w) if w in at else F.lit(None).cast("double").alias(w) for w in wanted]
+        parts.append(rows.select(F.col("_metadata.file_path").alias("path"), _line_key().alias("line_key"), *vals))
+    if keep_header_only and any(g["empty"] for g in groups) or not parts:
+        parts.append(files.filter("n_data = 0").select(
+            "path", F.lit(None).cast("struct<block:bigint,rid:bigint>").alias("line_key"),
+            *[F.lit(None).cast("double").alias(w) for w in wanted]))
+    out = parts[0]
+    for x in parts[1:]:
+        out = out.unionByName(x)
+    return out.withColumn("song_id", song_id_from_path(F.col("path")))
+
+
+def _read_by_join(spark: SparkSession, pattern: str, wanted: list[str], sep: str | None, keep_header_only: bool) -> DataFrame:
+    """As ``read_by_header``, for files of very many different headers."""
     lines = read_lines(spark, pattern)
     h = headers(lines)
     sep_col = sniff_sep(F.col("header")) if sep is None else F.lit(sep)

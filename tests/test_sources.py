@@ -151,3 +151,31 @@ def test_wide_dynamic_matrix_keeps_every_column(spark, tmp_path):
     d = spark.createDataFrame([("p", 1, ["0"] + [str(i) for i in range(5)])], "path string, line_key int, cells array<string>")
     got = an._long(h, d).orderBy("pos").select("pos", "name", "value").collect()
     assert [tuple(r) for r in got] == [(i + 1, f"c{i}", float(i)) for i in range(5)]
+
+
+def test_headers_in_groups(spark, tmp_path, monkeypatch):
+    """Files of several headers, a name with glob characters, quotes, blank lines, header-only and empty files: both ways agree."""
+    from songemo.sources import text_tables as t
+    files = {"1.csv": "a;b;c\n1;2;3\n\n4;x;6\n", "2.csv": "c;b;a\n3;2;1\n", "3.csv": "a;b;c\n", "4.csv": "",
+             "5 [x].csv": "c;b;a\n30;\"20\";10\n", "6.csv": "\ufeffb;a\n7;8\n9\n", "7.csv": "a;a;b;\"n;o\"\n1;2;3;4\n", "8.csv": "z\n1\n",
+             "9.csv": "a;b;c\r\n5;6;7\r\n   \n"}
+    for n, text in files.items():
+        (tmp_path / n).write_text(text, encoding="utf-8", newline="")
+    got = []
+    for limit in (64, 0):
+        monkeypatch.setattr(t, "GROUPS", limit)
+        df = t.read_by_header(spark, f"{tmp_path}/*.csv", ["a", "b", "c"])
+        got.append(sorted((tuple(r) for r in df.select("song_id", "a", "b", "c").collect()), key=str))
+        plan = df._jdf.queryExecution().analyzed().toString()
+        assert ("Join" in plan) == (limit == 0)
+    assert got[0] == got[1] and len(got[0]) == 10
+    assert {r for r in got[0] if r[0] in ("2", "6")} == {("2", 1.0, 2.0, 3.0), ("6", 8.0, 7.0, None), ("6", None, 9.0, None)}
+    assert [r for r in got[0] if r[0] == "3"] == [("3", None, None, None)]
+    assert [r[1:] for r in got[0] if r[0].startswith("5")] == [(10.0, 20.0, 30.0)]
+
+
+def test_very_wide_file(spark, tmp_path):
+    from songemo.sources import text_tables as t
+    n = 100_000
+    (tmp_path / "w.csv").write_text(";".join(f"c{i}" for i in range(n)) + "\n" + ";".join(str(i) for i in range(n)) + "\n")
+    assert tuple(t.read_by_header(spark, f"{tmp_path}/*.csv", ["c99999", "c7"]).select("c99999", "c7").first()) == (99999.0, 7.0)
