@@ -46,11 +46,22 @@ def scaled(embedding: Column | str, scale: int = 256) -> Column:
     return F.transform(embedding, lambda x: F.floor(F.lit(float(scale)) * x).cast("double"))
 
 
-def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Exact integer inner products of integral rows (as float64 where that is exact)."""
-    if a.size and b.size and a.shape[1] * np.abs(a).max() * np.abs(b).max() < 2.0 ** 53:
-        return a @ b.T
-    return (a.astype(np.int64) @ b.astype(np.int64).T).astype(np.float64)
+def _slack(a: np.ndarray, b: np.ndarray) -> float:
+    """How far float64 products of integral rows may be off: 0 where every sum stays below 2 ** 53."""
+    if not a.size or not b.size:
+        return 0.0
+    most = a.shape[1] * float(np.abs(a).max()) * float(np.abs(b).max())
+    return 0.0 if most < 2.0 ** 53 else most * a.shape[1] * 2.0 ** -51
+
+
+def _best(ids: np.ndarray, p: np.ndarray, q: np.ndarray, scores: np.ndarray, k: int, least: float, slack: float) -> list[tuple[int, int]]:
+    """(place, exact score) of the k best rows; where float64 is not exact, all rows that close are multiplied as integers."""
+    at = best_of(scores, ids, k, least - slack, 2 * slack)
+    if not slack:
+        return [(int(j), int(scores[j])) for j in at]
+    exact = p[at].astype(np.int64) @ q.astype(np.int64)
+    order = np.lexsort((ids[at], -exact))[:k]
+    return [(int(at[j]), int(exact[j])) for j in order]
 
 
 def search_block(q_ids: np.ndarray, q: np.ndarray, threshold: np.ndarray, ids: np.ndarray, p: np.ndarray,
@@ -66,15 +77,17 @@ def search_block(q_ids: np.ndarray, q: np.ndarray, threshold: np.ndarray, ids: n
     by_length = np.flatnonzero(alive & ~by_coordinate)
     out = []
 
+    slack = _slack(q, p)
+
     def add(i: int, rows: np.ndarray, scores: np.ndarray) -> None:
         scores = np.where(ids[rows] == q_ids[i], -np.inf, scores)
-        for j in best_of(scores, ids[rows], k, threshold[i]):
-            out.append((int(q_ids[i]), int(ids[rows[j]]), int(scores[j])))
+        for j, score in _best(ids[rows], p[rows], q[i], scores, k, threshold[i], slack):
+            out.append((int(q_ids[i]), int(ids[rows[j]]), score))
 
     if len(by_length):
         front = np.searchsorted(-p_len, -(reach[by_length] * (1 - LOOSE)), side="right")
         front[reach[by_length] <= 0] = len(p)
-        scores = _products(q[by_length], p[: front.max()])
+        scores = q[by_length] @ p[: front.max()].T
         for i, n, row in zip(by_length.tolist(), front.tolist(), scores):
             add(i, np.arange(n), row[:n])
     if by_coordinate.any():
@@ -97,7 +110,7 @@ def search_block(q_ids: np.ndarray, q: np.ndarray, threshold: np.ndarray, ids: n
             rows = np.sort(order[lo:hi])
             rows = rows[p_len[rows] >= reach[i] * (1 - LOOSE)]
             if len(rows):
-                add(i, rows, _products(q[i:i + 1], p[rows])[0])
+                add(i, rows, p[rows] @ q[i])
     return out
 
 
@@ -124,9 +137,10 @@ def _with_thresholds(blocks: DataFrame, top: tuple[bytes, bytes] | None, k: int)
             for r in range(b.num_rows):
                 q_ids, q = unpacked(b.column(0)[r].as_py(), b.column(1)[r].as_py())
                 ids, p = unpacked(*shared.value)
-                s = _products(q, p)
+                s = q @ p.T
                 s[q_ids[:, None] == ids[None, :]] = -np.inf
                 t = np.partition(s, s.shape[1] - k, axis=1)[:, s.shape[1] - k] if s.shape[1] >= k else np.full(len(q), -np.inf)
+                t = t - _slack(q, p)
                 q_len = np.sqrt((q * q).sum(axis=1))
                 with np.errstate(divide="ignore"):
                     least = np.where(t > 0, t / q_len, -1.0).min()

@@ -63,6 +63,17 @@ def test_prunings_are_used_and_exact():
         assert [x[1] for x in out if x[0] == 1000 + i] == sorted(ids, key=lambda j: (-s[i, j], j))[:5]
 
 
+def test_scores_beyond_doubles_are_exact(spark):
+    """Products above 2 ** 53 that differ by one: exact integers, in their order."""
+    big = 2.0 ** 20
+    vecs = [[big, big, 1 / 256], [big, big, 0], [big, big, 2 / 256], [big, big - 1, 0], [-big, 0, 0]]
+    got, _ = collected(norm_buckets.top_k(frame(spark, vecs), query_step=1, k=3))
+    ints = [[int(np.floor(256 * c)) for c in v] for v in vecs]
+    for i, q in enumerate(ints):
+        want = sorted(((-sum(a * b for a, b in zip(q, p)), j) for j, p in enumerate(ints) if j != i))[:3]
+        assert got[i] == [(j, -s) for s, j in want]
+
+
 def test_odd_vectors(spark):
     vecs = [[1, 0], None, [None, 1], [float("nan"), 1], [float("inf"), 0], [0, 0], [0.5, 0.5], [1, 0], [2, 0, 1], []]
     got, _ = collected(norm_buckets.top_k(frame(spark, vecs), query_step=1, k=5))
@@ -85,8 +96,9 @@ def test_balanced_parts():
     assert (part[graph] == part[:, None]).mean() > 0.5
 
 
-@pytest.mark.parametrize("kind", ["even", "clustered", "hot"])
-def test_nearest_recall(spark, kind):
+@pytest.mark.parametrize("kind, parts", [("even", 8), ("clustered", 8), ("hot", 16), ("long", 16), ("longer", 64)])
+def test_nearest_recall(spark, kind, parts):
+    """Even and clustered directions, a hot spot, and lengths spread log-normally, at 8 to 64 parts."""
     rng = np.random.default_rng(2)
     n = 4500
     x = rng.normal(size=(n, 16))
@@ -95,15 +107,36 @@ def test_nearest_recall(spark, kind):
     if kind == "hot":
         x[: n // 3] = x[0] + rng.normal(size=(n // 3, 16)) * 0.01
         x[10:60] = x[10]
-    x = (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32).astype(float)
-    got, raw = collected(learned_partitions.nearest(frame(spark, x), query_step=20, k=20))
+    x = x / np.linalg.norm(x, axis=1, keepdims=True)
+    if kind in ("long", "longer"):
+        x *= rng.lognormal(0, 1.0 if kind == "long" else 1.5, (n, 1))
+    x = x.astype(np.float32).astype(float)
+    asked = []
+    def spy(*a, **b):
+        asked.append((a[1].parts, needed(*a, **b)))
+        return asked[-1][1]
+    needed, learned_partitions.parts_needed = learned_partitions.parts_needed, spy
+    try:
+        got, raw = collected(learned_partitions.nearest(frame(spark, x), query_step=20, k=20, min_parts=parts))
+    finally:
+        learned_partitions.parts_needed = needed
+    assert asked[0][0] > parts // 2 and asked[0][1] <= asked[0][0]
     want = brute(range(n), x, 20, 20)
     assert got.keys() == want.keys() and all(len(v) == 20 for v in got.values())
     hit = np.mean([len({j for j, _ in got[q]} & {j for j, _ in want[q]}) / 20 for q in want])
+    print(kind, asked, hit)
     assert hit >= 0.9
     for q, v in got.items():
         assert v == sorted(v, key=lambda p: (-p[1], p[0])) and q not in {j for j, _ in v}
-        assert all(abs(s - float(x[q] @ x[j])) < 1e-12 for j, s in v)
+        assert all(abs(s - float(x[q] @ x[j])) < 1e-9 * max(1.0, abs(s)) for j, s in v)
+
+
+def test_small_parts_are_widened(spark):
+    """A query whose parts hold fewer than k rows goes to further ones: k answers where there are k candidates."""
+    rng = np.random.default_rng(9)
+    x = np.concatenate([rng.normal(size=(90, 4)), np.eye(4)[:1] * 50 + rng.normal(size=(10, 4)) * 0.01])
+    got, _ = collected(learned_partitions.nearest(frame(spark, x), query_step=1, k=30, target=0.01))
+    assert all(len(v) == 30 for v in got.values()) and len(got) == 100
 
 
 def test_recall_on_table(spark):
