@@ -15,6 +15,15 @@ from pyspark.sql import functions as F
 from ..session import checkpoint_dir
 
 
+#: Bytes of an Arrow batch that goes to a Python worker; ten thousand long texts would be far more.
+BATCH_BYTES = 8 << 20
+
+
+def bounded(spark: SparkSession) -> None:
+    """Bounds the Arrow batches of the session by bytes besides by rows."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -53,15 +62,18 @@ def in_file_order(df: DataFrame, name: str = "position") -> DataFrame:
     """
     if df._jdf.queryExecution().analyzed().getClass().getSimpleName() != "LogicalRelation":
         df = stored(df, "in-order")
-    rows = df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_at"))
-    ends = {r["_file"]: r["n"] for r in rows.groupBy("_file").agg((F.max("_at") + 1).alias("n")).collect()}  # one per file
+    taken = {c.lower() for c in [*df.columns, name]}
+    mark = next(m for m in ("_" * n for n in range(1, len(taken) + 2)) if not any(m + x in taken for x in ("file", "at", "path", "start")))
+    file, at, to, start_ = (mark + x for x in ("file", "at", "path", "start"))
+    rows = df.select("*", F.col("_metadata.file_path").alias(file), F.col("_metadata.row_index").alias(at))
+    ends = {r[file]: r["n"] for r in rows.groupBy(file).agg((F.max(at) + 1).alias("n")).collect()}  # one per file
     before, starts = 0, []
     for path in sorted(ends, key=lambda x: [int(y) if y.isdigit() else y for y in re.split("([0-9]+)", x)]):
         starts.append((path, before))
         before += ends[path]
-    start = df.sparkSession.createDataFrame(starts, "_path string, _start long")
-    return (rows.join(F.broadcast(start), F.col("_file") == F.col("_path"))
-            .select(*[rows[f"`{c}`"] for c in df.columns], (F.col("_start") + F.col("_at")).alias(name)))
+    start = df.sparkSession.createDataFrame(starts, f"{to} string, {start_} long")
+    return (rows.join(F.broadcast(start), F.col(file) == F.col(to))
+            .select(*[rows[f"`{c}`"] for c in df.columns], (F.col(start_) + F.col(at)).alias(name)))
 
 
 def release(spark: SparkSession) -> None:
@@ -113,3 +125,18 @@ def vocabulary(name: str) -> str:
     """Place of a public tokenizer file (the operators take any path)."""
     import public_tokenizers
     return public_tokenizers.path(name)
+
+
+#: DuckDB CTEs (after WITH RECURSIVE): ``crc_table`` has the 256 entries of the checksum as the list t.
+CRC_CTES = """crc_bits(i, k, c) AS (
+  SELECT range, 0, range FROM range(256)
+  UNION ALL SELECT i, k + 1, xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END) FROM crc_bits WHERE k < 8),
+crc_table AS (SELECT list(c ORDER BY i) AS t FROM crc_bits WHERE k = 8)"""
+
+
+def crc_sql(text: str, table: str = "t") -> str:
+    """DuckDB SQL of the unsigned crc32 of a string's UTF-8 bytes (code points below U+0800); ``table`` is crc_table's t."""
+    codes = f"list_transform(string_split({text}, ''), lambda x: CAST(ord(x) AS BIGINT))"
+    each = f"list_transform({codes}, lambda x: CASE WHEN x < 128 THEN [x] ELSE [192 + (x >> 6), 128 + (x & 63)] END)"
+    steps = f"list_reduce(list_concat([4294967295::BIGINT], flatten({each})), lambda c, b: xor(c >> 8, {table}[(xor(c, b) & 255) + 1]))"
+    return f"xor({steps}, 4294967295)"

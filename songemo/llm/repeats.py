@@ -11,7 +11,7 @@ have equal anchors, so whatever repeats meets under one key.
    shard's segments are joined by a symbol smaller than all bytes, sorted by
    induced sorting, and a string repeats if its permuted common prefix with a
    neighbour in the order has ``length`` bytes.
-3. A key with more than ``KEY_SEGMENTS`` different segments (a passage in very
+3. A key whose different segments hold more bytes than a shard (a passage in very
    many texts) is halved: the strings of an anchor that start left of the
    middle share more bytes than all of them do, and so do the others.  Under
    the longer shared bytes parts either stand alone, or are equal whole, or are
@@ -44,7 +44,6 @@ from .suffix import permuted_lcp, suffix_array
 
 LENGTH = 200
 SHARD_BYTES = 400_000
-KEY_SEGMENTS = 3000
 
 
 def _bytes(text: str | None) -> bytes:
@@ -108,11 +107,28 @@ def repeated_strings(parts: list[bytes], length: int) -> list[np.ndarray]:
 SPAN = "key long, digest long, first int, last int"
 
 
+def _slices(keys: np.ndarray, sizes: np.ndarray) -> Iterator[tuple[int, int]]:
+    """[from, to) of whole keys (in order) with at most SHARD_BYTES bytes together, or of one key."""
+    ends = np.append(np.flatnonzero(keys[1:] != keys[:-1]) + 1, len(keys))
+    total = np.append(0, np.cumsum(sizes))
+    a = last = 0
+    for z in ends.tolist():
+        if last > a and total[z] - total[a] > SHARD_BYTES:
+            yield a, last
+            a = last
+        last = z
+    if last > a:
+        yield a, last
+
+
 def _shard_spans(length: int):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.drop_duplicates(["key", "digest"])
+        rows = rows.drop_duplicates(["key", "digest"]).sort_values("key", kind="stable")
+        key, digest, data = rows["key"].to_numpy(), rows["digest"].to_numpy(), rows["data"].tolist()
+        # Keys share nothing, so a shard that came out larger than others is worked through in slices.
         out = [(k, d, a, b + length - 1)
-               for k, d, flag in zip(rows["key"], rows["digest"], repeated_strings(rows["data"].tolist(), length))
+               for lo, hi in _slices(key, np.array([len(x) for x in data], np.int64))
+               for k, d, flag in zip(key[lo:hi], digest[lo:hi], repeated_strings(data[lo:hi], length))
                for a, b in _runs(flag)]
         return pd.DataFrame(out, columns=["key", "digest", "first", "last"]).astype(
             {"key": "int64", "digest": "int64", "first": "int32", "last": "int32"})
@@ -183,12 +199,13 @@ def spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     release(spark)
     kinds = hits.groupBy("key", "digest").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "text_hash", "place")).alias("at"))
-    per_key = kinds.groupBy("key").agg(F.count(F.lit(1)).alias("kinds"))
+    size = F.col("at.place").bitwiseAND(F.lit(0xFFFF)) + (length - 1)
+    per_key = kinds.groupBy("key").agg(F.count(F.lit(1)).alias("kinds"), F.sum(size).alias("size"))
     kinds = stored(kinds.join(per_key, "key"), "kinds")
 
     # The bytes of one segment of each kind, for keys that have several.
     wanted = (kinds.filter("kinds > 1").groupBy(F.col("at.doc_id").alias("w_id"), F.col("at.text_hash").alias("w_hash"))
-              .agg(F.collect_list(F.struct("key", "digest", "at.place", "kinds")).alias("want")))   # of one text
+              .agg(F.collect_list(F.struct("key", "digest", "at.place", "size")).alias("want")))   # of one text
     t = _identified(docs)
     t = t.join(wanted, t["doc_id"].eqNullSafe(wanted["w_id"]) & (t["text_hash"] == wanted["w_hash"])).select("text", "want")
 
@@ -199,15 +216,15 @@ def spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             for w in want:
                 p = w["place"]
                 start, n = p >> 32, p & 0xFFFF
-                out.append((w["key"], w["digest"], p >> 16 & 0xFFFF, w["kinds"], data[start:start + n + length - 1]))
+                out.append((w["key"], w["digest"], p >> 16 & 0xFFFF, w["size"], data[start:start + n + length - 1]))
         cols = list(zip(*out))
         kinds_ = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary())
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds_)],
-                                          names=["key", "digest", "dist", "kinds", "data"])
-    parts = stored(t.mapInArrow(by_batch(cut), "key long, digest long, dist int, kinds long, data binary"), "parts")
+                                          names=["key", "digest", "dist", "size", "data"])
+    parts = stored(t.mapInArrow(by_batch(cut), "key long, digest long, dist int, size long, data binary"), "parts")
     release(spark)
 
-    few = parts.filter(F.col("kinds") <= KEY_SEGMENTS)
+    few = parts.filter(F.col("size") <= SHARD_BYTES)
     total = few.agg(F.sum(F.length("data").cast("long"))).first()[0] or 0
     shards = max(partitions(spark), -(-total // SHARD_BYTES))
     found = (few.withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(shards)))
@@ -215,7 +232,7 @@ def spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     whole = kinds.filter("n > 1").select("key", "digest", F.lit(0).alias("first"),
                                          (F.col("at.place").bitwiseAND(F.lit(0xFFFF)) + (length - 1)).cast("int").alias("last"))
     found = found.unionByName(whole)
-    hot = parts.filter(F.col("kinds") > KEY_SEGMENTS)
+    hot = parts.filter(F.col("size") > SHARD_BYTES)
     if not hot.isEmpty():
         found = found.unionByName(_split_spans(hot, length))
     found = stored(found.groupBy("key", "digest").agg(F.collect_set(F.struct("first", "last")).alias("found")), "found")

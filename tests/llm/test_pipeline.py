@@ -75,3 +75,17 @@ def test_result_holds_the_mixture(spark, make_docs, tmp_path, monkeypatch):
     for rows_ in got, flat:
         assert sorted(r.position for r in rows_) == list(range(600))
         assert [r.doc_id for r in sorted(rows_, key=lambda r: r.position)] == want
+
+
+def test_clashing_columns_pass_the_stages(spark, make_docs):
+    """Names that the operators use inside are kept as they are."""
+    names = ["toxicity", "toxic_predicted", "mix_slot", "mix_place", "_id", "_node", "_spans", "_s_id", "position", "_file", "_at", "key", "rep"]
+    docs = make_docs([(1, "a b c d e f"), (1, "g h i j k l"), (2, "a b c d e f"), (3, None)], extra=names)
+    docs = docs.withColumns({c: F.concat(F.lit(c), F.col("doc_id").cast("string")) for c in names})
+    for name, f in corpus_pipeline.STAGES[:-1]:
+        out = f(spark, docs, SF001)
+        assert out.columns == docs.columns and out.dtypes == docs.dtypes
+        kept = out.collect()
+        assert all(r[c] == f"{c}{r.doc_id}" for r in kept for c in names) and len(kept) >= 3
+    out = corpus_pipeline.encode(spark, docs, SF001).collect()
+    assert len(out) == 4 and sorted(r.position for r in out) == [0, 1, 2, 3]

@@ -69,12 +69,15 @@ def check(spark, docs, rows, length=200):
     return sum(x[1] for v in want.values() for x in v)
 
 
-@pytest.mark.parametrize("limit", [3000, 3])
+@pytest.mark.parametrize("limit", [400_000, 5_000])
 def test_removal_equals_brute_force(spark, make_docs, monkeypatch, limit):
-    """With a limit of 3 most keys are halved instead of sorted."""
-    monkeypatch.setattr(repeats, "KEY_SEGMENTS", limit)
+    """With shards of 5000 bytes large keys are halved instead of sorted."""
+    monkeypatch.setattr(repeats, "SHARD_BYTES", limit)
+    split, halved = repeats._split_spans, []
+    monkeypatch.setattr(repeats, "_split_spans", lambda hot, length: halved.append(1) or split(hot, length))
     rows = [*enumerate(texts(1)), (3, "q" * 500), (None, "r" * 300), (9, "again " * 50), (9, "again " * 50)]
     assert check(spark, make_docs(rows, extra=("key", "digest", "spans", "_n")), rows) > 5000
+    assert len(halved) == (limit < 400_000)
 
 
 def test_whole_table_equals_brute_force(spark):
@@ -94,3 +97,10 @@ def test_text_without_repeats(spark, make_docs):
     docs = make_docs(["a" + p, "b" + p + "b", "only here", None])
     got = [r.text for r in repeats.without_repeats(docs).orderBy("doc_id").collect()]
     assert got == ["a", "bb", "only here", None]
+
+
+def test_slices_hold_whole_keys(monkeypatch):
+    monkeypatch.setattr(repeats, "SHARD_BYTES", 10)
+    key, size = np.array([1, 1, 2, 3, 3, 3, 4, 5]), np.array([4, 4, 2, 9, 9, 9, 3, 3])
+    assert list(repeats._slices(key, size)) == [(0, 3), (3, 6), (6, 8)]
+    assert list(repeats._slices(key[:0], size[:0])) == []
