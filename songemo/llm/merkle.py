@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.ordered import position
-from .base import stored
+from .base import CRC_CTES, crc_sql, stored
 
 FANOUT = 16
 EVERY = 3
@@ -214,3 +214,46 @@ def manifest(docs: DataFrame, tamper: Column | None = None) -> DataFrame:
     return paths_down(levels, stored(sub, "merkle-tops"), _rows(root["node"] if root else ""),
                       "doc_id long, leaf string, subroot string, root string, proof_sha256 string, folded_root string, "
                       "verified boolean")
+
+
+def oracle_sql(levels: int = 5) -> str:
+    """DuckDB SQL that builds every level (enough for 16 ** ``levels`` rows a source and as many sources)."""
+    def field(x: str) -> str:
+        return f"CASE WHEN {x} IS NULL THEN '-' ELSE strlen(CAST({x} AS VARCHAR)) || ':' || CAST({x} AS VARCHAR) END"
+
+    def leaf_sql(text: str) -> str:
+        return f"sha256({' || '.join(field(text if f == 'text' else f) for f in FIELDS)})"
+
+    def tree(name: str, nodes: str) -> str:
+        """CTEs <name>0.. of (g, pos, h, n) and <name>s0.. of each node's siblings (g, pos, l, r)."""
+        out = [f"{name}0 AS ({nodes})"]
+        for k in range(levels):
+            a, b = f"{name}{k}", f"{name}{k + 1}"
+            out.append(f"""{name}s{k} AS (SELECT x.g, x.pos, coalesce(string_agg(y.h, '' ORDER BY y.pos) FILTER (y.pos < x.pos), '') AS l,
+  coalesce(string_agg(y.h, '' ORDER BY y.pos) FILTER (y.pos > x.pos), '') AS r
+  FROM {a} x JOIN {a} y ON x.g = y.g AND x.pos // {FANOUT} = y.pos // {FANOUT} WHERE x.n > 1 GROUP BY x.g, x.pos)""")
+            out.append(f"""{b} AS (SELECT *, count(*) OVER (PARTITION BY g) AS n FROM (
+  SELECT g, pos // {FANOUT} AS pos, sha256(string_agg(h, '' ORDER BY pos)) AS h FROM {a} WHERE n > 1 GROUP BY g, pos // {FANOUT}
+  UNION ALL SELECT g, pos, h FROM {a} WHERE n = 1))""")
+        return ",\n".join(out)
+
+    def climb(rows: str, name: str, place: str, group: str) -> str:
+        """``rows`` with h and proof carried through the levels of a tree."""
+        for k in range(levels):
+            rows = (f"(SELECT q.* REPLACE (CASE WHEN s.l IS NULL THEN q.h ELSE sha256(s.l || q.h || s.r) END AS h, "
+                    f"q.proof || coalesce(s.l || s.r, '') AS proof) FROM {rows} q LEFT JOIN {name}s{k} s "
+                    f"ON s.g = q.{group} AND s.pos = q.{place} // {FANOUT ** k})")
+        return rows
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    crc = crc_sql("CAST(doc_id AS VARCHAR)")
+    return f"""WITH RECURSIVE {CRC_CTES},
+docs AS (SELECT doc_id, coalesce('1' || source, '0') AS g, {leaf_sql("text")} AS leaf,
+                CASE WHEN doc_id IS NOT NULL AND {crc} % 5 = 0 THEN {leaf_sql(lower)} END AS changed FROM documents, crc_table),
+placed AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM docs),
+{tree("a", "SELECT g, pos, leaf AS h, count(*) OVER (PARTITION BY g) AS n FROM placed")},
+subs AS (SELECT g AS grp, h AS subroot, row_number() OVER (ORDER BY g) - 1 AS spos, '' AS top FROM a{levels}),
+{tree("b", "SELECT top AS g, spos AS pos, subroot AS h, count(*) OVER () AS n FROM subs")},
+climbing AS (SELECT r.doc_id, r.g, r.pos, r.leaf, s.subroot, s.spos, s.top, coalesce(r.changed, r.leaf) AS h, '' AS proof
+          FROM placed r JOIN subs s ON s.grp = r.g)
+SELECT q.doc_id, q.leaf, q.subroot, t.h AS root, sha256(q.proof) AS proof_sha256, q.h AS folded_root, q.h = t.h AS verified
+FROM {climb(climb("climbing", "a", "pos", "g"), "b", "spos", "top")} q, b{levels} t"""
