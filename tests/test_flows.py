@@ -14,7 +14,7 @@ E = "pcm_RMSenergy_sma_amean"
 Z = "pcm_zcr_sma_amean"
 
 
-def test_run_all_end_to_end(spark):
+def test_run_all_end_to_end(spark, monkeypatch):
     base = tempfile.mkdtemp(prefix="songemo-flow-")
     fdir = os.path.join(base, "features")
     os.makedirs(fdir)
@@ -75,3 +75,13 @@ def test_run_all_end_to_end(spark):
 
     from songemo import cli
     assert cli.main(["validate", "--out", paths.out_dir]) == 0   # all checks pass on this output
+
+    # the default path: searched linear and tree models of all kinds, predictions by the boosted trees' node tables
+    other = flows.PipelinePaths(fdir, os.path.join(base, "ann"), os.path.join(base, "out2"), chroma_path, onsets_path)
+    monkeypatch.setattr(train, "N_ITER_FAST", 1)
+    flows.run_all(spark, other, fast=True)
+    models, medians, _ = train.load_models(spark, other.table("models"))
+    assert set(models) == {(k, t) for k in ("random_forest", "boosted_trees", "ridge", "elasticnet") for t in ("arousal", "valence")}
+    pred = {r.song_id: r.predicted_arousal for r in spark.read.parquet(other.table("emotion_predictions")).collect()}
+    again = {r.song_id: r.predicted_arousal for r in train.predict(spark.read.parquet(other.table("song_features")), models, medians).collect()}
+    assert pred == again and len(pred) == n and None not in pred.values()
