@@ -72,4 +72,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {"op2_licenses": licenses.oracle_sql(), "op4_minhash": minhash.ORACLE_SQL,
-            "op8_norm_buckets": norm_buckets.ORACLE_SQL}
+            "op8_norm_buckets": norm_buckets.ORACLE_SQL, "op12_variants": variants.ORACLE_SQL, "op13_merkle": merkle.oracle_sql()}

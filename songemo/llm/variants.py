@@ -8,11 +8,12 @@
    rarest together: the pivots.  One edit leaves a pivot of either word as it
    is; of two near words, the pivots of the one whose prefix ends earlier in the
    order meet the prefix of the other.
-3. Pivots are joined with the prefixes of other words on gram, length and place.
-   An edit left of the gram shifts it by the difference in length, one right of it
-   not at all, so five (shift, difference) pairs are possible.  The edit
-   distance is verified inside the join, so no candidate leaves it.  A word of
-   more than ``LONG`` letters has one row per distinct gram, met at any place, as
+3. Pivots are joined with the prefixes of other words on place, length and the
+   word's part up to the gram, or from it on.  An edit right of the gram leaves
+   the left part and the place as they are, one left of it the right part, and it
+   shifts the place by the difference in length.  The edit distance is verified
+   inside the join, so no candidate leaves it.  A word of more than ``LONG``
+   letters is met by gram and length alone, and has one row per distinct gram, as
    it may hold a gram very often.
 4. A word's form is its most frequent near word, if that is at least ``RATIO``
    times as frequent; roots follow forms by doubling (a form's count grows
@@ -40,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .base import by_batch, discard, stored
+from .base import CRC_CTES, by_batch, crc_sql, discard, stored
 
 # --- fixed values of the contract ---------------------------------------------
 MIN_LENGTH = 6
@@ -52,8 +53,8 @@ Q, EDITS = 2, 1
 PREFIX = Q * EDITS + 1
 LONG = 64                                                  # beyond, grams of a word are not told apart by place
 _HELD_WORDS = 200_000                                      # words that a task counts before it hands them on
-#: (shift of a gram, difference in length) that one edit can cause.
-_MOVES = ((0, 0), (0, 1), (0, -1), (1, 1), (-1, -1))
+#: (side of a gram that one edit leaves as it is, shift of the gram, difference in length).
+_MOVES = (("left", 0, 0), ("right", 0, 0), ("left", 0, 1), ("left", 0, -1), ("right", 1, 1), ("right", -1, -1))
 #: Maximal runs of at least MIN_LENGTH letters: a shorter one gives no word.
 _RUN = re.compile(f"[A-Za-zÀ-ÿ]{{{MIN_LENGTH},}}")
 
@@ -147,24 +148,29 @@ def near_words(words: DataFrame) -> DataFrame:
         for w, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
             prefix, pivot = signature(w, counts)
             if len(w) > LONG:
-                prefix = list({w[i:i + Q]: i for i in [*prefix, *pivot]}.values())
+                prefix = sorted({*pivot, *{w[i:i + Q]: i for i in prefix}.values()})
             out += [(w[i:i + Q], i, len(w), w, n, i in pivot) for i in prefix]
         kinds = (pa.string(), pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.bool_())
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)],
                                           names=["gram", "place", "length", "word", "n", "pivot"])
     rows = stored(words.select("word", "n").mapInArrow(
         by_batch(run), "gram string, place int, length int, word string, n long, pivot boolean"), "grams")
-    moves = F.explode(F.array(*[F.struct(F.lit(d).alias("shift"), F.lit(e).alias("more")) for d, e in _MOVES])).alias("move")
-
-    def place(at: Column, length: Column) -> Column:
-        return F.when(length > LONG, F.lit(-1)).otherwise(at)
-    left = (rows.filter("pivot").select("gram", "place", "length", F.col("word").alias("x"), F.col("n").alias("x_n"), moves)
-            .withColumn("length", F.col("length") + F.col("move.more"))
-            .select("gram", place(F.col("place") + F.col("move.shift"), F.col("length")).alias("place"), "length", "x", "x_n"))
-    right = rows.select(F.col("gram").alias("g"), place(F.col("place"), F.col("length")).alias("p"), F.col("length").alias("l"),
-                        F.col("word").alias("y"), F.col("n").alias("y_n"))
-    met = left.join(right, (F.col("gram") == F.col("g")) & (F.col("place") == F.col("p")) & (F.col("length") == F.col("l"))
-                    & (F.col("x") != F.col("y")) & (F.levenshtein("x", "y", EDITS) == EDITS))
+    gram = F.struct(F.lit("gram").alias("side"), F.xxhash64("gram").alias("half"))
+    side = {"left": F.expr("substring(word, 1, place + 2)"), "right": F.expr("substring(word, place + 1)")}
+    half = {k: F.struct(F.lit(k).alias("side"), F.xxhash64(v).alias("half")) for k, v in side.items()}
+    moves = F.inline(F.array(*[F.struct(half[k].alias("part"), F.lit(d).alias("shift"), F.lit(e).alias("more")) for k, d, e in _MOVES]))
+    left = rows.filter("pivot").select("*", gram.alias("gram_only"), moves)
+    far = F.col("length") + F.col("more") > LONG
+    part = F.when(far, F.col("gram_only")).otherwise(F.col("part"))
+    left = left.select(part["side"].alias("side"), part["half"].alias("half"), (F.col("length") + F.col("more")).alias("length"),
+                       F.when(far, F.lit(-1)).otherwise(F.col("place") + F.col("shift")).alias("place"),
+                       F.col("word").alias("x"), F.col("n").alias("x_n"))
+    long = F.col("length") > LONG
+    right = rows.select("*", F.explode(F.when(long, F.array(gram)).otherwise(F.array(*half.values()))).alias("part")).select(
+        F.col("part.side").alias("s"), F.col("part.half").alias("h"), F.col("length").alias("l"),
+        F.when(long, F.lit(-1)).otherwise(F.col("place")).alias("p"), F.col("word").alias("y"), F.col("n").alias("y_n"))
+    met = left.join(right, (F.col("side") == F.col("s")) & (F.col("half") == F.col("h")) & (F.col("place") == F.col("p"))
+                    & (F.col("length") == F.col("l")) & (F.col("x") != F.col("y")) & (F.levenshtein("x", "y", EDITS) == EDITS))
     low = F.col("x") < F.col("y")
     return met.select(F.when(low, F.col("x")).otherwise(F.col("y")).alias("a"),
                       F.when(low, F.col("x_n")).otherwise(F.col("y_n")).alias("a_n"),
@@ -189,7 +195,7 @@ def _roots(forms: DataFrame) -> DataFrame:
 def groups(docs: DataFrame, min_count: int = MIN_COUNT, ratio: int = RATIO) -> DataFrame:
     """(word, form, root, n, n_near, form_n) of every word of the vocabulary."""
     words = stored(word_counts(docs, min_count), "words")
-    pairs = near_words(words)
+    pairs = stored(near_words(words), "near")
     both = pairs.select(F.col("a").alias("word"), F.col("b").alias("near"), F.col("b_n").alias("near_n")).unionByName(
         pairs.select(F.col("b").alias("word"), F.col("a").alias("near"), F.col("a_n").alias("near_n")))
     best = both.groupBy("word").agg(F.count(F.lit(1)).alias("n_near"),
@@ -199,6 +205,29 @@ def groups(docs: DataFrame, min_count: int = MIN_COUNT, ratio: int = RATIO) -> D
         "word", F.when(enough, F.col("best.near")).alias("form"), "n", F.coalesce("n_near", F.lit(0).cast("long")).alias("n_near"),
         F.when(enough, -F.col("best.less")).alias("form_n")), "forms")
     roots = _roots(out.filter("form is not null"))
-    discard(words)
+    discard(words, pairs)
     return out.join(roots, "word", "left").select(
         "word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
+
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+ORACLE_SQL = f"""WITH RECURSIVE {CRC_CTES},
+runs AS (SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS d, unnest(regexp_extract_all({_LOWER}, '[A-Za-z\u00C0-\u00FF]+')) AS run FROM documents),
+per AS (SELECT d, run, count(*) AS n FROM runs WHERE length(run) >= {MIN_LENGTH} GROUP BY d, run),
+hashed AS (SELECT run, n, {crc_sql("d || ':' || run")} AS h FROM per, crc_table),
+slipped AS (SELECT CASE WHEN h % {SLIP_EVERY} = 0 THEN substr(run, 1, CAST(h % length(run) AS INTEGER)) || substr(run, CAST(h % length(run) AS INTEGER) + 2)
+                        ELSE run END AS word, n FROM hashed),
+voc AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM slipped WHERE length(word) >= {MIN_LENGTH} GROUP BY word HAVING sum(n) >= {MIN_COUNT}),
+shorter AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM voc)),
+pairs AS (
+  SELECT a.word, b.word AS near, b.n AS near_n FROM shorter a JOIN shorter b ON a.rest = b.rest AND a.i = b.i AND a.word != b.word
+  UNION SELECT a.word, b.word, b.n FROM shorter a JOIN voc b ON a.rest = b.word
+  UNION SELECT b.word, a.word, a.n FROM shorter a JOIN voc b ON a.rest = b.word),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY word ORDER BY near_n DESC, near) AS k, count(*) OVER (PARTITION BY word) AS n_near FROM pairs),
+formed AS (SELECT v.word, v.n, coalesce(r.n_near, 0) AS n_near, CASE WHEN r.near_n >= {RATIO} * v.n THEN r.near END AS form,
+                  CASE WHEN r.near_n >= {RATIO} * v.n THEN r.near_n END AS form_n FROM voc v LEFT JOIN ranked r ON r.word = v.word AND r.k = 1),
+follow(word, here) AS (
+  SELECT word, word FROM formed
+  UNION ALL SELECT f.word, g.form FROM follow f JOIN formed g ON f.here = g.word WHERE g.form IS NOT NULL)
+SELECT f.word, f.form, r.here AS root, f.n, CAST(f.n_near AS BIGINT) AS n_near, f.form_n
+FROM formed f JOIN follow r ON r.word = f.word JOIN formed e ON e.word = r.here AND e.form IS NULL"""
