@@ -1,3 +1,4 @@
+import math
 import random
 import zlib
 
@@ -71,6 +72,107 @@ def test_toxicity_without_labels(spark, make_docs):
     assert toxicity.predictions(make_docs(["a"]).limit(0), none).count() == 0
 
 
+def plain_grams(text):
+    """The distinct feature numbers, by the definition, one n-gram at a time."""
+    out, t = set(), [ord(c) for c in (text or "").lower()]
+    for n in toxicity.SIZES:
+        for i in range(len(t) - n + 1):
+            h = t[i]
+            for c in t[i + 1:i + n]:
+                h = (h * 0x01000193 + c) % 2 ** 32
+            out.add(((h + n) * 0x9E3779B1) % 2 ** 32 >> 32 - toxicity.BITS)
+    return out
+
+
+def test_toxicity_equals_plain_loops(spark, monkeypatch):
+    """Choice of features, ratios, regression and scores with dicts and loops over rows; long texts take no place."""
+    monkeypatch.setattr(toxicity, "MAX_TRAIN_CHARS", 60)
+    monkeypatch.setattr(toxicity, "STEPS", 20)
+    rng = random.Random(5)
+    rows = [(i, " ".join(rng.choices(["calm", "words", "here", "vile" if i % 3 == 0 else "kind"], k=6)), "en", "s", 1) for i in range(140)]
+    rows += [(i, "vile " * 40, "en", "s", 1) for i in range(140, 200)] + [(1, "zzz", "en", "s", 1), (200, None, "en", "s", 1)]
+    labels = [(i, 1, int(i % 3 == 0)) for i in range(201)]
+    docs = spark.createDataFrame(rows, DOCS)
+    lab = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    h = {r.doc_id: r.h for r in lab.select("doc_id", F.xxhash64("doc_id").alias("h")).collect()}
+    th = {r.text: r.h for r in docs.select("text", F.xxhash64("text").alias("h")).collect()}
+    per = 30
+    text = {}
+    for i, t, *_ in rows:
+        if t is not None and len(t) <= 60 and rem(i) != 2:
+            text[i] = min(text.get(i, t), t, key=lambda x: (th[x], x))
+    picked = sorted(sorted((i for i in text if i % 3 == 0), key=lambda i: (h[i], i))[:per]
+                    + sorted((i for i in text if i % 3), key=lambda i: (h[i], i))[:per])
+    y = [int(i % 3 == 0) for i in picked]
+    n1, n0 = sum(y), len(y) - sum(y)
+    sets = [plain_grams(text[i]) for i in picked]
+    p, q = {}, {}
+    for s, t in zip(sets, y):
+        for f in s:
+            d = p if t else q
+            d[f] = d.get(f, 0) + 1
+    r = {}
+    for f in p.keys() | q.keys():
+        a, b = p.get(f, 0), q.get(f, 0)
+        mean = (a + b) / len(y)
+        z = (a / n1 - b / n0) / (max(mean * (1 - mean), 1e-9) * (1 / n1 + 1 / n0)) ** .5
+        if abs(z) >= toxicity.MIN_Z and a + b >= toxicity.MIN_TEXTS:
+            r[f] = math.log((1 + a) / (1 + n1)) - math.log((1 + b) / (1 + n0))
+    assert len(r) > 5
+    par, first, second = dict.fromkeys([*r, "bias"], 0.0), dict.fromkeys([*r, "bias"], 0.0), dict.fromkeys([*r, "bias"], 0.0)
+    for step in range(1, toxicity.STEPS + 1):
+        grad = {f: toxicity.PENALTY * par[f] / len(y) for f in r} | {"bias": 0.0}
+        for s, t in zip(sets, y):
+            e = 1 / (1 + math.exp(-par["bias"] - sum(r[f] * par[f] for f in s if f in r))) - t
+            grad["bias"] += e / len(y)
+            for f in s:
+                if f in r:
+                    grad[f] += e * r[f] / len(y)
+        for f, g in grad.items():
+            first[f] = 0.9 * first[f] + 0.1 * g
+            second[f] = 0.999 * second[f] + 0.001 * g * g
+            par[f] -= 0.03 * (first[f] / (1 - 0.9 ** step)) / ((second[f] / (1 - 0.999 ** step)) ** .5 + 1e-8)
+    known = [t for i, _, t in labels if rem(i) != 2]
+    share = sum(known) / len(known)
+    bias = par["bias"] + math.log(share / (1 - share)) - math.log(n1 / n0)
+    model = toxicity.train(docs, lab, per_class=per)
+    assert set(np.flatnonzero(model.weights)) == set(r)
+    got = toxicity.score(docs, model).collect()
+    assert len(got) == len(rows)
+    for x in got:
+        s = bias + sum(r[f] * par[f] for f in plain_grams(x.text) if f in r)
+        assert x.toxicity == pytest.approx(1 / (1 + math.exp(-s)), abs=1e-5)
+
+
+def test_language_equals_plain_loops():
+    """Windows, filters, pooling, softmax and the mean over a text, one number at a time."""
+    rng = np.random.default_rng(2)
+    texts = ["le chat et le chien " * 30, "the cat and the dog " * 4, "ß"]
+    fitted = language.fit([language.some_windows(t) for t in texts], ["fr", "en", "de"], steps=3)
+    net = language.Network(fitted.languages, fitted.embed, fitted.kernel, rng.normal(0, .1, fitted.bias.shape).astype(np.float32),
+                           fitted.dense, fitted.dense_bias)
+    embed, kernel = net.embed.astype(float).tolist(), net.kernel.astype(float).tolist()
+    widths = [w for w in language.WIDTHS for _ in range(language.FILTERS)]
+    for text, (lang, score) in zip(texts, language.predict(net, texts)):
+        data = text.encode()
+        total, mass = [0.0] * len(net.languages), 0
+        for a in range(0, max(1, len(data)), language.STRIDE):
+            x = list(data[a:a + language.WINDOW])
+            x += [0] * (language.WINDOW - len(x))
+            pooled = []
+            for f, w in enumerate(widths):
+                best = max(sum(embed[x[i + o]][e] * kernel[o * language.EMBED + e][f] for o in range(w) for e in range(language.EMBED))
+                           for i in range(language.STRIDE))
+                pooled.append(max(0.0, best + float(net.bias[f])))
+            z = [sum(v * float(net.dense[f][k]) for f, v in enumerate(pooled)) + float(net.dense_bias[k]) for k in range(len(total))]
+            s = sum(math.exp(v) for v in z)
+            n = max(1, min(language.STRIDE, len(data) - a))
+            total = [t + n * math.exp(v) / s for t, v in zip(total, z)]
+            mass += n
+        best = max(range(len(total)), key=lambda k: total[k])
+        assert lang == net.languages[best] and score == pytest.approx(total[best] / mass, abs=1e-5)
+
+
 def test_ngrams_are_all_substrings():
     t = "Ärger am"
     grams = toxicity.ngrams(t)
