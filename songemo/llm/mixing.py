@@ -22,7 +22,7 @@ square root of its number of documents.
 
 Defined cases: a null source is a source of its own; a source without a given
 weight gets one part; documents of an id keep one order by the hash of their
-columns, and rows alike in all columns share the place of the first of them;
+columns, and rows alike in all columns take a place each, one after another;
 null ids come first; null and empty texts are documents like others; an empty
 table stays empty; columns keep their names, and a table that already has a
 ``mix_...`` column is refused.
@@ -41,6 +41,8 @@ from .base import stored
 
 BLOCK = 16
 PARTS = 100
+#: Copies of a row that one task at most makes from it.
+COPIES = 1024
 ADDED = {"mix_block": "long", "mix_release": "long", "mix_deadline": "long", "mix_slot": "long", "mix_place": "long"}
 
 
@@ -103,10 +105,12 @@ def interleaved(docs: DataFrame, weights: Mapping[str | None, int] | None = None
     if clash := set(ADDED) & set(docs.columns):
         raise ValueError(f"columns {sorted(clash)} are in the way")
     spark, names = docs.sparkSession, docs.columns
-    plain = [F.col(f"`{c}`") for c in names]
-    unit = docs.select(_key(F.col(source_col)).alias("_src"), F.col(id_col).cast("long").alias("_id"),
-                       F.xxhash64(*plain).alias("_row"))
-    units = stored(unit.groupBy("_src", "_id", "_row").agg(F.count(F.lit(1)).alias("_copies")), "mix-units")
+    plain = docs.toDF(*[f"c{i}" for i in range(len(names))])     # names of the table cannot meet those used here
+    column = dict(zip(names, plain.columns))
+    rows = plain.select("*", _key(F.col(column[source_col])).alias("_src"), F.col(column[id_col]).cast("long").alias("_id"),
+                        F.xxhash64(*plain.columns).alias("_row"))
+    same = ["_src", "_id", "_row"]
+    units = stored(rows.groupBy(*same).agg(F.count(F.lit(1)).alias("_copies")), "mix-units")
     counts = {r["_src"]: r["n"] for r in units.groupBy("_src").agg(F.sum("_copies").alias("n")).collect()}  # one per source
     sources = sorted(counts)
     if weights is None:
@@ -118,9 +122,8 @@ def interleaved(docs: DataFrame, weights: Mapping[str | None, int] | None = None
              for i, a, b, t, h, w, p in phases([-(-counts[s] // block) for s in sources], [parts[s] for s in sources])]
     plan = spark.createDataFrame(table, "_src string, _from long, _to long, _start long, _period long, _parts long, "
                                         "_slots array<long>")
-    placed = (position(units.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))),
-                       "_src", ["_id", "_row", "_copy"])
-              .groupBy("_src", "_id", "_row").agg(F.min("_pos").alias("_pos")))
+    placed = position(units.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.col("_copies").cast("int") - 1))),
+                      "_src", ["_id", "_row", "_copy"])
     number = F.floor(F.col("_pos") / F.lit(block))
     placed = placed.withColumn("_block", number).join(plan, "_src").filter("_block >= _from and _block < _to")
     k = F.col("_block") - F.col("_from")
@@ -128,14 +131,16 @@ def interleaved(docs: DataFrame, weights: Mapping[str | None, int] | None = None
         "_slots", (F.pmod(k, F.col("_parts")) + 1).cast("int"))
     placed = placed.select(
         F.col("_src").alias("_p_src"), F.col("_id").alias("_p_id"), F.col("_row").alias("_p_row"),
-        F.col("_block").alias("mix_block"),
+        F.floor(F.col("_copy") / COPIES).alias("_p_part"), F.col("_block").alias("mix_block"),
         (F.col("_start") + F.floor(k * F.col("_period") / F.col("_parts"))).alias("mix_release"),
         (F.col("_start") + F.ceil((k + 1) * F.col("_period") / F.col("_parts"))).alias("mix_deadline"),
         slot.alias("mix_slot"), F.pmod(F.col("_pos"), F.lit(block)).alias("mix_place"))
-    d = docs.select(*plain, F.xxhash64(*plain).alias("_d_row"))
-    joined = d.join(placed, (F.col("_d_row") == F.col("_p_row")) & (_key(d[source_col]) == F.col("_p_src"))
-                    & d[id_col].cast("long").eqNullSafe(F.col("_p_id")))
-    return joined.select(*[d[f"`{c}`"] for c in names], *[F.col(c).cast(t) for c, t in ADDED.items()])
+    # Rows that are alike are interchangeable: one of them meets the places of all, dealt by parts of bounded size.
+    one = (rows.groupBy(*same).agg(F.count(F.lit(1)).alias("_n"), *[F.first(c).alias(c) for c in plain.columns])
+           .withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_n") - 1) / COPIES)))))
+    joined = one.join(placed, (F.col("_row") == F.col("_p_row")) & (F.col("_src") == F.col("_p_src"))
+                      & F.col("_id").eqNullSafe(F.col("_p_id")) & (F.col("_part") == F.col("_p_part")))
+    return joined.select(*[F.col(c).alias(n) for n, c in column.items()], *[F.col(c).cast(t) for c, t in ADDED.items()])
 
 
 def schedule(docs: DataFrame, weights: Mapping[str | None, int] | None = None, block: int = BLOCK) -> DataFrame:

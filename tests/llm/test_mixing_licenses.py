@@ -6,6 +6,7 @@ import pytest
 from conftest import DOCS, SF001
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from songemo.llm import licenses, mixing
 from songemo.llm.base import table
@@ -74,6 +75,20 @@ def test_mixture_of_documents(spark):
         assert len(set(mine)) == len(mine) and ids == sorted(ids, key=lambda x: (x is not None, x or 0))
 
 
+def test_rows_alike_take_a_place_each(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "COPIES", 7)                 # the copies of a row are made in several tasks
+    rows = [(1, "same", "en", "a", 4)] * 200 + [(None, None, None, "b", None)] * 90 + [(i, "x", "en", "b", 1) for i in range(110)]
+    docs = spark.createDataFrame(rows, DOCS).withColumns({c: F.lit(c) for c in ("_row", "_part", "c1")})
+    got = mixing.interleaved(docs, {"a": 1, "b": 1}, block=16).collect()
+    assert sorted(map(str, (tuple(r)[:5] for r in got))) == sorted(map(str, rows))
+    assert all((r["_row"], r["_part"], r["c1"]) == ("_row", "_part", "c1") for r in got)
+    n = Counter((r.mix_slot, r.mix_place) for r in got)
+    assert len(n) == 400 and max(n.values()) == 1 and all(place < 16 for _, place in n)
+    sources = [next(r.source for r in got if r.mix_slot == t) for t in range(26)]
+    assert all(abs(sources[:t].count("a") - t / 2) < 1 for t in range(27))
+    assert sum(r.mix_slot == 0 for r in got) == sum(r.mix_slot == 1 for r in got) == 16
+
+
 def test_mixed_keeps_rows_and_order(spark):
     rows = [(i, "x", "en", f"s{i % 3}", 1) for i in range(100)] + [(5, "x", "en", "s2", 1)]
     docs = spark.createDataFrame(rows, DOCS)
