@@ -90,6 +90,12 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with the scheme and host that Spark resolves it to, so that executors' Arrow opens the same place."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(p).toString()
+
+
 def arrow_fs(uri: str) -> tuple[pafs.FileSystem, str]:
     """Arrow filesystem and path for a URI or a plain local path."""
     return pafs.FileSystem.from_uri(uri) if "://" in uri or uri.startswith("file:") else (pafs.LocalFileSystem(), uri)

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import byte_bpe
-from .base import arrow_fs, partitions, run_folder, stored
+from .base import arrow_fs, partitions, qualified, run_folder, stored
 
 BLOCK = 128
 PERCENTILE = 95
@@ -205,7 +205,10 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END_ID,
     """Encode ``docs`` (doc_id, text) into shards under ``folder``; the manifest, one row per shard.
 
     ``shards`` ranges (by default the session's shuffle partitions) are dealt by (doc_id, hash of text).
+    A folder without a scheme is one of the file system that Spark uses for it.
     """
+    folder = qualified(docs.sparkSession, folder)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, out, writer = byte_bpe.encoder(tokenizer), None, None
         end = np.asarray([end_id], np.uint32)

@@ -9,6 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from songemo.llm import bpe, byte_bpe, token_blocks
+from songemo.llm.base import arrow_fs, qualified
 from songemo.llm.queries import vocabulary
 
 ODD = ["", None, " ", "Hello, World!!  it's 42°\n\tno", "x\x1cy \x1f z", "a<|endoftext|>b <|startoftext|> C", "é" * 300,
@@ -126,3 +127,16 @@ def test_shards_read_back(spark, make_docs, tmp_path):
     assert {(r.start, r.ids_crc32) for r in got} == {(s, zlib.crc32(b)) for s, b in whole}
     empty = token_blocks.write(docs.limit(0), str(tmp_path / "e"), vocabulary("byte_bpe_50k.json"))
     assert token_blocks.read_digests(empty).count() == 0
+
+
+def test_folders_are_named_as_spark_resolves_them(spark, tmp_path):
+    assert qualified(spark, str(tmp_path)) == qualified(spark, f"file://{tmp_path}") == f"file:{tmp_path}"
+    assert arrow_fs(qualified(spark, str(tmp_path)))[1] == str(tmp_path)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    before = conf.get("fs.defaultFS")
+    conf.set("fs.defaultFS", "viewfs://tables/")
+    conf.set("fs.viewfs.mounttable.tables.link./data", f"file://{tmp_path}")
+    try:
+        assert qualified(spark, "/data/x") == "viewfs://tables/data/x"
+    finally:
+        conf.set("fs.defaultFS", before)
