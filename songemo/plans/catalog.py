@@ -514,6 +514,58 @@ def q_linear_score(spark, d):
                     metrics.linear_score(B.REGRESSION_COEFS, B.REGRESSION_INTERCEPT).alias("score"))
 
 
+LINEAR_FOLDS = 5
+LINEAR_ALPHAS = (0.1, 100.0, 10000.0)
+REG_COLUMNS = tuple(B.REGRESSION_COEFS)
+
+
+def _price_moments(spark, d) -> tuple[dict, list[str]]:
+    """Centred moments of each fold (by order) of lineitem's price and its features."""
+    r = B.regression_rows(spark, d)
+    x = list(REG_COLUMNS)
+    shift = linear.column_means(r, [*x, "y"])
+    r = r.withColumn("fold", (F.col("l_orderkey") % LINEAR_FOLDS).cast("int"))
+    return linear.gram_moments(r, x, ["y"], "fold", shift[:-1], shift[-1:]), x
+
+
+@query("gram_moments")
+def q_gram_moments(spark, d):
+    """L5 + L6: co-moments per row of features and target over all folds, merged pairwise."""
+    folds, x = _price_moments(spark, d)
+    m = linear.merged([folds[f] for f in sorted(folds)])
+    rows = [(a, b, float(m.cxx[i, j] / m.n)) for i, a in enumerate(x) for j, b in enumerate(x) if i <= j]
+    rows += [(a, "y", float(m.cxy[i, 0] / m.n)) for i, a in enumerate(x)] + [("y", "y", float(m.cyy[0] / m.n))]
+    out = spark.createDataFrame([(*r, int(m.n)) for r in rows], "a string, b string, co_moment double, n long")
+    return out.withColumn("co_moment", round_binary(F.col("co_moment"), 6))
+
+
+@query("ridge_coefficients")
+def q_ridge_coefficients(spark, d):
+    """L4 + L5: ridge on standardised features for several penalties, weights of the plain features."""
+    folds, x = _price_moments(spark, d)
+    m = linear.merged([folds[f] for f in sorted(folds)])
+    rows = []
+    for alpha in LINEAR_ALPHAS:
+        v, _ = linear.fit_ridge(m, 0, alpha)
+        rows += [(alpha, c, float(w)) for c, w in zip(x, v)]
+    out = spark.createDataFrame(rows, "alpha double, feature string, weight double")
+    return out.withColumn("weight", round_binary(F.col("weight"), 5))
+
+
+@query("cv_fold_rmse")
+def q_cv_fold_rmse(spark, d):
+    """L9 + A13: held-out RMSE of ridge on every fold, fitted on the others, for several penalties."""
+    folds, _ = _price_moments(spark, d)
+    rows = []
+    for f, held in sorted(folds.items()):
+        rest = linear.merged([folds[g] for g in sorted(folds) if g != f])
+        for alpha in LINEAR_ALPHAS:
+            v, c = linear.fit_ridge(rest, 0, alpha)
+            rows.append((f, alpha, (linear.sse_of(held, 0, v, c) / held.n) ** 0.5, int(held.n)))
+    out = spark.createDataFrame(rows, "fold int, alpha double, rmse double, n_held long")
+    return out.withColumn("rmse", round_binary(F.col("rmse"), 6))
+
+
 @query("ridge_fit")
 def q_ridge_fit(spark, d):
     """L5 + L9: ridge, random search with exact 5-fold CV from one moments pass."""

@@ -137,6 +137,8 @@ def run_all(spark: SparkSession, paths: PipelinePaths, force: bool = False, fast
     sf, lb, md, pr = (paths.table(n) for n in ("song_features", "song_labels", "modeling_dataset",
                                                 "emotion_predictions"))
     report = None
+    for table in (sf, lb, md, pr):
+        writers.recover(spark, table)       # a run that was ended inside a swap
     try:
         fp = _fingerprint(spark, [paths.frames_dir, paths.chroma_path, paths.onsets_path])
         if not force and _done(spark, sf, fp):

@@ -692,6 +692,39 @@ SELECT n, round(sqrt(sse / n), 6) AS rmse,
        round((syp - sy * sp / n) / (sqrt(syy - sy * sy / n) * sqrt(spp - sp * sp / n)), 6) AS pearson_r
 FROM m"""
 
+# Ridge from moments, solved by Cramer's rule: columns x1 to x3 (standardised), penalty alpha.
+_X = {"x1": "l_quantity", "x2": "l_discount", "x3": "l_tax"}
+_PRICE = f"""price AS (SELECT CAST(l_orderkey % 5 AS INTEGER) AS fold, CAST(l_extendedprice AS DOUBLE) AS y,
+                 {", ".join(f"CAST({c} AS DOUBLE) AS {x}" for x, c in _X.items())} FROM lineitem)"""
+
+
+def _ridge(rows: str, key: str) -> str:
+    """CTEs after ``rows``: ``solved`` holds per ``key`` and alpha the plain weights v1 to v3 and the intercept."""
+    return f"""moments AS (SELECT {key}, count(*) AS n, avg(y) AS my, avg(x1) AS m1, avg(x2) AS m2, avg(x3) AS m3,
+    stddev_pop(x1) AS s1, stddev_pop(x2) AS s2, stddev_pop(x3) AS s3, covar_pop(x1, x2) AS c12, covar_pop(x1, x3) AS c13,
+    covar_pop(x2, x3) AS c23, covar_pop(x1, y) AS c1, covar_pop(x2, y) AS c2, covar_pop(x3, y) AS c3 FROM {rows} GROUP BY {key}),
+scaled AS (SELECT *, 1 + alpha / n AS d, c12 / (s1 * s2) AS a, c13 / (s1 * s3) AS b, c23 / (s2 * s3) AS c,
+    c1 / s1 AS q1, c2 / s2 AS q2, c3 / s3 AS q3 FROM moments, (VALUES (0.1::DOUBLE), (100.0), (10000.0)) AS p(alpha)),
+dets AS (SELECT *, d * (d * d - c * c) - a * (a * d - c * b) + b * (a * c - d * b) AS det FROM scaled),
+weights AS (SELECT *, (q1 * (d * d - c * c) - a * (q2 * d - c * q3) + b * (q2 * c - d * q3)) / det / s1 AS v1,
+    (d * (q2 * d - c * q3) - q1 * (a * d - c * b) + b * (a * q3 - q2 * b)) / det / s2 AS v2,
+    (d * (d * q3 - q2 * c) - a * (a * q3 - q2 * b) + q1 * (a * c - d * b)) / det / s3 AS v3 FROM dets),
+solved AS (SELECT *, my - v1 * m1 - v2 * m2 - v3 * m3 AS intercept FROM weights)"""
+
+
+_PAIRS = [(a, b) for i, a in enumerate([*_X, "y"]) for b in [*_X, "y"][i:]]
+SQL["gram_moments"] = f"""WITH {_PRICE}
+{" UNION ALL ".join(f"SELECT '{_X.get(a, a)}' AS a, '{_X.get(b, b)}' AS b, round(covar_pop({a}, {b}), 6) AS co_moment, count(*) AS n FROM price" for a, b in _PAIRS)}"""
+
+SQL["ridge_coefficients"] = f"""WITH {_PRICE}, every AS (SELECT 0 AS one, * FROM price), {_ridge("every", "one")}
+{" UNION ALL ".join(f"SELECT alpha, '{c}' AS feature, round(v{x[1]}, 5) AS weight FROM solved" for x, c in _X.items())}"""
+
+SQL["cv_fold_rmse"] = f"""WITH {_PRICE},
+others AS (SELECT f.fold AS held, price.* FROM price JOIN (SELECT DISTINCT fold FROM price) f ON price.fold <> f.fold),
+{_ridge("others", "held")}
+SELECT CAST(held AS BIGINT) AS fold, alpha, round(sqrt(avg(pow(p.y - intercept - v1 * x1 - v2 * x2 - v3 * x3, 2))), 6) AS rmse, count(*) AS n_held
+FROM solved JOIN price p ON p.fold = held GROUP BY held, alpha"""
+
 # A node table walked node by node.
 _NODES = [(0, 0, 0, 25.0, 1, 2, 0.0), (0, 1, 1, 0.05, 3, 4, 0.0), (0, 2, 2, 0.02, 5, 6, 0.0), (0, 3, -1, 0.0, 0, 0, -310.25),
           (0, 4, -1, 0.0, 0, 0, -95.5), (0, 5, 0, 40.0, 7, 8, 0.0), (0, 6, -1, 0.0, 0, 0, 410.75), (0, 7, -1, 0.0, 0, 0, 120.0),

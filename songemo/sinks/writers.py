@@ -1,7 +1,7 @@
 """Sinks: pipeline tables, metrics reports and run manifests.
 
 Tables are written as Parquet by Spark (optionally also as CSV with a
-header).  Reports and manifests are tiny (one row per model or step); they
+header) into a new folder that then takes the former one's place.  Reports and manifests are tiny (one row per model or step); they
 are built as DataFrames and written by Spark too, so the same code writes to
 a shared filesystem on a cluster.
 """
@@ -9,20 +9,62 @@ a shared filesystem on a cluster.
 from __future__ import annotations
 
 import json
+import uuid
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def _beside(spark: SparkSession, path: str, what: str):
+    """File system, the path and the hidden path ``.<name>.<what>`` in the same folder (Spark does not read it)."""
+    make = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    p = make(path.rstrip("/"))
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    p = fs.makeQualified(p)
+    return fs, p, make(p.getParent(), f".{p.getName()}.{what}")
+
+
+def recover(spark: SparkSession, path: str) -> None:
+    """Puts the former table back if a swap ended between its two renames; otherwise drops what it left."""
+    fs, p, old = _beside(spark, path, "former")
+    if fs.exists(old):
+        if fs.exists(p):
+            fs.delete(old, True)
+        else:
+            fs.rename(old, p)
+
+
+def swapped(spark: SparkSession, path: str, write) -> None:
+    """Runs ``write(folder)`` on a new folder and puts it in the place of ``path`` once it is whole.
+
+    Until then ``path`` holds the former table, which may also be what is read;
+    a write that fails leaves it as it was.
+    """
+    recover(spark, path)
+    fs, p, new = _beside(spark, path, f"new-{uuid.uuid4().hex}")
+    try:
+        write(new.toString())
+        _, _, old = _beside(spark, path, "former")
+        if fs.exists(p) and not fs.rename(p, old):
+            raise OSError(f"{path} could not be set aside")
+        if not fs.rename(new, p):
+            recover(spark, path)
+            raise OSError(f"{path} could not be replaced")
+        fs.delete(old, True)
+    finally:
+        fs.delete(new, True)
+
+
 def write_table(df: DataFrame, path: str, columns: list[str] | None = None, csv_path: str | None = None,
                 write: bool = True) -> DataFrame:
-    """Overwrite ``path`` with ``df`` in a fixed column order; ``write=False`` only returns it."""
+    """Replace ``path`` by ``df`` in a fixed column order, whole or not at all; ``write=False`` only returns it."""
     out = df.select(*columns) if columns else df
     if write:
-        out.write.mode("overwrite").parquet(path)
+        swapped(df.sparkSession, path, lambda folder: out.write.parquet(folder))
+        out = df.sparkSession.read.schema(out.schema).parquet(path)     # what ``df`` reads may have been replaced
         if csv_path:
-            out.write.mode("overwrite").option("header", True).csv(csv_path)
+            swapped(df.sparkSession, csv_path, lambda folder: out.write.option("header", True).csv(folder))
     return out
 
 
