@@ -8,11 +8,10 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir
+from ..session import arrow_fs, checkpoint_dir, qualified  # noqa: F401 (the other modules take them from here)
 
 
 #: Bytes of an Arrow batch that goes to a Python worker; ten thousand long texts would be far more.
@@ -90,17 +89,6 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def qualified(spark: SparkSession, path: str) -> str:
-    """``path`` with the scheme and host that Spark resolves it to, so that executors' Arrow opens the same place."""
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(p).toString()
-
-
-def arrow_fs(uri: str) -> tuple[pafs.FileSystem, str]:
-    """Arrow filesystem and path for a URI or a plain local path."""
-    return pafs.FileSystem.from_uri(uri) if "://" in uri or uri.startswith("file:") else (pafs.LocalFileSystem(), uri)
-
-
 def by_batch(fn: Callable[[pa.RecordBatch], pa.RecordBatch | None]):
     """A ``mapInArrow`` function from one that maps a single batch."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
