@@ -263,3 +263,22 @@ def test_band_columns_by_name():
     from songemo.sources.frames_csv import BAND_NAMES
     odd = [BAND_NAMES[0].replace("[0]", x) for x in ("[26]", "[x]", "[]", "[1", "[-1]", "[0x1]")]
     assert band_columns([BAND_NAMES[11], *odd, BAND_NAMES[2], "z" + BAND_NAMES[3]]) == [BAND_NAMES[2], BAND_NAMES[11]]
+
+
+def test_medians_search_each_column_once_a_round(spark, monkeypatch):
+    """Both middle ranks share one sketch, and a column of one value needs none; skewed, tied and odd-sized columns are exact."""
+    import statistics
+    from songemo.modeling import impute
+    rows = [(float(i * i % 977), 7.0, None if i % 3 else float(i), float(i // 50)) for i in range(1000)]
+    df = spark.createDataFrame(rows, "a double, one double, b double, c double")
+    asked = []
+    sketch = impute.F.percentile_approx
+    monkeypatch.setattr(impute.F, "percentile_approx", lambda *a: asked.append(a) or sketch(*a))
+    monkeypatch.setattr(impute, "ACCURACY", 20)                   # several rounds
+    got = impute.column_medians(df, df.columns)
+    assert got == {c: statistics.median(r[i] for r in rows if r[i] is not None) for i, c in enumerate(df.columns)}
+    rough = len(asked)
+    asked.clear()
+    monkeypatch.setattr(impute, "ACCURACY", 10000)
+    assert impute.column_medians(df, df.columns) == got
+    assert len(asked) == 3 and rough > 3
