@@ -245,3 +245,20 @@ def test_default_search_is_full(spark, monkeypatch):
     prep.release()
     assert asked == [("random_forest", True, 64), ("boosted_trees", True, 64)]
     assert {m[0] for m in res.metrics} == {"ridge", "elasticnet", "random_forest", "boosted_trees"} and len(res.metrics) == 8
+
+
+def test_model_comparison_searches_in_full(spark, monkeypatch):
+    """The query asks for 64 settings of every kind, trees included, and reports all kinds and targets."""
+    from songemo.modeling import linear, train, trees
+    from songemo.plans import catalog
+    asked = []
+    fit, search = trees.fit_tree_models, linear.search_linear
+    monkeypatch.setattr(catalog, "modeling_of", lambda spark, d: spark.range(400).select(
+        F.col("id").cast("string").alias("song_id"), *[((F.col("id") * k) % 31).cast("double").alias(c) for k, c in enumerate(train.MODEL_FEATURES, 2)],
+        (F.col("id") % 9).cast("double").alias("arousal"), (F.col("id") % 7).cast("double").alias("valence")))
+    monkeypatch.setattr(linear, "search_linear", lambda kind, *a, **more: asked.append((kind, more["tune"], more["n_iter"])) or search(kind, *a, **more))
+    monkeypatch.setattr(trees, "fit_tree_models", lambda q, kind, **more: asked.append((kind, more["tune"], more["n_iter"])) or fit(
+        q, kind, space={k: v[:1] for k, v in trees.SPACES[kind][0].items()} | {"n_estimators": (2,), "max_depth": (2, 3)}, **more))
+    rows = queries()["model_comparison"](spark, "").collect()
+    assert set(asked) == {(k, True, 64) for k in ("random_forest", "boosted_trees", "ridge", "elasticnet")}
+    assert {(r.model, r.target) for r in rows} == {(k, t) for k, _, _ in asked for t in train.TARGETS}
