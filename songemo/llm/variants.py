@@ -14,13 +14,16 @@
    shifts the place by the difference in length.  The edit distance is verified
    inside the join, so no candidate leaves it.  A word of more than ``LONG``
    letters is met by gram and length alone, and has one row per distinct gram, as
-   it may hold a gram very often.
+   it may hold a gram very often; all of two such words that follows their first
+   difference is compared at once.
 4. A word's form is its most frequent near word, if that is at least ``RATIO``
    times as frequent; roots follow forms by doubling (a form's count grows
    by ``RATIO`` a step, so chains are short).
 
 Gram counts are the only table sent to the driver: at most one per pair of the
-90 letters that words can hold.
+90 letters that words can hold.  Tables with a row per word or gram are merged, never
+broadcast: Spark takes them for as small as their compressed files, though each of
+their rows becomes several.
 
 Defined cases: null and empty texts have no words; a null ``doc_id`` counts as an
 empty one in the checksum; rows with the same ``doc_id`` count each; of equally
@@ -139,6 +142,15 @@ def signature(word: str, counts: dict[str, int]) -> tuple[list[int], list[int]]:
     return [i for i, _ in prefix], pivots(prefix)
 
 
+def _one_edit(x: Column, y: Column) -> Column:
+    """Whether two different words are one edit apart; ``levenshtein`` would take the square of a long word's length."""
+    least = F.least(F.length(x), F.length(y))
+    same = F.aggregate(F.array(*[F.lit(1 << k) for k in reversed(range(31))]), F.lit(0), lambda at, more: F.when(
+        (at + more <= least) & (x.substr(at + 1, more) == y.substr(at + 1, more)), at + more).otherwise(at))
+    rest = [F.substring(w, same + 1 + (F.length(w) - least) + (F.length(x) == F.length(y)).cast("int"), F.length(w)) for w in (x, y)]
+    return rest[0] == rest[1]
+
+
 def near_words(words: DataFrame) -> DataFrame:
     """(a, a_n, b, b_n) of all pairs a < b of ``words`` (word, n) that differ by one edit."""
     counts = _gram_counts(words)
@@ -161,6 +173,7 @@ def near_words(words: DataFrame) -> DataFrame:
     moves = F.inline(F.array(*[F.struct(half[k].alias("part"), F.lit(d).alias("shift"), F.lit(e).alias("more")) for k, d, e in _MOVES]))
     left = rows.filter("pivot").select("*", gram.alias("gram_only"), moves)
     far = F.col("length") + F.col("more") > LONG
+    left = left.filter(~far | (F.col("part.side") == "left"))               # one of each difference in length
     part = F.when(far, F.col("gram_only")).otherwise(F.col("part"))
     left = left.select(part["side"].alias("side"), part["half"].alias("half"), (F.col("length") + F.col("more")).alias("length"),
                        F.when(far, F.lit(-1)).otherwise(F.col("place") + F.col("shift")).alias("place"),
@@ -169,8 +182,9 @@ def near_words(words: DataFrame) -> DataFrame:
     right = rows.select("*", F.explode(F.when(long, F.array(gram)).otherwise(F.array(*half.values()))).alias("part")).select(
         F.col("part.side").alias("s"), F.col("part.half").alias("h"), F.col("length").alias("l"),
         F.when(long, F.lit(-1)).otherwise(F.col("place")).alias("p"), F.col("word").alias("y"), F.col("n").alias("y_n"))
-    met = left.join(right, (F.col("side") == F.col("s")) & (F.col("half") == F.col("h")) & (F.col("place") == F.col("p"))
-                    & (F.col("length") == F.col("l")) & (F.col("x") != F.col("y")) & (F.levenshtein("x", "y", EDITS) == EDITS))
+    near = F.when(F.col("l") > LONG, _one_edit(F.col("x"), F.col("y"))).otherwise(F.levenshtein("x", "y", EDITS) == EDITS)
+    met = left.join(right.hint("merge"), (F.col("side") == F.col("s")) & (F.col("half") == F.col("h")) & (F.col("place") == F.col("p"))
+                    & (F.col("length") == F.col("l")) & (F.col("x") != F.col("y")) & near)
     low = F.col("x") < F.col("y")
     return met.select(F.when(low, F.col("x")).otherwise(F.col("y")).alias("a"),
                       F.when(low, F.col("x_n")).otherwise(F.col("y_n")).alias("a_n"),
@@ -183,7 +197,7 @@ def _roots(forms: DataFrame) -> DataFrame:
     cur = stored(forms.select("word", F.col("form").alias("root")), "roots")
     while True:
         step = cur.select(F.col("word").alias("root"), F.col("root").alias("further"))
-        new = stored(cur.join(step, "root", "left").select(
+        new = stored(cur.join(step.hint("merge"), "root", "left").select(
             "word", F.coalesce("further", "root").alias("root"), F.col("further").isNotNull().alias("moved")), "roots")
         moved = not new.filter("moved").isEmpty()
         discard(cur)
@@ -201,12 +215,12 @@ def groups(docs: DataFrame, min_count: int = MIN_COUNT, ratio: int = RATIO) -> D
     best = both.groupBy("word").agg(F.count(F.lit(1)).alias("n_near"),
                                     F.min(F.struct((-F.col("near_n")).alias("less"), "near")).alias("best"))
     enough = -F.col("best.less") >= ratio * F.col("n")
-    out = stored(words.join(best, "word", "left").select(
+    out = stored(words.join(best.hint("merge"), "word", "left").select(
         "word", F.when(enough, F.col("best.near")).alias("form"), "n", F.coalesce("n_near", F.lit(0).cast("long")).alias("n_near"),
         F.when(enough, -F.col("best.less")).alias("form_n")), "forms")
     roots = _roots(out.filter("form is not null"))
     discard(words, pairs)
-    return out.join(roots, "word", "left").select(
+    return out.join(roots.hint("merge"), "word", "left").select(
         "word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
 
 

@@ -117,3 +117,25 @@ def test_long_runs(spark, make_docs):
     assert rows(variants.groups(make_docs([(1, text), (2, "wordsix " * 6)]))) == {
         a: (a + "c", a + "c", 6, 1, 30), a + "c": (None, a + "c", 30, 2, None), a + "dc": (a + "c", a + "c", 5, 1, 30),
         long: (None, long, 5, 1, None), long + "c": (None, long + "c", 5, 1, None), "wordsix": (None, "wordsix", 6, 0, None)}
+
+
+def test_words_are_never_broadcast(spark, make_docs, monkeypatch):
+    """Files of some KB stand for many more rows: joins of words and grams are merged, whatever their size looks like."""
+    plans = []
+    stored = variants.stored
+    monkeypatch.setattr(variants, "stored", lambda df, name: plans.append((name, df._jdf.queryExecution().executedPlan().toString())) or stored(df, name))
+    out = variants.groups(make_docs(["abcdef " * 5 + "abcdeff " * 25 + "abcdefff " * 125]))
+    plans.append(("groups", out._jdf.queryExecution().executedPlan().toString()))
+    joins = [(name, "SortMergeJoin" in p, "Broadcast" in p) for name, p in plans if "Join" in p]
+    assert [j[0] for j in joins] == ["near", "forms", "roots", "roots", "groups"] and all(j[1:] == (True, False) for j in joins)
+
+
+def test_one_edit_of_long_words(spark):
+    from pyspark.sql import functions as F
+    rng = random.Random(4)
+    words = ["".join(rng.choice("aé") for _ in range(rng.randint(66, 70))) for _ in range(20)]
+    words += ["a" * n for n in (65, 66, 67, 68)] + ["a" * 66 + "b", "b" + "a" * 66, "a" * 33 + "b" + "a" * 33]
+    words += [v for w in words[:20] for i in (0, 1, 40, len(w) - 1) for v in (w[:i] + w[i + 1:], w[:i] + "x" + w[i + 1:], w[:i] + "ax" + w[i:])]
+    pairs = [(a, b) for a in words for b in words if a != b and abs(len(a) - len(b)) < 2]
+    got = spark.createDataFrame(pairs, "x string, y string").select("x", "y", variants._one_edit(F.col("x"), F.col("y")).alias("e")).collect()
+    assert [r.e for r in got] == [near(r.x, r.y) for r in got] and 50 < sum(r.e for r in got) < len(got)
